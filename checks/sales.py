@@ -601,14 +601,14 @@ def historical_best_price(spark, folder):
 
 @register("target_price", with_ctes(ELASTIC, WEEKS.replace(CLEAN + ",", "").replace(CLEAN, ""), BEST, f"""
 select {LINE_KEY}, round(greatest(least(0.40 * unit_price + 0.35 * optimal_price_historical
-  + 0.25 * optimal_price_elasticity_estimate, product_price_max * 1.5), product_price_min * 0.5), 4) as target_price
+  + 0.25 * optimal_price_elasticity_estimate, product_price_max * 1.5), product_price_min * 0.5), 8) as target_price
 from elastic join best using (stock_code)
 where invoice_date < (select max(invoice_date) from clean) - interval 7 days"""))
 def target_price(spark, folder):
     w = Warehouse(spark, folder)
     heavy = w.heavy_products()
     f = S.build_features(C.clean_sales(w.sales()), w.competitor_prices(), heavy=heavy)
-    return T.create_target(f, heavy=heavy).select(*KEY, F.round("target_price", 4).alias("target_price"))
+    return T.create_target(f, heavy=heavy).select(*KEY, F.round("target_price", 8).alias("target_price"))
 
 
 @register("time_split", with_ctes(CLEAN, f"""select {LINE_KEY}, case when invoice_date < timestamp '2000-01-01'

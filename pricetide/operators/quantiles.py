@@ -60,12 +60,12 @@ def quantile(df: DataFrame, value: str, p: float) -> Column:
     return group_quantile(df, [], value, p, "q").agg(F.max("q")).scalar()
 
 
-def add_rank_share(df: DataFrame, group: str, value: str, out: str, slices: int = 256) -> DataFrame:
-    """Add the average rank of ``value`` within its group divided by the group's size.
+def rank_shares(df: DataFrame, group: str, value: str, out: str, slices: int = 256) -> DataFrame:
+    """Per distinct (group, value): the average rank of the value in its group over the group's size.
 
-    Only distinct (group, value) counts are ordered, in value slices that the sketch sets; each slice
-    starts from the total of the lower ones.  The join back meets one row per (group, value), so an
-    adaptive skew join can split a value that many rows share.
+    Only distinct counts are ordered, in value slices that the sketch sets; each slice starts from the
+    total of the lower ones.  Joined back, every row meets exactly one row of this table, so an adaptive
+    skew join can split a value that many rows share.
     """
     rows = df.select(group, value).filter(F.col(value).isNotNull())
     grid = [i / slices for i in range(1, slices)]
@@ -78,8 +78,7 @@ def add_rank_share(df: DataFrame, group: str, value: str, out: str, slices: int
         group, "_s", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_below"),
         F.sum("_t").over(Window.partitionBy(group)).alias("_n"))
     inside = Window.partitionBy(group, "_s").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    ranks = (counts.withColumn("_upto", F.sum("_c").over(inside)).join(base, [group, "_s"])
-             # values a tie covers: ranks upto-c+1 .. upto, their mean is upto - (c-1)/2
-             .select(group, value,
-                     ((F.col("_below") + F.col("_upto") - (F.col("_c") - 1) / F.lit(2.0)) / F.col("_n")).alias(out)))
-    return df.join(ranks, [group, value], "left")
+    # values a tie covers: ranks upto-c+1 .. upto, their mean is upto - (c-1)/2
+    mean_rank = F.col("_below") + F.col("_upto") - (F.col("_c") - 1) / F.lit(2.0)
+    return (counts.withColumn("_upto", F.sum("_c").over(inside)).join(base, [group, "_s"])
+            .select(group, value, (mean_rank / F.col("_n")).alias(out)))
