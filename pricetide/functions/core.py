@@ -61,3 +61,9 @@ def day_number(us) -> Column:
 
 def all_of(conditions) -> Column:
     return reduce(lambda a, b: a & b, conditions)
+
+
+def fixed(c, places: int) -> Column:
+    """A number as text with fixed places, rounded on its exact binary value (``format_string`` rounds the
+    shortest decimal text instead, and halves up)."""
+    return F.call_function("format_number", col(c), F.lit("0." + "0" * places if places else "0"))
