@@ -185,7 +185,7 @@ def product_lookup(spark, folder):
         "stock_code", "current_price", "product_avg_price_global", "product_price_min", "product_price_max")
 
 
-@register("business_adjust", with_ctes(PRICED, """select stock_code, round(p, 6) as adjusted_price,
+@register("business_adjust", with_ctes(PRICED, """select stock_code, round(p, 9) as adjusted_price,
 array_to_string(list_filter([case when risk > 0.7 then printf('Stockout Risk (+%.1f%%)', risk * 20) end,
 case when flash then 'Flash Sale (-15%)' end, case when excess > 0.7 then printf('Inventory Excess (-%.1f%%)', excess * 15)
 end], lambda x: x is not null), '; ') as notes, 'Base ML recommendation based on ensemble of 4 models.'
@@ -194,7 +194,7 @@ end], lambda x: x is not null), '; ') as notes, 'Base ML recommendation based on
 || case when excess > 0.7 then ' Price lowered to clear excess inventory.' else '' end as reasoning from grid"""))
 def business_adjust(spark, folder):
     return asked_of(spark, folder).select(
-        "stock_code", F.round(R.business_price("ensemble"), 6).alias("adjusted_price"),
+        "stock_code", F.round(R.business_price("ensemble"), 9).alias("adjusted_price"),
         F.concat_ws("; ", R.business_notes()).alias("notes"), R.business_reason().alias("reasoning"))
 
 

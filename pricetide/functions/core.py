@@ -67,3 +67,8 @@ def fixed(c, places: int) -> Column:
     """A number as text with fixed places, rounded on its exact binary value (``format_string`` rounds the
     shortest decimal text instead, and halves up)."""
     return F.call_function("format_number", col(c), F.lit("0." + "0" * places if places else "0"))
+
+
+def py_round(c, places: int) -> Column:
+    """Round on the exact binary value, exact ties to even."""
+    return fixed(c, places).cast("double")
