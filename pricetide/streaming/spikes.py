@@ -1,16 +1,230 @@
-"""Demand spikes (batch forms first)."""
+"""Demand spikes: batch forms in columns, stream forms with keyed state."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections import deque
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from pricetide.config import SETTINGS, Settings
+from pricetide.functions.core import py_round
+from pricetide.functions.rules import severity, spike_multiplier
+from pricetide.operators.windows import drop_internal, rolling_sums
+from pricetide.streaming.windows import late_after, sliding_demand
+
+SECOND = 1_000_000
 
 
 def spike_baseline(events: DataFrame, key: str = "stock_code", s: Settings = SETTINGS) -> DataFrame:
     """Median units per non-empty interval.  Summed per interval first, so the calendar bounds the values
     that one product's median holds."""
-    slot = F.floor(F.unix_micros("ts") / F.lit(s.spike_seconds * 1_000_000))
+    slot = F.floor(F.unix_micros("ts") / F.lit(s.spike_seconds * SECOND))
     return (events.groupBy(key, slot.alias("_slot")).agg(F.sum("quantity").alias("_q"))
             .groupBy(key).agg(F.median("_q").alias("baseline_rate")))
+
+
+# ---- exponential baseline over sliding windows
+
+def ema_baseline(windows: DataFrame, s: Settings = SETTINGS) -> DataFrame:
+    """Spike flag and running baseline of each SKU over its successive windows.
+
+    The first window sets the baseline; later ones are a spike above three times it and then move it by
+    a fifth.  Windows are already one row per SKU and minute, so the calendar bounds a SKU's rows (1440 a
+    day) whatever its traffic.  They are gathered by day: one light scan per SKU hands each day its
+    starting baseline, and the days then run apart.
+    """
+    def move(before, count):
+        return F.coalesce(before * s.ema_keep + count * (1.0 - s.ema_keep), count.cast("double"))
+
+    item = F.struct(F.unix_micros("window_end").alias("end"), F.col("order_count").alias("n"))
+    days = windows.groupBy("sku_id", F.to_date("window_end").alias("_day")).agg(
+        F.array_sort(F.collect_list(item)).alias("_w"))
+    none = F.lit(None).cast("double")
+    state = F.aggregate(
+        F.array_sort(F.collect_list(F.struct("_day", "_w"))),
+        F.struct(none.alias("b"), F.array().cast("array<struct<d:struct<_day:date,_w:array<struct<end:bigint,n:bigint>>>,b:double>>").alias("out")),
+        lambda acc, d: F.struct(
+            F.aggregate(d["_w"], acc["b"], lambda b, w: move(b, w["n"])).alias("b"),
+            F.concat(acc["out"], F.array(F.struct(d.alias("d"), acc["b"].alias("b")))).alias("out")))
+    starts = days.groupBy("sku_id").agg(state.alias("_s")).select("sku_id", F.explode("_s.out").alias("_o")).select(
+        "sku_id", F.col("_o.d._w").alias("_w"), F.col("_o.b").alias("_b"))
+    empty = F.array().cast("array<struct<end:bigint,n:bigint,before:double,after:double>>")
+    run = F.aggregate(
+        "_w", F.struct(F.col("_b").alias("b"), empty.alias("out")),
+        lambda acc, w: F.struct(
+            move(acc["b"], w["n"]).alias("b"),
+            F.concat(acc["out"], F.array(F.struct(
+                w["end"].alias("end"), w["n"].alias("n"), acc["b"].alias("before"),
+                move(acc["b"], w["n"]).alias("after")))).alias("out")))
+    return starts.select("sku_id", F.inline(run["out"])).select(
+        "sku_id", F.timestamp_micros("end").alias("window_end"), F.col("n").alias("order_count"),
+        F.coalesce(F.col("n") > F.col("before") * s.ema_spike, F.lit(False)).alias("spike_detected"),
+        py_round("after", 2).alias("baseline"))
+
+
+EMA_OUT = "sku_id string, window_end timestamp, order_count long, spike_detected boolean, baseline double"
+
+
+class EmaProcessor(StatefulProcessor):
+    """Keeps one number per SKU: the running baseline."""
+
+    def __init__(self, keep: float, limit: float):
+        self.keep, self.limit = keep, limit
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.baseline = handle.getValueState("baseline", "b double")
+
+    def handleInputRows(self, key, rows, timerValues):
+        # the windows of a batch arrive in any order
+        frame = pd.concat(list(rows), ignore_index=True).sort_values("window_end")
+        before = self.baseline.get()[0] if self.baseline.exists() else None
+        spikes, after = [], []
+        for n in frame["order_count"]:
+            spikes.append(before is not None and bool(n > self.limit * before))
+            before = float(n) if before is None else self.keep * before + (1.0 - self.keep) * float(n)
+            after.append(round(before, 2))
+        self.baseline.update((before,))
+        yield pd.DataFrame({"sku_id": key[0], "window_end": frame["window_end"], "order_count": frame["order_count"],
+                            "spike_detected": spikes, "baseline": after})
+
+    def close(self) -> None:
+        pass
+
+
+def ema_spike_stream(events: DataFrame, s: Settings = SETTINGS) -> DataFrame:
+    """Closed sliding windows of a stream through ``EmaProcessor``.  Needs the RocksDB state store and
+    append mode, so that only final windows move the baseline."""
+    windows = sliding_demand(events).select("sku_id", F.window_time("window").alias("at"), "window_end", "order_count")
+    return windows.groupBy("sku_id").transformWithStateInPandas(
+        EmaProcessor(s.ema_keep, s.ema_spike), EMA_OUT, "Append", "None", eventTimeColumnName="")
+
+
+# ---- per-event rate against the historical baseline
+
+def alert_columns(rate, baseline, s: Settings = SETTINGS) -> dict[str, Column]:
+    base = F.coalesce(baseline, F.lit(1.0))
+    spike = rate / F.greatest(base, F.lit(0.1))
+    return {"current_rate": rate.cast("double"), "baseline_rate": base, "_ratio": spike,
+            "spike_ratio": py_round(spike, 2), "multiplier": py_round(spike_multiplier(spike), 2),
+            "severity": severity(spike)}
+
+
+def trailing_rates(events: DataFrame, seq: list[str], key: str = "stock_code", s: Settings = SETTINGS,
+                   heavy: list | None = None) -> DataFrame:
+    """Units of the key in the closed 300 seconds that end at each event."""
+    df = rolling_sums(events.withColumn("us", F.unix_micros("ts")), key, "us", seq, {"rate": F.col("quantity")},
+                      {"w": s.spike_seconds * SECOND}, closed=True, heavy=heavy)
+    return drop_internal(df).withColumnRenamed("rate_w", "trailing_rate").drop("us")
+
+
+def event_spikes(events: DataFrame, baselines: DataFrame, seq: list[str], s: Settings = SETTINGS,
+                 heavy: list | None = None) -> DataFrame:
+    """Every event with its rate, ratio, severity and whether it raises an alert (strictly above)."""
+    df = trailing_rates(events, seq, "stock_code", s, heavy).join(baselines, "stock_code", "left")
+    df = df.withColumns(alert_columns(F.col("trailing_rate"), F.col("baseline_rate"), s)).drop("trailing_rate")
+    return df.withColumn("is_alert", F.col("_ratio") > s.spike_ratio).drop("_ratio")
+
+
+def alert_records(spikes: DataFrame) -> DataFrame:
+    return spikes.filter("is_alert").select(
+        F.lit("FLASH_SALE_DETECTED").alias("type"), "stock_code",
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("detected_at"),
+        F.col("current_rate").alias("current_rate_units_per_window"), "baseline_rate", "spike_ratio",
+        F.col("multiplier").alias("recommended_price_multiplier"), "severity")
+
+
+def active_alerts(spikes: DataFrame, seq: list[str]) -> DataFrame:
+    """Products whose newest event is an alert (a maximum, combined before the shuffle)."""
+    row = F.struct("ts", "current_rate", "baseline_rate", "spike_ratio", "multiplier", "severity", "is_alert")
+    last = spikes.groupBy("stock_code").agg(F.max_by(row, F.struct("ts", *seq)).alias("_r"))
+    return last.select("stock_code", "_r.*").filter("is_alert").drop("is_alert")
+
+
+SPIKE_OUT = ("stock_code string, event_us long, event_seq string, current_rate double, baseline_rate double")
+
+
+class RateProcessor(StatefulProcessor):
+    """Holds events back until the watermark passes them, then adds them up in event-time order.
+
+    State per product: events not yet final, those of the last window, and how far it has come.  Timers
+    are set per second of event time, so a hot product wakes at most once a second.
+    """
+
+    def __init__(self, seconds: int):
+        self.span = seconds * SECOND
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        schema = "us long, seq string, quantity long, baseline double"
+        self.pending = handle.getListState("pending", schema)
+        self.recent = handle.getListState("recent", schema)
+        self.reached = handle.getValueState("reached", "ms long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        new, wake = [], set()
+        for frame in rows:
+            for us, seq, quantity, base in zip(frame["us"], frame["seq"], frame["quantity"], frame["baseline_rate"]):
+                new.append((int(us), seq, int(quantity), float(base)))
+                wake.add((int(us) // SECOND + 1) * 1000)
+        self.pending.appendList(new)
+        for stamp in wake:
+            self.handle.registerTimer(stamp)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        watermark = timerValues.getCurrentWatermarkInMs()
+        if self.reached.exists() and self.reached.get()[0] >= watermark:
+            return  # an earlier timer of this batch has done the work
+        self.reached.update((watermark,))
+        waiting = sorted(self.pending.get()) if self.pending.exists() else []
+        due = [r for r in waiting if r[0] <= watermark * 1000]
+        if not due:
+            return
+        window = deque(self.recent.get()) if self.recent.exists() else deque()
+        total = sum(r[2] for r in window)
+        out = []
+        for row in due:
+            window.append(row)
+            total += row[2]
+            while window[0][0] < row[0] - self.span:
+                total -= window.popleft()[2]
+            out.append((key[0], row[0], row[1], float(total), row[3]))
+        self.recent.put(list(window))
+        if len(due) < len(waiting):
+            self.pending.put(waiting[len(due):])
+        else:
+            self.pending.clear()
+        yield pd.DataFrame(out, columns=["stock_code", "event_us", "event_seq", "current_rate", "baseline_rate"])
+
+    def close(self) -> None:
+        pass
+
+
+def event_spike_stream(events: DataFrame, baselines: DataFrame, seq: str, s: Settings = SETTINGS) -> DataFrame:
+    """``event_spikes`` over a stream: a static join brings the baseline, state holds the window."""
+    df = late_after(events, s).join(baselines, "stock_code", "left").select(
+        "stock_code", "ts", F.unix_micros("ts").alias("us"), F.col(seq).cast("string").alias("seq"),
+        F.col("quantity").cast("long").alias("quantity"), F.coalesce("baseline_rate", F.lit(1.0)).alias("baseline_rate"))
+    rates = df.groupBy("stock_code").transformWithStateInPandas(
+        RateProcessor(s.spike_seconds), SPIKE_OUT, "Append", "EventTime", eventTimeColumnName="")
+    spikes = rates.withColumns(alert_columns(F.col("current_rate"), F.col("baseline_rate"), s))
+    return spikes.withColumns({"is_alert": F.col("_ratio") > s.spike_ratio,
+                               "ts": F.timestamp_micros("event_us")}).drop("_ratio", "event_us")
+
+
+# ---- order velocity
+
+def velocity_spikes(events: DataFrame, seq: list[str], s: Settings = SETTINGS, heavy: list | None = None) -> DataFrame:
+    """Orders per minute of the SKU in the last two minutes; above three times the baseline the SKU is
+    flagged for ten minutes from that event on."""
+    df = rolling_sums(events.withColumn("us", F.unix_micros("ts")), "sku_id", "us", seq, {"orders": F.lit(1)},
+                      {"w": s.velocity_seconds * SECOND}, heavy=heavy)
+    df = drop_internal(df).drop("us")
+    rate = F.col("orders_w") / F.lit(s.velocity_seconds / 60.0)
+    until = F.timestamp_micros(F.unix_micros("ts") + s.velocity_flag_seconds * SECOND)
+    df = df.withColumn("velocity", rate).drop("orders_w").withColumn(
+        "is_flash_sale", F.col("velocity") > 3 * s.velocity_baseline)
+    return df.withColumn("flag_until", F.when(F.col("is_flash_sale"), until))
