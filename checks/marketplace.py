@@ -11,6 +11,8 @@ from pricetide.functions.text import category_label
 from pricetide.operators import marketplace as M
 from pricetide.operators import profiling as P
 from pricetide.operators import splits
+from pricetide.session import shared_folder
+from pricetide.sources import readers
 from pricetide.sources.schemas import MARKET_FEATURES, MARKET_TARGET
 from pricetide.sources.warehouse import Warehouse
 
@@ -128,14 +130,28 @@ WIDTH = {"order_items": 6, "orders": 8, "products": 2, "translations": 2, "revie
          "customers": 2, "sellers": 2, "geolocation": 2}
 
 
-@register("table_profile", with_ctes(STAR, " union all ".join(
+PROFILE_SQL = with_ctes(STAR, " union all ".join(
     f"select '{n}' as table_name, count(*) as row_count, {WIDTH[n]}::int as column_count, "
     + (" + ".join(f"count(*) filter ({c} is null)" for c in NULLABLE.get(n, [])) or "0::bigint")
-    + f" as null_cells from {t}" for n, t in TABLES.items())))
+    + f" as null_cells from {t}" for n, t in TABLES.items()))
+
+
+@register("table_profile", PROFILE_SQL)
 def table_profile(spark, folder):
     return P.table_profile(star_of(spark, folder))
 
 
+@register("load_star", PROFILE_SQL)
+def load_star(spark, folder):
+    """The nine tables as CSV files, read back under their schemas."""
+    base = shared_folder(spark, "star")
+    paths = {}
+    for name, df in star_of(spark, folder).items():
+        paths[name] = f"{base}/{name}"
+        df.write.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss").csv(paths[name])
+    return P.table_profile(readers.load_star(spark, paths))
+
+
 @register("build_master", with_ctes(MASTER, f"""select {SEQ}, customer_id, order_status, order_purchase_timestamp,
 order_delivered_customer_date, review_score, customer_state, seller_state, payment_value, category from master"""))
 def build_master(spark, folder):

@@ -611,6 +611,34 @@ def target_price(spark, folder):
     return T.create_target(f, heavy=heavy).select(*KEY, F.round("target_price", 8).alias("target_price"))
 
 
+@register("map_lookup", with_ctes(WEEKS, BEST, """
+stats as (select stock_code, count(*) as n from clean group by stock_code),
+days as (select stock_code, cast(invoice_date as date) as d, sum(quantity) as q from clean group by all),
+last as (select *, row_number() over (partition by stock_code order by d) as i from days
+  qualify row_number() over (partition by stock_code order by d desc) <= 30),
+slopes as (select stock_code, case when count(*) < 2 then 0 else regr_slope(q, i) end as slope from last group by 1)""",
+                               f"""select {LINE_KEY}, n as product_transaction_count, {CATEGORY} as product_category,
+round(slope, 6) as demand_trend_slope, optimal_price_historical
+from clean join stats using (stock_code) join slopes using (stock_code) join best using (stock_code)"""))
+def map_lookup(spark, folder):
+    """Per-product values looked up on every sale: one joined table, then one join."""
+    c = clean_of(spark, folder)
+    table = (c.groupBy("stock_code").agg(F.count("*").alias("product_transaction_count"))
+             .join(S.trend_slope(c), "stock_code").join(T.historical_best_price(c), "stock_code"))
+    return c.join(table, "stock_code", "left").select(
+        *KEY, "product_transaction_count", text.categorise("description").alias("product_category"),
+        F.round("demand_trend_slope", 6).alias("demand_trend_slope"), "optimal_price_historical")
+
+
+@register("sort_by_product_time", with_ctes(CLEAN, f"""select {LINE_KEY}, row_number() over (partition by stock_code
+order by us, {SEQ}) as position from clean"""))
+def sort_by_product_time(spark, folder):
+    """Position of each sale in its product's time order."""
+    c = clean_of(spark, folder).withColumn("us", micros("invoice_date"))
+    out = rolling_sums(c, "stock_code", "us", S.SEQ, {"position": F.lit(1)}, {"all": None}, heavy=heavy_of(spark, folder))
+    return drop_internal(out).select(*KEY, F.col("position_all").alias("position"))
+
+
 @register("time_split", with_ctes(CLEAN, f"""select {LINE_KEY}, case when invoice_date < timestamp '2000-01-01'
 then 'train' when invoice_date < timestamp '2001-01-01' then 'valid' else 'test' end as split from clean"""))
 def time_split_query(spark, folder):

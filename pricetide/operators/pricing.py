@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pricetide.config import SETTINGS, Settings
 from pricetide.functions import rules as R
 from pricetide.functions.calendar import calendar_flags, calendar_parts
-from pricetide.functions.core import fixed, flag, ratio
+from pricetide.functions.core import fixed, flag, py_round, ratio
 
 # Stand-ins for model inputs that a request does not carry.
 PLACEHOLDERS = {"freight_value": 15.0, "hour_sin": 0.5, "hour_cos": 0.8, "day_sin": 0.7, "day_cos": 0.7,
@@ -117,29 +117,30 @@ def product_lookup(requests: DataFrame, stats: DataFrame) -> DataFrame:
 def request_features(requests: DataFrame, stats: DataFrame, names: list[str], now: Column | None = None,
                      s: Settings = SETTINGS) -> DataFrame:
     """Model inputs of each request; unknown products get defaults around the current price and inputs
-    nobody knows become 0."""
+    nobody knows become 0.  The product's own price range stays apart, as known_price_min and _max."""
     when = F.coalesce("timestamp", now if now is not None else F.current_timestamp())
     df = product_lookup(requests, stats).withColumn("_t", when)
     df = df.withColumns({
         **calendar_parts("_t"), **calendar_flags("_t"),
-        "_known": F.col("product_avg_price_global").isNotNull(),
+        "known_price_min": F.col("product_price_min"), "known_price_max": F.col("product_price_max"),
         "product_avg_price_global": F.coalesce("product_avg_price_global", "current_price"),
         "product_price_std": F.coalesce("product_price_std", F.lit(0.1)),
         "product_popularity_rank": F.coalesce("product_popularity_rank", F.lit(1)),
         "is_bulk": flag(F.col("quantity") >= s.bulk_quantity), "is_uk": flag(F.col("country") == s.home_country),
     }).withColumn("price_vs_product_mean", ratio("current_price", "product_avg_price_global"))
-    return df.withColumns({n: F.lit(0.0) for n in names if n not in df.columns}).drop("_t", "_known")
+    inputs = {n: F.coalesce(F.col(n), F.lit(0)) if n in df.columns else F.lit(0.0) for n in names}
+    return df.withColumns(inputs).drop("_t")
 
 
-def recommend(df: DataFrame, ensemble: str, predictions: list[str], s: Settings = SETTINGS) -> DataFrame:
+def recommend(df: DataFrame, ensemble: str, predictions: list[str], low: str = "known_price_min",
+              high: str = "known_price_max", s: Settings = SETTINGS) -> DataFrame:
     """Adjust, bound and round an ensemble price, with its interval, notes and reason."""
-    price = R.bound_and_round(R.business_price(ensemble), "product_price_min", "product_price_max",
-                              "current_price", s)
+    price = R.bound_and_round(R.business_price(ensemble), low, high, "current_price", s)
     df = df.withColumn("recommended_price", price).withColumn("_sd", R.ensemble_spread(predictions))
     return df.withColumns({
-        "price_change_pct": F.round(R.change_pct("recommended_price", "current_price"), 2),
-        "confidence_low": F.round(F.col("recommended_price") - F.col("_sd") * 1.96, 2),
-        "confidence_high": F.round(F.col("recommended_price") + F.col("_sd") * 1.96, 2),
+        "price_change_pct": py_round(R.change_pct("recommended_price", "current_price"), 2),
+        "confidence_low": py_round(F.col("recommended_price") - F.col("_sd") * 1.96, 2),
+        "confidence_high": py_round(F.col("recommended_price") + F.col("_sd") * 1.96, 2),
         "adjustments_applied": R.business_notes(), "reasoning": R.business_reason()}).drop("_sd")
 
 
