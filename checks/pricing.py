@@ -185,7 +185,7 @@ def product_lookup(spark, folder):
         "stock_code", "current_price", "product_avg_price_global", "product_price_min", "product_price_max")
 
 
-@register("business_adjust", with_ctes(PRICED, """select stock_code, round(p, 9) as adjusted_price,
+@register("business_adjust", with_ctes(PRICED, """select stock_code, p as adjusted_price,
 array_to_string(list_filter([case when risk > 0.7 then printf('Stockout Risk (+%.1f%%)', risk * 20) end,
 case when flash then 'Flash Sale (-15%)' end, case when excess > 0.7 then printf('Inventory Excess (-%.1f%%)', excess * 15)
 end], lambda x: x is not null), '; ') as notes, 'Base ML recommendation based on ensemble of 4 models.'
@@ -194,7 +194,7 @@ end], lambda x: x is not null), '; ') as notes, 'Base ML recommendation based on
 || case when excess > 0.7 then ' Price lowered to clear excess inventory.' else '' end as reasoning from grid"""))
 def business_adjust(spark, folder):
     return asked_of(spark, folder).select(
-        "stock_code", F.round(R.business_price("ensemble"), 9).alias("adjusted_price"),
+        "stock_code", R.business_price("ensemble").alias("adjusted_price"),
         F.concat_ws("; ", R.business_notes()).alias("notes"), R.business_reason().alias("reasoning"))
 
 
@@ -286,14 +286,13 @@ def surge_of(spark, folder):
 
 
 @register("surge_multipliers", with_ctes(SURGE, """select sku_id, inventory_mult, demand_mult, flash_mult, weather_mult,
-fleet_mult, round(final_price, 6) as final_price, round(final_price - std, 6) as band_low,
-round(final_price + std, 6) as band_high, round(final_price * 0.85::double, 6) as price_floor,
-round(final_price * 1.5::double, 6) as price_ceiling from priced join cat_stats on p_type = category"""))
+fleet_mult, final_price, round(final_price - std, 6) as band_low,
+round(final_price + std, 6) as band_high, final_price * 0.85::double as price_floor,
+final_price * 1.5::double as price_ceiling from priced join cat_stats on p_type = category"""))
 def surge_multipliers(spark, folder):
-    names = ["final_price", "band_low", "band_high", "price_floor", "price_ceiling"]
     return surge_of(spark, folder).select(
-        "sku_id", "inventory_mult", "demand_mult", "flash_mult", "weather_mult", "fleet_mult",
-        *[F.round(n, 6).alias(n) for n in names])
+        "sku_id", "inventory_mult", "demand_mult", "flash_mult", "weather_mult", "fleet_mult", "final_price",
+        "price_floor", "price_ceiling", *[F.round(n, 6).alias(n) for n in ("band_low", "band_high")])
 
 
 def _impact(c):
