@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import register, with_ctes
+from checks.registry import register, staged, with_ctes
 from pricetide.config import MICROS_PER_DAY as DAY
 from pricetide.functions import calendar
 from pricetide.functions.text import category_label
@@ -115,9 +115,14 @@ def master_of(spark, folder):
     return M.build_master(star_of(spark, folder))
 
 
+def base_of(spark, folder):
+    """The joined feature base as a stored stage; ``build_feature_base`` itself runs the joins."""
+    return staged("market-base", spark, folder, lambda: M.build_feature_base(star_of(spark, folder)))
+
+
 def features_of(spark, folder):
     w = Warehouse(spark, folder)
-    return M.build_market_features(w.star(), calendar.holiday_calendar(spark, 1995, 2030),
+    return M.build_market_features(base_of(spark, folder), calendar.holiday_calendar(spark, 1995, 2030),
                                    heavy=w.heavy_market_products())
 
 
@@ -275,7 +280,7 @@ def correlation_matrix(spark, folder):
 @register("cyclic_encode", with_ctes(FEATURES, f"""select {ORDER}, round(hour_sin, 9) as hour_sin,
 round(hour_cos, 9) as hour_cos, round(day_sin, 9) as day_sin, round(day_cos, 9) as day_cos from features"""))
 def cyclic_encode(spark, folder):
-    base = M.build_feature_base(star_of(spark, folder))
+    base = base_of(spark, folder)
     s, c = calendar.cyclic(F.hour(M.TS), 24.0)
     ds, dc = calendar.cyclic(F.weekday(M.TS), 7.0)
     return base.select(M.TS, *M.SEQ, F.round(s, 9).alias("hour_sin"), F.round(c, 9).alias("hour_cos"),
@@ -284,14 +289,14 @@ def cyclic_encode(spark, folder):
 
 @register("marketplace_flags", with_ctes(FEATURES, f"select {ORDER}, is_weekend, is_month_end from features"))
 def marketplace_flags(spark, folder):
-    base = M.build_feature_base(star_of(spark, folder))
+    base = base_of(spark, folder)
     flags = calendar.marketplace_flags(M.TS)
     return base.withColumns(flags).select(M.TS, *M.SEQ, *flags)
 
 
 @register("holiday_flag", with_ctes(FEATURES, f"select {ORDER}, is_holiday from features"))
 def holiday_flag(spark, folder):
-    base = M.build_feature_base(star_of(spark, folder))
+    base = base_of(spark, folder)
     days = calendar.holiday_calendar(spark, 1995, 2030)
     return calendar.add_holiday_flag(base, M.TS, days).select(M.TS, *M.SEQ, "is_holiday")
 
@@ -299,7 +304,7 @@ def holiday_flag(spark, folder):
 @register("days_since_last_order", with_ctes(FEATURES, f"select {ORDER}, product_id, days_since_last_order from features"))
 def days_since_last_order(spark, folder):
     w = Warehouse(spark, folder)
-    df = M.demand_scores(M.build_feature_base(w.star()), w.heavy_market_products())
+    df = M.demand_scores(base_of(spark, folder), w.heavy_market_products())
     return df.select(M.TS, *M.SEQ, "product_id", "days_since_last_order")
 
 
@@ -307,7 +312,7 @@ def days_since_last_order(spark, folder):
 demand_velocity, inventory_ratio from features"""))
 def demand_scores(spark, folder):
     w = Warehouse(spark, folder)
-    df = M.demand_scores(M.build_feature_base(w.star()), w.heavy_market_products())
+    df = M.demand_scores(base_of(spark, folder), w.heavy_market_products())
     return df.select(M.TS, *M.SEQ, "product_id", "demand_score_7d", "demand_score_30d",
                      M.demand_velocity().alias("demand_velocity"), M.inventory_proxy().alias("inventory_ratio"))
 
@@ -315,20 +320,20 @@ def demand_scores(spark, folder):
 @register("price_percentile", with_ctes(FEATURES, f"""select {ORDER}, category, price_percentile_in_category
 from features"""))
 def price_percentile(spark, folder):
-    base = M.build_feature_base(star_of(spark, folder))
+    base = base_of(spark, folder)
     ranks = M.rank_shares(base, "category", "price", "price_percentile_in_category")
     return base.join(ranks, ["category", "price"]).select(M.TS, *M.SEQ, "category", "price_percentile_in_category")
 
 
 @register("category_median", with_ctes(FEATURES, "select category, med as category_median from medians"))
 def category_median(spark, folder):
-    return M.category_median(M.build_feature_base(star_of(spark, folder)))
+    return M.category_median(base_of(spark, folder))
 
 
 @register("competitor_delta", with_ctes(FEATURES, f"""select {ORDER}, competitor_delta, round(review_elasticity, 9) as
 review_elasticity from features"""))
 def competitor_delta(spark, folder):
-    base = M.fill_review_score(M.build_feature_base(star_of(spark, folder)))
+    base = M.fill_review_score(base_of(spark, folder))
     return base.join(M.price_table(base), ["category", "price"]).select(
         M.TS, *M.SEQ, "competitor_delta", F.round(M.review_elasticity(), 9).alias("review_elasticity"))
 
@@ -356,7 +361,7 @@ def feature_projection(spark, folder):
 @register("optimal_price", with_ctes(FEATURES, f"""select {ORDER}, round(optimal_price, 9) as optimal_price from features"""))
 def optimal_price(spark, folder):
     w = Warehouse(spark, folder)
-    df = M.fill_review_score(M.build_feature_base(w.star()))
+    df = M.fill_review_score(base_of(spark, folder))
     df = M.demand_scores(df, w.heavy_market_products())
     df = df.withColumns({"demand_velocity": M.demand_velocity(), "review_elasticity": M.review_elasticity()})
     return df.select(M.TS, *M.SEQ, F.round(M.optimal_price(), 9).alias("optimal_price"))
@@ -366,7 +371,7 @@ def optimal_price(spark, folder):
 (select *, row_number() over (partition by category order by order_purchase_timestamp desc, order_id desc,
 order_item_id desc, seller_id desc, price desc, freight_value desc) as position from base) where position <= 30"""))
 def last_30_by_category(spark, folder):
-    return M.last_rows_by_category(M.build_feature_base(star_of(spark, folder))).select(
+    return M.last_rows_by_category(base_of(spark, folder)).select(
         M.TS, *M.SEQ, "category", "position")
 
 
@@ -380,7 +385,7 @@ def category_price_stats(spark, folder):
 @register("competitor_category_price", with_ctes(FEATURES, """select category, round(med, 2) as market_price
 from medians"""))
 def competitor_category_price(spark, folder):
-    return M.competitor_category_price(M.build_feature_base(star_of(spark, folder)))
+    return M.competitor_category_price(base_of(spark, folder))
 
 
 @register("nearest_to_quantile", with_ctes(FEATURES, """goals as (select quantile_cont(price, 0.95) as hi,
@@ -389,7 +394,7 @@ select * from (select 'high' as profile, {ORDER} from base, goals order by abs(p
 select * from (select 'low' as profile, {ORDER} from base, goals order by abs(price - lo), {ORDER} limit 1) union all
 select * from (select 'outlier' as profile, {ORDER} from base, goals where price > far order by {ORDER} limit 1)"""))
 def nearest_to_quantile(spark, folder):
-    base = M.build_feature_base(star_of(spark, folder)).select(M.TS, *M.SEQ)
+    base = base_of(spark, folder).select(M.TS, *M.SEQ)
     return M.nearest_to_quantiles(base.withColumn("value", F.col("price")), "value").drop("value")
 
 
@@ -397,7 +402,7 @@ def nearest_to_quantile(spark, folder):
 row_number() over (order by us, {SEQ}) - 1 < floor(0.8 * count(*) over ()) then 'train' else 'test' end as split
 from base"""))
 def chrono_split(spark, folder):
-    base = M.build_feature_base(star_of(spark, folder)).select(M.TS, *M.SEQ, "product_id")
+    base = base_of(spark, folder).select(M.TS, *M.SEQ, "product_id")
     return splits.chrono_split(base, M.TS, M.SEQ)
 
 
@@ -405,13 +410,13 @@ def chrono_split(spark, folder):
 count(*) over () as n from base)""", f"""select {ORDER}, product_id, cast(greatest(0, 6 - ceil((n - i) / (n // 6)::double)) as int)
 as fold from ranked"""))
 def time_series_folds(spark, folder):
-    base = M.build_feature_base(star_of(spark, folder)).select(M.TS, *M.SEQ, "product_id")
+    base = base_of(spark, folder).select(M.TS, *M.SEQ, "product_id")
     return splits.time_series_folds(base, M.TS, M.SEQ)
 
 
 @register("random_split")
 def random_split(spark, folder):
-    return splits.random_split(M.build_feature_base(star_of(spark, folder)), "order_id").groupBy("split").count()
+    return splits.random_split(base_of(spark, folder), "order_id").groupBy("split").count()
 
 
 @register("sample_n")

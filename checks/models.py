@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import marketplace as MK
 from checks import sales as Q
-from checks.registry import register, with_ctes
+from checks.registry import once, register, staged, with_ctes
 from pricetide.operators import evaluation as E
 from pricetide.operators import models as ML
 from pricetide.operators import pricing as P
@@ -17,31 +17,19 @@ from pricetide.operators import sales_features as S
 from pricetide.operators import shapley as SH
 from pricetide.operators import splits
 from pricetide.operators import targets as T
-from pricetide.operators.cleaning import clean_sales
 from pricetide.operators.marketplace import SEQ, TS
 from pricetide.session import cut_lineage, shared_folder
 from pricetide.sources.schemas import MARKET_FEATURES, MARKET_TARGET
 from pricetide.sources.warehouse import Warehouse
 
 ROUNDS, TREES = 5, 5
-_KEPT: dict = {}
-
-
-def once(name, spark, folder, build):
-    """Built one time per application and folder: several queries look at the same model."""
-    key = (name, spark.sparkContext.applicationId, folder)
-    if key not in _KEPT:
-        _KEPT[key] = build()
-    return _KEPT[key]
-
-
 def market_split(spark, folder):
     def build():
         df = MK.features_of(spark, folder)
         key = F.concat_ws("-", *SEQ, "product_id")
         df = splits.time_series_folds(splits.chrono_split(df.withColumn("row_id", key), TS, SEQ), TS, SEQ)
-        return cut_lineage(df, "market-split")
-    return once("market", spark, folder, build)
+        return df
+    return staged("market-split", spark, folder, build)
 
 
 def train_test(spark, folder):
@@ -123,7 +111,7 @@ def retail(spark, folder):
     def build():
         w = Warehouse(spark, folder)
         heavy = w.heavy_products()
-        clean = cut_lineage(clean_sales(w.sales()), "retail-clean")
+        clean = Q.clean_of(spark, folder)
         features = cut_lineage(S.build_features(clean, w.competitor_prices(), heavy=heavy), "retail-features")
         table = cut_lineage(splits.time_split(T.create_target(features, heavy=heavy), "invoice_date",
                                               "2000-01-01", "2001-01-01"), "retail-table")
@@ -176,9 +164,9 @@ def save_and_load_model(spark, folder):
 def explained(spark, folder):
     def build():
         train, test = train_test(spark, folder)
-        return cut_lineage(SH.explain_model(boosted(spark, folder), train, test, MARKET_FEATURES, "row_id",
-                                            background=30, permutations=1), "shapley")
-    return once("shapley", spark, folder, build)
+        return SH.explain_model(boosted(spark, folder), train, test, MARKET_FEATURES, "row_id", background=30,
+                                permutations=1)
+    return staged("shapley", spark, folder, build)
 
 
 @register("permutation_shapley")

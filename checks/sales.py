@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import register, with_ctes
+from checks.registry import register, staged, with_ctes
 from pricetide.config import MICROS_PER_DAY, SETTINGS
 from pricetide.functions import calendar, text
 from pricetide.functions.core import exact_avg, flag, micros
@@ -175,7 +175,9 @@ KEY = ["stock_code", "invoice_no", "quantity", "unit_price"]
 
 
 def clean_of(spark, folder):
-    return C.clean_sales(Warehouse(spark, folder).sales())
+    """The cleaned stage; the query ``clean_sales`` itself runs all its steps."""
+    w = Warehouse(spark, folder)
+    return staged("clean", spark, folder, lambda: C.clean_sales(w.sales()))
 
 
 def heavy_of(spark, folder):
@@ -249,7 +251,7 @@ def dedup_sales(spark, folder):
 
 @register("clean_sales", with_ctes(CLEAN, f"select {SALE_COLUMNS}, revenue, is_bulk from clean"))
 def clean_sales(spark, folder):
-    return clean_of(spark, folder)
+    return C.clean_sales(Warehouse(spark, folder).sales())
 
 
 @register("clean_report", with_ctes(SALES, f"""
@@ -554,7 +556,7 @@ from risky left join competitors using (stock_code), risk_ends"""))
 def build_features(spark, folder):
     """All eight groups in one frame."""
     w = Warehouse(spark, folder)
-    df = S.build_features(C.clean_sales(w.sales()), w.competitor_prices(), heavy=w.heavy_products())
+    df = S.build_features(clean_of(spark, folder), w.competitor_prices(), heavy=w.heavy_products())
     return df.select(*KEY, *FEATURE_SAMPLE, F.round("price_elasticity_30d", 6).alias("price_elasticity_30d"),
                      F.round("stockout_risk_score", 6).alias("stockout_risk_score"), "competitor_price_1")
 
@@ -607,7 +609,7 @@ where invoice_date < (select max(invoice_date) from clean) - interval 7 days""")
 def target_price(spark, folder):
     w = Warehouse(spark, folder)
     heavy = w.heavy_products()
-    f = S.build_features(C.clean_sales(w.sales()), w.competitor_prices(), heavy=heavy)
+    f = S.build_features(clean_of(spark, folder), w.competitor_prices(), heavy=heavy)
     return T.create_target(f, heavy=heavy).select(*KEY, F.round("target_price", 8).alias("target_price"))
 
 

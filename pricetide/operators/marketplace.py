@@ -11,7 +11,6 @@ from pricetide.functions.core import clip, exact_avg, exact_sum, micros, ratio
 from pricetide.functions.text import category_label
 from pricetide.operators.quantiles import group_quantile, rank_shares
 from pricetide.operators.windows import drop_internal, rolling_sums, shift_rows
-from pricetide.session import cut_lineage
 from pricetide.sources.schemas import MARKET_FEATURES, MARKET_TARGET
 
 TS, US, KEY = "order_purchase_timestamp", "us", "product_id"
@@ -196,11 +195,9 @@ def price_table(df: DataFrame) -> DataFrame:
     return table.withColumn("competitor_delta", delta).drop("category_median")
 
 
-def build_market_features(star: dict[str, DataFrame], holidays: DataFrame, heavy: list | None = None,
-                          stage=cut_lineage) -> DataFrame:
-    """Ids, the 17 features and the target.  The base is written once, because the median score, the
-    category medians and the ranks each read it again."""
-    base = stage(build_feature_base(star), "market-base")
+def build_market_features(base: DataFrame, holidays: DataFrame, heavy: list | None = None) -> DataFrame:
+    """Ids, the 17 features and the target from the feature base.  Pass the base as a stored stage: the
+    median score, the category medians and the ranks each read it again, two columns at a time."""
     df = demand_scores(fill_review_score(base), heavy)
     df = df.withColumns({"demand_velocity": demand_velocity(), "inventory_ratio": inventory_proxy(),
                          "review_elasticity": review_elasticity()})

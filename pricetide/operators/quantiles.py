@@ -60,19 +60,23 @@ def quantile(df: DataFrame, value: str, p: float) -> Column:
     return group_quantile(df, [], value, p, "q").agg(F.max("q")).scalar()
 
 
-def rank_shares(df: DataFrame, group: str, value: str, out: str, slices: int = 256) -> DataFrame:
+def value_slice(value: str, per_octave: int = 64) -> Column:
+    """A whole number that never falls as the value rises: 64 steps per doubling, on either side of zero."""
+    v = F.col(value)
+    far = 1 << 20  # beyond any step number of a double
+    return (F.when(v > 0, F.floor(F.log2(v) * per_octave) + far)
+            .when(v < 0, -F.floor(F.log2(-v) * per_octave) - far).otherwise(F.lit(0)))
+
+
+def rank_shares(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
     """Per distinct (group, value): the average rank of the value in its group over the group's size.
 
-    Only distinct counts are ordered, in value slices that the sketch sets; each slice starts from the
-    total of the lower ones.  Joined back, every row meets exactly one row of this table, so an adaptive
-    skew join can split a value that many rows share.
+    Only distinct counts are ordered, in value slices; each slice starts from the total of the lower
+    ones.  Joined back, every row meets exactly one row of this table, so an adaptive skew join can
+    split a value that many rows share.
     """
-    rows = df.select(group, value).filter(F.col(value).isNotNull())
-    grid = [i / slices for i in range(1, slices)]
-    cuts = rows.groupBy(group).agg(F.percentile_approx(value, grid, 4 * slices).alias("_cuts"))
-    counts = rows.groupBy(group, value).agg(F.count(F.lit(1)).alias("_c"))
-    counts = counts.join(cuts, group).withColumn(
-        "_s", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
+    counts = (df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("_c"))
+              .withColumn("_s", value_slice(value)))
     before = Window.partitionBy(group).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.groupBy(group, "_s").agg(F.sum("_c").alias("_t")).select(
         group, "_s", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_below"),

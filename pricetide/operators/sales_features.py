@@ -295,12 +295,11 @@ def null_cleanup(df: DataFrame) -> DataFrame:
 
 def build_features(clean: DataFrame, competitors: DataFrame, s: Settings = SETTINGS,
                    heavy: list | None = None, stage=cut_lineage) -> DataFrame:
-    """Every feature group on the cleaned sales.
+    """Every feature group on the cleaned sales (a stored stage: several aggregates read it).
 
     The medians and the scaling each read the rows again, so the windowed rows are written once as a
     stage; those passes then scan two columns of it.
     """
-    clean = stage(clean, "clean")
     df = units_today(add_rolling(clean, s, heavy))
     df = df.withColumn("days_since_last_sale", days_since_last_sale()).drop("_prev_us")
     df = add_product_features(df, product_profile(clean))

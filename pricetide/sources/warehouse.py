@@ -35,30 +35,30 @@ class Warehouse:
     # ---- online-retail transaction log
 
     def _lines(self) -> DataFrame:
+        """Sales lines.  Order columns and product texts are made on the small sides, so a line meets
+        two tables and builds only its own price."""
         li, o = self.table("lineitem"), self.table("orders")
         c, n, p = self.table("customer"), self.table("nation"), self.table("part")
-        code = (F.when(F.col("l_partkey") == 0, "post").when(F.col("l_partkey") == 1, "ab")
-                .otherwise(F.concat(F.lit(" p"), F.col("l_partkey").cast("string"))))
+        places = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(
+            "c_custkey", F.when(F.col("n_nationkey") == 0, SETTINGS.home_country)
+            .otherwise(F.col("n_name")).alias("country"))
+        orders = o.join(places, F.col("o_custkey") == F.col("c_custkey")).select(
+            "o_orderkey", F.col("o_orderkey").cast("string").alias("_invoice"),
+            F.timestamp_add("MINUTE", ((F.col("o_orderkey") * 37) % 1440).cast("int"),
+                            F.col("o_orderdate").cast("timestamp")).alias("invoice_date"),
+            F.when(F.col("o_orderstatus") != "P", F.col("o_custkey").cast("string")).alias("customer_id"), "country")
+        code = (F.when(F.col("p_partkey") == 0, "post").when(F.col("p_partkey") == 1, "ab")
+                .otherwise(F.concat(F.lit(" p"), F.col("p_partkey").cast("string"))))
         noun = F.create_map(*[F.lit(x) for kv in NOUNS.items() for x in kv])
-        text = (F.when(F.col("p_size") == 50, F.lit(None))
-                .when(F.col("p_size") == 49, "Samples")
+        text = (F.when(F.col("p_size") == 50, F.lit(None)).when(F.col("p_size") == 49, "Samples")
                 .otherwise(F.concat_ws(" ", "p_name", noun[F.col("p_type")])))
-        return (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-                .join(p, F.col("l_partkey") == F.col("p_partkey"))
-                .join(c, F.col("o_custkey") == F.col("c_custkey"))
-                .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-                .select(
-                    "l_linestatus",
-                    F.concat(F.when(F.col("l_returnflag") == "R", "C").otherwise(""),
-                             F.col("l_orderkey").cast("string")).alias("invoice_no"),
-                    code.alias("stock_code"), text.alias("description"),
-                    F.col("l_quantity").cast("int").alias("quantity"),
-                    F.timestamp_add("MINUTE", ((F.col("l_orderkey") * 37) % 1440).cast("int"),
-                                    F.col("o_orderdate").cast("timestamp")).alias("invoice_date"),
-                    (cents() / F.lit(100.0)).alias("unit_price"),
-                    F.when(F.col("o_orderstatus") != "P", F.col("o_custkey").cast("string")).alias("customer_id"),
-                    F.when(F.col("n_nationkey") == 0, SETTINGS.home_country)
-                    .otherwise(F.col("n_name")).alias("country")))
+        parts = p.select("p_partkey", code.alias("stock_code"), text.alias("description"))
+        invoice = F.when(F.col("l_returnflag") == "R", F.concat(F.lit("C"), "_invoice")).otherwise(F.col("_invoice"))
+        return (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+                .join(parts, F.col("l_partkey") == F.col("p_partkey"))
+                .select("l_linestatus", invoice.alias("invoice_no"), "stock_code", "description",
+                        F.col("l_quantity").cast("int").alias("quantity"), "invoice_date",
+                        (cents() / F.lit(100.0)).alias("unit_price"), "customer_id", "country"))
 
     def source_one(self) -> DataFrame:
         """The newer source, under its own column names."""
