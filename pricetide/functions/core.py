@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pricetide.config import MICROS_PER_DAY
+from pricetide.config import MICROS_PER_DAY, MICROS_PER_SECOND
 
 MINOR = 10_000  # money is added up in whole ten-thousandths, so sums do not depend on task order
 
@@ -59,6 +59,10 @@ def day_number(us) -> Column:
     return F.floor(col(us) / F.lit(MICROS_PER_DAY))
 
 
+def hour_number(us) -> Column:
+    return F.floor(col(us) / F.lit(3600 * MICROS_PER_SECOND))
+
+
 def all_of(conditions) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 

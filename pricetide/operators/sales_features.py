@@ -74,26 +74,26 @@ def label_encode(df: DataFrame, column: str, out: str) -> DataFrame:
     return df.join(ids, column, "left")
 
 
-def category_ids(df: DataFrame) -> DataFrame:
-    """Category of the description and its id among the categories present.
+def category_ids(df: DataFrame, among: DataFrame | None = None) -> DataFrame:
+    """Category of the description and its id among the categories present in ``among`` (default: df).
 
-    The categories are the fixed rule groups, so the presence of each is one flag of a single-row
-    aggregate, and the id needs no join.
+    The categories are the few fixed rule groups, so the set of those present is a scalar and the id
+    needs no join.
     """
     df = df.withColumn("product_category", categorise("description"))
     names = sorted([*CATEGORY_WORDS, OTHER_CATEGORY])
-    present = df.agg(F.array(*[F.coalesce(F.max(flag(F.col("product_category") == n)), F.lit(0)) for n in names]))
+    seen = (df if among is None else among).select(categorise("description").alias("_c")).agg(F.collect_set("_c"))
     ids = F.when(F.lit(False), F.lit(0))
     for i, n in enumerate(names):
-        below = sum((F.col("_present")[j] for j in range(i)), F.lit(0))
+        below = sum((F.array_contains("_seen", m).cast("int") for m in names[:i]), F.lit(0))
         ids = ids.when(F.col("product_category") == n, below)
-    return (df.withColumn("_present", present.scalar())
-            .withColumn("product_category_id", ids.cast("int")).drop("_present"))
+    return (df.withColumn("_seen", seen.scalar())
+            .withColumn("product_category_id", ids.cast("int")).drop("_seen"))
 
 
-def add_product_features(df: DataFrame, profile: DataFrame) -> DataFrame:
+def add_product_features(df: DataFrame, profile: DataFrame, among: DataFrame | None = None) -> DataFrame:
     """Category columns, and the product profile joined once."""
-    df = category_ids(df).withColumn("product_name_length", word_count("description"))
+    df = category_ids(df, among).withColumn("product_name_length", word_count("description"))
     df = df.join(profile, KEY, "left")
     return df.withColumn("price_vs_product_mean", ratio("unit_price", "product_avg_price_global"))
 
@@ -302,7 +302,7 @@ def build_features(clean: DataFrame, competitors: DataFrame, s: Settings = SETTI
     """
     df = units_today(add_rolling(clean, s, heavy))
     df = df.withColumn("days_since_last_sale", days_since_last_sale()).drop("_prev_us")
-    df = add_product_features(df, product_profile(clean))
+    df = add_product_features(df, product_profile(clean), clean)
     df = add_temporal_features(df)
     df = raw_elasticity(add_demand_features(df, s))
     df = stage(add_flash_features(add_inventory_features(df)), "features")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricetide.config import SETTINGS
 from pricetide.functions.core import micros
 from pricetide.operators.windows import cut_index
 
@@ -15,13 +16,14 @@ def time_split(df: DataFrame, ts: str, valid_from: str, test_from: str) -> DataF
     return df.withColumn("split", F.when(t < start, "train").when(t < end, "valid").otherwise("test"))
 
 
-def chrono_split(df: DataFrame, ts: str, seq: list[str], share: float = 0.8) -> DataFrame:
+def chrono_split(df: DataFrame, ts: str, seq: list[str], share: float = 0.8,
+                 heavy: int = SETTINGS.heavy_rows) -> DataFrame:
     """The first ``share`` of the rows in time order against the rest.
 
     Only the order key at the split position is looked for; the table is neither sorted nor shuffled.
     """
     keyed = df.withColumn("_us", micros(ts))
-    cut = cut_index(keyed, "_us", seq, lambda n: [F.floor(n * F.lit(share))], "_after")
+    cut = cut_index(keyed, "_us", seq, lambda n: [F.floor(n * F.lit(share))], "_after", heavy)
     return cut.withColumn("split", F.when(F.col("_after") > 0, "test").otherwise("train")).drop("_after", "_us")
 
 

@@ -5,7 +5,7 @@ at ``t`` and leaves once with ``-v`` at ``t + w``.  A running sum costs O(1) per
 frame recomputes its whole frame per row) and, being a prefix sum, can be cut anywhere.
 
 Ordinary keys run in one task each, on one exchange.  Heavy keys - found by a count, bounded in number
-- are cut into day slices: sums inside each (key, day) plus an offset from the (key, day) totals, whose
+- are cut into hour slices: sums inside each (key, hour) plus an offset from the (key, hour) totals, whose
 number the calendar bounds.  Both ways give the same numbers; the tests force the second.
 """
 
@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricetide.config import SETTINGS
-from pricetide.functions.core import day_number
+from pricetide.functions.core import day_number, hour_number
+from pricetide.session import cut_lineage
 
 AT, KIND, SLICE = "_at", "_kind", "_slice"
 ARRIVE = "_arrive"
@@ -89,7 +90,7 @@ def rolling_sums(df: DataFrame, key: str, us: str, seq: list[str], measures: dic
                 .filter(F.col(KIND) == 0).select(*columns))
 
     def sliced(part: DataFrame) -> DataFrame:
-        part = part.withColumns(delta).withColumn(SLICE, day_number(AT))
+        part = part.withColumns(delta).withColumn(SLICE, hour_number(AT))
         w = Window.partitionBy(key, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         before = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
         offsets = (part.groupBy(key, SLICE).agg(*[F.sum(c).alias(f"_t_{c}") for c in delta])
@@ -111,7 +112,7 @@ def shift_rows(df: DataFrame, key: str, us: str, seq: list[str], shifts: dict[st
     """Add ``out: (column, n)``, the value ``n`` rows earlier (``reverse``: later) within the key.
 
     After ``rolling_sums`` in the same direction the rows are already in this order, and neither an
-    exchange nor a sort is added.  For heavy keys the first rows of each day slice take their value
+    exchange nor a sort is added.  For heavy keys the first rows of each slice take their value
     from a table that holds only the outer rows of every slice.
     """
     if AT in df.columns:
@@ -126,7 +127,7 @@ def shift_rows(df: DataFrame, key: str, us: str, seq: list[str], shifts: dict[st
         return part.withColumns({out: F.lag(c, n).over(w) for out, (c, n) in shifts.items()}).select(*columns)
 
     def sliced(part: DataFrame) -> DataFrame:
-        part = part.withColumn(SLICE, day_number(us))
+        part = part.withColumn(SLICE, hour_number(us))
         whole = Window.partitionBy(key, SLICE)
         inside = whole.orderBy(*order)
         part = part.withColumns({
@@ -144,33 +145,44 @@ def shift_rows(df: DataFrame, key: str, us: str, seq: list[str], shifts: dict[st
     return by_weight(df, key, heavy, plain, sliced)
 
 
-def position_cuts(df: DataFrame, us: str, seq: list[str], positions: Callable[[Column], list[Column]]) -> DataFrame:
-    """One row ``(n, cuts)``: for each wanted 0-based position in time order, the order key found there.
+def position_cuts(df: DataFrame, us: str, seq: list[str], positions: Callable[[Column], list[Column]],
+                  heavy: int = SETTINGS.heavy_rows) -> DataFrame:
+    """One row ``cuts``: for each wanted 0-based position in time order, the order key found there.
 
-    Counts per day locate the day of each position, and only the rows of those days are ranked, so
-    nothing sorts the table.  A row lies before position p exactly when its order key is below the cut.
+    Counts per day locate the days of the positions and only rows of those days are ranked, so nothing
+    sorts the table.  A day with more than ``heavy`` rows is ranked in range slices: written once, so that
+    a lost executor cannot move a row to another slice, then counted and ranked slice by slice.
     """
     keyed = df.select(day_number(us).alias("_day"), F.struct(us, *seq).alias("_row"))
     days = keyed.groupBy("_day").count()  # one row per calendar day
-    w = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy()
-    days = days.select("_day", "count", F.coalesce(F.sum("count").over(w), F.lit(0)).alias("_before"),
-                       F.sum("count").over(whole).alias("n"))
-    wanted = days.select("*", F.posexplode(F.array(*[p.cast("long") for p in positions(F.col("n"))]))
-                         .alias("_i", "_p"))
+    before = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select("_day", "count", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"),
+                       F.sum("count").over(Window.partitionBy()).alias("n"))
+    wanted = days.select("*", F.explode(F.array(*[p.cast("long") for p in positions(F.col("n"))])).alias("_p"))
     wanted = wanted.filter((F.col("_p") >= F.col("_before")) & (F.col("_p") < F.col("_before") + F.col("count")))
-    # one row per wanted position
-    near = keyed.join(F.broadcast(wanted), "_day")
-    rank = F.row_number().over(Window.partitionBy("_i", "_day").orderBy("_row")) - 1 + F.col("_before")
-    hits = near.withColumn("_r", rank).filter(F.col("_r") == F.col("_p"))
-    return hits.agg(F.max("n").alias("n"),
-                    F.transform(F.array_sort(F.collect_list(F.struct("_i", "_row"))),
-                                lambda s: s["_row"]).alias("cuts"))
-
-
-def cut_index(df: DataFrame, us: str, seq: list[str], positions, out: str) -> DataFrame:
+    spots = wanted.select("_day", (F.col("_p") - F.col("_before")).alias("rank"), "count").collect()  # one per position
+    near = keyed.filter(F.col("_day").isin(sorted({s["_day"] for s in spots})))
+    if max((s["count"] for s in spots), default=0) <= heavy:
+        rank = F.row_number().over(Window.partitionBy("_day").orderBy("_row")) - 1
+        ranked = near.withColumn("_r", rank)
+    else:
+        sliced = cut_lineage(near.repartitionByRange("_day", "_row").withColumn(SLICE, F.spark_partition_id()), "cuts")
+        below = Window.partitionBy("_day").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+        starts = sliced.groupBy("_day", SLICE).count().select(
+            "_day", SLICE, F.coalesce(F.sum("count").over(below), F.lit(0)).alias("_start"))
+        rank = F.row_number().over(Window.partitionBy("_day", SLICE).orderBy("_row")) - 1
+        # as many rows as there are slices
+        ranked = sliced.withColumn("_i", rank).join(starts, ["_day", SLICE]).withColumn("_r", F.col("_i") + F.col("_start"))
+    hit = F.lit(False)
+    for s in spots:
+        hit = hit | ((F.col("_day") == s["_day"]) & (F.col("_r") == s["rank"]))
+    return ranked.filter(hit).agg(F.array_sort(F.collect_list("_row")).alias("cuts"))
+
+
+def cut_index(df: DataFrame, us: str, seq: list[str], positions, out: str,
+              heavy: int = SETTINGS.heavy_rows) -> DataFrame:
     """Add how many of the wanted positions lie at or before each row; the table is not shuffled."""
-    cuts = position_cuts(df, us, seq, positions).select("cuts").scalar()
+    cuts = position_cuts(df, us, seq, positions, heavy).scalar()
     return (df.withColumn("_cuts", cuts)
             .withColumn(out, F.size(F.filter("_cuts", lambda c: c <= F.struct(us, *seq))))
             .drop("_cuts"))

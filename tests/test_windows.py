@@ -90,6 +90,15 @@ def test_heavy_keys_are_found_and_bounded(spark, rows):
     assert len(heavy_keys(df, "k", rows=1, limit=2)) == 2
 
 
+def test_split_within_one_heavy_day(spark, rows):
+    """All rows on one day: ranked in range slices."""
+    one = rows.assign(us=rows["us"] % DAY)
+    df = spark.createDataFrame(one).repartition(4).withColumn("ts", F.timestamp_micros("us"))
+    order = one.sort_values(["us", "seq"])["seq"].tolist()
+    split = {r["seq"]: r["split"] for r in chrono_split(df, "ts", ["seq"], heavy=50).collect()}
+    assert [split[s] for s in order] == ["train"] * 320 + ["test"] * 80
+
+
 def test_splits_by_position(spark, rows):
     df = spark.createDataFrame(rows).withColumn("ts", F.timestamp_micros("us"))
     order = rows.sort_values(["us", "seq"])["seq"].tolist()
