@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pricetide.llm import quality_rules
+from pricetide.llm import paragraph_dedup, quality_rules, simhash
 
-QUERIES = {"op1_quality_rules": quality_rules.op1}
+QUERIES = {
+    "op1_quality_rules": quality_rules.op1,
+    "op2_simhash_near_dedup": simhash.op2,
+    "op5_paragraph_dedup": paragraph_dedup.op5,
+}
 ORACLES = {"op1_quality_rules": quality_rules.quality_sql()}
