@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pricetide.llm import paragraph_dedup, quality_rules, simhash
+from pricetide.llm import bpe, paragraph_dedup, quality_rules, simhash
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1,
     "op2_simhash_near_dedup": simhash.op2,
     "op5_paragraph_dedup": paragraph_dedup.op5,
+    "op9_byte_level_bpe": bpe.op9,
 }
 ORACLES = {"op1_quality_rules": quality_rules.quality_sql()}
