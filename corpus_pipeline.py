@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pricetide.llm import quality_rules
+from pricetide.llm import bpe, decontamination, paragraph_dedup, quality_rules, simhash
 from pricetide.llm.common import new_folder, read_table
 
 STAGES = [
     ("quality rules", quality_rules.stage),
+    ("simhash near-dedup", simhash.stage),
+    ("substring dedup", paragraph_dedup.stage),
+    ("benchmark decontamination", decontamination.stage),
+    ("byte-level bpe", bpe.stage),
 ]
 ORACLE_SQL = None
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,3 +53,26 @@ def drop_folder(spark: SparkSession, path: str) -> None:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+# Bits of a bitmap over hashes: its size never depends on the data.
+BITMAP_BITS = 1 << 22
+
+
+def bitmap_of(df: DataFrame, column: str) -> np.ndarray:
+    """A bitmap over a bigint column, as 64-bit words; 512 kB at most reach the driver, whatever the table's size.
+
+    It lets tasks skip most rows before an exact join; a full one only lets more rows through.
+    """
+    bit = F.col(column).bitwiseAND(F.lit(BITMAP_BITS - 1))
+    words = df.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
+    out = np.zeros(BITMAP_BITS // 64, np.uint64)
+    for word, bits in words.collect():
+        out[word] = np.uint64(bits % (1 << 64))
+    return out
+
+
+def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    bit = hashes.view(np.uint64) & np.uint64(BITMAP_BITS - 1)
+    return (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1

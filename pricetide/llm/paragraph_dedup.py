@@ -28,10 +28,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricetide.llm.common import free_prefix, read_table, staged
+from pricetide.llm.common import bitmap_of, free_prefix, in_bitmap, read_table, staged
 from pricetide.llm.components import connected_components
 
-BITMAP_WORDS = 1 << 16
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -127,23 +126,12 @@ def paragraphs(docs: DataFrame, id_col: str, text: str, rules: ParagraphRules) -
     return source.mapInArrow(run, f"id {id_type}, place int, n_words int, key binary, bands array<bigint>")
 
 
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size (512 kB) over the keys: at most ``BITMAP_WORDS`` numbers reach the driver."""
-    slot = F.conv(F.substring(F.hex("key"), 11, 6), 16, 10).cast("long") % (BITMAP_WORDS * 64)
-    bits = keys.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("bits"))
-    out = np.zeros(BITMAP_WORDS, np.uint64)
-    for w, b in bits.collect():
-        out[w] = np.uint64(b % (1 << 64))
-    return out
-
-
 def _texts_of(docs: DataFrame, keys: DataFrame, id_col: str, text: str, rules: ParagraphRules) -> DataFrame:
     """(key, words): the paragraphs of the given keys, read from the documents again.
 
     The bitmap keeps most others from being shuffled; when it fills up, more of them are, and the join still decides.
     """
-    bitmap = _bitmap(keys)
+    bitmap = bitmap_of(keys.select(F.conv(F.substring(F.hex("key"), 9, 8), 16, 10).cast("long").alias("bits")), "bits")
 
     def run(batches):
         for batch in batches:
@@ -151,8 +139,7 @@ def _texts_of(docs: DataFrame, keys: DataFrame, id_col: str, text: str, rules: P
             for t in batch.column(1).cast(pa.binary()):
                 for _, words in long_lines(t.as_py(), rules.min_words):
                     key = _key(words)
-                    s = int.from_bytes(key[5:8], "big") % (BITMAP_WORDS * 64)
-                    if key not in seen and int(bitmap[s >> 6]) >> (s & 63) & 1:
+                    if key not in seen and in_bitmap(bitmap, np.array([int.from_bytes(key[4:8], "big")]))[0]:
                         seen[key] = b" ".join(words)
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()),
                                               pa.array(list(seen.values()), pa.binary())], names=["key", "words"])

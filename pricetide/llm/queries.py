@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pricetide.llm import bpe, paragraph_dedup, quality_rules, simhash
+from pricetide.llm import bpe, decontamination, paragraph_dedup, quality_rules, simhash
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1,
     "op2_simhash_near_dedup": simhash.op2,
     "op5_paragraph_dedup": paragraph_dedup.op5,
+    "op8_benchmark_decontamination": decontamination.op8,
     "op9_byte_level_bpe": bpe.op9,
 }
 ORACLES = {"op1_quality_rules": quality_rules.quality_sql()}
