@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricetide.llm import bpe, decontamination, paragraph_dedup, quality_rules, simhash
+from pricetide.llm import bpe, decontamination, paragraph_dedup, quality_rules, simhash, url_filters
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1,
@@ -10,5 +10,9 @@ QUERIES = {
     "op5_paragraph_dedup": paragraph_dedup.op5,
     "op8_benchmark_decontamination": decontamination.op8,
     "op9_byte_level_bpe": bpe.op9,
+    "op10_url_filters": url_filters.op10,
+}
+ORACLES = {
+    "op1_quality_rules": quality_rules.quality_sql(),
+    "op10_url_filters": url_filters.url_sql(),
 }
-ORACLES = {"op1_quality_rules": quality_rules.quality_sql()}
