@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pricetide.llm import bpe, decontamination, html_extraction, paragraph_dedup, quality_rules, simhash, token_files, url_filters
+from pricetide.llm import (bpe, decontamination, html_extraction, paragraph_dedup, quality_rules, quote_linking, simhash,
+                           token_files, url_filters)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1,
     "op2_simhash_near_dedup": simhash.op2,
+    "op3_quotation_linking": quote_linking.op3,
     "op4_arrow_token_files": token_files.op4,
     "op5_paragraph_dedup": paragraph_dedup.op5,
     "op7_html_extraction": html_extraction.op7,
