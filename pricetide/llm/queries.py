@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricetide.llm import (bpe, decontamination, html_extraction, paragraph_dedup, quality_rules, quote_linking, simhash,
+from pricetide.llm import (bpe, decontamination, html_extraction, interpolation, paragraph_dedup, quality_rules, quote_linking, simhash,
                            token_files, url_filters)
 
 QUERIES = {
@@ -11,6 +11,7 @@ QUERIES = {
     "op3_quotation_linking": quote_linking.op3,
     "op4_arrow_token_files": token_files.op4,
     "op5_paragraph_dedup": paragraph_dedup.op5,
+    "op6_deleted_interpolation": interpolation.op6,
     "op7_html_extraction": html_extraction.op7,
     "op8_benchmark_decontamination": decontamination.op8,
     "op9_byte_level_bpe": bpe.op9,
