@@ -36,6 +36,7 @@ UNITS = frozenset((
     "week weeks month months year years percent % $ € £ usd eur gbp dollar dollars cent cents euro euros mph km/h m/s "
     "hz khz mhz ghz w kw mw v a j kj cal kcal k c f °c °f").split())
 _OUTER = ".,;:!?\"'()[]{}<>«»„“”‘’…-–—*#&|"
+SLICE_ROWS = 1000
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -46,36 +47,49 @@ class LeakRules:
     min_tokens: int = 13
 
 
-def _word_facts(word: str) -> tuple[int, int]:
-    """(hash of the bare word, flags) of a word as written.
+FLAG_BITS = 5
 
-    Flags: 1 number, 2 unit, 4 capitalised, 8 ends a sentence, 16 nothing but punctuation.
+
+class _Facts(dict):
+    """A number for each word as written: the hash of the bare word, and flags in the lowest bits.
+
+    Flags: 1 number, 2 unit, 4 capitalised, 8 ends a sentence, 16 nothing but punctuation.  At most ``most`` words are
+    kept; others are looked at again.
     """
-    bare = word.strip(_OUTER)
-    if not bare:
-        return 0, 16 | 8 * (word[-1:] in ".!?:")
-    tail = word[len(word.rstrip(_OUTER)):]
-    low = bare.lower()
-    flags = (1 if bare.lstrip("+-$€£")[:1].isdigit() else 0) | (2 if low in UNITS else 0) | (
-        4 if bare[:1].isupper() else 0) | (8 if any(c in tail for c in ".!?:") else 0)
-    return xxhash.xxh3_64_intdigest(low), flags
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most = most
+
+    def __missing__(self, word):
+        if word.isalpha():
+            bare, tail = word, ""
+        else:
+            bare = word.strip(_OUTER)
+            tail = word[len(word.rstrip(_OUTER)):]
+        flags = 8 if tail and ("." in tail or "!" in tail or "?" in tail or ":" in tail) else 0
+        if bare:
+            low = bare.lower()
+            digest = xxhash.xxh3_64_intdigest(low) >> FLAG_BITS << FLAG_BITS
+            first = bare[0]
+            if low in UNITS:
+                flags |= 2
+            if first.isalpha():
+                flags |= 4 * first.isupper()
+            elif first.isdigit() or bare.lstrip("+-$€£")[:1].isdigit():
+                flags |= 1
+        else:
+            digest, flags = 0, flags | 16
+        if len(self) < self.most:
+            self[word] = digest | flags
+        return digest | flags
 
 
 class Templates:
     """Template windows of many texts at once."""
 
-    def __init__(self, rules: LeakRules, most: int = 300_000):
-        self.rules, self.known, self.most = rules, {}, most
-
-    def _facts(self, words: list[str]) -> np.ndarray:
-        known = self.known
-        facts = [known.get(w) for w in words]
-        new = {w: _word_facts(w) for w, f in zip(words, facts) if f is None}
-        if new:
-            facts = [f or new[w] for w, f in zip(words, facts)]
-            if len(known) + len(new) <= self.most:
-                known.update(new)
-        return np.array(facts, np.uint64).reshape(-1, 2)
+    def __init__(self, rules: LeakRules, most: int = 500_000):
+        self.rules, self.facts = rules, _Facts(most)
 
     def windows(self, texts: list[str]):
         """(text, place, hash, tokens of the text, slots) arrays and lists of all windows with enough literals.
@@ -84,37 +98,47 @@ class Templates:
         """
         split = [t.split() for t in texts]
         words = [w for s in split for w in s]
-        facts = self._facts(words)
+        counts = np.zeros(len(texts), np.int64)
+        empty = np.zeros(0, np.int64)
+        if not words:
+            return empty, empty, empty, counts, lambda chosen: []
+        facts = np.fromiter(map(self.facts.__getitem__, words), np.uint64, len(words))
+        hashes, flags = facts >> np.uint64(FLAG_BITS), (facts & np.uint64((1 << FLAG_BITS) - 1)).astype(np.uint8)
         owner = np.repeat(np.arange(len(texts)), [len(s) for s in split])
-        keep = np.flatnonzero(facts[:, 1] & 16 == 0) if len(words) else np.zeros(0, int)
-        # A sentence ends at a word or at punctuation that stands alone before the next word.
-        ended = np.cumsum((facts[:, 1] & 8) > 0) if len(words) else np.zeros(0, int)
-        own, flags, token = owner[keep], facts[keep, 1], facts[keep, 0]
-        before = np.concatenate([[0], ended[keep[1:] - 1] - (ended[keep[:-1]] - ((facts[keep[:-1], 1] & 8) > 0))]) \
-            if len(keep) else np.zeros(0, int)
-        first = np.concatenate([[True], own[1:] != own[:-1]]) if len(keep) else np.zeros(0, bool)
-        kind = np.where(flags & 1, NUMBER, np.where((flags & 4 > 0) & ~first & (before == 0), NAME, WORD))
-        after_number = np.concatenate([[False], (kind[:-1] == NUMBER)]) & ~first if len(keep) else first
-        kind = np.where((kind != NUMBER) & (flags & 2 > 0) & after_number, UNIT, kind)
-        run = np.concatenate([[False], (kind[1:] == NAME) & (kind[:-1] == NAME)]) & ~first if len(keep) else first
-        # The rest of a run of names goes; the slot's value is the run's first name.
-        stay = np.flatnonzero(~run)
-        own, kind, token, keep = own[stay], kind[stay], token[stay], keep[stay]
-        token = np.where(kind == WORD, token, kind.astype(np.uint64))
+        ended = np.cumsum((flags & 8) > 0)  # sentences that have ended, this word included
+        keep = np.flatnonzero(flags & 16 == 0)
+        own, flag, token = owner[keep], flags[keep], hashes[keep]
+        first = np.ones(len(keep), bool)
+        first[1:] = own[1:] != own[:-1]
+        # A word starts a sentence if one ended at the word before it or at punctuation that stands alone between.
+        opens = first.copy()
+        opens[1:] |= ended[keep[1:] - 1] > ended[keep[:-1]] - ((flag[:-1] & 8) > 0)
+        number = (flag & 1) > 0
+        kind = np.where(number, NUMBER, np.where(((flag & 4) > 0) & ~opens, NAME, WORD)).astype(np.int8)
+        after_number = np.zeros(len(keep), bool)
+        after_number[1:] = number[:-1]
+        kind[~number & ((flag & 2) > 0) & after_number & ~first] = UNIT
+        named = kind == NAME
+        run = np.zeros(len(keep), bool)
+        run[1:] = named[1:] & named[:-1] & ~first[1:]
+        if run.any():  # the rest of a run of names goes; the slot's value is the run's first name
+            stay = np.flatnonzero(~run)
+            own, kind, token, keep = own[stay], kind[stay], token[stay], keep[stay]
+        literal = kind == WORD
+        token = np.where(literal, token, kind.astype(np.uint64))
         w = self.rules.window
         n = len(own) - w + 1
-        counts = np.bincount(own, minlength=len(texts)) if len(own) else np.zeros(len(texts), int)
-        starts = np.concatenate([[0], np.cumsum(counts)])
+        counts = np.bincount(own, minlength=len(texts))
         if n <= 0:
-            empty = np.zeros(0, np.int64)
             return empty, empty, empty, counts, lambda chosen: []
-        h = np.zeros(n, np.uint64)
-        literals = np.zeros(n, int)
-        for k in range(w):
-            h = h * _M + token[k:k + n]
+        starts = np.concatenate([[0], np.cumsum(counts)])
+        h = token[:n].copy()
+        for k in range(1, w):
+            h *= _M
+            h += token[k:k + n]
             h ^= h >> np.uint64(29)
-            literals += kind[k:k + n] == WORD
-        fine = np.flatnonzero((own[:n] == own[w - 1:]) & (literals >= self.rules.min_literals))
+        seen = np.concatenate([[0], np.cumsum(literal)])
+        fine = np.flatnonzero((own[:n] == own[w - 1:]) & (seen[w:] - seen[:n] >= self.rules.min_literals))
 
         def slots(chosen):
             return [[words[keep[j]].strip(_OUTER) for j in range(i, i + w) if kind[j] != WORD]
@@ -131,8 +155,8 @@ def _windows(table: DataFrame, id_col: str, text: str, rules: LeakRules, bitmap=
     def run(batches):
         templates = Templates(rules)
         for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                batch = whole.slice(at, 2000)
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(at, SLICE_ROWS)
                 texts = [t or "" for t in batch.column(1).to_pylist()]
                 own, place, h, counts, slots = templates.windows(texts)
                 hit = np.arange(len(h)) if bitmap is None else np.flatnonzero(in_bitmap(bitmap, h))
