@@ -122,7 +122,7 @@ def base_of(spark, folder):
 
 def features_of(spark, folder):
     w = Warehouse(spark, folder)
-    return M.build_market_features(base_of(spark, folder), calendar.holiday_calendar(spark, 1995, 2030),
+    return M.build_market_features(base_of(spark, folder), calendar.holidays_of(base_of(spark, folder), M.TS),
                                    heavy=w.heavy_market_products())
 
 
@@ -259,7 +259,7 @@ THREE = ["price", "review_score", "freight_value"]
 
 
 def corr_sql(columns, table, where="true"):
-    one = "case when isnan(c) then null else round(c, 4) end"
+    one = "case when isnan(c) then null else round(c, 6) end"
     return " union all ".join(
         f"select '{a}' as a, '{b}' as b, " + ("1.0::double" if a == b else one)
         + f" as correlation from (select corr({a}, {b}) as c from {table} where {where})" for a in columns for b in columns)
@@ -268,13 +268,14 @@ def corr_sql(columns, table, where="true"):
 @register("price_review_correlation", with_ctes(MASTER, corr_sql(THREE, "master", " and ".join(
     f"{c} is not null" for c in THREE))))
 def price_review_correlation(spark, folder):
-    return M.correlation_matrix(master_of(spark, folder), THREE).withColumn("correlation", F.round("correlation", 4))
+    return M.correlation_matrix(master_of(spark, folder), THREE).withColumn("correlation", F.round("correlation", 6))
 
 
 @register("correlation_matrix", with_ctes(FEATURES, corr_sql([*MARKET_FEATURES, MARKET_TARGET], "features")))
 def correlation_matrix(spark, folder):
-    return M.correlation_matrix(features_of(spark, folder), [*MARKET_FEATURES, MARKET_TARGET]).withColumn(
-        "correlation", F.round("correlation", 4))
+    table = staged("market-features", spark, folder, lambda: features_of(spark, folder))  # read twice
+    return M.correlation_matrix(table, [*MARKET_FEATURES, MARKET_TARGET]).withColumn(
+        "correlation", F.round("correlation", 6))
 
 
 @register("cyclic_encode", with_ctes(FEATURES, f"""select {ORDER}, round(hour_sin, 9) as hour_sin,
@@ -297,7 +298,7 @@ def marketplace_flags(spark, folder):
 @register("holiday_flag", with_ctes(FEATURES, f"select {ORDER}, is_holiday from features"))
 def holiday_flag(spark, folder):
     base = base_of(spark, folder)
-    days = calendar.holiday_calendar(spark, 1995, 2030)
+    days = calendar.holidays_of(base, M.TS)
     return calendar.add_holiday_flag(base, M.TS, days).select(M.TS, *M.SEQ, "is_holiday")
 
 

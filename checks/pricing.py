@@ -22,7 +22,8 @@ rule_requests as (select 'P' || p_partkey as sku_id, (p_size - 1) / 48::double a
 """
 MODELS = """
 model_requests as (select 'P' || p_partkey as stock_code, p_retailprice * (p_size - 1) as current_price,
-  p_size - 2 as quantity, case when p_type = 'PROMO' then 'United Kingdom' else 'NATION_1' end as country,
+  case when p_size <> 5 then p_size - 2 end as quantity, case when p_type = 'PROMO' then 'United Kingdom'
+  when p_brand <> 'Brand#2' then 'NATION_1' end as country,
   timestamp '2001-01-01 00:00:00' + to_hours(p_size * 9) as ts,
   case when p_type <> 'LARGE' then p_size / 50::double end as risk, p_type <> 'LARGE' and p_brand = 'Brand#2' as flash,
   case when p_type <> 'LARGE' then 1.0::double - p_size / 50::double end as excess from part)
@@ -83,7 +84,7 @@ def validate_requests(spark, folder):
 
 @register("validate_model_requests", with_ctes(MODELS, """select stock_code, array_to_string(list_filter([
 case when not (current_price > 0 and current_price < 10000) then 'current_price' end,
-case when quantity < 1 then 'quantity' end], lambda x: x is not null), ',') as broken from model_requests"""))
+case when coalesce(quantity, 1) < 1 then 'quantity' end], lambda x: x is not null), ',') as broken from model_requests"""))
 def validate_model_requests(spark, folder):
     df = P.validate_model_requests(Warehouse(spark, folder).model_requests())
     return df.select("stock_code", F.concat_ws(",", "broken_rules").alias("broken"))
@@ -227,7 +228,8 @@ def ensemble_interval(spark, folder):
 cast(isodow(ts) - 1 as int) as day_of_week, cast(day(ts) as int) as day_of_month, cast(month(ts) as int) as month,
 cast(day(ts) >= 28 as int) as is_month_end, coalesce(product_avg_price_global, current_price) as product_avg_price_global,
 current_price / nullif(coalesce(product_avg_price_global, current_price), 0) as price_vs_product_mean,
-cast(quantity >= 12 as int) as is_bulk, cast(country = 'United Kingdom' as int) as is_uk, 0::double as rolling_demand_7d
+cast(coalesce(quantity, 1) >= 12 as int) as is_bulk,
+cast(coalesce(country, 'United Kingdom') = 'United Kingdom' as int) as is_uk, 0::double as rolling_demand_7d
 from model_requests left join stats using (stock_code)"""))
 def request_features(spark, folder):
     stats = S.popularity_rank(S.product_stats(Q.clean_of(spark, folder)))
@@ -414,7 +416,7 @@ def feature_asof(spark, folder):
     e = Warehouse(spark, folder).events()
     asks = e.filter(F.col("event_type").isin("purchase", "signup")).select(
         F.col("user_id").cast("string").alias("sku_id"), "ts", "event_id")
-    return FS.feature_asof(asks, log_of(spark, folder), 300 * 360).drop("ts")
+    return FS.feature_asof(asks, log_of(spark, folder)).drop("ts")
 
 
 @register("latest_decision", f"""select cast(user_id as varchar) as sku_id, value as final_price, ts as "timestamp", event_id

@@ -63,7 +63,6 @@ class Settings:
     # rows of one key beyond which its windows are cut into day slices
     heavy_rows: int = 5_000_000
     # most keys that one query treats that way; the list is a plan literal
-    heavy_limit: int = 2000
 
 
 SETTINGS = Settings()

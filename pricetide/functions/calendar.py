@@ -86,7 +86,10 @@ def easter_sunday(year) -> Column:
 
 def holiday_calendar(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
     """One row per holiday date; about ten rows a year."""
-    years = spark.range(first_year, last_year + 1).select(F.col("id").alias("year"))
+    return _holidays(spark.range(first_year, last_year + 1).select(F.col("id").alias("year")))
+
+
+def _holidays(years: DataFrame) -> DataFrame:
     fixed = [F.when(F.col("year") >= since, F.make_date(F.col("year").cast("int"), F.lit(m), F.lit(d)))
              for m, d, since in FIXED_HOLIDAYS]
     moving = [F.date_add(easter_sunday("year"), n) for n in EASTER_OFFSETS]
@@ -94,6 +97,11 @@ def holiday_calendar(spark: SparkSession, first_year: int, last_year: int) -> Da
             .filter(F.col("holiday").isNotNull()).distinct())
 
 
+def holidays_of(df: DataFrame, ts: str) -> DataFrame:
+    """The holiday dates of all years in which the rows lie."""
+    return _holidays(df.select(F.year(ts).cast("long").alias("year")).filter(F.col("year").isNotNull()).distinct())
+
+
 def add_holiday_flag(df: DataFrame, ts: str, calendar: DataFrame, out: str = "is_holiday") -> DataFrame:
     """The calendar has some ten dates per year, so it is broadcast."""
     known = calendar.select("holiday", F.lit(1).alias("_h"))

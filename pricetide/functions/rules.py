@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pricetide.config import SETTINGS, Settings
-from pricetide.functions.core import clip, col, fixed, ratio
+from pricetide.functions.core import clip, col, fixed, py_round, ratio
 
 # Multiplier per customer segment, surge per weather, sigmoid of the demand multiplier.
 SEGMENT_FACTORS = {0: 0.95, 1: 0.98, 2: 1.00, 3: 1.05, 4: 1.10}
@@ -163,4 +163,4 @@ def spike_multiplier(spike_ratio) -> Column:
 
 
 def live_inventory_ratio(stock, daily_demand) -> Column:
-    return F.round(col(stock) / (F.greatest(col(daily_demand), F.lit(1.0)) * 7), 4)
+    return py_round(col(stock) / (F.greatest(col(daily_demand), F.lit(1.0)) * 7), 4)

@@ -62,22 +62,21 @@ def merge_live_context(context: DataFrame, live: DataFrame) -> DataFrame:
     }).drop(*[f"_live_{n}" for n in DEFAULTS])
 
 
-def feature_asof(requests: DataFrame, log: DataFrame, ttl_bound: int, ts: str = "ts",
-                 seq: str = "event_id") -> DataFrame:
+def feature_asof(requests: DataFrame, log: DataFrame, ts: str = "ts", seq: str = "event_id") -> DataFrame:
     """Each request with the features valid at its own time.
 
-    No value outlives ``ttl_bound`` seconds, so time is cut into slices of that length: a write is needed
-    in its own slice and the next, and a SKU's history is spread over its slices.
+    No value outlives the longest ``ttl_seconds`` of the log, so time is cut into slices of that length: a write is
+    needed in its own slice and the next, and a SKU's history is spread over its slices.
     """
-    width = ttl_bound * 1_000_000
+    width = log.agg(F.greatest(F.max("ttl_seconds"), F.lit(1)).cast("long") * 1_000_000).scalar()
     writes = log.withColumn("_us", F.unix_micros("event_ts"))
-    home = F.floor(F.col("_us") / F.lit(width))
+    home = F.coalesce(F.floor(F.col("_us") / width), F.lit(0))
     writes = writes.select(
         "sku_id", "_us", F.col(seq).alias("_seq"), F.lit(0).alias("_side"), F.explode(F.array(home, home + 1)).alias("_slice"),
         *[F.when(F.col("feature") == n, F.struct(F.col("value").alias("v"), _until().alias("until"))).alias(f"_w_{n}")
           for n in DEFAULTS])
     asks = requests.withColumns({"_us": F.unix_micros(ts), "_side": F.lit(1), "_seq": F.col(seq)})
-    asks = asks.withColumn("_slice", F.floor(F.col("_us") / F.lit(width)))
+    asks = asks.withColumn("_slice", F.coalesce(F.floor(F.col("_us") / width), F.lit(0)))
     both = asks.unionByName(writes, allowMissingColumns=True)
     w = Window.partitionBy("sku_id", "_slice").orderBy("_us", "_side", "_seq").rowsBetween(
         Window.unboundedPreceding, 0)

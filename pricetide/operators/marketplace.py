@@ -128,17 +128,24 @@ def price_outliers(df: DataFrame, column: str = "price", sigmas: float = 3.0) ->
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlations of all column pairs, long form; rows with a missing value are left out.
 
-    One pass: the centred second moments of all columns come from a single distributed aggregate.
+    Lazy: the means as a scalar, then the centred products of every pair in one aggregate.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
     rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).na.drop()
-    vectors = VectorAssembler(inputCols=columns, outputCol="_v").transform(rows)
-    matrix = Correlation.corr(vectors, "_v").first()[0].toArray()  # columns x columns numbers
-    cells = [(a, b, None if matrix[i][j] != matrix[i][j] else float(matrix[i][j]))
-             for i, a in enumerate(columns) for j, b in enumerate(columns)]
-    return df.sparkSession.createDataFrame(cells, "a string, b string, correlation double")
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1)]
+    means = rows.agg(F.struct(*[F.avg(c).alias(c) for c in columns])).scalar()
+    centred = rows.withColumn("_m", means).select(*[(F.col(c) - F.col(f"_m.{c}")).alias(f"x{i}") for i, c in
+                                                    enumerate(columns)])
+    moments = centred.agg(*[F.expr(f"sum(x{i} * x{j})").alias(f"s{i}_{j}") for i, j in pairs])
+    own = ", ".join(f"s{i}_{i}" for i in range(len(columns)))
+    listed = moments.select(F.expr(f"array({own})").alias("_own"), F.expr(
+        f"stack({len(pairs)}, " + ", ".join(f"{i}, {j}, s{i}_{j}" for i, j in pairs) + ") as (_i, _j, _s)"))
+    i, j, names = F.col("_i"), F.col("_j"), F.array(*[F.lit(c) for c in columns])
+    value = F.when(i == j, F.when(F.col("_s").isNotNull(), F.lit(1.0))).otherwise(
+        ratio(F.col("_s"), F.sqrt(F.get("_own", i) * F.get("_own", j))))
+    cell, mirrored = F.struct(i.alias("_a"), j.alias("_b")), F.struct(j.alias("_a"), i.alias("_b"))
+    sides = F.when(i == j, F.array(cell)).otherwise(F.array(cell, mirrored))
+    cells = listed.select(value.alias("correlation"), F.inline(sides).alias("_a", "_b"))
+    return cells.select(F.get(names, F.col("_a")).alias("a"), F.get(names, F.col("_b")).alias("b"), "correlation")
 
 
 # ---- features

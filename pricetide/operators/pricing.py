@@ -17,6 +17,10 @@ PLACEHOLDERS = {"freight_value": 15.0, "hour_sin": 0.5, "hour_cos": 0.8, "day_si
                 "review_elasticity": 1.0}
 
 
+# Fixed value: what a request without quantity asks for; without country it comes from the home country.
+DEFAULT_QUANTITY = 1
+
+
 # ---- validation
 
 def _broken(checks: dict[str, Column]) -> Column:
@@ -36,7 +40,7 @@ def validate_rule_requests(df: DataFrame) -> DataFrame:
 def validate_model_requests(df: DataFrame) -> DataFrame:
     return df.withColumn("broken_rules", _broken({
         "current_price": (F.col("current_price") > 0) & (F.col("current_price") < 10000),
-        "quantity": F.col("quantity") >= 1, "stock_code": F.col("stock_code").isNotNull()}))
+        "quantity": F.coalesce("quantity", F.lit(DEFAULT_QUANTITY)) >= 1, "stock_code": F.col("stock_code").isNotNull()}))
 
 
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -75,7 +79,7 @@ def price_decision(df: DataFrame, s: Settings = SETTINGS) -> DataFrame:
     df = df.withColumn("_p", F.col("_p") * R.flash_multiplier(flash, s) * F.col("_seg"))
     df = df.withColumn("final_price", R.guardrails(
         "_p", F.coalesce(F.col("cost"), base * 0.7), F.coalesce(F.col("msrp"), base * 1.5), s))
-    shown = F.round("_dem", 3)
+    shown = py_round("_dem", 3)
     guarded = F.col("final_price") != F.col("_p")
     multipliers = F.map_from_entries(F.filter(F.array(
         F.struct(F.lit("inventory").alias("key"), F.col("_inv").alias("value")),
@@ -126,7 +130,8 @@ def request_features(requests: DataFrame, stats: DataFrame, names: list[str], no
         "product_avg_price_global": F.coalesce("product_avg_price_global", "current_price"),
         "product_price_std": F.coalesce("product_price_std", F.lit(0.1)),
         "product_popularity_rank": F.coalesce("product_popularity_rank", F.lit(1)),
-        "is_bulk": flag(F.col("quantity") >= s.bulk_quantity), "is_uk": flag(F.col("country") == s.home_country),
+        "is_bulk": flag(F.coalesce("quantity", F.lit(DEFAULT_QUANTITY)) >= s.bulk_quantity),
+        "is_uk": flag(F.coalesce("country", F.lit(s.home_country)) == s.home_country),
     }).withColumn("price_vs_product_mean", ratio("current_price", "product_avg_price_global"))
     inputs = {n: F.coalesce(F.col(n), F.lit(0)) if n in df.columns else F.lit(0.0) for n in names}
     return df.withColumns(inputs).drop("_t")

@@ -16,13 +16,16 @@ ACCURACY = 10_000
 
 
 def group_quantile(df: DataFrame, keys: list[str], value: str, p: float, out: str,
-                   accuracy: int = ACCURACY) -> DataFrame:
-    """One row per group: the p-quantile of ``value`` with linear interpolation, as ``percentile``."""
+                   accuracy: int = ACCURACY, shift: float = 0.0) -> DataFrame:
+    """One row per group: the p-quantile of ``value`` with linear interpolation, as ``percentile``.
+
+    A bracket that misses the rank raises an error.  ``shift`` moves the bracket, for tests of that.
+    """
     rows = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     margin = 2.0 / accuracy
     sketch = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", [max(p - margin, 0.0), min(p + margin, 1.0)], accuracy).alias("_b"))
+        F.percentile_approx("_v", [min(max(p + shift - margin, 0.0), 1.0), min(p + shift + margin, 1.0)], accuracy).alias("_b"))
     sketch = sketch.select(*keys, "_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"))
     marked = _attach(rows, sketch, keys)
     # all rows below and above the bracket shrink to one row each, those inside to distinct values
@@ -41,7 +44,14 @@ def group_quantile(df: DataFrame, keys: list[str], value: str, p: float, out: st
         hit = (F.col("_end") > F.col(rank)) & (F.col("_end") - F.col("_c") <= F.col(rank))
         return F.max(F.when(hit, F.when(F.col("_z") == 0, F.col("_max")).otherwise(F.col("_min"))))
 
-    picked = ranked.groupBy(*keys).agg(at("_f").alias("_x"), at("_g").alias("_y"), F.max("_n").alias("_n"))
+    # The ranks looked for lie in the bracket or next to it: the largest value below, the least value above.
+    below = F.coalesce(F.sum(F.when(F.col("_z") == 0, F.col("_c"))), F.lit(0))
+    inside = F.coalesce(F.sum(F.when(F.col("_z") == 1, F.col("_c"))), F.lit(0))
+    picked = ranked.groupBy(*keys).agg(
+        at("_f").alias("_x"), at("_g").alias("_y"), F.max("_n").alias("_n"),
+        (F.max("_f") < below - 1).alias("_early"), (F.max("_g") > below + inside).alias("_late"))
+    picked = picked.withColumn("_x", F.when(F.col("_early") | F.col("_late"), F.raise_error(
+        F.lit("the sketch's bracket misses the rank: raise the accuracy"))).otherwise(F.col("_x")))
     spot = (F.col("_n") - 1) * F.lit(p)
     return picked.select(*keys, (F.col("_x") + (F.col("_y") - F.col("_x")) * (spot - F.floor(spot))).alias(out))
 

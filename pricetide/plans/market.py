@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricetide.config import SETTINGS, Settings
-from pricetide.functions.calendar import holiday_calendar
+from pricetide.functions.calendar import holidays_of
 from pricetide.operators import evaluation, models
 from pricetide.operators.feature_store import latest_valid, merge_live_context, wide_features
 from pricetide.operators.marketplace import KEY, SEQ, TS, build_feature_base, build_market_features
@@ -19,12 +19,12 @@ from pricetide.sources.schemas import MARKET_FEATURES, MARKET_TARGET, validate_s
 from pricetide.sources.sinks import audit_log, price_update_messages
 
 
-def features(spark: SparkSession, star: dict[str, DataFrame], folder: str, years: tuple[int, int],
+def features(spark: SparkSession, star: dict[str, DataFrame], folder: str,
              s: Settings = SETTINGS) -> DataFrame:
     base = load_or_build(spark, f"{folder}/base", lambda: build_feature_base(star))
-    heavy = heavy_keys(base, KEY, s.heavy_rows, s.heavy_limit)
+    heavy = heavy_keys(base, KEY, s.heavy_rows)
     return load_or_build(spark, f"{folder}/features",
-                         lambda: build_market_features(base, holiday_calendar(spark, *years), heavy))
+                         lambda: build_market_features(base, holidays_of(base, TS), heavy))
 
 
 def train(table: DataFrame, trials: int = 50, folds: int = 5, rounds: int | None = None,

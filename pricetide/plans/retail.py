@@ -30,7 +30,7 @@ def stages(spark: SparkSession, sources: list[DataFrame], competitors: DataFrame
 
     raw = stage("raw_combined", lambda: union_sources(sources))
     clean = stage("cleaned", lambda: clean_sales(raw, s))
-    heavy = heavy_keys(clean, KEY, s.heavy_rows, s.heavy_limit)
+    heavy = heavy_keys(clean, KEY, s.heavy_rows)
     features = stage("features", lambda: build_features(clean, competitors, s, heavy))
     table = stage("features_with_targets", lambda: create_target(features, s, heavy))
     profile = stage("product_stats", lambda: popularity_rank(product_stats(clean)))

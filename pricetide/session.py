@@ -15,7 +15,6 @@ RUNTIME = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

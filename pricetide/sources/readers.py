@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
 
 from pricetide.sources.schemas import SALES, SALES_RENAMES, STAR
 
@@ -43,25 +42,34 @@ def load_star(spark: SparkSession, paths: dict[str, str], fmt: str = "csv") -> d
 
 
 def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The stage at ``path``, built and written first where it does not exist yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+    """The stage at ``path``, built and written first where no finished one is there.
+
+    A stage is finished once its job has left the success marker; one half written is built anew.
+    """
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker):
         build().write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+    return spark.read.parquet(path)
 
 
 def event_stream(spark: SparkSession, schema: StructType, fmt: str = "kafka", column: str = "value",
-                 **options) -> DataFrame:
+                 flush: int | None = None, **options) -> DataFrame:
     """A stream of JSON text records as columns; records that do not parse are left out.
 
+    ``flush`` is the most records of a micro-batch (of files, for file formats): with ``flushed`` a batch
+    ends at that number or at the trigger's time, whichever comes first.
+
     Kafka starts at the latest offset, as a live consumer does.  File formats serve tests and replays.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
         options = {"startingOffsets": "latest", **options}
+        if flush:
+            options["maxOffsetsPerTrigger"] = flush
     else:
         reader = reader.schema(f"{column} string")
+        if flush:
+            options["maxFilesPerTrigger"] = flush
     return parse_json(reader.options(**options).load(), schema, column)
 
 

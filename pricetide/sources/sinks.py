@@ -81,6 +81,5 @@ def write_metrics_json(df: DataFrame, path: str) -> None:
 
 
 def flushed(writer: DataStreamWriter, every: str = FLUSH_EVERY) -> DataStreamWriter:
-    """Micro-batches by time; their size is capped at the source (``maxOffsetsPerTrigger`` or
-    ``maxFilesPerTrigger``, FLUSH_EVENTS for messages)."""
+    """Micro-batches by time; ``event_stream(flush=FLUSH_EVENTS)`` ends them by number as well."""
     return writer.trigger(processingTime=every)

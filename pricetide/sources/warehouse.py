@@ -218,8 +218,9 @@ class Warehouse:
         return self.table("part").select(
             F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("stock_code"),
             (F.col("p_retailprice") * (F.col("p_size") - 1)).alias("current_price"),
-            (F.col("p_size") - 2).alias("quantity"),
-            F.when(F.col("p_type") == "PROMO", SETTINGS.home_country).otherwise(F.lit("NATION_1")).alias("country"),
+            F.when(F.col("p_size") != 5, F.col("p_size") - 2).alias("quantity"),
+            F.when(F.col("p_type") == "PROMO", SETTINGS.home_country)
+            .when(F.col("p_brand") != "Brand#2", F.lit("NATION_1")).alias("country"),
             F.timestamp_add("HOUR", F.col("p_size") * 9, F.lit("2001-01-01 00:00:00").cast("timestamp"))
             .alias("timestamp"),
             F.when(F.col("p_type") != "LARGE", factors).alias("adjustment_factors"))

@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test table
 def test_retail_job(spark, tmp_path):
     w = Warehouse(spark, FOLDER)
     # the heaviest products take the sliced way
-    s = Settings(heavy_rows=20, heavy_limit=10)
+    s = Settings(heavy_rows=20)
     out = retail.stages(spark, [w.two_sources()], w.competitor_prices(), str(tmp_path / "stages"), s)
     plain = retail.stages(spark, [w.two_sources()], w.competitor_prices(), str(tmp_path / "plain"))
     names = sorted(out["table"].columns)
@@ -35,7 +35,7 @@ def test_retail_job(spark, tmp_path):
 
 def test_market_job(spark, tmp_path):
     w = Warehouse(spark, FOLDER)
-    table = market.features(spark, w.star(), str(tmp_path / "stages"), (1995, 2002))
+    table = market.features(spark, w.star(), str(tmp_path / "stages"))
     with pytest.raises(ValueError, match="above the limit"):
         market.train(table, trials=1, folds=1, rounds=1, s=Settings(retrain_mae=0.0))
     model, metrics, worst = market.train(table, trials=1, folds=1, rounds=1, s=Settings(retrain_mae=1e9))

@@ -31,3 +31,11 @@ def test_rank_shares_match_pandas(spark):
     got = {(r["g"], r["v"]): r["s"] for r in rank_shares(spark.createDataFrame(rows), "g", "v", "s").collect()}
     for g, v, want in rows[["g", "v", "want"]].itertuples(index=False):
         assert got[(g, v)] == pytest.approx(want)
+
+
+def test_a_bracket_that_misses_the_rank_is_an_error(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(5000)], "v double")
+    assert group_quantile(df, [], "v", 0.5, "q", 100).first()[0] == 2499.5
+    for shift in (-0.3, 0.3):
+        with pytest.raises(Exception, match="misses the rank"):
+            group_quantile(df, [], "v", 0.5, "q", 100, shift).collect()

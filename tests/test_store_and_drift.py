@@ -55,7 +55,7 @@ def test_asof_against_brute_force(spark):
               for i in range(300)]
     asks = [(str(rng.integers(3)), T0 + timedelta(seconds=int(rng.integers(1000))), 1000 + i) for i in range(100)]
     df = spark.createDataFrame(asks, "sku_id string, ts timestamp, event_id long")
-    got = FS.feature_asof(df, log(spark, *writes), 90).collect()
+    got = FS.feature_asof(df, log(spark, *writes)).collect()
     assert len(got) == 100
     for r in got:
         for n in names:
