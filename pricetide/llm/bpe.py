@@ -28,11 +28,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricetide.llm.chunks import ChunkCache, chunks_of, slices
+from pricetide.llm.chunks import ChunkCache, chunks_of, slices, word_and_marks
 from pricetide.llm.common import read_table
 
 RANKS = "byte_bpe_50k.tiktoken"
-SLICE_CHARS = 8_000_000
+SLICE_CHARS = 16_000_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -73,51 +73,54 @@ class MergeReplay:
         before = np.arange(-1, n)
         before[firsts[:-1][lengths > 0]] = n
         before[n] = n
-        alive = np.ones(n + 1, bool)
+        merges_to = np.full(n + 1, -1)  # the rank of each place with the next one; -1 for none
+        alive = np.ones(n, bool)
         index: dict[int, list[np.ndarray]] = defaultdict(list)  # rank -> places of the left halves
         due: list[int] = []
 
         def add(places):
-            places = places[follow[places] < n]
-            if not len(places):
+            right = follow[places]
+            ranks = np.where(right < n, self._ranks(ids[places], ids[right]), -1)
+            merges_to[places] = ranks
+            hits = np.flatnonzero(ranks >= 0)
+            if not len(hits):
                 return
-            ranks = self._ranks(ids[places], ids[follow[places]])
-            places, ranks = places[ranks >= 0], ranks[ranks >= 0]
-            order = np.argsort(ranks, kind="stable")
-            places, ranks = places[order], ranks[order]
-            cuts = np.flatnonzero(np.diff(ranks)) + 1
-            for rank, group in zip(ranks[np.concatenate([[0], cuts])].tolist() if len(ranks) else [],
-                                   np.split(places, cuts)):
+            hits = hits[np.argsort(ranks[hits], kind="stable")]
+            places, ranks = places[hits], ranks[hits]
+            cuts = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist(), len(ranks)]
+            for rank, a, b in zip(ranks[cuts[:-1]].tolist(), cuts, cuts[1:]):
                 if rank not in index:
                     heapq.heappush(due, rank)
-                index[rank].append(group)
+                index[rank].append(places[a:b])
 
         add(np.arange(n))
         while due:
             rank = heapq.heappop(due)
             groups = index.pop(rank)
-            places = np.unique(np.concatenate(groups)) if len(groups) > 1 else np.sort(groups[0])
-            places = places[alive[places] & (follow[places] < n)]
-            places = places[self._ranks(ids[places], ids[follow[places]]) == rank]
+            places = np.concatenate(groups) if len(groups) > 1 else groups[0]
+            places = np.sort(places[merges_to[places] == rank])  # others were touched meanwhile
             if not len(places):
                 continue
+            new = places[1:] != places[:-1]
+            if not new.all():
+                places = places[np.concatenate([[True], new])]
             right = follow[places]
             # A run of overlapping pairs (x x x) merges from the left: every second pair of the run is dropped.
-            chained = np.concatenate([[False], right[:-1] == places[1:]])
+            chained = right[:-1] == places[1:]
             if chained.any():
+                chained = np.concatenate([[False], chained])
                 start = np.maximum.accumulate(np.where(chained, 0, np.arange(len(places))))
                 take = (np.arange(len(places)) - start) % 2 == 0
                 places, right = places[take], right[take]
             ids[places] = rank
             alive[right] = False
+            merges_to[right] = -1
             after = follow[right]
             follow[places] = after
-            inside = after < n
-            before[after[inside]] = places[inside]
+            before[after] = places
+            before[n] = n
             previous = before[places]
-            previous = previous[previous < n]
-            add(np.unique(np.concatenate([previous, places])))
-        alive = alive[:n]
+            add(np.concatenate([previous[previous < n], places]))
         counts = np.concatenate([[0], np.cumsum(alive)])
         return ids[:n][alive], counts[firsts]
 
@@ -131,17 +134,21 @@ class Encoder:
         self.cache = ChunkCache(self.encode_chunks)
 
     def encode_chunks(self, chunks: list[str]) -> list[tuple[str, int, bytes]]:
-        found = [self.pattern.findall(c) for c in chunks]
-        pieces = list(set().union(*found))
-        place = {p: i for i, p in enumerate(pieces)}
+        found = [word_and_marks(c) or self.pattern.findall(c) for c in chunks]
+        # A piece that was a chunk of its own has its value already.
+        done = {p: self.cache.get(p) for parts in found for p in parts}
+        pieces = [p for p, v in done.items() if v is None]
         ids, starts = self.replay.encode([p.encode() for p in pieces])
-        tokens = self.replay.tokens
         ids, starts = ids.tolist(), starts.tolist()
-        out = []
-        for parts in found:
-            own = [x for p in parts for x in ids[starts[place[p]]:starts[place[p] + 1]]]
-            out.append((" ".join(map(str, own)), len(own), b"".join([tokens[x] for x in own])))
-        return out
+        words = list(map(str, ids))
+        tokens = list(map(self.replay.tokens.__getitem__, ids))
+        done.update({p: (" ".join(words[a:b]), b - a, b"".join(tokens[a:b]))
+                     for p, a, b in zip(pieces, starts, starts[1:])})
+        return [done[parts[0]] if len(parts) == 1 else _joined([done[p] for p in parts]) for parts in found]
+
+
+def _joined(values: list[tuple[str, int, bytes]]) -> tuple[str, int, bytes]:
+    return " ".join([v[0] for v in values]), sum([v[1] for v in values]), b"".join([v[2] for v in values])
 
 
 _ENCODERS: dict = {}
@@ -169,14 +176,14 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in slices(texts, SLICE_CHARS):
                 parts = [chunks_of(t) for t in texts[a:b]]
-                known = encoder.cache.all_of(parts)
+                values, numbered = encoder.cache.look_up(parts)
                 counts, digests, decoded, lists = [], [], [], []
-                for chunks in parts:
-                    got = [known[c] for c in chunks]
-                    line = " ".join([g[0] for g in got if g[1]])
-                    counts.append(sum([g[1] for g in got]))
+                for at in numbered:
+                    written, numbers, raw = zip(*map(values.__getitem__, at))
+                    line = " ".join(written)  # only an empty text has a chunk without ids, its only one
+                    counts.append(sum(numbers))
                     digests.append(hashlib.sha256(line.encode()).hexdigest())
-                    decoded.append(hashlib.sha256(b"".join([g[2] for g in got])).hexdigest())
+                    decoded.append(hashlib.sha256(b"".join(raw)).hexdigest())
                     if with_ids:
                         lists.append(np.array(line.split(), np.int32))
                 columns = [batch.column(0).slice(a, b - a), pa.array(counts, pa.int64()), pa.array(digests),

@@ -1,55 +1,66 @@
 """Texts as chunks whose tokens do not depend on their neighbours.
 
-The pre-tokenizing pattern starts a new piece at every blank that a character other than white space follows, so a
-text may be cut there and each different chunk encoded once.
+The pre-tokenizing pattern starts a new piece at every blank that a character other than white space follows, and
+takes a line end between two such characters as a piece, so a text may be cut there and each different chunk encoded
+once.
 """
 
 from __future__ import annotations
 
 import re
+from itertools import islice
 
 _CUT = re.compile(r" (?=\S)")
-_ODD = re.compile(r" (?:\s|\Z)")
+_OTHER = re.compile(r"[^\S \n]|\x00")
 
 
 def chunks_of(text: str) -> list[str]:
-    """Chunks that joined give the text; all but the first start with a blank and another character."""
-    if _ODD.search(text):
+    """Chunks that joined give the text."""
+    if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[-1:] in " \n" or _OTHER.search(text):
         parts = _CUT.split(text)
-    else:
-        parts = text.split(" ")
-    return parts[:1] + [" " + p for p in parts[1:]]
+        return parts[:1] + [" " + p for p in parts[1:]]
+    # Single blanks and line ends only, none at the ends: a line end is a piece of its own.
+    parts = text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+    return parts if parts[0] or len(parts) == 1 else parts[1:]
 
 
-class ChunkCache:
-    """Values of chunks, kept between the batches of a worker: at most ``most`` of them; more are computed again."""
-
-    def __init__(self, encode, most: int = 300_000):
-        self.encode, self.most, self.known = encode, most, {}
-
-    def all_of(self, texts: list[list[str]]) -> dict:
-        """A mapping that has the value of every chunk of the texts."""
-        new = set().union(*texts).difference(self.known) if texts else set()
-        if not new:
-            return self.known
-        new = list(new)
-        values = dict(zip(new, self.encode(new)))
-        room = self.most - len(self.known)
-        if len(values) <= room:
-            self.known.update(values)
-            return self.known
-        for key in new[:max(0, room)]:
-            self.known[key] = values[key]
-        return _Both(self.known, values)
-
-
-class _Both(dict):
-    def __init__(self, known, values):
-        super().__init__(values)
-        self.known_ = known
+MARKS = ".,;:!?#$%&*|\"()"
+
+
+def word_and_marks(chunk: str) -> tuple[str, ...] | None:
+    """The pieces of a chunk of a blank, Latin letters and marks behind them; None for all others."""
+    word = chunk.rstrip(MARKS)
+    if word[1:].isalpha() and word[0] == " " and (word.isascii() or max(word) < "\u0250"):
+        return (word,) if len(word) == len(chunk) else (word, chunk[len(word):])
+    return None
 
+
+class _Numbers(dict):
     def __missing__(self, key):
-        return self.known_[key]
+        number = self[key] = len(self)
+        return number
+
+
+class ChunkCache:
+    """Values of chunks, each encoded once in a call; the first ``most`` are kept for the next calls of the worker."""
+
+    def __init__(self, encode, most: int = 500_000):
+        self.encode, self.most = encode, most
+        self.numbers, self.values = _Numbers(), []
+
+    def get(self, chunk: str):
+        number = self.numbers.get(chunk, len(self.values))
+        return self.values[number] if number < len(self.values) else None
+
+    def look_up(self, texts: list[list[str]]) -> tuple[list, list[list[int]]]:
+        """(values, the numbers of every text's chunks among them); good until the next call."""
+        for chunk in list(islice(self.numbers, self.most, None)):
+            del self.numbers[chunk]
+        del self.values[self.most:]
+        number = self.numbers.__getitem__
+        at = [list(map(number, chunks)) for chunks in texts]
+        self.values += self.encode(list(islice(self.numbers, len(self.values), None)))
+        return self.values, at
 
 
 def slices(texts, most_chars: int):

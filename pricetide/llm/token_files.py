@@ -28,14 +28,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricetide.llm.chunks import ChunkCache, chunks_of, slices
+from pricetide.llm.chunks import ChunkCache, chunks_of, slices, word_and_marks
 from pricetide.llm.common import new_folder, partitions, read_table
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 LENGTH = 1024
 ROWS = 64
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 16_000_000
 
 
 def _place(uri: str):
@@ -122,20 +122,51 @@ class TokenFile:
         return np.concatenate(parts) if parts else np.zeros(0, np.uint16)
 
 
-_CACHES: dict = {}
+class Encoder:
+    """Chunks to their ids as bytes, by the tokenizers library."""
 
-
-def _cache(path: str) -> tuple[ChunkCache, int]:
-    """The chunks' ids as bytes, one cache for each worker process, and the size of the vocabulary."""
-    if path not in _CACHES:
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        size = tokenizer.get_vocab_size()
-        kind = np.uint16 if size <= 1 << 16 else np.uint32
-        _CACHES[path] = ChunkCache(lambda chunks: [
-            np.array(e.ids, kind).tobytes() for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]), size
-    return _CACHES[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        line_end = self._ids(["\n"])[0]
+        self.line_end = line_end[0] if len(line_end) == 1 else None
+        self.cache = ChunkCache(self.encode_chunks)
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode(self, pieces: list[str]) -> dict[str, bytes]:
+        """Many short pieces go as the lines of one text, whose ids are cut at the line ends."""
+        bare = [p.strip() for p in pieces]
+        simple = [p for p, b in zip(pieces, bare) if b and self.line_end is not None and "\n" not in b and (
+            p == b or p == " " + b)]
+        out, size = {}, np.dtype(self.kind).itemsize
+        runs = [simple[i:i + 2000] for i in range(0, len(simple), 2000)]
+        for run, ids in zip(runs, self._ids(["\n".join(run) for run in runs])):
+            ids = np.array(ids + [self.line_end], self.kind)
+            ends = (np.flatnonzero(ids == self.line_end) * size).tolist()
+            raw = ids.tobytes()
+            out.update({p: raw[a:b] for p, a, b in zip(run, [0] + [e + size for e in ends], ends, strict=False)})
+        others = [p for p in pieces if p not in out]
+        return out | {p: np.array(ids, self.kind).tobytes() for p, ids in zip(others, self._ids(others))}
+
+    def encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        found = [word_and_marks(c) or (c,) for c in chunks]
+        done = {p: self.cache.get(p) for parts in found for p in parts}
+        done |= self._encode([p for p, v in done.items() if v is None])
+        return [done[parts[0]] if len(parts) == 1 else b"".join([done[p] for p in parts]) for parts in found]
+
+
+_ENCODERS: dict = {}
+
+
+def _encoder(path: str) -> Encoder:
+    """One encoder for each worker process."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def write_token_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text: str = "text",
@@ -152,8 +183,8 @@ def write_token_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text
 
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        cache, size = _cache(path)
-        kind, arrow = (np.uint16, pa.uint16()) if size <= 1 << 16 else (np.uint32, pa.uint32())
+        encoder = _encoder(path)
+        kind, arrow = encoder.kind, pa.from_numpy_dtype(encoder.kind)
         end = np.array([end_id], kind).tobytes()
         part, at, writer = TaskContext.get().partitionId(), 0, None
         uri = f"{folder}/tokens/part-{part:06d}-{uuid.uuid4().hex}.arrow"
@@ -162,8 +193,8 @@ def write_token_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text
             for a, b in slices(texts, SLICE_CHARS):
                 writer = writer or TokenWriter(uri, length, rows, arrow)
                 parts = [chunks_of(t) for t in texts[a:b]]
-                known = cache.all_of(parts)
-                lines = [b"".join([known[c] for c in chunks]) + end for chunks in parts]
+                values, numbered = encoder.cache.look_up(parts)
+                lines = [b"".join(map(values.__getitem__, at)) + end for at in numbered]
                 counts = np.array([len(x) for x in lines], np.int64) // np.dtype(kind).itemsize
                 writer.add(np.frombuffer(b"".join(lines), kind))
                 starts = at + np.concatenate([[0], np.cumsum(counts)])
