@@ -415,17 +415,21 @@ def time_series_folds(spark, folder):
     return splits.time_series_folds(base, M.TS, M.SEQ)
 
 
-@register("random_split")
+KEYED = "('0x' || substr(md5(order_id || ':42'), 1, 13))::bigint"
+
+
+@register("random_split", with_ctes(STAR, f"""select case when {KEYED} % 100 < 80 then 'train' else 'test' end as split,
+count(*) as "count" from order_items group by 1"""))
 def random_split(spark, folder):
     return splits.random_split(base_of(spark, folder), "order_id").groupBy("split").count()
 
 
-@register("sample_n")
+@register("sample_n", with_ctes(STAR, f"select * from shop_orders order by {KEYED}, order_id limit 200"))
 def sample_n(spark, folder):
     return P.sample_n(star_of(spark, folder)["orders"], "order_id", 200)
 
 
-@register("sample_fraction")
+@register("sample_fraction", with_ctes(STAR, f"select * from shop_orders where {KEYED} % 1000000 < 200000"))
 def sample_fraction(spark, folder):
     return P.sample_fraction(star_of(spark, folder)["orders"], "order_id", 0.2)
 

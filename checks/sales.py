@@ -14,7 +14,9 @@ from pricetide.operators import sales_features as S
 from pricetide.operators import targets as T
 from pricetide.operators.splits import time_split
 from pricetide.operators.windows import drop_internal, rolling_sums
+from pricetide.session import shared_folder
 from pricetide.sources import sinks
+from pricetide.sources.schemas import validate_schema
 from pricetide.sources.warehouse import Warehouse
 
 # ------------------------------------------------------------------ SQL building blocks
@@ -212,8 +214,18 @@ def dataset_summary(spark, folder):
     return P.dataset_summary(Warehouse(spark, folder).sales())
 
 
-@register("data_fingerprint")
+FINGERPRINT = ("invoice_no,stock_code,description,quantity,invoice_date,unit_price,customer_id,country,source,"
+               "dataset_year_range,revenue,is_bulk")
+
+
+@register("data_fingerprint", with_ctes(CLEAN, f"""select count(*) as row_count, md5('{FINGERPRINT}_' || count(*) || '_'
+|| {len(FINGERPRINT.split(","))}) as shape_hash from clean"""))
 def data_fingerprint(spark, folder):
+    return P.data_fingerprint(clean_of(spark, folder)).drop("content_hash")
+
+
+@register("content_fingerprint")
+def content_fingerprint(spark, folder):
     return P.data_fingerprint(clean_of(spark, folder))
 
 
@@ -370,6 +382,31 @@ def product_stats(spark, folder):
     return S.product_stats(clean_of(spark, folder)).withColumn("product_price_std", F.round("product_price_std", 6))
 
 
+def _read_back(name, write, read, columns="stock_code, product_price_min, product_transaction_count"):
+    """A sink: product statistics written by it and read again."""
+    @register(name, with_ctes(STATS, f"select {columns} from stats"))
+    def run(spark, folder):
+        path = shared_folder(spark, name)
+        write(S.product_stats(clean_of(spark, folder)).select(*columns.split(", ")), path)
+        return read(spark.read, path)
+    return run
+
+
+_read_back("write_stage", lambda df, path: sinks.write_stage(df, path, ["product_transaction_count"]),
+           lambda reader, path: reader.parquet(path).withColumn("product_transaction_count", F.col(
+               "product_transaction_count").cast("long")))
+_read_back("report_csv", sinks.report_csv, lambda reader, path: reader.schema(
+    "stock_code string, product_price_min double, product_transaction_count long").csv(path, header=True))
+_read_back("write_metrics_json", sinks.write_metrics_json, lambda reader, path: reader.schema(
+    "stock_code string, product_price_min double, product_transaction_count long").json(path))
+
+
+@register("validate_schema", with_ctes(STATS, "select stock_code, product_price_max from stats"))
+def checked_schema(spark, folder):
+    return validate_schema(S.product_stats(clean_of(spark, folder)).select("stock_code", "product_price_max"),
+                           ["stock_code", "product_price_max"])
+
+
 @register("popularity_rank", with_ctes(STATS, """
 edges as (select quantile_cont(product_transaction_count, [0, 0.2, 0.4, 0.6, 0.8, 1]) as e from stats)""", """
 select stock_code, product_transaction_count, cast(case when len(list_distinct(e)) = 6 then

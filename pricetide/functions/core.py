@@ -73,6 +73,12 @@ def fixed(c, places: int) -> Column:
     return F.call_function("format_number", col(c), F.lit("0." + "0" * places if places else "0"))
 
 
+def keyed_hash(key: str, seed: int) -> Column:
+    """52 bits of the MD5 of a key and a seed: the same in every engine that has MD5."""
+    digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")
+
+
 def py_round(c, places: int) -> Column:
     """Round on the exact binary value, exact ties to even."""
     return fixed(c, places).cast("double")

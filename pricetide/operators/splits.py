@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricetide.config import SETTINGS
-from pricetide.functions.core import micros
+from pricetide.functions.core import keyed_hash, micros
 from pricetide.operators.windows import cut_index
 
 
@@ -29,7 +29,7 @@ def chrono_split(df: DataFrame, ts: str, seq: list[str], share: float = 0.8,
 
 def random_split(df: DataFrame, key: str, share: int = 80, seed: int = 42) -> DataFrame:
     """A keyed hash decides, so a row keeps its side on every run and partitioning."""
-    side = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100)) < share
+    side = keyed_hash(key, seed) % 100 < share
     return df.withColumn("split", F.when(side, "train").otherwise("test"))
 
 
