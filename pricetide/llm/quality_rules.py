@@ -184,7 +184,9 @@ def op1(spark, folder: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, folder: str) -> DataFrame:
     """The documents that the rules keep."""
-    return quality_rules(docs).where("kept").select(*docs.columns)
+    row = free_prefix(docs) + "row"
+    packed = docs.select(F.struct(*docs.columns).alias(row), "text", "lang")
+    return quality_rules(packed).where("kept").select(row + ".*")
 
 
 def quality_sql(rules: QualityRules = QualityRules()) -> str:
