@@ -18,7 +18,8 @@ def chunks_of(text: str) -> list[str]:
     """Chunks that joined give the text."""
     if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[-1:] in " \n" or _OTHER.search(text):
         parts = _CUT.split(text)
-        return parts[:1] + [" " + p for p in parts[1:]]
+        parts = parts[:1] + [" " + p for p in parts[1:]]
+        return parts if parts[0] or len(parts) == 1 else parts[1:]
     # Single blanks and line ends only, none at the ends: a line end is a piece of its own.
     parts = text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
     return parts if parts[0] or len(parts) == 1 else parts[1:]
