@@ -19,5 +19,6 @@ QUERIES = {
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.quality_sql(),
+    "op3_quotation_linking": quote_linking.quote_sql(),
     "op10_url_filters": url_filters.url_sql(),
 }

@@ -119,3 +119,41 @@ def _threads(links: DataFrame) -> DataFrame:
 
 def op3(spark, folder: str) -> DataFrame:
     return link_quotes(read_table(spark, folder, "conversations"))
+
+
+def quote_sql(min_words: int = MIN_WORDS) -> str:
+    """DuckDB SQL for ``op3``."""
+    normal = r"trim(regexp_replace(lower(u), '\s+', ' ', 'g'))"
+
+    def units(x):
+        return (f"list_filter(list_distinct(list_transform(list_concat([{x}], regexp_split_to_array({x}, '\\n[ \\t]*\\n'), "
+                f"string_split({x}, chr(10))), lambda u: {normal})), "
+                f"lambda u: u <> '' and len(string_split(u, ' ')) >= {min_words})")
+
+    return rf"""
+with recursive msg as (select row_number() over () rid, conv_id, turn, role, text from conversations),
+split as (select rid, string_split(coalesce(text, ''), chr(10)) ls from msg),
+lines as (select rid, unnest(ls) line, generate_subscripts(ls, 1) i from split),
+levels as (select *, length(regexp_replace(regexp_extract(line, '{MARK}', 1), '[^>]', '', 'g')) as lv from lines),
+around as (select *, lead(lv) over w as nx, lag(lv) over w as pv from levels window w as (partition by rid order by i)),
+bare as (select rid, i, lv, case when nx > lv and regexp_matches(line, '{INTRODUCTION}') then ''
+    when lv > 0 then trim(regexp_replace(line, '{MARK} ?', '')) else line end as line,
+    sum(case when pv is null or pv <> lv then 1 else 0 end) over (partition by rid order by i) as run from around),
+runs as (select rid, run, lv, string_agg(line, chr(10) order by i) as txt from bare group by rid, run, lv),
+own as (select rid, max(lv) as max_level, count(*) filter (lv > 0) as n_quotes,
+    string_agg(txt, chr(10) order by run) filter (lv = 0) as txt from runs group by rid),
+bodies as (select msg.*, max_level, n_quotes, case when max_level > 0 then
+    regexp_replace(coalesce(own.txt, ''), '^(?:[ \t]*\n)+|\s+$', '', 'g') else text end as body from msg join own using (rid)),
+known as (select * from bodies where conv_id is not null and turn is not null),
+quotes as (select conv_id c, turn t, run, lv, unnest({units('txt')}) u from known join runs using (rid) where lv > 0),
+wrote as (select conv_id c, turn t, unnest({units("coalesce(body, '')")}) u from known),
+originals as (select c, u, min(t) as first from wrote group by c, u),
+found as (select q.*, first from quotes q join originals o on q.c = o.c and q.u = o.u where first < t),
+links as (select c, t, count(distinct run) as n_linked,
+    arg_max(first, row(-lv, length(u), first)) as reply_to from found group by c, t),
+up(c, t, root, depth) as (select c, t, reply_to, 1 from links
+    union all select up.c, up.t, l.reply_to, depth + 1 from up join links l on up.c = l.c and up.root = l.t),
+ends as (select c, t, arg_max(root, depth) as root, max(depth) as depth from up group by c, t)
+select conv_id, turn, role, body, cast(n_quotes as int) as n_quotes, cast(max_level as int) as max_level,
+    coalesce(n_linked, 0) as n_linked, reply_to, coalesce(root, turn) as thread_turn, coalesce(depth, 0) as depth
+from bodies left join links on conv_id = links.c and turn = links.t left join ends on conv_id = ends.c and turn = ends.t"""
