@@ -13,14 +13,20 @@ from pyspark.sql import functions as F
 from pricetide.llm.common import drop_folder, new_folder
 
 
+ROWS_A_FILE = 200_000
+
+
 class _Steps:
     """Tables of the rounds; each goes once the next is written."""
 
     def __init__(self, spark):
         self.spark, self.root, self.n, self.old = spark, new_folder(spark, "components"), 0, []
 
-    def write(self, df: DataFrame) -> DataFrame:
+    def write(self, df: DataFrame, rows: int | None = None) -> DataFrame:
+        """``rows`` bounds the rows of the table, so that a small one does not end in many files."""
         self.n += 1
+        if rows is not None:
+            df = df.coalesce(1 + rows // ROWS_A_FILE)
         path = f"{self.root}/{self.n}"
         df.write.parquet(path)
         self.old.append(path)
@@ -54,14 +60,15 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     while state[0]:
         # Large star: every larger neighbour of a node goes to the least of the node and its neighbours.
         both = e.union(e.select("b", "a"))
-        least = steps.write(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
+        least = steps.write(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")),
+                            2 * state[0])
         e = steps.write(both.where("b > a").join(least, "a").where("b != m")
-                        .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+                        .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), state[0])
         # Small star: a node and its smaller neighbours go to the least of those.
-        least = steps.write(e.groupBy("a").agg(F.min("b").alias("b")))
+        least = steps.write(e.groupBy("a").agg(F.min("b").alias("b")), state[0])
         rest = e.join(least.select("a", F.col("b").alias("m")), "a").where("b != m") \
             .select(F.col("b").alias("a"), F.col("m").alias("b"))
-        e = steps.write(least.union(rest).distinct())
+        e = steps.write(least.union(rest).distinct(), state[0])
         steps.keep_last()
         before, state = state, _state(e)
         if state == before:

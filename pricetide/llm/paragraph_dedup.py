@@ -2,13 +2,14 @@
 
 A paragraph is a line of at least ``min_words`` words, lower-cased (A-Z) and joined by single blanks.  Equal paragraphs
 meet first, by a 128-bit hash.  Each different one gets MinHash values over its five-word shingles, cut into bands
-that are tuned for the wanted recall; paragraphs that share a band are joined, checked by exact Jaccard similarity and
-clustered by connected components.  The first paragraph of a cluster (least document id, then place) stays, all other
+that are tuned for the wanted recall; paragraphs that share a band are joined, checked by exact Jaccard similarity or by
+edit distance (at most a fifth of the words changed), and clustered by connected components.  The first paragraph of a cluster (least document id, then place) stays, all other
 occurrences go.
 
 Pairs within a band are not all listed: every paragraph is first checked against the least and the greatest of its
-band, and only pairs that are still in different components are joined after that.  No link between components can be
-missed, and large groups of near copies cost a number of checks that grows with their size, not its square.
+band.  Colliding paragraphs that are still in different components meet again only if they share one of their rarest
+shingles, as all pairs of the wanted Jaccard similarity must.  So no such link between components is lost, and large groups of near
+copies do not cost the square of their size.
 
 Defined results: null, blank and short texts have no paragraphs and pass as they are.  Documents with a null id are
 neither compared nor changed.  Rows that share an id count as one document: equal paragraphs at one place of such rows
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from pricetide.llm.common import bitmap_of, free_prefix, in_bitmap, read_table, staged
 from pricetide.llm.components import connected_components
 
+SLOTS = 1 << 18
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -156,13 +158,42 @@ def jaccard(a: bytes, b: bytes, shingle: int) -> float:
     return len(x & y) / len(x | y)
 
 
+def edit_distance(a: list, b: list) -> int:
+    """Levenshtein distance of two lists of words, a column at a time as bits of one number."""
+    if not a:
+        return len(b)
+    at: dict = {}
+    for i, w in enumerate(a):
+        at[w] = at.get(w, 0) | 1 << i
+    whole = (1 << len(a)) - 1
+    last, up, down, score = 1 << len(a) - 1, whole, 0, len(a)
+    for w in b:
+        same = at.get(w, 0)
+        x = same | down
+        y = ((same & up) + up ^ up) | same
+        grow, shrink = down | ~(y | up), up & y
+        score += 1 if grow & last else -1 if shrink & last else 0
+        grow, shrink = grow << 1 | 1, shrink << 1
+        up, down = (shrink | ~(x | grow)) & whole, grow & x & whole
+    return score
+
+
+def similar(a: bytes, b: bytes, rules: ParagraphRules) -> bool:
+    """Exact Jaccard similarity of the shingles, or else the share of words that the edit distance leaves."""
+    if jaccard(a, b, rules.shingle) >= rules.similarity:
+        return True
+    x, y = a.split(), b.split()
+    most = (1 - rules.similarity) * max(len(x), len(y)) + 1e-9
+    return abs(len(x) - len(y)) <= most and edit_distance(x, y) <= most
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, rules: ParagraphRules) -> DataFrame:
-    """The pairs (a, b) whose exact similarity reaches the threshold."""
+    """The pairs (a, b) that are similar."""
     def run(batches):
         for batch in batches:
             a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             yield pa.RecordBatch.from_arrays(list(batch.columns[:2]), names=["a", "b"]).filter(
-                pa.array([jaccard(x, y, rules.shingle) >= rules.similarity for x, y in zip(a, b)], pa.bool_()))
+                pa.array([similar(x, y, rules) for x, y in zip(a, b)], pa.bool_()))
 
     x = texts.select(F.col("key").alias("a"), F.col("words").alias("words_a"))
     y = texts.select(F.col("key").alias("b"), F.col("words").alias("words_b"))
@@ -170,6 +201,65 @@ def _verified(pairs: DataFrame, texts: DataFrame, rules: ParagraphRules) -> Data
         run, "a binary, b binary")
 
 
+def _shingles(words: bytes, shingle: int) -> np.ndarray:
+    parts = words.split()
+    return np.unique(np.array([xxhash.xxh3_64_intdigest(b" ".join(parts[i:i + shingle]))
+                               for i in range(max(1, len(parts) - shingle + 1))], np.uint64))
+
+
+def _rarity(texts: DataFrame, shingle: int) -> np.ndarray:
+    """How often shingles come, in ``SLOTS`` slots: a table of fixed size, whatever the data."""
+    def run(batches):
+        counts = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for words in batch.column(0).to_pylist():
+                counts[(_shingles(words, shingle) % np.uint64(SLOTS)).astype(np.int64)] += 1
+        hit = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(counts[hit])], names=["slot", "n"])
+
+    out = np.zeros(SLOTS, np.int64)
+    for slot, n in texts.select("words").mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(
+            F.sum("n")).collect():
+        out[slot] = n
+    return out
+
+
+def _unconnected(texts: DataFrame, part: DataFrame, rules: ParagraphRules) -> DataFrame:
+    """(a, b): the colliding paragraphs of different components that may still be similar.
+
+    In any common order of all shingles, two sets of the wanted similarity share one of their first shingles: of n,
+    all but the wanted share and one more.  Rare ones come first, so copies with different changes hardly meet, and
+    shingles that only one component has are left out.
+    """
+    order = _rarity(texts, rules.shingle)
+
+    def run(batches):
+        for batch in batches:
+            sizes, firsts = [], []
+            for words in batch.column(1).to_pylist():
+                h = _shingles(words, rules.shingle)
+                h = h[np.lexsort((h, order[(h % np.uint64(SLOTS)).astype(np.int64)]))]
+                sizes.append(len(h))
+                firsts.append(h[:len(h) - math.ceil(rules.similarity * len(h) - 1e-9) + 1].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))],
+                names=["key", "n", "firsts"])
+
+    rows = texts.select("key", "words").mapInArrow(run, "key binary, n int, firsts array<bigint>").join(
+        part.select(F.col("node").alias("key"), "component"), "key", "left").select(
+        "key", "n", F.coalesce("component", "key").alias("component"), F.posexplode("firsts").alias("place", "first"))
+    rows = staged(rows, "first-shingles")
+    mixed = rows.groupBy("first").agg(F.min("component").alias("x"), F.max("component").alias("y")).where(
+        "x != y").select("first")
+    rows = staged(rows.join(mixed, "first"), "mixed-shingles")
+    other = rows.select("first", *[F.col(c).alias(c + "2") for c in ("key", "n", "component", "place")])
+    # At the first shingle that two sets share, what is left of both must still hold all that they have to share.
+    needed = rules.similarity / (1 + rules.similarity) * (F.col("n") + F.col("n2")) - 1e-9
+    near = ((F.col("key") < F.col("key2")) & (F.col("component") != F.col("component2")) &
+            (F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2")) >= needed))
+    return rows.join(other, "first").where(near).select(F.col("key").alias("a"), F.col("key2").alias("b")).distinct()
+
+
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                         rules: ParagraphRules = ParagraphRules()) -> DataFrame:
     """(class_id, id, place, n_words, kept, kept_id, kept_place): every occurrence of a paragraph that has others.
@@ -178,7 +268,8 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "te
     """
     found = staged(paragraphs(docs, id_col, text, rules), "paragraphs")
     distinct = staged(found.groupBy("key").agg(
-        F.min(F.struct("id", "place")).alias("first"), F.count("*").alias("n"), F.first("bands").alias("bands")),
+        F.min(F.struct("id", "place")).alias("first"), F.max(F.struct("id", "place")).alias("last"),
+        F.first("bands").alias("bands")),
         "distinct-paragraphs")
     rows = distinct.select("key", F.explode("bands").alias("band"))
     # The first eight bytes are enough to see that a band holds more than one paragraph.
@@ -193,16 +284,13 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "te
     pair = (F.least("end", "key").alias("a"), F.greatest("end", "key").alias("b"))
     links = staged(_verified(stars.select(*pair).distinct(), texts, rules), "paragraph-links")
     part = connected_components(links)
-    labelled = staged(members.join(part.select(F.col("node").alias("key"), "component"), "key", "left").select(
-        "band", "key", F.coalesce("component", "key").alias("component")), "labelled-paragraphs")
-    other = labelled.toDF("band", "key2", "component2")
-    rest = labelled.join(other, "band").where("key < key2 and component != component2").select(
-        F.col("key").alias("a"), F.col("key2").alias("b")).distinct()
+    rest = _unconnected(texts, part, rules)
     more = staged(_verified(rest, texts, rules), "paragraph-links")
-    part = connected_components(links.union(more))
-    clustered = distinct.select("key", "first", "n").join(part.select(F.col("node").alias("key"), "component"), "key",
+    if not more.isEmpty():
+        part = connected_components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    clustered = distinct.select("key", "first", "last").join(part.select(F.col("node").alias("key"), "component"), "key",
                                                            "left")
-    alone = clustered.where("component is null and n > 1").select("key", "first")
+    alone = clustered.where("component is null and first != last").select("key", "first")
     grouped = staged(clustered.where("component is not null"), "clustered-paragraphs")
     of_class = grouped.groupBy("component").agg(F.min("first").alias("of_class"))
     label = alone.union(grouped.join(of_class, "component").select("key", F.col("of_class").alias("first")))
