@@ -5,7 +5,7 @@ the word, and the uniform one.  The weights depend on how often the first word w
 They are learned by expectation-maximisation on pairs of a part of the training documents, the fold, with counts of
 the others; the scores then use the counts of all training documents.
 
-Counts are exchanged in blocks.  A task numbers the words of some 16 MB of text at a time (a batch) and sends each
+Counts are exchanged in blocks.  A task numbers the words of some 8 MB of text at a time (a batch) and sends each
 different word and pair once, as sorted 64-bit hashes, to the part that counts this range of hashes; the part returns
 the totals in the same order, and the batch looks them up by position.  So a frequent word costs one number per batch,
 no table of counts is ever held whole, and parts and batches are bounded in size while their number grows with the
@@ -44,7 +44,7 @@ class ScoringRules:
     folds: int = 7
     held_out: int = 2
     fold: int = 3
-    batch_bytes: int = 16_000_000
+    batch_bytes: int = 8_000_000
     part_bytes: int = 8_000_000
     rounds: int = 20
     tolerance: float = 1e-4
@@ -263,6 +263,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                     rules: ScoringRules = ScoringRules()) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     spark = docs.sparkSession
+    if docs.isEmpty():
+        return spark.createDataFrame([], _result(id_col, docs.schema[id_col].dataType.simpleString()))
     fold = F.coalesce(F.crc32(F.col(id_col).cast("string")) % rules.folds, F.lit(-1))
     source = docs.select(F.col(id_col).alias("id"), F.when(fold == rules.held_out, SCORED).when(
         fold == rules.fold, FOLD).otherwise(KEPT).alias("role"), F.col(text).alias("text"))
@@ -273,10 +275,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     _batches(source, bits, parts, rules).write.partitionBy("kind").parquet(folder)
     batches = spark.read.parquet(f"{folder}/kind=0")
     sent = spark.read.parquet(f"{folder}/kind=1")
-    totals = staged(sent.groupBy("part").applyInArrow(_totals, _TOTALS_SQL), "interpolation-totals") \
-        if n_bytes or not docs.isEmpty() else None
-    if totals is None:
-        return _empty(docs, id_col)
+    totals = staged(sent.groupBy("part").applyInArrow(_totals, _TOTALS_SQL), "interpolation-totals")
     drop_folder(spark, f"{folder}/kind=1")
     sums = totals.agg(*[F.sum(c).alias(c) for c in ("tokens", "types", "kept_tokens", "kept_types")]).first()
     id_type = source.schema["id"].dataType.simpleString()
@@ -296,8 +295,11 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
     def scores(left: pa.Table, right: pa.Table) -> pa.Table:
         c1, context, c2, lengths, ids = _looked_up(left, right, bits, "words", "pairs")
-        w = weights[bucket_of(context)]
-        p = w[:, 0] * (c2 / np.maximum(context, 1)) + w[:, 1] * (c1 / max(tokens, 1)) + w[:, 2] / (types + 1)
+        bucket = bucket_of(context)
+        p = weights[:, 0][bucket] * c2
+        p /= np.maximum(context, 1)
+        p += weights[:, 1][bucket] * (c1 / max(tokens, 1))
+        p += (weights[:, 2] / (types + 1))[bucket]
         firsts = np.cumsum(lengths + 1) - lengths - 1
         n = lengths + 1
         held = left.column("role")[0].as_py() == SCORED
@@ -316,9 +318,5 @@ def _result(id_col: str, id_type: str) -> str:
             "base_score double, score double")
 
 
-def _empty(docs: DataFrame, id_col: str) -> DataFrame:
-    return docs.sparkSession.createDataFrame([], _result(id_col, docs.schema[id_col].dataType.simpleString()))
-
-
 def op6(spark, folder: str) -> DataFrame:
     return score_documents(read_table(spark, folder, "documents"))
