@@ -34,6 +34,8 @@ COMMON = {
 CLASSES = {"upper": "A-Z", "digit": "0-9", "mark": r".,;:!?'\"()-", "sign": r"#*$%&|<>@=+/\\^~_{}\[\]`"}
 SYMBOLS = "#*$%&|<>"
 ANY = "*"
+RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance",
+           "word_distance", "kept")
 
 
 @dataclass(frozen=True)
@@ -184,9 +186,12 @@ def op1(spark, folder: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, folder: str) -> DataFrame:
     """The documents that the rules keep."""
-    row = free_prefix(docs) + "row"
-    packed = docs.select(F.struct(*docs.columns).alias(row), "text", "lang")
-    return quality_rules(packed).where("kept").select(row + ".*")
+    p = free_prefix(docs)
+    own = {c: f"{p}own_{c}" for c in docs.columns if c.lower() in RESULTS}
+    # A filter is not moved below a row number; moved down, it would hold all rules written out many times over.
+    judged = quality_rules(docs.withColumnsRenamed(own)).withColumn(p + "row", F.monotonically_increasing_id()) \
+        .where(F.col("kept") & (F.col(p + "row") >= 0))
+    return judged.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
 
 
 def quality_sql(rules: QualityRules = QualityRules()) -> str:
