@@ -174,7 +174,7 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
         encoder = _encoder(path, pattern)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in slices(texts, SLICE_CHARS):
+            for a, b in slices([len(t) for t in texts], SLICE_CHARS):
                 parts = [chunks_of(t) for t in texts[a:b]]
                 values, numbered = encoder.cache.look_up(parts)
                 counts, digests, decoded, lists = [], [], [], []

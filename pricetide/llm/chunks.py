@@ -15,13 +15,12 @@ _OTHER = re.compile(r"[^\S \n]|\x00")
 
 
 def chunks_of(text: str) -> list[str]:
-    """Chunks that joined give the text."""
+    """Chunks that joined give the text; none is empty but that of an empty text."""
     if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[-1:] in " \n" or _OTHER.search(text):
         parts = _CUT.split(text)
         parts = parts[:1] + [" " + p for p in parts[1:]]
-        return parts if parts[0] or len(parts) == 1 else parts[1:]
-    # Single blanks and line ends only, none at the ends: a line end is a piece of its own.
-    parts = text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+    else:  # single blanks and line ends only: a line end is a piece of its own
+        parts = text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
     return parts if parts[0] or len(parts) == 1 else parts[1:]
 
 
@@ -64,13 +63,13 @@ class ChunkCache:
         return self.values, at
 
 
-def slices(texts, most_chars: int):
-    """Cut a list of texts into runs (start, end) of about ``most_chars``; one text is never cut."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= most_chars:
+def slices(sizes, most: int):
+    """Cut a list of sizes into runs (start, end) of about ``most`` in sum; one item is never cut."""
+    start = held = 0
+    for i, size in enumerate(sizes):
+        held += size
+        if held >= most:
             yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+            start, held = i + 1, 0
+    if start < len(sizes):
+        yield start, len(sizes)

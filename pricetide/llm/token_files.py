@@ -24,6 +24,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,7 +36,10 @@ VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
 LENGTH = 1024
 ROWS = 64
-SLICE_CHARS = 16_000_000
+SLICE_BYTES = 16_000_000
+# What needs the careful cut: white space other than single blanks and line ends within the text.
+_ODD = (r"[\t\x0b\x0c\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+        r"|  | \n|\n |\n\n|\A\z|[ \n]\z")
 
 
 def _place(uri: str):
@@ -152,6 +156,51 @@ class Encoder:
         others = [p for p in pieces if p not in out]
         return out | {p: np.array(ids, self.kind).tobytes() for p, ids in zip(others, self._ids(others))}
 
+    def encode_texts(self, texts: pa.StringArray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each with the end id, one after the other; their number for every text)."""
+        plain = pc.invert(pc.match_substring_regex(texts, _ODD)).to_numpy(zero_copy_only=False)
+        numbers = np.empty(len(texts), np.int64)
+        parts: list = [None] * len(texts)
+        rest = np.flatnonzero(~plain).tolist()
+        if rest:
+            values, at = self.cache.look_up([chunks_of(t) for t in texts.take(pa.array(rest)).to_pylist()])
+            for i, own in zip(rest, at):
+                parts[i] = np.frombuffer(b"".join(map(values.__getitem__, own)), self.kind)
+                numbers[i] = len(parts[i])
+        where = np.flatnonzero(plain)
+        if len(where):
+            ids, counts = self._encode_plain(texts.take(pa.array(where)))
+            numbers[where] = counts
+            for i, own in zip(where.tolist(), np.split(ids, np.cumsum(counts)[:-1])):
+                parts[i] = own
+        ids = np.concatenate(parts) if parts else np.zeros(0, self.kind)
+        return np.insert(ids, np.cumsum(numbers), self.kind(end_id)), numbers + 1
+
+    def _encode_plain(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts with single blanks and line ends only: all chunks are numbered by Arrow."""
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n "), " ")
+        coded = lists.flatten().dictionary_encode()
+        words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        starts = lists.offsets.to_numpy()[:-1] - lists.offsets.to_numpy()[0]
+        # A chunk has its blank, unless it is the first, a line end, or behind one.
+        bare = at == (words.index("\n") if "\n" in words else -1)
+        bare[1:] |= bare[:-1].copy()
+        bare[starts] = True
+        codes = at.astype(np.int64) * 2 + bare
+        used = np.zeros(2 * len(words), bool)
+        used[codes] = True
+        distinct = np.flatnonzero(used)
+        values, numbered = self.cache.look_up([[words[c >> 1] if c & 1 else " " + words[c >> 1] for c in distinct.tolist()]])
+        found = [values[k] for k in numbered[0]]
+        sizes = np.zeros(len(used), np.int32)
+        sizes[distinct] = np.array([len(v) for v in found], np.int64) // np.dtype(self.kind).itemsize
+        flat = np.frombuffer(b"".join(found), self.kind)
+        counts = sizes[codes]
+        begins = (np.cumsum(sizes, dtype=np.int32) - sizes)[codes]
+        ends = np.cumsum(counts, dtype=np.int32)
+        places = np.repeat(begins - ends + counts, counts) + np.arange(ends[-1], dtype=np.int32)
+        return flat[places], np.add.reduceat(counts, starts, dtype=np.int64)
+
     def encode_chunks(self, chunks: list[str]) -> list[bytes]:
         found = [word_and_marks(c) or (c,) for c in chunks]
         done = {p: self.cache.get(p) for parts in found for p in parts}
@@ -184,19 +233,15 @@ def write_token_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = _encoder(path)
-        kind, arrow = encoder.kind, pa.from_numpy_dtype(encoder.kind)
-        end = np.array([end_id], kind).tobytes()
+        arrow = pa.from_numpy_dtype(encoder.kind)
         part, at, writer = TaskContext.get().partitionId(), 0, None
         uri = f"{folder}/tokens/part-{part:06d}-{uuid.uuid4().hex}.arrow"
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in slices(texts, SLICE_CHARS):
+            lengths = pc.binary_length(batch.column(1)).to_numpy()
+            for a, b in slices(lengths, SLICE_BYTES):
                 writer = writer or TokenWriter(uri, length, rows, arrow)
-                parts = [chunks_of(t) for t in texts[a:b]]
-                values, numbered = encoder.cache.look_up(parts)
-                lines = [b"".join(map(values.__getitem__, at)) + end for at in numbered]
-                counts = np.array([len(x) for x in lines], np.int64) // np.dtype(kind).itemsize
-                writer.add(np.frombuffer(b"".join(lines), kind))
+                ids, counts = encoder.encode_texts(batch.column(1).slice(a, b - a), end_id)
+                writer.add(ids)
                 starts = at + np.concatenate([[0], np.cumsum(counts)])
                 at = int(starts[-1])
                 yield pa.RecordBatch.from_arrays(
