@@ -8,8 +8,10 @@ occurrences go.
 
 Pairs within a band are not all listed: every paragraph is first checked against the least and the greatest of its
 band.  Colliding paragraphs that are still in different components meet again only if they share one of their rarest
-shingles, as all pairs of the wanted Jaccard similarity must.  So no such link between components is lost, and large groups of near
-copies do not cost the square of their size.
+shingles, as all pairs of the wanted Jaccard similarity must.  Bands that still hold several components are then
+compared whole, block against block: the words that two paragraphs share bound their edit distance, and what the bound
+lets through is measured.  So no link between paragraphs of a band is lost; only bands of many paragraphs that are not
+alike cost the square of their size, in products of matrices.
 
 Defined results: null, blank and short texts have no paragraphs and pass as they are.  Documents with a null id are
 neither compared nor changed.  Rows that share an id count as one document: equal paragraphs at one place of such rows
@@ -33,6 +35,8 @@ from pricetide.llm.common import bitmap_of, free_prefix, in_bitmap, read_table,
 from pricetide.llm.components import connected_components
 
 SLOTS = 1 << 18
+BLOCK_BYTES = 400_000
+COLUMNS = 4096
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -260,6 +264,93 @@ def _unconnected(texts: DataFrame, part: DataFrame, rules: ParagraphRules) -> Da
     return rows.join(other, "first").where(near).select(F.col("key").alias("a"), F.col("key2").alias("b")).distinct()
 
 
+def _shared_words(lines: list[list[bytes]]) -> np.ndarray:
+    """How many words each two lines share, a repeated word as often as both have it."""
+    at: dict = {}
+    rows, cols = [], []
+    for i, words in enumerate(lines):
+        times: dict = {}
+        for w in words:
+            n = times[w] = times.get(w, 0) + 1
+            rows.append(i)
+            cols.append(at.setdefault((w, n), len(at)))
+    rows, cols = np.array(rows), np.array(cols)
+    often = np.bincount(cols) > 1
+    rows, cols = rows[often[cols]], (np.cumsum(often) - 1)[cols[often[cols]]]
+    order = np.argsort(cols, kind="stable")
+    rows, cols = rows[order], cols[order]
+    out = np.zeros((len(lines), len(lines)), np.float32)
+    for start in range(0, int(often.sum()), COLUMNS):
+        a, b = np.searchsorted(cols, (start, start + COLUMNS))
+        part = np.zeros((len(lines), COLUMNS), np.float32)
+        part[rows[a:b], cols[a:b] - start] = 1
+        out += part @ part.T
+    return out
+
+
+def _block_links(group: list[tuple], rules: ParagraphRules):
+    """(key, key) of links by edit distance among (key, component, side, words); only pairs of both sides are compared
+    if there are two.  What is linked already, here or before, is not measured again."""
+    lines = [g[3].split() for g in group]
+    n = np.array([len(x) for x in lines])
+    longest = np.maximum.outer(n, n)
+    most = (1 - rules.similarity) * longest + 1e-9
+    near = np.triu(longest - _shared_words(lines) <= most, 1)
+    sides = np.array([g[2] for g in group])
+    if sides.min() != sides.max():
+        near &= sides[:, None] != sides[None, :]
+    label = {g[1]: g[1] for g in group}
+
+    def root(c):
+        while label[c] != c:
+            label[c] = c = label[label[c]]
+        return c
+
+    for i, j in np.argwhere(near).tolist():
+        x, y = root(group[i][1]), root(group[j][1])
+        if x != y and edit_distance(lines[i], lines[j]) <= most[i, j]:
+            label[x] = y
+            yield group[i][0], group[j][0]
+
+
+def _edited(members: DataFrame, texts: DataFrame, part: DataFrame, rules: ParagraphRules) -> DataFrame:
+    """(a, b): links by edit distance between all colliding paragraphs of different components.
+
+    A band is dealt into blocks of about ``BLOCK_BYTES``, and every two blocks meet in a group of their own, so that no
+    task holds a whole band.
+    """
+    labelled = staged(members.join(part.select(F.col("node").alias("key"), "component"), "key", "left").select(
+        "band", "key", F.coalesce("component", "key").alias("component")), "labelled-paragraphs")
+    mixed = labelled.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where(
+        "x != y").select("band")
+    rows = staged(labelled.join(mixed, "band").join(texts, "key"), "mixed-bands")
+    blocks = rows.groupBy("band").agg(F.ceil(F.sum(F.length("words")) / BLOCK_BYTES).alias("blocks"))
+    block = F.pmod(F.xxhash64("key"), F.col("blocks"))
+    dealt = rows.join(staged(blocks, "blocks-of-bands"), "band").withColumn("block", block).select(
+        "band", "key", "component", "words", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias(
+            "other")).select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "key",
+                             "component", (F.col("block") <= F.col("other")).alias("side"), "words")
+    met = dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+
+    def run(batches):
+        group, of_group, found = [], None, []
+        for batch in batches:
+            for band, i, j, *rest in zip(*(c.to_pylist() for c in batch.columns)):
+                if (band, i, j) != of_group:
+                    found += _block_links(group, rules) if group else ()
+                    group, of_group = [], (band, i, j)
+                group.append(rest)
+            yield _pairs(found)
+            found = []
+        yield _pairs(list(_block_links(group, rules)) if group else [])
+
+    return met.mapInArrow(run, "a binary, b binary").distinct()
+
+
+def _pairs(found: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                         rules: ParagraphRules = ParagraphRules()) -> DataFrame:
     """(class_id, id, place, n_words, kept, kept_id, kept_place): every occurrence of a paragraph that has others.
@@ -288,6 +379,9 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "te
     more = staged(_verified(rest, texts, rules), "paragraph-links")
     if not more.isEmpty():
         part = connected_components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    edited = staged(_edited(members, texts, part, rules), "paragraph-links")
+    if not edited.isEmpty():
+        part = connected_components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).union(edited))
     clustered = distinct.select("key", "first", "last").join(part.select(F.col("node").alias("key"), "component"), "key",
                                                            "left")
     alone = clustered.where("component is null and first != last").select("key", "first")

@@ -1,7 +1,8 @@
 import random
+from collections import Counter
 
-from pricetide.llm.paragraph_dedup import (ParagraphRules, edit_distance, jaccard, repeated_paragraphs, stage, tune_bands,
-                                           without_repeats)
+from pricetide.llm.paragraph_dedup import (ParagraphRules, edit_distance, jaccard, paragraphs, repeated_paragraphs, stage,
+                                           tune_bands, without_repeats)
 
 SCHEMA = "doc_id long, text string"
 
@@ -97,3 +98,33 @@ def test_edit_distance():
     for _ in range(300):
         a, b = ([rng.choice("abc") for _ in range(rng.randint(0, 80))] for _ in range(2))
         assert edit_distance(a, b) == slow(a, b)
+
+
+def test_edit_links_of_a_large_group(spark):
+    rng, rules = random.Random(11), ParagraphRules()
+    base = [f"w{i}" for i in range(100)]
+    lines = [base]
+    for c in range(2000):  # each is near the first line only, by edit distance but not by shingles
+        line = list(base)
+        for i in rng.sample(range(100), 15):
+            line[i] = f"x{c}n{i}"
+        lines.append(line)
+    df = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines)], SCHEMA)
+    bands = {r.id: r.bands for r in paragraphs(df, "doc_id", "text", rules).select("id", "bands").collect()}
+    label, by_band = list(range(len(lines))), {}
+    for i in sorted(bands):
+        for b in bands[i]:
+            by_band.setdefault(b, []).append(i)
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+    for i, j in sorted({(i, j) for m in by_band.values() for j in m for i in m if i < j}):
+        x, y = root(i), root(j)
+        if x != y and len({*lines[i]} & {*lines[j]}) >= 80 and edit_distance(lines[i], lines[j]) <= 20:
+            label[max(x, y)] = min(x, y)
+    want = {i: root(i) for i in bands}
+    sizes = Counter(want.values())
+    got = {r.doc_id: r.kept_id for r in repeated_paragraphs(df).collect()}
+    assert got == {i: r for i, r in want.items() if sizes[r] > 1} and len(got) > 300
