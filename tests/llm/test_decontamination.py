@@ -72,3 +72,21 @@ def test_odd_rows_and_stage(spark, tmp_path):
     out = stage(spark, df, str(tmp_path))
     assert out.columns == df.columns and {r.item_id for r in out.collect()} == {1, 2, 3, 5}
     assert without_leaks(df.limit(0), leaks).count() == 0 and benchmark_leaks(df, items.limit(0)).count() == 0
+
+
+def test_short_and_dense_items_in_any_context(spark):
+    rng = random.Random(6)
+    items = [(1, "Which of these rivers flows through the old town?"), (2, "Name the largest moon."),
+             (3, "Anna Maria walked home and then she slept all day"), (4, "In 1914 , 1918 , 1939 and 1945 at 3 4 5 6 7 8"),
+             (5, QUESTION), (6, "A boat leaves at 9 and arrives here by 12 today")]
+    docs = [(10 * i, f"{filler(rng, 9)} {t} {filler(rng, 9)}") for i, t in items]
+    docs += [(10 * i + 1, f"{filler(rng, 9)}. {t} {filler(rng, 9)}") for i, t in items]
+    docs += [(10 * i + 2, f"{filler(rng, 9)} Bob {t.upper()}") for i, t in items]
+    docs += [(10 * i + 3, f"{filler(rng, 9)} 12 {t}") for i, t in items]
+    docs += [(34, f"{filler(rng, 9)} Paul walked home and then she slept all day"),  # a name for a name
+             (44, f"{filler(rng, 9)} In 1914 , 1918 , 1939 and 1945 at 3 4 5 6 7 9"),  # one word is another
+             (24, f"{filler(rng, 9)} name the largest {filler(rng, 5)}"),
+             (64, f"{filler(rng, 9)} A boat leaves at 7 and arrives here by 11 today")]
+    got = found(spark, docs, items)
+    assert set(got) == {(10 * i + k, i) for i, _ in items for k in range(4)} | {(34, 3), (64, 6)}
+    assert got[64, 6].changed and not got[10, 1].changed and {r.n_places for r in got.values()} == {1}
