@@ -11,7 +11,7 @@ There are no labelled pages to train on, so the classifier's weights are fixed p
 
 Defined results: null or empty html, and pages without content, give an empty text.  ``<br>`` is white space.
 Unclosed tags end with their parent or, where the standard says so, at the next block.  Comments, scripts and styles
-that never end run to the end of the page.  A page of any length is read whole.  Repeated rows are treated alike and
+that never end run to the end of the page if HTML reads them as raw text; others drop nothing then.  A page of any length is read whole.  Repeated rows are treated alike and
 never merged.  Other columns pass through, but for ``text`` and ``n_chars``, which are replaced.  An empty table
 gives an empty result.
 """
@@ -29,14 +29,18 @@ from pyspark.sql import DataFrame
 from pricetide.llm.common import read_table
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|math|title|iframe|object|textarea|select)\b[^>]*>"
+    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|title|iframe|textarea)\b[^>]*>"
     r".*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|</?[a-zA-Z][^>]*>",
     re.S | re.I)
 _MARK = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
 _WORDS = re.compile(r"[A-Za-z][a-z]*")
 
-# Elements of HTML.
+# Elements of HTML.  The text of dropped ones goes up to their own end tag, that of MathML stays.
+DROPPED = frozenset("svg object select template annotation annotation-xml".split())
+MATHML = frozenset("math mi mn mo ms mspace mtext merror mfrac mmultiscripts mover mpadded mphantom mprescripts mroot mrow "
+                   "msqrt mstyle msub msubsup msup mtable mtd mtr munder munderover none semantics".split())
+_DROPPED = re.compile("<(?:" + "|".join(DROPPED) + r")\b", re.I)
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -104,6 +108,20 @@ class _Block:
         self.text, self.node, self.n_words, self.linked = text, node, n_words, linked
 
 
+def _dropped(tokens: list) -> dict[int, int]:
+    """The end tag of each dropped element that has one, by the place of its start tag."""
+    ends, opened = {}, {name: [] for name in DROPPED}
+    for k, m in enumerate(tokens):
+        name = (m[3] or "").lower()
+        if name in DROPPED:
+            if not m[2]:
+                if name != "svg" or not m[4].endswith("/"):
+                    opened[name].append(k)
+            elif opened[name]:
+                ends[opened[name].pop()] = k
+    return ends
+
+
 def blocks_of(html: str) -> list[_Block]:
     """The page's blocks, in order."""
     root = node = _Node("", None, "")
@@ -124,16 +142,26 @@ def blocks_of(html: str) -> list[_Block]:
         if raw and not node.skip:
             parts.append((unescape(raw), node.linked))
 
-    for m in _TOKEN.finditer(html):
+    tokens = list(_TOKEN.finditer(html))
+    ends, last = _dropped(tokens) if _DROPPED.search(html) else {}, -1
+    for k, m in enumerate(tokens):
+        if k <= last:
+            at = m.end()
+            continue
         if m.start() > at:
             text(html[at:m.start()])
         at = m.end()
         name = m[3]
         if name is None:
-            if m[1] and m[1].lower() in ("title", "iframe", "object", "textarea", "select"):
+            if m[1] and m[1].lower() in ("title", "iframe", "textarea"):
                 flush()
             continue
         tag = name.lower()
+        if tag in DROPPED or tag in MATHML:
+            last = ends.get(k, -1)
+            if tag in ("object", "select"):
+                flush()
+            continue
         if m[2]:
             target = node
             while target is not root and target.tag != tag:

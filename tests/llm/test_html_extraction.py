@@ -55,3 +55,14 @@ def test_odd_rows_and_columns(spark):
     assert found[6].startswith("a < b and c > d") and found[8].startswith("A paragraph far down")
     assert got.count() == len(rows) and all(r.n_chars == len(r.text) for r in got.collect())
     assert extract_pages(spark.createDataFrame([], "page_id long, html string")).count() == 0
+
+
+def test_drawings_and_formulas_leave_the_article():
+    one = "One is a sentence that is long enough to be read as the content of a page, is it not."
+    two = one.replace("One", "Two")
+    for mark in ('<svg class="i"/>', "<math/>", "<svg><path d='M0'/><text>no</text></svg>", "<svg><svg>no</svg>no</svg>",
+                 "<select><option>no</select>", "<template><p>no</template>", "<object>", "<svg>", "<SVG viewBox='0' />"):
+        assert main_text(f"<article><p>{one}</p>{mark}<p>{two}</p></article>") == f"{one}\n{two}", mark
+    formula = ("<math><semantics><mrow><mi>a</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding='tex'>no</annotation>"
+               "</semantics></math>")
+    assert main_text(f"<article><p>{one} {formula} holds <svg/>here.</p></article>") == f"{one} a=2 holds here."
