@@ -32,9 +32,11 @@ def tombstones(skus: DataFrame) -> DataFrame:
 def latest_valid(log: DataFrame, as_of: Column) -> DataFrame:
     """The newest write per SKU and feature up to ``as_of``, if it has not expired or been deleted.
 
-    A maximum, so a SKU with any number of writes combines before the shuffle.
+    A maximum, so a SKU with any number of writes combines before the shuffle.  A deletion comes after a write of the
+    same event.
     """
-    row = F.max_by(F.struct("value", "event_ts", "ttl_seconds"), F.struct("event_ts", "event_id")).alias("_r")
+    row = F.max_by(F.struct("value", "event_ts", "ttl_seconds"), F.struct(
+        "event_ts", "event_id", F.col("value").isNull().alias("deleted"))).alias("_r")
     newest = log.filter(F.col("event_ts") <= as_of).groupBy("sku_id", "feature").agg(row).select(
         "sku_id", "feature", "_r.*")
     return newest.filter(F.col("value").isNotNull() & (_until() > F.unix_micros(as_of)))

@@ -1,11 +1,14 @@
+import os
 from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import oracle_sql, queries
 from pricetide.operators import drift
 from pricetide.operators import feature_store as FS
+from tests.harness import compare, duck
 
 T0 = datetime(2024, 1, 1)
 LOG = "sku_id string, feature string, value double, event_ts timestamp, ttl_seconds int, event_id long"
@@ -90,3 +93,16 @@ def test_psi(spark):
     assert same["psi"] < 0.001 and not same["alert"]
     got = drift.psi(frame(base), frame(moved), "x").first()
     assert got["alert"] and got["psi"] == pytest.approx(numpy_psi(base, moved))
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables here")
+@pytest.mark.parametrize("name", ["psi_all_rows", "feature_invalidate_all_writes"])
+def test_no_rows_left_out(spark, name):
+    folder = "/root/testdata/sf0.001"
+    assert compare(queries()[name](spark, folder), duck(folder), oracle_sql()[name]) is None
+
+
+def test_deletion_beats_write_of_its_event(spark):
+    rows = [("a", "inventory_ratio", 1.0, T0, 60, 7), ("a", "inventory_ratio", None, T0, 0, 7)]
+    for order in (rows, rows[::-1]):
+        assert FS.latest_valid(spark.createDataFrame(order, LOG).coalesce(1), at(1)).count() == 0
