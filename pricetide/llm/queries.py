@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pricetide.llm import (bpe, decontamination, html_extraction, interpolation, paragraph_dedup, quality_rules, quote_linking, simhash,
-                           token_files, url_filters)
+from pricetide.llm import (bpe, decontamination, html_extraction, interpolation, license_scans, paragraph_dedup, prefix_trie,
+                           quality_rules, quote_linking, simhash, source_divergence, token_files, url_filters)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1,
@@ -16,9 +16,15 @@ QUERIES = {
     "op8_benchmark_decontamination": decontamination.op8,
     "op9_byte_level_bpe": bpe.op9,
     "op10_url_filters": url_filters.op10,
+    "op11_license_scans": license_scans.op11,
+    "op12_source_divergence": source_divergence.op12,
+    "op13_prefix_trie": prefix_trie.op13,
 }
 ORACLES = {
     "op1_quality_rules": quality_rules.quality_sql(),
     "op3_quotation_linking": quote_linking.quote_sql(),
     "op10_url_filters": url_filters.url_sql(),
+    "op11_license_scans": license_scans.license_sql(),
+    "op12_source_divergence": source_divergence.divergence_sql(),
+    "op13_prefix_trie": prefix_trie.trie_sql(),
 }
