@@ -1,10 +1,16 @@
 """Substring dedup: repeated paragraphs found by MinHash banding.
 
-A paragraph is a line of at least ``min_words`` words, lower-cased (A-Z) and joined by single blanks.  Equal paragraphs
-meet first, by a 128-bit hash.  Each different one gets MinHash values over its five-word shingles, cut into bands
-that are tuned for the wanted recall; paragraphs that share a band are joined, checked by exact Jaccard similarity or by
-edit distance (at most a fifth of the words changed), and clustered by connected components.  The first paragraph of a cluster (least document id, then place) stays, all other
-occurrences go.
+A text's words, lower-cased (A-Z), are cut into paragraphs at places that depend on the words around them alone: before a
+word whose hash with the next one is the least among ``reach`` words on either side.  So a passage that stands in two
+texts is cut alike in both, wherever lines end and whatever stands around it, and of 50 words or more it holds a whole
+paragraph (13 words on average).  Each paragraph gets MinHash values over its five-word shingles, cut into bands that
+are tuned for the wanted recall; paragraphs that share a band are joined, checked by exact Jaccard similarity or by
+edit distance (at most a fifth of the words changed), and clustered by connected components.  The first paragraph of
+a cluster (least document id, then place) stays, all other occurrences go.
+
+One exchange finds the bands that hold more than one occurrence; a task sends a paragraph that it meets again and again
+only twice.  Equal paragraphs have equal bands, and are told from others by a 128-bit key.  Words are shuffled only
+for paragraphs in bands of different ones.
 
 Pairs within a band are not all listed: every paragraph is first checked against the least and the greatest of its
 band.  Colliding paragraphs that are still in different components meet again only if they share one of their rarest
@@ -13,40 +19,48 @@ compared whole, block against block: the words that two paragraphs share bound t
 lets through is measured.  So no link between paragraphs of a band is lost; only bands of many paragraphs that are not
 alike cost the square of their size, in products of matrices.
 
-Defined results: null, blank and short texts have no paragraphs and pass as they are.  Documents with a null id are
-neither compared nor changed.  Rows that share an id count as one document: equal paragraphs at one place of such rows
-stay or go together.  Ties in length or similarity do not matter, order is by id and place alone.  An empty table
-gives an empty result.  Other columns pass through.
+Defined results: null, blank and short texts (under ``min_words`` words) have no paragraphs and pass as they are.
+Documents with a null id are neither compared nor changed.  Rows that share an id count as one document: equal
+paragraphs at one place of such rows stay or go together.  Ties in length or similarity do not matter, order is by id
+and place alone.  A text without any such place, as one word over and over, is one paragraph.  An empty table gives an
+empty result.  Other columns pass through.
 """
 
 from __future__ import annotations
 
 import math
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricetide.llm.chunks import slices
 from pricetide.llm.common import bitmap_of, free_prefix, in_bitmap, read_table, staged
 from pricetide.llm.components import connected_components
 
 SLOTS = 1 << 18
-BLOCK_BYTES = 400_000
+BLOCK_ROWS = 800
 COLUMNS = 4096
+SLICE_BYTES = 2_000_000
+SEEN = 1 << 18
 _M = np.uint64(0x9E3779B97F4A7C15)
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 @dataclass(frozen=True)
 class ParagraphRules:
-    min_words: int = 30
+    reach: int = 6
+    min_words: int = 7
     shingle: int = 5
     similarity: float = 0.8
-    recall: float = 0.999
-    max_hashes: int = 32
+    recall: float = 0.95
+    max_hashes: int = 6
 
 
 def tune_bands(similarity: float, recall: float, max_hashes: int) -> tuple[int, int]:
@@ -59,43 +73,98 @@ def tune_bands(similarity: float, recall: float, max_hashes: int) -> tuple[int,
     raise ValueError("no bands reach this recall with so few hashes")
 
 
-def long_lines(text: bytes | None, min_words: int):
-    """(place, words) of each paragraph of a UTF-8 text."""
-    for place, line in enumerate((text or b"").split(b"\n")):
-        words = line.lower().split()
-        if len(words) >= min_words:
-            yield place, words
-
-
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * _M
     return h ^ (h >> np.uint64(29))
 
 
-def _key(words: list[bytes]) -> bytes:
-    return xxhash.xxh3_128_digest(b" ".join(words))
-
-
-def _band_values(lines: list[list[bytes]], shingle: int, bands: int, rows: int) -> np.ndarray:
+class _Hashes(dict):
+    """64-bit hashes of words; starts anew when it has grown."""
+
+    def __missing__(self, word):
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+_HASHES = _Hashes()
+
+
+@dataclass
+class _Pieces:
+    """The paragraphs of a few texts: of each its text's number, first word, length, and key (two rows of numbers)."""
+    words: list[list[bytes]]
+    hashes: np.ndarray
+    first: np.ndarray  # in the words of all texts
+    text: np.ndarray
+    place: np.ndarray
+    n: np.ndarray
+    key: np.ndarray
+
+    def short(self) -> np.ndarray:
+        return self.key[0].view(np.int64)
+
+    def keys(self) -> list[bytes]:
+        raw = np.ascontiguousarray(self.key.T.astype(">u8")).tobytes()
+        return [raw[i:i + 16] for i in range(0, len(raw), 16)]
+
+    def line(self, i: int) -> bytes:
+        return b" ".join(self.words[self.text[i]][self.place[i]:self.place[i] + self.n[i]])
+
+
+def cut_texts(texts: list[bytes | None], rules: ParagraphRules) -> _Pieces:
+    """The paragraphs of UTF-8 texts."""
+    if len(_HASHES) > 200_000:
+        _HASHES.clear()
+    words = [(t or b"").lower().split() for t in texts]
+    counts = np.array([len(w) for w in words], np.int64)
+    total = int(counts.sum())
+    h = np.fromiter((v for w in words for v in map(_HASHES.__getitem__, w)), np.uint64, total)
+    doc = np.repeat(np.arange(len(words)), counts)
+    starts = np.cumsum(counts) - counts
+    # Pairs of neighbouring words, with room between texts that no pair can be less than.
+    r, top = rules.reach, np.uint64(0xFFFFFFFFFFFFFFFF)
+    pair = np.full(total + r * (len(words) + 1), top)
+    at = np.arange(total) + r * (doc + 1)
+    following = np.append(h[1:], np.uint64(0))
+    if total:
+        following[(starts + counts - 1)[counts > 0]] = 0
+    pair[at] = _mix(h * _M + following)
+    least = np.full(total, r > 0)  # without reach a text is one paragraph
+    own = pair[at]
+    for k in range(1, r + 1):
+        least &= (own < pair[at - k]) & (own <= pair[at + k])
+    least[starts[counts > 0]] = True
+    first = np.flatnonzero(least)
+    n = np.diff(np.append(first, total))
+    keep = n >= rules.min_words
+    # Keys of 128 bits from the words and their places.
+    if total:
+        inside = (np.arange(total) - np.repeat(first, n)).astype(np.uint64)
+        lanes = [_mix(np.add.reduceat(_mix(h * np.uint64(odd) + inside * np.uint64(step)), first) + n.astype(np.uint64))
+                 for odd, step in ((0xBF58476D1CE4E5B9, 0x94D049BB133111EB), (0xD6E8FEB86659FD93, 0xA0761D6478BD642F))]
+    else:
+        lanes = [np.empty(0, np.uint64)] * 2
+    first, n = first[keep], n[keep]
+    return _Pieces(words, h, first, doc[first], first - starts[doc[first]], n, np.array([x[keep] for x in lanes]))
+
+
+def band_values(pieces: _Pieces, rules: ParagraphRules) -> np.ndarray:
     """One row per paragraph, one column per band."""
-    counts = np.array([len(w) for w in lines])
-    h = np.fromiter((xxhash.xxh3_64_intdigest(w) for words in lines for w in words), np.uint64, int(counts.sum()))
-    rolled = h.copy()  # a polynomial over a word and the next ones; what crosses the end of a line is cut off
-    for k in range(1, shingle):
-        rolled[:-k] = rolled[:-k] * _M + h[k:]
-    rolled = _mix(rolled)
-    ends = np.cumsum(counts)
-    keep = np.ones(len(h), bool)
-    for k in range(1, shingle):
-        keep[ends - k] = False
-    rolled = rolled[keep]
-    starts = np.concatenate([[0], np.cumsum(counts - shingle + 1)[:-1]])
-    out = np.empty((len(lines), bands), np.uint64)
+    bands, rows = tune_bands(rules.similarity, rules.recall, rules.max_hashes)
+    out = np.empty((len(pieces.n), bands), np.uint64)
+    if not len(out):
+        return out
+    rolled, size = pieces.hashes.copy(), rules.shingle
+    for k in range(1, size):  # a polynomial over a word and the next ones
+        rolled[:-k] = rolled[:-k] * _M + pieces.hashes[k:]
+    shingles = np.maximum(pieces.n - size + 1, 1)  # what crosses a paragraph's end is left out
+    at = np.repeat(pieces.first - (np.cumsum(shingles) - shingles), shingles) + np.arange(int(shingles.sum()))
+    rolled, starts = _mix(rolled[at]), np.cumsum(shingles) - shingles
     rng = np.random.default_rng(7)
     odd = rng.integers(0, 1 << 63, bands * rows, np.uint64) * np.uint64(2) + np.uint64(1)
     add = rng.integers(0, 1 << 63, bands * rows, np.uint64)
     for b in range(bands):
-        value = np.full(len(lines), np.uint64(b + 1))
+        value = np.full(len(out), np.uint64(b + 1))
         for i in range(b * rows, (b + 1) * rows):
             value = _mix(value * _M + np.minimum.reduceat(rolled * odd[i] + add[i], starts))
         out[:, b] = value
@@ -106,52 +175,74 @@ def _texts(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text).alias("text"))
 
 
-def paragraphs(docs: DataFrame, id_col: str, text: str, rules: ParagraphRules) -> DataFrame:
-    """(id, place, n_words, key, bands) of every paragraph."""
-    bands, rows = tune_bands(rules.similarity, rules.recall, rules.max_hashes)
-    source = _texts(docs, id_col, text)
-    id_type = source.schema["id"].dataType.simpleString()
+def _slices(batches, column: int) -> Iterator[tuple]:
+    """(batch, first row, texts) of a few texts at a time."""
+    for batch in batches:
+        texts = [t.as_py() for t in batch.column(column).cast(pa.binary())]
+        for a, b in slices([len(t or b"") for t in texts], SLICE_BYTES):
+            yield batch, a, texts[a:b]
 
+
+def shared_bands(docs: DataFrame, id_col: str, text: str, rules: ParagraphRules) -> DataFrame:
+    """(band, short, mixed): paragraphs of every band that more than one occurrence has; ``short`` is the first half
+    of the key, ``mixed`` tells that the band has different ones."""
     def run(batches):
-        for batch in batches:
-            at, places, lines = [], [], []
-            for i, t in enumerate(batch.column(1).cast(pa.binary())):
-                for place, words in long_lines(t.as_py(), rules.min_words):
-                    at.append(i)
-                    places.append(place)
-                    lines.append(words)
-            if lines:
-                values = _band_values(lines, rules.shingle, bands, rows).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(at)), pa.array(places, pa.int32()),
-                     pa.array([len(w) for w in lines], pa.int32()), pa.array([_key(w) for w in lines], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(np.arange(len(lines) + 1, dtype=np.int32) * bands),
-                                              pa.array(values.ravel()))],
-                    names=["id", "place", "n_words", "key", "bands"])
-
-    return source.mapInArrow(run, f"id {id_type}, place int, n_words int, key binary, bands array<bigint>")
-
-
-def _texts_of(docs: DataFrame, keys: DataFrame, id_col: str, text: str, rules: ParagraphRules) -> DataFrame:
-    """(key, words): the paragraphs of the given keys, read from the documents again.
-
-    The bitmap keeps most others from being shuffled; when it fills up, more of them are, and the join still decides.
+        seen: dict[int, int] = {}  # how often this task has sent what it met more than once
+        for _, _, texts in _slices(batches, 1):
+            pieces = cut_texts(texts, rules)
+            values = band_values(pieces, rules).view(np.int64)
+            short, at, n = np.unique(pieces.short(), return_index=True, return_counts=True)
+            send = np.array([seen.get(s, 0) < 2 for s in short.tolist()], bool)
+            short, at, n = short[send], at[send], n[send]
+            for s in short[n > 1].tolist():
+                seen[s] = 2
+            for s in short[n == 1].tolist():
+                seen[s] = seen.get(s, 0) + 1
+            if len(seen) > SEEN:  # keep what came again
+                seen = {s: k for s, k in seen.items() if k > 1}
+                seen = seen if len(seen) < SEEN // 2 else {}
+            bands = values.shape[1]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values[at].ravel()), pa.array(np.repeat(short, bands)),
+                 pa.array(np.repeat(np.minimum(n, 2), bands).astype(np.int32))], names=["band", "short", "n"])
+
+    rows = _texts(docs, id_col, text).mapInArrow(run, "band bigint, short bigint, n int")
+    of_band = Window.partitionBy("band")
+    return rows.select("*", F.min("short").over(of_band).alias("lo"), F.max("short").over(of_band).alias("hi"),
+                       F.sum("n").over(of_band).alias("all")).where("all > 1").select(
+        "band", "short", F.expr("lo != hi").alias("mixed")).distinct()
+
+
+def occurrences(docs: DataFrame, groups: DataFrame, id_col: str, text: str, rules: ParagraphRules) -> DataFrame:
+    """(id, place, n_words, key, short, words) of the paragraphs in ``groups``; words where the band is mixed, once
+    per few texts.
+
+    The bitmaps keep most others from being shuffled; when they fill up, more of them are, and the join still decides.
     """
-    bitmap = bitmap_of(keys.select(F.conv(F.substring(F.hex("key"), 9, 8), 16, 10).cast("long").alias("bits")), "bits")
+    every, mixed = bitmap_of(groups, "short"), bitmap_of(groups.where("mixed"), "short")
+    source = _texts(docs, id_col, text)
+    id_type = source.schema["id"].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
-            seen = {}
-            for t in batch.column(1).cast(pa.binary()):
-                for _, words in long_lines(t.as_py(), rules.min_words):
-                    key = _key(words)
-                    if key not in seen and in_bitmap(bitmap, np.array([int.from_bytes(key[4:8], "big")]))[0]:
-                        seen[key] = b" ".join(words)
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()),
-                                              pa.array(list(seen.values()), pa.binary())], names=["key", "words"])
+        for batch, a, texts in _slices(batches, 1):
+            pieces = cut_texts(texts, rules)
+            hits = np.flatnonzero(in_bitmap(every, pieces.short()))
+            with_words = in_bitmap(mixed, pieces.short())
+            keys, told = pieces.keys(), set()
+            words: list[bytes | None] = []
+            for i in hits.tolist():
+                new = bool(with_words[i]) and keys[i] not in told
+                words.append(pieces.line(i) if new else None)
+                if new:
+                    told.add(keys[i])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(pieces.text[hits] + a)), pa.array(pieces.place[hits], pa.int32()),
+                 pa.array(pieces.n[hits], pa.int32()), pa.array([keys[i] for i in hits.tolist()], pa.binary()),
+                 pa.array(pieces.short()[hits]), pa.array(words, pa.binary())],
+                names=["id", "place", "n_words", "key", "short", "words"])
 
-    found = _texts(docs, id_col, text).mapInArrow(run, "key binary, words binary")
-    return found.groupBy("key").agg(F.first("words").alias("words")).join(keys, "key", "left_semi")
+    found = source.mapInArrow(run, f"id {id_type}, place int, n_words int, key binary, short bigint, words binary")
+    return found.join(groups.select("short").distinct(), "short", "left_semi")
 
 
 def jaccard(a: bytes, b: bytes, shingle: int) -> float:
@@ -292,9 +383,9 @@ def _block_links(group: list[tuple], rules: ParagraphRules):
     """(key, key) of links by edit distance among (key, component, side, words); only pairs of both sides are compared
     if there are two.  What is linked already, here or before, is not measured again."""
     lines = [g[3].split() for g in group]
-    n = np.array([len(x) for x in lines])
+    n = np.array([len(x) for x in lines], np.float32)
     longest = np.maximum.outer(n, n)
-    most = (1 - rules.similarity) * longest + 1e-9
+    most = np.float32(1 - rules.similarity) * longest + np.float32(1e-4)
     near = np.triu(longest - _shared_words(lines) <= most, 1)
     sides = np.array([g[2] for g in group])
     if sides.min() != sides.max():
@@ -316,7 +407,7 @@ def _block_links(group: list[tuple], rules: ParagraphRules):
 def _edited(members: DataFrame, texts: DataFrame, part: DataFrame, rules: ParagraphRules) -> DataFrame:
     """(a, b): links by edit distance between all colliding paragraphs of different components.
 
-    A band is dealt into blocks of about ``BLOCK_BYTES``, and every two blocks meet in a group of their own, so that no
+    A band is dealt into blocks of about ``BLOCK_ROWS``, and every two blocks meet in a group of their own, so that no
     task holds a whole band.
     """
     labelled = staged(members.join(part.select(F.col("node").alias("key"), "component"), "key", "left").select(
@@ -324,7 +415,7 @@ def _edited(members: DataFrame, texts: DataFrame, part: DataFrame, rules: Paragr
     mixed = labelled.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where(
         "x != y").select("band")
     rows = staged(labelled.join(mixed, "band").join(texts, "key"), "mixed-bands")
-    blocks = rows.groupBy("band").agg(F.ceil(F.sum(F.length("words")) / BLOCK_BYTES).alias("blocks"))
+    blocks = rows.groupBy("band").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("blocks"))
     block = F.pmod(F.xxhash64("key"), F.col("blocks"))
     dealt = rows.join(staged(blocks, "blocks-of-bands"), "band").withColumn("block", block).select(
         "band", "key", "component", "words", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias(
@@ -355,20 +446,17 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "te
                         rules: ParagraphRules = ParagraphRules()) -> DataFrame:
     """(class_id, id, place, n_words, kept, kept_id, kept_place): every occurrence of a paragraph that has others.
 
-    ``kept`` marks the occurrence that stays, ``kept_id`` and ``kept_place`` name it.
+    ``place`` is the number of its first word in the text, from 0; ``kept`` marks the occurrence that stays,
+    ``kept_id`` and ``kept_place`` name it.
     """
-    found = staged(paragraphs(docs, id_col, text, rules), "paragraphs")
+    groups = staged(shared_bands(docs, id_col, text, rules), "shared-bands")
+    found = staged(occurrences(docs, groups, id_col, text, rules), "occurrences")
     distinct = staged(found.groupBy("key").agg(
         F.min(F.struct("id", "place")).alias("first"), F.max(F.struct("id", "place")).alias("last"),
-        F.first("bands").alias("bands")),
-        "distinct-paragraphs")
-    rows = distinct.select("key", F.explode("bands").alias("band"))
-    # The first eight bytes are enough to see that a band holds more than one paragraph.
-    short = F.conv(F.substring(F.hex("key"), 1, 15), 16, 10).cast("long")
-    shared = rows.select("band", short.alias("s")).groupBy("band").agg(
-        F.min("s").alias("x"), F.max("s").alias("y")).where("x != y").select("band")
-    members = staged(rows.join(shared, "band"), "colliding-paragraphs")
-    texts = staged(_texts_of(docs, members.select("key").distinct(), id_col, text, rules), "colliding-texts")
+        F.first("short").alias("short"), F.first("words", ignorenulls=True).alias("words")), "distinct-paragraphs")
+    texts = distinct.where("words is not null").select("key", "words")
+    members = staged(groups.where("mixed").select("band", "short").join(
+        distinct.where("words is not null").select("key", "short"), "short").select("band", "key"), "colliding-paragraphs")
     ends = members.groupBy("band").agg(F.min("key").alias("x"), F.max("key").alias("y"))
     stars = members.join(staged(ends, "ends-of-bands"), "band").select(
         F.explode(F.array("x", "y")).alias("end"), "key").where("end != key")
@@ -389,12 +477,13 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "te
     of_class = grouped.groupBy("component").agg(F.min("first").alias("of_class"))
     label = alone.union(grouped.join(of_class, "component").select("key", F.col("of_class").alias("first")))
     kept = (F.col("id") == F.col("first.id")) & (F.col("place") == F.col("first.place"))
-    return found.join(staged(label, "paragraph-classes"), "key").select(
+    return found.select("id", "place", "n_words", "key").join(staged(label, "paragraph-classes"), "key").select(
         F.concat_ws(":", "first.id", "first.place").alias("class_id"), F.col("id").alias(id_col), "place", "n_words",
         kept.alias("kept"), F.col("first.id").alias("kept_id"), F.col("first.place").alias("kept_place"), "key")
 
 
-def without_repeats(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text: str = "text",
+                    rules: ParagraphRules = ParagraphRules()) -> DataFrame:
     """``docs`` with the paragraphs that go cut out of their texts; ``found`` is from ``repeated_paragraphs``."""
     p = free_prefix(docs)
     gone = found.where("not kept").select(F.col(id_col).alias(p + "id"), "place", "key").distinct().groupBy(
@@ -403,7 +492,7 @@ def without_repeats(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", t
 
     @F.pandas_udf("string")
     def cut(texts, gones):
-        return pd.Series([_cut(t, g) for t, g in zip(texts, gones)])
+        return pd.Series([_cut(t, g, rules) for t, g in zip(texts, gones)])
 
     changed = F.when(F.col(p + "gone").isNotNull(), F.lit(True))
     columns = [F.when(changed, cut(F.col(text), F.col(p + "gone"))).otherwise(F.col(text)).alias(c) if c == text
@@ -411,13 +500,19 @@ def without_repeats(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", t
     return joined.select(*columns)
 
 
-def _cut(text, gone):
+def _cut(text, gone, rules):
+    """The text without the paragraphs that go; white space before the first word of each goes with it."""
     if text is None or gone is None:
         return text
-    lines, where = text.split("\n"), {(g["place"], bytes(g["key"])) for g in gone}
-    places = {p for p, _ in where}
-    return "\n".join(x for i, x in enumerate(lines) if not (
-        i in places and (i, _key(x.encode().lower().split())) in where))
+    raw, where = text.encode(), {(g["place"], bytes(g["key"])) for g in gone}
+    pieces = cut_texts([raw], rules)
+    spans = [m.span() for m in _WORD.finditer(raw)]
+    out, at = [], 0
+    for place, n, key in zip(pieces.place.tolist(), pieces.n.tolist(), pieces.keys()):
+        if (place, key) in where:
+            out.append(raw[at:spans[place - 1][1] if place else 0])
+            at = spans[place + n - 1][1]
+    return b"".join([*out, raw[at:]]).decode()
 
 
 def op5(spark, folder: str) -> DataFrame:

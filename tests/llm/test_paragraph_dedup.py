@@ -1,8 +1,11 @@
 import random
 from collections import Counter
 
-from pricetide.llm.paragraph_dedup import (ParagraphRules, edit_distance, jaccard, paragraphs, repeated_paragraphs, stage,
-                                           tune_bands, without_repeats)
+import numpy as np
+import xxhash
+
+from pricetide.llm.paragraph_dedup import (_M, ParagraphRules, _block_links, _mix, band_values, cut_texts, edit_distance,
+                                           repeated_paragraphs, stage, tune_bands, without_repeats)
 
 SCHEMA = "doc_id long, text string"
 
@@ -27,19 +30,29 @@ def documents(rng):
         rows.append((200 + i, f"{base}\n{prose(rng, 40)}"))
         base = changed(rng, base, 2)
     rows += [(300, None), (301, ""), (302, "short line\nshort line"), (None, shared), (None, shared), (303, rows[0][1]),
-             (304, f"{shared}\n{shared}"), rows[3], (305, " ".join(["same"] * 5000))]
+             (304, f"{shared}\n{shared}"), rows[3], (305, " ".join(["same"] * 5000)), (306, " ".join(["same"] * 5000))]
     return rows
 
 
+def cuts(text):
+    """(place, words) of a text's paragraphs, told word by word."""
+    rules, words = ParagraphRules(), (text or "").lower().encode().split()
+    h = [xxhash.xxh3_64_intdigest(w) for w in words] + [0]
+    pair = [int(_mix(np.array([h[i]], np.uint64) * _M + np.uint64(h[i + 1]))[0]) for i in range(len(words))]
+    starts = [i for i in range(len(words)) if not i or all(
+        pair[i] < pair[j] if j < i else pair[i] <= pair[j]
+        for j in range(max(0, i - rules.reach), min(len(words), i + rules.reach + 1)) if j != i)]
+    return [(a, words[a:b]) for a, b in zip(starts, [*starts[1:], len(words)]) if b - a >= rules.min_words]
+
+
 def brute(rows, rules):
-    """The place that stays, for each repeated place."""
-    items = {}
-    for d, t in rows:
-        for place, line in enumerate((t or "").split("\n")):
-            words = line.lower().encode().split()
-            if d is not None and len(words) >= rules.min_words:
-                items[d, place] = b" ".join(words)
+    """(least, all of its class) of every repeated place; links are those of paragraphs that share a band."""
+    items = {(d, place): b" ".join(words) for d, t in rows if d is not None for place, words in cuts(t)}
     keys = sorted(items)
+    bands = {}
+    for k in keys:
+        pieces = cut_texts([items[k]], ParagraphRules(reach=0))
+        bands[k] = set(band_values(pieces, rules)[0].tolist())
     label = {k: k for k in keys}
 
     def root(k):
@@ -48,33 +61,61 @@ def brute(rows, rules):
         return k
     for i, a in enumerate(keys):
         for b in keys[:i]:
-            if root(a) != root(b) and jaccard(items[a], items[b], rules.shingle) >= rules.similarity:
-                label[max(root(a), root(b))] = min(root(a), root(b))
+            if bands[a] & bands[b] and root(a) != root(b):
+                x, y = items[a].split(), items[b].split()
+                if shingle_share(x, y, rules.shingle) >= rules.similarity or \
+                        edit_distance(x, y) <= (1 - rules.similarity) * max(len(x), len(y)) + 1e-9:
+                    label[max(root(a), root(b))] = min(root(a), root(b))
     groups = {}
     for k in keys:
         groups.setdefault(root(k), []).append(k)
     return {k: r for r, g in groups.items() if len(g) > 1 for k in g}
 
 
-def test_against_all_pairs(spark):
+def shingle_share(x, y, n):
+    x, y = ({tuple(w[i:i + n]) for i in range(len(w) - n + 1)} for w in (x, y))
+    return len(x & y) / len(x | y)
+
+
+def test_cuts_and_bands_against_all_pairs(spark):
     rows, rules = documents(random.Random(8)), ParagraphRules()
+    texts = [None if t is None else t.encode() for _, t in rows]
+    pieces = cut_texts(texts, rules)
+    assert [(i, p, w) for i, (_, t) in enumerate(rows) for p, w in cuts(t)] == [
+        (i, p, pieces.words[i][p:p + n]) for i, p, n in zip(pieces.text.tolist(), pieces.place.tolist(), pieces.n.tolist())]
     got = repeated_paragraphs(spark.createDataFrame(rows, SCHEMA)).collect()
-    want = brute(rows, rules)
-    assert {(r.doc_id, r.place): (r.kept_id, r.kept_place) for r in got} == want
+    assert {(r.doc_id, r.place): (r.kept_id, r.kept_place) for r in got} == brute(rows, rules)
     assert all(r.kept == ((r.doc_id, r.place) == (r.kept_id, r.kept_place)) for r in got)
-    assert len({want[k] for k in want if k[0] is not None and 200 <= k[0] < 300}) < 6
+
+
+def test_passages_of_fifty_words_are_found_wherever_they_stand(spark):
+    rng, rows, planted = random.Random(21), [], set()
+    for i in range(150):
+        passage = prose(rng, rng.randint(51, 90)).split()
+        for j in range(2):  # inside a line, over short lines, at the start or the end
+            before, after = prose(rng, rng.choice([0, 3, 90])), prose(rng, rng.choice([0, 3, 90]))
+            lines = " ".join(passage) if rng.random() < 0.5 else "\n".join(
+                " ".join(passage[k:k + 8]) for k in range(0, len(passage), 8))
+            rows.append((2 * i + j, f"{before} {lines.upper() if rng.random() < 0.3 else lines} {after}"))
+            planted.add(2 * i + j)
+    rows += [(1000 + i, prose(rng, 300)) for i in range(150)]
+    got = {r.doc_id for r in repeated_paragraphs(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got <= planted and len(got) >= 0.97 * len(planted)
 
 
 def test_texts_lose_all_but_the_first(spark):
     rng = random.Random(1)
-    line, near = prose(rng, 60), prose(rng, 100)
-    rows = [(1, f"intro\n{line}\nend", "a"), (2, f"{line}\n{near}\nrest", "b"), (3, changed(rng, near, 1), "c"),
-            (4, None, "d"), (None, line, "e"), (5, f"{line}\n{line}", "f")]
+    shared = prose(rng, 90)
+    rows = [(1, f"intro É\n{shared}\nend", "a"), (2, f"{prose(rng, 60)} {shared}", "b"), (4, None, "d"), (None, shared, "e"),
+            (5, f"\t{shared.upper()}\n\n{shared}", "f"), (6, prose(rng, 40), "g")]
     df = spark.createDataFrame(rows, SCHEMA + ", place string")
     out = stage(spark, df, "")
     assert out.columns == df.columns
     got = {r.place: r.text for r in out.collect()}
-    assert got == {"a": rows[0][1], "b": f"{near}\nrest", "c": "", "d": None, "e": line, "f": ""}
+    assert all(got[k] == t for _, t, k in rows if k in "adeg")
+    left = {k: len(got[k].split()) for k in "bf"}
+    assert left["b"] < 60 + 40 and left["f"] < 2 * 40 and got["b"].startswith(rows[1][1][:200])
+    assert all(w in rows[1][1].split() for w in got["b"].split())
     empty = df.limit(0)
     assert without_repeats(empty, repeated_paragraphs(empty)).count() == 0
 
@@ -101,19 +142,20 @@ def test_edit_distance():
 
 
 def test_edit_links_of_a_large_group(spark):
-    rng, rules = random.Random(11), ParagraphRules()
+    rng, rules = random.Random(11), ParagraphRules(reach=0)  # no places to cut: a text is one paragraph
     base = [f"w{i}" for i in range(100)]
     lines = [base]
-    for c in range(2000):  # each is near the first line only, by edit distance but not by shingles
+    for c in range(1500):  # each is near the first line only, by edit distance but not by shingles
         line = list(base)
         for i in rng.sample(range(100), 15):
             line[i] = f"x{c}n{i}"
         lines.append(line)
     df = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines)], SCHEMA)
-    bands = {r.id: r.bands for r in paragraphs(df, "doc_id", "text", rules).select("id", "bands").collect()}
+    pieces = cut_texts([" ".join(x).encode() for x in lines], rules)
+    assert pieces.n.tolist() == [100] * len(lines)
     label, by_band = list(range(len(lines))), {}
-    for i in sorted(bands):
-        for b in bands[i]:
+    for i, values in enumerate(band_values(pieces, rules).tolist()):
+        for b in values:
             by_band.setdefault(b, []).append(i)
 
     def root(i):
@@ -124,7 +166,16 @@ def test_edit_links_of_a_large_group(spark):
         x, y = root(i), root(j)
         if x != y and len({*lines[i]} & {*lines[j]}) >= 80 and edit_distance(lines[i], lines[j]) <= 20:
             label[max(x, y)] = min(x, y)
-    want = {i: root(i) for i in bands}
+    want = {i: root(i) for i in range(len(lines))}
     sizes = Counter(want.values())
-    got = {r.doc_id: r.kept_id for r in repeated_paragraphs(df).collect()}
-    assert got == {i: r for i, r in want.items() if sizes[r] > 1} and len(got) > 300
+    got = {r.doc_id: r.kept_id for r in repeated_paragraphs(df, rules=rules).collect()}
+    assert got == {i: r for i, r in want.items() if sizes[r] > 1} and len(got) >= 150
+
+
+def test_blocks_compare_both_sides_only():
+    rules = ParagraphRules()
+    line = b"a b c d e f g h i j"
+    near = line.replace(b"j", b"k")
+    group = [(b"1", 1, True, line), (b"2", 2, True, near), (b"3", 3, False, line.replace(b"i", b"z"))]
+    assert set(_block_links(group, rules)) == {(b"1", b"3"), (b"2", b"3")}
+    assert set(_block_links(group[:2], rules)) == {(b"1", b"2")}
