@@ -93,39 +93,53 @@ def linked_fingerprints(fps: DataFrame, max_bits: int = 3, segments: int = 2) ->
     return probe.join(table, ["segment", "value"]).where(near).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 3,
-                    segments: int = 2) -> DataFrame:
-    """(id, fingerprint, component_id) of every row; component_id is the least id reachable over links."""
-    rows = staged(fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")), "id", "text", shingle),
-                  "fingerprints")
-    distinct = staged(rows.groupBy("fingerprint").agg(F.min("id").alias("least")), "distinct-fingerprints")
+def _labelled(docs: DataFrame, id_col: str, text: str, shingle: int, max_bits: int, segments: int) -> DataFrame:
+    """(id, digest, fingerprint, component_id, first) of every row: ``digest`` tells texts apart, ``component_id`` is the
+    least id of the row's component, and ``first`` its first row as (no id, id, digest)."""
+    named = docs.select(F.struct(F.col(id_col).alias("id"), F.md5(F.col(text).cast("binary")).alias("digest")).alias(
+        "row"), F.col(text).alias("text"))
+    rows = staged(fingerprints(named, "row", "text", shingle), "fingerprints").select("row.id", "row.digest", "fingerprint")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "digest")
+    distinct = staged(rows.groupBy("fingerprint").agg(F.min(order).alias("first")), "distinct-fingerprints")
     found = connected_components(linked_fingerprints(distinct, max_bits, segments))
     # Only fingerprints with links; the others are a component of their own.
     linked = staged(distinct.join(found, F.col("fingerprint") == F.col("node")).select(
-        "fingerprint", "least", "component"), "linked-fingerprints")
-    least = linked.groupBy("component").agg(F.min("least").alias("of_all"))
+        "fingerprint", "first", "component"), "linked-fingerprints")
+    least = linked.groupBy("component").agg(F.min("first").alias("of_all"))
     moved = linked.join(least, "component").select(F.col("fingerprint").alias("node"), "of_all")
     label = distinct.join(moved, F.col("fingerprint") == F.col("node"), "left").select(
-        F.col("fingerprint").alias("node"), F.coalesce("of_all", "least").alias("component_id"))
+        F.col("fingerprint").alias("node"), F.coalesce("of_all", "first").alias("first"))
     # One row per fingerprint on the right; a fingerprint of many rows is split by Spark.
     return rows.join(label, F.col("fingerprint") == F.col("node")).select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+        "id", "digest", "fingerprint", F.col("first.id").alias("component_id"), "first")
+
 
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 3,
+                    segments: int = 2) -> DataFrame:
+    """(id, fingerprint, component_id) of every row; component_id is the least id reachable over links."""
+    return _labelled(docs, id_col, text, shingle, max_bits, segments).select(
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
-def keep_one(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without all but one row of each component in ``found``: the one with the least id.
 
-    Rows that share that id are repeated ids; of those one stays.  Components without any id keep one row.
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 3,
+             segments: int = 2) -> DataFrame:
+    """``docs`` without all but one row of each component: the one with the least id, a null id last, and of rows with
+    this id the one with the least digest of its text.  Of rows that share both, the one whose other columns have the
+    least hash stays.  A row is judged by its own text: others with its id, or without an id, do not take it along.
     """
     p = free_prefix(docs)
-    per = found.groupBy("component_id", F.col(id_col).alias("id")).agg(F.count("*").alias("n"))
-    # What goes: ids that are not the least of their component, and repeated rows of one id.
-    gone = per.where(~F.col("id").eqNullSafe(F.col("component_id")) | (F.col("n") > 1)).groupBy(
-        F.col("id").alias(p + "id")).agg(F.max(F.col("id").eqNullSafe(F.col("component_id"))).alias(p + "again"))
-    marked = docs.join(gone, F.col(id_col).eqNullSafe(F.col(p + "id")), "left")
+    found = _labelled(docs, id_col, text, shingle, max_bits, segments)
+    per = found.groupBy("id", "digest").agg(F.count("*").alias("n"), F.first("first").alias("first"))
+    stays = F.col("id").eqNullSafe(F.col("first.id")) & F.col("digest").eqNullSafe(F.col("first.digest"))
+    gone = per.where(~stays | (F.col("n") > 1)).select(
+        F.col("id").alias(p + "id"), F.col("digest").alias(p + "of"), stays.alias(p + "again"))
+    marked = docs.withColumn(p + "digest", F.md5(F.col(text).cast("binary"))).join(gone, F.col(id_col).eqNullSafe(
+        F.col(p + "id")) & F.col(p + "digest").eqNullSafe(F.col(p + "of")), "left")
     whole = marked.where(F.col(p + "again").isNull()).select(*docs.columns)
-    again = marked.where(F.col(p + "again")).select(*docs.columns)
-    return whole.union(again.dropDuplicates([id_col]))
+    hashed = [F.col(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    again = marked.where(F.col(p + "again")).groupBy(p + "id", p + "digest").agg(
+        F.min_by(F.struct(*docs.columns), F.xxhash64(*hashed)).alias(p + "row")).select(p + "row.*")
+    return whole.union(again)
 
 
 def op2(spark, folder: str) -> DataFrame:
@@ -134,4 +148,4 @@ def op2(spark, folder: str) -> DataFrame:
 
 def stage(spark, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return keep_one(docs, near_duplicates(docs))
+    return keep_one(docs)

@@ -85,4 +85,16 @@ def test_stage_keeps_one_of_each_group(spark):
     assert out.columns == df.columns
     assert sorted(out.collect(), key=str) == sorted([rows[1], rows[3], rows[4]], key=str)
     empty = spark.createDataFrame([], SCHEMA)
-    assert near_duplicates(empty).count() == 0 and keep_one(empty, near_duplicates(empty)).count() == 0
+    assert near_duplicates(empty).count() == 0 and keep_one(empty).count() == 0
+
+
+def test_a_row_is_judged_by_its_own_text(spark):
+    copied, unique = "one two three four five six seven", "quite another text that stands alone here"
+    rows = [(3, copied, "a"), (7, copied, "b"), (7, unique, "c"), (None, "first text without an id", "d"),
+            (None, "second thing that has no number", "e"), (None, copied, "f"), (9, "same id " + unique, "g"),
+            (9, "and text " + copied, "h"), (11, unique.upper(), "i"), (11, None, "j"), (None, "", "k")]
+    df = spark.createDataFrame(rows, SCHEMA + ", _digest string")
+    got = [r for r in stage(spark, df, "").collect()]
+    assert {r._digest for r in got} == set("acdeghj") and len(got) == 7
+    again = spark.createDataFrame([(1, "x y z", "b"), (1, "x y z", "a"), (1, "x y z", "b")], SCHEMA + ", source string")
+    assert stage(spark, again, "").count() == 1
