@@ -1,6 +1,6 @@
 """Byte-level BPE by corpus-level merge replay, and decoding.
 
-A slice of the corpus (a few million characters) is cut into its different pieces, as the pre-tokenizing pattern
+A slice of the corpus (four million characters) is cut into its different pieces, as the pre-tokenizing pattern
 says.  All pieces lie in one array of token ids with links to the neighbours.  An inverted index leads from a rank to
 the places whose pair merges to it; ranks are replayed in order, each over all its places at once, and only the
 touched neighbours look up their new pairs.  Pieces that are found again in later slices keep their ids in a bounded
@@ -32,7 +32,8 @@ from pricetide.llm.chunks import ChunkCache, chunks_of, slices, word_and_marks
 from pricetide.llm.common import read_table
 
 RANKS = "byte_bpe_50k.tiktoken"
-SLICE_CHARS = 16_000_000
+SLICE_CHARS = 4_000_000
+CACHED_CHUNKS = 150_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -128,10 +129,10 @@ class MergeReplay:
 class Encoder:
     """Chunks to what a document needs of them: (ids as decimal text, their number, decoded bytes)."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str):
         self.replay = MergeReplay(load_ranks(path))
-        self.pattern = regex.compile(pattern)
-        self.cache = ChunkCache(self.encode_chunks)
+        self.pattern = regex.compile(public_tokenizers.PATTERN)
+        self.cache = ChunkCache(self.encode_chunks, CACHED_CHUNKS)
 
     def encode_chunks(self, chunks: list[str]) -> list[tuple[str, int, bytes]]:
         found = [word_and_marks(c) or self.pattern.findall(c) for c in chunks]
@@ -154,15 +155,15 @@ def _joined(values: list[tuple[str, int, bytes]]) -> tuple[str, int, bytes]:
 _ENCODERS: dict = {}
 
 
-def _encoder(path: str, pattern: str) -> Encoder:
+def _encoder(path: str) -> Encoder:
     """One encoder for each worker process."""
-    if (path, pattern) not in _ENCODERS:
-        _ENCODERS[path, pattern] = Encoder(path, pattern)
-    return _ENCODERS[path, pattern]
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def encode_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", path: str | None = None,
-                     pattern: str = public_tokenizers.PATTERN, with_ids: bool = False) -> DataFrame:
+                     with_ids: bool = False) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256) of every row, and ``ids`` (array of int) if wanted.
 
     ``decoded_sha256`` is taken from the bytes that the ids decode to.
@@ -171,7 +172,7 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
-        encoder = _encoder(path, pattern)
+        encoder = _encoder(path)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in slices([len(t) for t in texts], SLICE_CHARS):
@@ -185,7 +186,7 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
                     digests.append(hashlib.sha256(line.encode()).hexdigest())
                     decoded.append(hashlib.sha256(b"".join(raw)).hexdigest())
                     if with_ids:
-                        lists.append(np.array(line.split(), np.int32))
+                        lists.append(np.fromstring(line, np.int32, sep=" ") if line else np.empty(0, np.int32))
                 columns = [batch.column(0).slice(a, b - a), pa.array(counts, pa.int64()), pa.array(digests),
                            pa.array(decoded)]
                 names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
