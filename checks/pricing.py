@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import sales as Q
-from checks.registry import register, with_ctes
+from checks.registry import ORACLES, register, with_ctes
 from pricetide.functions import rules as R
 from pricetide.operators import feature_store as FS
 from pricetide.operators import pricing as P
@@ -368,26 +368,11 @@ def feature_upsert(spark, folder):
 
 @register("feature_invalidate", with_ctes(LOG.replace("log as", "writes as"), """
 marks as (select cast(user_id as varchar) as sku_id, ts, event_id from events where event_type = 'error')""", """
-log as (select sku_id, feature, value, event_ts, ttl_seconds, event_id from writes where feature <> 'inventory_ratio'
-  union all select sku_id, unnest(['demand_score_7d', 'inventory_ratio', 'competitor_price']), null, ts, 0, event_id
-  from marks)""", VALID.replace("where event_ts + to_seconds", "where value is not null and event_ts + to_seconds"),
-                                        "select sku_id, feature, value, event_ts from valid"))
-def feature_invalidate(spark, folder):
-    """Every error event wipes the features of its SKU."""
-    log = log_of(spark, folder).filter(F.col("feature") != "inventory_ratio")
-    errors = Warehouse(spark, folder).events().filter(F.col("event_type") == "error").select(
-        F.col("user_id").cast("string").alias("sku_id"), F.col("ts").alias("event_ts"), "event_id")
-    return FS.latest_valid(log.unionByName(FS.tombstones(errors)), as_of()).select(
-        "sku_id", "feature", "value", "event_ts")
-
-
-@register("feature_invalidate_all_writes", with_ctes(LOG.replace("log as", "writes as"), """
-marks as (select cast(user_id as varchar) as sku_id, ts, event_id from events where event_type = 'error')""", """
 log as (select sku_id, feature, value, event_ts, ttl_seconds, event_id, 0 as deleted from writes
   union all select sku_id, unnest(['demand_score_7d', 'inventory_ratio', 'competitor_price']), null, ts, 0, event_id, 1
   from marks)""", VALID.replace("where event_ts + to_seconds", "where value is not null and event_ts + to_seconds").replace(
       "event_id desc)", "event_id desc, deleted desc)"), "select sku_id, feature, value, event_ts from valid"))
-def feature_invalidate_all_writes(spark, folder):
+def feature_invalidate(spark, folder):
     """Every error event wipes the features of its SKU, its own write of inventory_ratio as well."""
     errors = Warehouse(spark, folder).events().filter(F.col("event_type") == "error").select(
         F.col("user_id").cast("string").alias("sku_id"), F.col("ts").alias("event_ts"), "event_id")
@@ -395,6 +380,12 @@ def feature_invalidate_all_writes(spark, folder):
         "sku_id", "feature", "value", "event_ts")
 
 
+@register("feature_invalidate_all_writes", ORACLES["feature_invalidate"])
+def feature_invalidate_all_writes(spark, folder):
+    """The same under its earlier name."""
+    return feature_invalidate(spark, folder)
+
+
 @register("feature_lookup", with_ctes(LOG, VALID, """select sku_id, coalesce(demand_score_7d, 0) as demand_score_7d,
 coalesce(inventory_ratio, 0.5::double) as inventory_ratio, competitor_price from skus left join wide using (sku_id)"""))
 def feature_lookup(spark, folder):

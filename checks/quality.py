@@ -114,7 +114,7 @@ def psi_sql(feature: str) -> str:
 
 
 HALVES = Q.CLEAN + """,
-older as (select * from clean where invoice_date < timestamp '1999-01-01' and unit_price < 4500),
+older as (select * from clean where invoice_date < timestamp '1999-01-01'),
 newer as (select * from clean where invoice_date >= timestamp '1999-01-01')
 """
 
@@ -122,7 +122,7 @@ newer as (select * from clean where invoice_date >= timestamp '1999-01-01')
 def halves_of(spark, folder):
     c = Q.clean_of(spark, folder)
     old = F.col("invoice_date") < "1999-01-01"
-    return c.filter(old & (F.col("unit_price") < 4500)), c.filter(~old)
+    return c.filter(old), c.filter(~old)
 
 
 @register("psi", with_ctes(HALVES, f"select feature, round(psi, 6) as psi, psi > 0.2 as alert from ({psi_sql('unit_price')})"))
@@ -136,23 +136,11 @@ def psi_all(spark, folder):
     return drift.psi_all(*halves_of(spark, folder), [*SCALED, "not_there"]).withColumn("psi", F.round("psi", 6))
 
 
-ALL_HALVES = Q.CLEAN + """,
-older as (select * from clean where invoice_date < timestamp '1999-01-01'),
-newer as (select * from clean where invoice_date >= timestamp '1999-01-01')
-"""
-
-
-def all_halves_of(spark, folder):
-    c = Q.clean_of(spark, folder)
-    old = F.col("invoice_date") < "1999-01-01"
-    return c.filter(old), c.filter(~old)
-
-
-@register("psi_all_rows", with_ctes(ALL_HALVES, "select feature, round(psi, 6) as psi, psi > 0.2 as alert from ("
+@register("psi_all_rows", with_ctes(HALVES, "select feature, round(psi, 6) as psi, psi > 0.2 as alert from ("
                                     + " union all ".join(psi_sql(f) for f in SCALED) + ")"))
 def psi_all_rows(spark, folder):
     """PSI of all features, unit_price among them, without leaving out rows."""
-    return drift.psi_all(*all_halves_of(spark, folder), [*SCALED, "not_there"]).withColumn("psi", F.round("psi", 6))
+    return drift.psi_all(*halves_of(spark, folder), [*SCALED, "not_there"]).withColumn("psi", F.round("psi", 6))
 
 
 @register("metrics_sink", with_ctes(PREDICTIONS, """named as (select model, unnest(['mae', 'rmse', 'mape', 'r2',

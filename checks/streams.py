@@ -194,6 +194,30 @@ def click_demand(spark, folder):
     return windows.click_demand(Warehouse.clicks_of(events_of(spark, folder)), as_of())
 
 
+@register("click_demand_7d_stream", f"""select cast(user_id as varchar) as sku_id, count(distinct ts)::bigint as demand_score_7d
+from events where event_type in ('click', 'view') and ts > timestamp '{AS_OF}' - interval 7 day and ts <= timestamp '{AS_OF}'
+group by 1""")
+def click_demand_7d_stream(spark, folder):
+    """As a stream: day buckets that close one by one; the last seven of them as of a midnight."""
+    raw = spark.readStream.schema(Warehouse(spark, folder).table("events").schema).option(
+        "pathGlobFilter", "events.parquet").parquet(folder).withColumn("ts", F.col("ts").cast("timestamp"))
+    return windows.click_demand_of_days(finished(spark, windows.click_days(Warehouse.clicks_of(raw))), as_of())
+
+
+@register("checkpointed_query", with_ctes(ACTIVITY, f"""select sku_id, window_end, order_count, revenue from demand
+where {CLOSED}"""))
+def checkpointed_query(spark, folder):
+    """Half of the events, a stop, the other half with a new query on the same checkpoint: every window once."""
+    events = Warehouse.activity_of(events_of(spark, folder)).select("sku_id", "price", "ts", "event_id")
+    middle = events.agg(F.percentile_approx("ts", 0.5)).scalar()
+    source, out, checkpoint = (shared_folder(spark, n) for n in ("arrivals", "stream", "checkpoint"))
+    for half in (F.col("ts") <= middle, F.col("ts") > middle):
+        events.filter(half).write.mode("append").parquet(source)
+        stream = windows.sliding_demand(spark.readStream.schema(events.schema).parquet(source))
+        routing.run_to_files(stream.select("sku_id", "window_end", "order_count", "revenue"), out, checkpoint)
+    return spark.read.parquet(out)
+
+
 @register("order_counter", with_ctes(ORDERS, "select sku_id, count(*) as demand_orders from sku_orders group by 1"))
 def order_counter(spark, folder):
     return windows.order_counter(Warehouse.orders_of(events_of(spark, folder)))
@@ -244,3 +268,41 @@ def route_to_pricing(spark, folder):
     w = windows.sliding_demand(Warehouse.activity_of(events_of(spark, folder)))
     return routing.reprice(w, catalogue_of(spark, folder)).select(
         "sku_id", "timestamp", "base_price", F.round("final_price", 6).alias("final_price"))
+
+
+ROUTED = with_ctes(ACTIVITY, f"""newest as (select sku_id, arg_max(order_count, window_end) as d, max(window_end) as latest
+from demand where {CLOSED} group by sku_id)""", """priced as (select sku_id, latest, 100 * (0.9::double
++ 0.45::double / (1 + exp(-0.005::double * (d - 500)))) as p from newest)""", """select sku_id, latest as "timestamp",
+100::double as base_price, round(greatest(least(p, 225), 52.5::double), 6) as final_price from priced""")
+
+
+def routed(spark, folder):
+    """The event stream through re-pricing, with the last micro-batch run twice: where its log and metrics are."""
+    audit, metrics, checkpoint = (shared_folder(spark, n) for n in ("audit", "metrics", "checkpoint"))
+    for again in (False, True):
+        if again:
+            routing.forget_commit(spark, checkpoint)
+        demand = windows.sliding_demand(activity_stream(spark, folder)).drop("window")
+        routing.route_to_pricing(demand, catalogue_of(spark, folder), audit, checkpoint,
+                                 metrics_path=metrics).start().awaitTermination()
+    return audit, metrics
+
+
+@register("route_to_pricing_stream", ROUTED)
+def route_to_pricing_stream(spark, folder):
+    """As a stream: every decision is in the log once, though its batch was run again."""
+    audit, _ = routed(spark, folder)
+    schema = "sku_id string, base_price double, final_price double, reasoning string, timestamp timestamp"
+    return spark.read.schema(schema).json(audit).select(
+        "sku_id", "timestamp", "base_price", F.round("final_price", 6).alias("final_price"))
+
+
+@register("route_metrics_stream", f"""with routed as ({ROUTED}) select unnest(['decisions', 'mean_price']) as name,
+unnest([count(*)::double, round(avg(final_price), 4)]) as value, 'None' as unit, 0::bigint as batch from routed""")
+def route_metrics_stream(spark, folder):
+    """The metric datums of the same stream, each once."""
+    _, metrics = routed(spark, folder)
+    schema = "name string, value double, unit string, time timestamp, dimensions map<string, string>, batch long"
+    rows = spark.read.schema(schema).parquet(metrics)
+    return rows.select("name", F.when(F.col("name") == "mean_price", F.round("value", 4)).otherwise(F.col("value")).alias(
+        "value"), "unit", "batch")

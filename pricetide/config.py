@@ -41,6 +41,7 @@ class Settings:
     spike_ratio: float = 1.5
     ema_keep: float = 0.8
     ema_spike: float = 3.0
+    ema_life_days: int = 90
     velocity_seconds: int = 120
     velocity_baseline: float = 0.5
     velocity_flag_seconds: int = 600

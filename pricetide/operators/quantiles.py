@@ -1,8 +1,9 @@
-"""Exact order statistics per group without holding a group in one task.
+"""Exact order statistics per group without holding or ordering a group in one task.
 
-``percentile`` keeps every distinct value of a group in memory.  Here a mergeable sketch brackets the
-wanted rank, rows outside the bracket are only counted, and the few inside are ranked.  The sketch only
-narrows the search; the result is exact.
+``percentile`` keeps every distinct value of a group in memory.  Here the wanted rank is selected in steps: rows are
+counted per value slice, the slice that holds the rank is cut into finer ones between its least and greatest value, and
+only the values of the finer slice that holds it are ranked.  Every step counts all rows of what the one before
+chose, so nothing is estimated and no rank can be missed.
 """
 
 from __future__ import annotations
@@ -12,57 +13,52 @@ from pyspark.sql import functions as F
 
 from pricetide.functions.core import all_of
 
-ACCURACY = 10_000
+FINE = 4096
 
 
-def group_quantile(df: DataFrame, keys: list[str], value: str, p: float, out: str,
-                   accuracy: int = ACCURACY, shift: float = 0.0) -> DataFrame:
-    """One row per group: the p-quantile of ``value`` with linear interpolation, as ``percentile``.
+def group_quantile(df: DataFrame, keys: list[str], value: str, p: float, out: str, fine: int = FINE) -> DataFrame:
+    """One row per group: the p-quantile of ``value`` with linear interpolation, as ``percentile``; NULLs are left out.
 
-    A bracket that misses the rank raises an error.  ``shift`` moves the bracket, for tests of that.
+    The two ranks that are interpolated may lie in different slices; then both are followed.
     """
-    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    margin = 2.0 / accuracy
-    sketch = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", [min(max(p + shift - margin, 0.0), 1.0), min(p + shift + margin, 1.0)], accuracy).alias("_b"))
-    sketch = sketch.select(*keys, "_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"))
-    marked = _attach(rows, sketch, keys)
-    # all rows below and above the bracket shrink to one row each, those inside to distinct values
-    zone = F.when(F.col("_v") < F.col("_lo"), 0).when(F.col("_v") > F.col("_hi"), 2).otherwise(1)
-    reduced = (marked.withColumn("_z", zone)
-               .groupBy(*keys, "_z", F.when(F.col("_z") == 1, F.col("_v")).alias("_in"))
-               .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-                    F.first("_n").alias("_n")))
-    w = Window.partitionBy(*keys).orderBy("_z", "_in")
-    upto = F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    spot = (F.col("_n") - 1) * F.lit(p)
-    ranked = reduced.withColumns({"_end": upto, "_f": F.floor(spot), "_g": F.ceil(spot)})
-    # the sketch is never off by more than one row beyond the bracket, so its neighbours suffice
-
-    def at(rank: str) -> Column:
-        hit = (F.col("_end") > F.col(rank)) & (F.col("_end") - F.col("_c") <= F.col(rank))
-        return F.max(F.when(hit, F.when(F.col("_z") == 0, F.col("_max")).otherwise(F.col("_min"))))
-
-    # The ranks looked for lie in the bracket or next to it: the largest value below, the least value above.
-    below = F.coalesce(F.sum(F.when(F.col("_z") == 0, F.col("_c"))), F.lit(0))
-    inside = F.coalesce(F.sum(F.when(F.col("_z") == 1, F.col("_c"))), F.lit(0))
-    picked = ranked.groupBy(*keys).agg(
-        at("_f").alias("_x"), at("_g").alias("_y"), F.max("_n").alias("_n"),
-        (F.max("_f") < below - 1).alias("_early"), (F.max("_g") > below + inside).alias("_late"))
-    picked = picked.withColumn("_x", F.when(F.col("_early") | F.col("_late"), F.raise_error(
-        F.lit("the sketch's bracket misses the rank: raise the accuracy"))).otherwise(F.col("_x")))
+    rows = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull()).withColumn(
+        "_s", value_slice("_v"))
+    size = F.sum("_c").over(Window.partitionBy(*keys))
     spot = (F.col("_n") - 1) * F.lit(p)
+    # One row per group and slice; the slices of a double are bounded in number, whatever the data.
+    coarse = _holding(rows.groupBy(*keys, "_s").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_min"),
+                                                     F.max("_v").alias("_max"))
+                      .withColumn("_n", size).withColumns({"_f": F.floor(spot), "_g": F.ceil(spot), "_start": F.lit(0)}),
+                      keys, "_s")
+    step = F.when(F.col("_max") > F.col("_min"), F.floor(
+        (F.col("_v") - F.col("_min")) / (F.col("_max") - F.col("_min")) * fine)).otherwise(F.lit(0))
+    inside = _matched(rows, coarse, [*keys, "_s"]).withColumn("_t", step)
+    told = [F.first(c).alias(c) for c in ("_n", "_f", "_g", "_start")]
+    finer = _holding(inside.groupBy(*keys, "_s", "_t").agg(F.count(F.lit(1)).alias("_c"), *told), [*keys, "_s"], "_t")
+    values = _matched(inside.select(*keys, "_s", "_t", "_v"), finer, [*keys, "_s", "_t"]).groupBy(
+        *keys, "_s", "_t", "_v").agg(F.count(F.lit(1)).alias("_c"), *told)
+    last = _holding(values, [*keys, "_s", "_t"], "_v")
+    end = F.col("_start") + F.col("_c")
+    picked = last.groupBy(*keys).agg(
+        F.max(F.when((F.col("_start") <= F.col("_f")) & (end > F.col("_f")), F.col("_v"))).alias("_x"),
+        F.max(F.when((F.col("_start") <= F.col("_g")) & (end > F.col("_g")), F.col("_v"))).alias("_y"),
+        F.max("_n").alias("_n"))
     return picked.select(*keys, (F.col("_x") + (F.col("_y") - F.col("_x")) * (spot - F.floor(spot))).alias(out))
 
 
-def _attach(rows: DataFrame, sketch: DataFrame, keys: list[str]) -> DataFrame:
-    if keys:
-        named = sketch.withColumnsRenamed({k: f"_k_{k}" for k in keys})
-        same = all_of(F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys)
-        return rows.join(named, same).select(*keys, "_v", "_n", "_lo", "_hi")
-    one = sketch.agg(F.max(F.struct("_n", "_lo", "_hi"))).scalar()
-    return rows.withColumn("_s", one).select("_v", "_s._n", "_s._lo", "_s._hi")
+def _holding(counts: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The rows of ``counts`` that hold one of the wanted ranks; ``_start`` becomes the rank of their first value."""
+    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("_start") + F.coalesce(F.sum("_c").over(before), F.lit(0))
+    return counts.withColumn("_start", start).filter(
+        (F.col("_start") <= F.col("_g")) & (F.col("_start") + F.col("_c") > F.col("_f")))
+
+
+def _matched(rows: DataFrame, chosen: DataFrame, keys: list[str]) -> DataFrame:
+    """Every row with the one row of ``chosen`` that has its keys, NULL ones too."""
+    named = chosen.drop("_c").withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = all_of(F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys)
+    return rows.join(named, same).drop(*[f"_k_{k}" for k in keys])
 
 
 def quantile(df: DataFrame, value: str, p: float) -> Column:
@@ -72,9 +68,11 @@ def quantile(df: DataFrame, value: str, p: float) -> Column:
 
 def value_slice(value: str, per_octave: int = 64) -> Column:
     """A whole number that never falls as the value rises: 64 steps per doubling, on either side of zero."""
-    v = F.col(value)
+    v = F.col(value).cast("double")
     far = 1 << 20  # beyond any step number of a double
-    return (F.when(v > 0, F.floor(F.log2(v) * per_octave) + far)
+    return (F.when(F.isnan(v), F.lit(2 * far))
+            .when(F.abs(v) == float("inf"), F.when(v > 0, 2 * far - 1).otherwise(-2 * far))
+            .when(v > 0, F.floor(F.log2(v) * per_octave) + far)
             .when(v < 0, -F.floor(F.log2(-v) * per_octave) - far).otherwise(F.lit(0)))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,8 +63,8 @@ def price(requests: DataFrame, log: DataFrame, as_of: Column, model: PipelineMod
     return price_decision(priced, s).withColumn("timestamp", as_of), bad
 
 
-def deliver(decisions: DataFrame, audit_path: str, fmt: str = "kafka", **options) -> None:
-    """Audit log and price-update records."""
+def deliver(decisions: DataFrame, audit_path: str, fmt: str = "kafka", run: str | None = None, **options) -> None:
+    """Audit log and price-update records.  A run that is repeated under its name replaces its part of the log."""
     rows = decisions.select("sku_id", "base_price", "final_price", "multipliers_applied", "reasoning", "timestamp")
-    audit_log(rows, audit_path)
+    audit_log(rows, audit_path, run or uuid.uuid4().hex)
     price_update_messages(rows).write.format(fmt).mode("append").options(**options).save()

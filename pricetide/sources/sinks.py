@@ -44,10 +44,22 @@ def publish_updates(decisions: DataFrame, fmt: str = "kafka", **options) -> None
     price_update_messages(decisions).write.format(fmt).mode("append").options(**options).save()
 
 
-def audit_log(decisions: DataFrame, path: str) -> None:
-    """Append decisions as JSON under one folder per date."""
-    (decisions.withColumn("date", F.date_format("timestamp", "yyyy-MM-dd"))
-     .write.mode("append").partitionBy("date").json(path))
+def commit_batch(df: DataFrame, path: str, batch: int | str, fmt: str = "json", partition_by: list[str] | None = None) -> None:
+    """Write a batch as the folder of its number or name, in place of whatever an earlier try of it left.
+
+    A micro-batch that is run again after a failure has the same number and, from the checkpoint, the same rows, so each
+    is in the log once.  Numbers start at 0 with every new checkpoint: one log belongs to one checkpoint.
+    """
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.format(fmt).save(f"{path}/commit={batch:010d}" if isinstance(batch, int) else f"{path}/commit={batch}")
+
+
+def audit_log(decisions: DataFrame, path: str, batch: int | str) -> None:
+    """Decisions as JSON under one folder per batch and date."""
+    dated = decisions.withColumn("date", F.date_format("timestamp", "yyyy-MM-dd"))
+    commit_batch(dated, path, batch, partition_by=["date"])
 
 
 def metric_rows(metrics: DataFrame, at: Column, dimensions: Column | None = None) -> DataFrame:
@@ -66,10 +78,10 @@ def batch_metrics(rows: DataFrame, size: int = METRIC_BATCH) -> DataFrame:
 
 
 def metrics_sink(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    def append(batch: DataFrame, _: int) -> None:
-        batch_metrics(batch).write.mode("append").parquet(path)
+    def commit(batch: DataFrame, batch_id: int) -> None:
+        commit_batch(batch_metrics(batch), path, batch_id, "parquet")
 
-    return stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
+    return stream.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
 
 
 def report_csv(df: DataFrame, path: str) -> None:

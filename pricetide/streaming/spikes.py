@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections import deque
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,27 +67,36 @@ EMA_OUT = "sku_id string, window_end timestamp, order_count long, spike_detected
 
 
 class EmaProcessor(StatefulProcessor):
-    """Keeps one number per SKU: the running baseline."""
+    """Keeps one number per SKU, the running baseline, until the SKU has been idle for its life time."""
 
-    def __init__(self, keep: float, limit: float):
-        self.keep, self.limit = keep, limit
+    def __init__(self, keep: float, limit: float, life_days: int):
+        self.keep, self.limit, self.life = keep, limit, life_days * 86_400_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.baseline = handle.getValueState("baseline", "b double")
+        self.handle = handle
+        self.baseline = handle.getValueState("baseline", "b double, ends long")
 
     def handleInputRows(self, key, rows, timerValues):
         # the windows of a batch arrive in any order
         frame = pd.concat(list(rows), ignore_index=True).sort_values("window_end")
-        before = self.baseline.get()[0] if self.baseline.exists() else None
+        before, ends = self.baseline.get() if self.baseline.exists() else (None, None)
         spikes, after = [], []
         for n in frame["order_count"]:
             spikes.append(before is not None and bool(n > self.limit * before))
             before = float(n) if before is None else self.keep * before + (1.0 - self.keep) * float(n)
             after.append(round(before, 2))
-        self.baseline.update((before,))
+        if ends is not None:
+            self.handle.deleteTimer(ends)
+        ends = int(frame["window_end"].max().timestamp() * 1000) + self.life
+        self.handle.registerTimer(ends)
+        self.baseline.update((before, ends))
         yield pd.DataFrame({"sku_id": key[0], "window_end": frame["window_end"], "order_count": frame["order_count"],
                             "spike_detected": spikes, "baseline": after})
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.baseline.clear()
+        return iter(())
+
     def close(self) -> None:
         pass
 
@@ -99,7 +106,7 @@ def ema_spike_stream(events: DataFrame, s: Settings = SETTINGS) -> DataFrame:
     append mode, so that only final windows move the baseline."""
     windows = sliding_demand(events).select("sku_id", F.window_time("window").alias("at"), "window_end", "order_count")
     return windows.groupBy("sku_id").transformWithStateInPandas(
-        EmaProcessor(s.ema_keep, s.ema_spike), EMA_OUT, "Append", "None", eventTimeColumnName="")
+        EmaProcessor(s.ema_keep, s.ema_spike, s.ema_life_days), EMA_OUT, "Append", "EventTime", eventTimeColumnName="")
 
 
 # ---- per-event rate against the historical baseline
@@ -147,57 +154,67 @@ SPIKE_OUT = ("stock_code string, event_us long, event_seq string, current_rate d
 
 
 class RateProcessor(StatefulProcessor):
-    """Holds events back until the watermark passes them, then adds them up in event-time order.
+    """Holds events back until the watermark passes their second, then adds them up in event-time order.
 
-    State per product: events not yet final, those of the last window, and how far it has come.  Timers
-    are set per second of event time, so a hot product wakes at most once a second.
+    State per product: a map from second to its events, and the units of all whole seconds in the window.  A second has
+    two timers: at its end its rates are told, reading it and the second that the window's edge cuts; when it is
+    itself the edge it leaves the sum, and the map, for good.  So a hot product reads what is due only, and a product
+    without events for the length of the window has no state.
     """
 
     def __init__(self, seconds: int):
-        self.span = seconds * SECOND
+        self.seconds, self.span = seconds, seconds * SECOND
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        schema = "us long, seq string, quantity long, baseline double"
-        self.pending = handle.getListState("pending", schema)
-        self.recent = handle.getListState("recent", schema)
-        self.reached = handle.getValueState("reached", "ms long")
+        self.events = handle.getMapState("events", "second long",
+                                         "us array<bigint>, seq array<string>, quantity array<bigint>, baseline double")
+        self.whole = handle.getValueState("whole", "units long, seconds long")
 
     def handleInputRows(self, key, rows, timerValues):
-        new, wake = [], set()
+        new: dict = {}
         for frame in rows:
             for us, seq, quantity, base in zip(frame["us"], frame["seq"], frame["quantity"], frame["baseline_rate"]):
-                new.append((int(us), seq, int(quantity), float(base)))
-                wake.add((int(us) // SECOND + 1) * 1000)
-        self.pending.appendList(new)
-        for stamp in wake:
-            self.handle.registerTimer(stamp)
+                held = new.setdefault(int(us) // SECOND, ([], [], [], float(base)))
+                held[0].append(int(us))
+                held[1].append(seq)
+                held[2].append(int(quantity))
+        for second, (us, seq, quantity, base) in new.items():
+            if self.events.containsKey((second,)):
+                old = self.events.getValue((second,))
+                us, seq, quantity = list(old[0]) + us, list(old[1]) + seq, list(old[2]) + quantity
+            else:
+                self.handle.registerTimer((second + 1) * 1000)
+                self.handle.registerTimer((second + self.seconds + 1) * 1000)
+            self.events.updateValue((second,), (us, seq, quantity, base))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        watermark = timerValues.getCurrentWatermarkInMs()
-        if self.reached.exists() and self.reached.get()[0] >= watermark:
-            return  # an earlier timer of this batch has done the work
-        self.reached.update((watermark,))
-        waiting = sorted(self.pending.get()) if self.pending.exists() else []
-        due = [r for r in waiting if r[0] <= watermark * 1000]
-        if not due:
-            return
-        window = deque(self.recent.get()) if self.recent.exists() else deque()
-        total = sum(r[2] for r in window)
+        second = expiredTimerInfo.getExpiryTimeInMs() // 1000 - 1
+        units, live = self.whole.get() if self.whole.exists() else (0, 0)
+        edge = second - self.seconds
+        leaving: list = []
+        if self.events.containsKey((edge,)):
+            us, _, quantity, _ = self.events.getValue((edge,))
+            leaving = sorted(zip(us, quantity), reverse=True)
+            units, live = units - sum(quantity), live - 1
+            self.events.removeKey((edge,))
         out = []
-        for row in due:
-            window.append(row)
-            total += row[2]
-            while window[0][0] < row[0] - self.span:
-                total -= window.popleft()[2]
-            out.append((key[0], row[0], row[1], float(total), row[3]))
-        self.recent.put(list(window))
-        if len(due) < len(waiting):
-            self.pending.put(waiting[len(due):])
+        if self.events.containsKey((second,)):
+            us, seq, quantity, base = self.events.getValue((second,))
+            left, inside = sum(q for _, q in leaving), 0
+            for at, name, n in sorted(zip(us, seq, quantity)):
+                while leaving and leaving[-1][0] < at - self.span:
+                    left -= leaving.pop()[1]
+                inside += n
+                out.append((key[0], at, name, float(units + left + inside), base))
+            units, live = units + inside, live + 1
+        if live:
+            self.whole.update((units, live))
         else:
-            self.pending.clear()
-        yield pd.DataFrame(out, columns=["stock_code", "event_us", "event_seq", "current_rate", "baseline_rate"])
+            self.whole.clear()
+        if out:
+            yield pd.DataFrame(out, columns=["stock_code", "event_us", "event_seq", "current_rate", "baseline_rate"])
 
     def close(self) -> None:
         pass

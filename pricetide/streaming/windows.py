@@ -50,12 +50,20 @@ def click_demand(events: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
     return recent.groupBy("sku_id").agg(F.countDistinct("ts").alias("demand_score_7d"))
 
 
-def click_demand_stream(events: DataFrame, days: int = 7) -> DataFrame:
-    """The same kept up to date: equal click times count once, in windows that slide by a day."""
+def click_days(events: DataFrame) -> DataFrame:
+    """Distinct click times per SKU and day, as batch or stream: a click is in one bucket, and each bucket's state goes
+    once the watermark has passed its day.  Days end with midnight itself, so that seven of them are the 7 days of
+    ``click_demand``."""
     once = late_after(events).dropDuplicates(["sku_id", "ts"])
-    return once.groupBy(F.window("ts", f"{days} days", "1 day"), "sku_id").agg(
-        F.count(F.lit(1)).alias("demand_score_7d")).select(
-        F.col("window.end").alias("window_end"), "sku_id", "demand_score_7d")
+    return once.groupBy(F.window("ts", "1 day", startTime="1 microsecond"), "sku_id").agg(
+        F.count(F.lit(1)).alias("clicks")).select(
+        F.timestamp_micros(F.unix_micros("window.end") - 1).alias("day_end"), "sku_id", "clicks")
+
+
+def click_demand_of_days(days: DataFrame, as_of: Column, n: int = 7) -> DataFrame:
+    """``click_demand`` as of a midnight, from the buckets that end in the last ``n`` days."""
+    recent = days.filter((F.col("day_end") > as_of - F.expr(f"interval {n} days")) & (F.col("day_end") <= as_of))
+    return recent.groupBy("sku_id").agg(F.sum("clicks").alias("demand_score_7d"))
 
 
 def order_counter(events: DataFrame) -> DataFrame:

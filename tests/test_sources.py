@@ -73,9 +73,12 @@ def test_sinks(spark, tmp_path):
     sinks.publish_updates(d.select(*d.columns), "json", path=str(tmp_path / "updates"))
     body = json.loads(spark.read.json(str(tmp_path / "updates")).first()["value"])
     assert body["sku_id"] == "a" and body["price"] == 9.5 and body["timestamp"] == "2024-01-02T03:04:05"
-    sinks.audit_log(d, str(tmp_path / "audit"))
-    sinks.audit_log(d, str(tmp_path / "audit"))
-    assert (tmp_path / "audit" / "date=2024-01-02").is_dir() and spark.read.json(str(tmp_path / "audit")).count() == 2
+    for batch in (0, 1, 1, "nightly"):  # the second try of a batch takes the place of the first
+        sinks.audit_log(d, str(tmp_path / "audit"), batch)
+    assert (tmp_path / "audit" / "commit=0000000001" / "date=2024-01-02").is_dir()
+    assert spark.read.json(str(tmp_path / "audit")).count() == 3
+    sinks.audit_log(d.limit(0), str(tmp_path / "audit"), 1)
+    assert spark.read.schema(d.schema).json(str(tmp_path / "audit")).count() == 2
     sinks.report_csv(d, str(tmp_path / "csv"))
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).columns == d.columns
     sinks.write_metrics_json(d, str(tmp_path / "json"))

@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from pricetide.config import Settings
 from pricetide.streaming import routing, spikes, windows
 
 T0 = datetime(2024, 1, 1)
@@ -101,14 +102,45 @@ def test_velocity(spark):
 
 
 def test_clicks_count_a_time_once(spark, tmp_path):
-    df = orders(spark, ("a", 0, 1.0), ("a", 0, 2.0), ("a", 60, 1.0)).drop("price")
-    as_of = F.lit(T0 + timedelta(days=1)).cast("timestamp")
-    assert windows.click_demand(df, as_of).first()["demand_score_7d"] == 2
-    df.coalesce(1).write.parquet(str(tmp_path / "in"))
-    stream = windows.click_demand_stream(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")))
-    q = stream.writeStream.outputMode("update").format("memory").queryName("clicks").trigger(availableNow=True).start()
-    q.awaitTermination()
-    assert {r["demand_score_7d"] for r in spark.table("clicks").collect()} == {2}
+    day = 86400
+    df = orders(spark, ("a", 0, 1.0), ("a", 1, 2.0), ("a", 1, 2.0), ("a", 60, 1.0), ("a", day, 1.0), ("a", day + 1, 1.0),
+                ("b", 7 * day, 1.0), ("b", 7 * day + 1, 1.0), ("end", 9 * day, 1.0)).drop("price")
+    stream = streamed(spark, df, tmp_path, windows.click_days)
+    for days in (1, 2, 7, 8):
+        as_of = F.lit(T0 + timedelta(days=days)).cast("timestamp")
+        want = {tuple(r) for r in windows.click_demand(df, as_of).collect()}
+        assert {tuple(r) for r in windows.click_demand_of_days(stream, as_of).collect()} == want
+        assert {tuple(r) for r in windows.click_demand_of_days(windows.click_days(df), as_of).collect()} == want
+    assert want == {("a", 1), ("b", 2)}
+
+
+def state_of(spark, tmp_path, variable):
+    return spark.read.format("statestore").option("path", str(tmp_path / "ckpt")).option("stateVarName", variable).load()
+
+
+def test_idle_products_have_no_state(spark, tmp_path):
+    hot = [("H", s / 4, 1) for s in range(0, 4000)]
+    df = sales(spark, *CASES, *hot, ("Z", 7200, 1))
+    base = baselines(spark, T=5.0, E=4.0, R=2.0, H=100.0)
+    out = streamed(spark, df, tmp_path, lambda s: spikes.event_spike_stream(s, base, "seq"))
+    want = spikes.event_spikes(df, base, ["seq"]).filter("stock_code <> 'Z'")
+    assert sorted(map(tuple, out.select("stock_code", "event_seq", "current_rate").collect())) == sorted(
+        map(tuple, want.select("stock_code", "seq", "current_rate").collect()))
+    assert [r.key.stock_code for r in state_of(spark, tmp_path, "events").select("key").collect()] == ["Z"]
+    assert state_of(spark, tmp_path, "whole").count() == 0
+
+
+def test_baseline_of_an_idle_sku_ends(spark, tmp_path):
+    path, out, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    for rows in ([("a", 30, 1.0), ("b", 30, 1.0)], [("end", 10 * 86400, 0.0), *[("b", 86400 * 0.9, 1.0)]],
+                 [("a", 20 * 86400 + i, 1.0) for i in range(9)], [("end", 30 * 86400, 0.0)]):
+        df = orders(spark, *rows)
+        df.coalesce(1).write.mode("append").parquet(path)
+        stream = spikes.ema_spike_stream(spark.readStream.schema(df.schema).parquet(path), Settings(ema_life_days=1))
+        routing.run_to_files(stream, out, ckpt)
+    got = spark.read.parquet(out).filter("sku_id = 'a'").orderBy("window_end").collect()
+    assert [r.order_count for r in got] == [1] * 5 + [9] * 5 and not any(r.spike_detected for r in got)
+    assert [r.baseline for r in got] == [1.0] * 5 + [9.0] * 5
 
 
 def test_route_to_pricing(spark, tmp_path):
@@ -116,9 +148,20 @@ def test_route_to_pricing(spark, tmp_path):
     catalogue = spark.createDataFrame([("a", 100.0, 50.0, 150.0, 2, False)], "sku_id string, base_price double, "
                                       "cost double, msrp double, customer_segment int, is_flash_sale boolean")
     df.coalesce(1).write.parquet(str(tmp_path / "in"))
-    stream = windows.sliding_demand(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")))
     sent = []
-    routing.route_to_pricing(stream, catalogue, str(tmp_path / "audit"), str(tmp_path / "ckpt"),
-                             lambda m: sent.extend(r["key"] for r in m.collect())).start().awaitTermination()
+
+    def run():
+        stream = windows.sliding_demand(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")))
+        routing.route_to_pricing(stream, catalogue, str(tmp_path / "audit"), str(tmp_path / "ckpt"),
+                                 lambda m, batch: sent.extend((batch, r["key"]) for r in m.collect()),
+                                 metrics_path=str(tmp_path / "metrics")).start().awaitTermination()
+
+    run()
     logged = spark.read.json(str(tmp_path / "audit")).collect()
-    assert sent == ["a"] and len(logged) == 1 and logged[0]["final_price"] == pytest.approx(93.5, abs=0.5)
+    assert [k for _, k in sent] == ["a"] and len(logged) == 1 and logged[0]["final_price"] == pytest.approx(93.5, abs=0.5)
+    routing.forget_commit(spark, str(tmp_path / "ckpt"))
+    run()  # the same batch again
+    assert len(sent) == 2 and sent[0] == sent[1]
+    assert [r.asDict() for r in spark.read.json(str(tmp_path / "audit")).collect()] == [r.asDict() for r in logged]
+    metrics = {r["name"]: r["value"] for r in spark.read.parquet(str(tmp_path / "metrics")).collect()}
+    assert metrics == {"decisions": 1.0, "mean_price": logged[0]["final_price"]}
