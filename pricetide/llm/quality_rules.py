@@ -30,7 +30,7 @@ COMMON = {
     "fr": "de la le et les des en un du une".split(),
     "es": "de la que el en y los del se las".split(),
 }
-# Classes of characters; the rest are blanks, a-z, and what is left.
+# Classes of characters; the rest are white space, a-z, and what is left.
 CLASSES = {"upper": "A-Z", "digit": "0-9", "mark": r".,;:!?'\"()-", "sign": r"#*$%&|<>@=+/\\^~_{}\[\]`"}
 SYMBOLS = "#*$%&|<>"
 ANY = "*"
@@ -57,12 +57,13 @@ def _sum(x: Column) -> Column:
 
 
 def _histograms(docs: DataFrame, text: str, lang: str, p: str) -> DataFrame:
-    """Add, as columns with the prefix: lang, rare (the text without a-z and blanks), and the histograms ``classes``
-    and ``common`` as arrays of long.  Words are counted by blanks here, which takes no splitting."""
+    """Add, as columns with the prefix: lang, rare (the text without a-z and white space), words, n (their number), and the
+    histograms ``classes`` and ``common`` as arrays of long."""
     whole = F.coalesce(F.col(text), F.lit(""))
     df = docs.withColumn(p + "lang", F.when(F.col(lang).isin(*COMMON), F.col(lang)).otherwise(F.lit(ANY))) \
-        .withColumn(p + "rare", F.regexp_replace(whole, "[a-z ]+", "")) \
-        .withColumn(p + "blank", _long(F.length(whole) - F.length(F.replace(whole, F.lit(" "), F.lit("")))))
+        .withColumn(p + "rare", F.regexp_replace(whole, r"[a-z\x20\x09-\x0D]+", "")) \
+        .withColumn(p + "blank", _long(F.length(whole) - F.length(F.translate(whole, " \t\n\x0b\x0c\r", "")))) \
+        .withColumn(p + "words", words_of(F.col(text))).withColumn(p + "n", F.size(p + "words"))
     rare = F.col(p + "rare")
     marked = [_long(F.length(F.regexp_replace(rare, f"[^{c}]+", ""))) for c in CLASSES.values()]
     # In UTF-8 a character beyond ASCII has more bytes than one.
@@ -82,14 +83,14 @@ def _histograms(docs: DataFrame, text: str, lang: str, p: str) -> DataFrame:
     df = df.withColumn(p + "found", F.concat(F.lit(" "), found, F.lit(" "))) \
         .withColumn(p + "hits", counts)
     return df.withColumn(p + "common", F.concat(p + "hits", F.array(F.greatest(
-        _long(F.lit(0)), F.col(p + "blank") - _sum(F.col(p + "hits"))))))
+        _long(F.lit(0)), F.col(p + "n") - _sum(F.col(p + "hits"))))))
 
 
 def language_references(docs: DataFrame, text: str = "text", lang: str = "lang",
                         rules: QualityRules = QualityRules()) -> DataFrame:
-    """(lang, classes, common): histograms added up over all texts with ``min_words`` blanks; five rows at most."""
+    """(lang, classes, common): histograms added up over all texts with ``min_words`` words; five rows at most."""
     p = free_prefix(docs)
-    df = _histograms(docs.select(text, lang), text, lang, p).where(F.col(p + "blank") >= rules.min_words)
+    df = _histograms(docs.select(text, lang), text, lang, p).where(F.col(p + "n") >= rules.min_words)
     n, k = len(CLASSES) + 4, len(COMMON["en"]) + 1
     sums = [F.sum(F.get(p + "classes", F.lit(i))).alias(f"c{i}") for i in range(n)]
     sums += [F.sum(F.get(p + "common", F.lit(i))).alias(f"w{i}") for i in range(k)]
@@ -132,12 +133,12 @@ def quality_rules(docs: DataFrame, references: DataFrame | None = None, text: st
     references = language_references(docs, text, lang, rules) if references is None else references
     p = free_prefix(docs, references)
     whole = F.coalesce(F.col(text), F.lit(""))
-    df = _histograms(docs, text, lang, p).withColumn(p + "words", words_of(F.col(text)))
+    df = _histograms(docs, text, lang, p)
     words = F.col(p + "words")
     # Windows as hashes of three words; most texts repeat none, which their distinct number shows.
     zipped = F.arrays_zip(words.alias("a"), F.slice(words, 2, 2 ** 30).alias("b"),
                           F.slice(words, 3, 2 ** 30).alias("c"))
-    df = df.withColumn(p + "n", F.size(words)).withColumn(p + "windows", F.slice(
+    df = df.withColumn(p + "windows", F.slice(
         F.transform(zipped, lambda x: F.xxhash64(x)), F.lit(1), F.greatest(F.size(words) - 2, F.lit(0))))
     windows = F.col(p + "windows")
     df = df.withColumn(p + "sorted", F.when(
@@ -215,7 +216,8 @@ def quality_sql(rules: QualityRules = QualityRules()) -> str:
     return rf"""
 with base as (select row_number() over () rid, doc_id, coalesce(text, '') t,
         case when lang in ({known}) then lang else '{ANY}' end lang from documents),
-parts as (select *, regexp_replace(t, '[a-z ]+', '', 'g') rare, length(t) - length(replace(t, ' ', '')) blank,
+parts as (select *, regexp_replace(t, '[a-z\x20\x09-\x0D]+', '', 'g') rare,
+        length(t) - length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) blank,
         regexp_split_to_array(lower(t), '[^\p{{L}}]+') tokens,
         list_filter(regexp_split_to_array(t, '[ 	-
 ]+'), lambda x: x <> '') words,
@@ -223,8 +225,8 @@ parts as (select *, regexp_replace(t, '[a-z ]+', '', 'g') rare, length(t) - leng
 ]')) lines from base),
 m as (select *, [{', '.join(marked)}] marked, case lang {hits} end hits from parts),
 h as (select *, list_concat(marked, [length(rare) - list_sum(marked), blank, length(t) - length(rare) - blank]) classes,
-        list_append(hits, greatest(0, blank - list_sum(hits))) common from m),
-per as (select lang, {sums} from h where blank >= {rules.min_words} group by lang),
+        list_append(hits, greatest(0, len(words) - list_sum(hits))) common from m),
+per as (select lang, {sums} from h where len(words) >= {rules.min_words} group by lang),
 refs as (select lang, {cl} rc, {co} rw from per where lang <> '{ANY}'
     union all select '{ANY}', {"[" + ", ".join(f"sum(c{i})" for i in range(n)) + "]"}, null from per having count(*) > 0),
 win as (select rid, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] w

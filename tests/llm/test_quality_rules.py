@@ -3,6 +3,8 @@ import random
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from pricetide.llm.quality_rules import CLASSES, COMMON, QualityRules, language_references, quality_rules, stage
 
 SCHEMA = "doc_id long, text string, lang string"
@@ -74,3 +76,15 @@ def test_stage_keeps_columns_and_empty_tables(spark):
     assert out.columns == df.columns
     assert {(r.n_words, r._words) for r in out.collect()} == {(7, "mine")}
     assert quality_rules(df.limit(0)).count() == 0
+
+
+def test_words_count_whatever_separates_them(spark):
+    """A text is judged alike when its blanks become line ends or tabs."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    references = language_references(docs).cache()
+    want = {(r.doc_id, r.kept, r.word_distance, r.class_distance) for r in quality_rules(docs, references).collect()}
+    assert sum(kept for _, kept, *_ in want) > 50
+    for gap in ("\n", "\t"):
+        other = docs.withColumn("text", F.translate("text", " ", gap))
+        assert {(r.doc_id, r.kept, r.word_distance, r.class_distance)
+                for r in quality_rules(other, references).collect()} == want
