@@ -399,6 +399,15 @@ def nearest_to_quantile(spark, folder):
     return M.nearest_to_quantiles(base.withColumn("value", F.col("price")), "value").drop("value")
 
 
+@register("ensure_columns", with_ctes(FEATURES, """select order_id, order_item_id, product_id, price,
+0::double as not_there from base where price >= 50"""))
+def ensure_columns(spark, folder):
+    """A missing feature becomes 0, rows without a target go."""
+    base = base_of(spark, folder).withColumn("aim", F.when(F.col("price") >= 50, F.col("price")))
+    return M.ensure_columns(base, ["price", "not_there"], "aim").select("order_id", "order_item_id", "product_id", "price",
+                                                                        "not_there")
+
+
 @register("chrono_split_80_20", with_ctes(FEATURES, f"""select {ORDER}, product_id, case when
 row_number() over (order by us, {SEQ}) - 1 < floor(0.8 * count(*) over ()) then 'train' else 'test' end as split
 from base"""))

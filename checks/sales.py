@@ -696,6 +696,59 @@ def order_event_json(spark, folder):
     return back.withColumnRenamed("timestamp", "stamp")
 
 
+@register("order_source", with_ctes(CLEAN, """select stock_code, invoice_no, quantity, unit_price, customer_id,
+country, 'order' as event_type, strftime(invoice_date, '%Y-%m-%dT%H:%M:%S') as stamp from clean"""))
+def order_source(spark, folder):
+    """The records as text on a topic, subscribed to as a stream; what does not parse is left out."""
+    from pricetide.sources.readers import event_stream
+    from pricetide.sources.schemas import ORDER_EVENT
+    from pricetide.streaming.routing import run_to_files
+    topic, out, checkpoint = (shared_folder(spark, n) for n in ("topic", "orders", "checkpoint"))
+    sinks.order_event_json(clean_of(spark, folder)).select("value").write.text(topic)
+    spark.createDataFrame([('{"event_type": ',), ("no json",)], "value string").write.mode("append").text(topic)
+    run_to_files(event_stream(spark, ORDER_EVENT, "text", path=topic), out, checkpoint)
+    return spark.read.schema(ORDER_EVENT).parquet(out).withColumnRenamed("timestamp", "stamp")
+
+
+@register("publish_updates", with_ctes(CLEAN, """newest as (select stock_code, arg_max(unit_price, (us, invoice_no, quantity,
+unit_price)) as price, max(invoice_date) as t from clean group by stock_code)""", """select stock_code as key, price,
+price as final_price, strftime(t, '%Y-%m-%dT%H:%M:%S') as stamp from newest"""))
+def publish_updates(spark, folder):
+    """Price updates written as keyed records and read back field by field."""
+    newest = clean_of(spark, folder).groupBy(F.col("stock_code").alias("sku_id")).agg(
+        F.max_by("unit_price", F.struct("invoice_date", "invoice_no", "quantity", "unit_price")).alias("final_price"),
+        F.max("invoice_date").alias("timestamp"))
+    path = shared_folder(spark, "updates")
+    sinks.publish_updates(newest, "json", path=path)
+    body = "sku_id string, price double, decision struct<final_price: double>, timestamp string"
+    back = spark.read.schema("key string, value string").json(path).select("key", F.from_json("value", body).alias("v"))
+    return back.select("key", "v.price", "v.decision.final_price", F.col("v.timestamp").alias("stamp"))
+
+
+@register("load_or_build", with_ctes(CLEAN, """select step, count(*) as lines, sum(quantity)::bigint as units from
+(select quantity, unnest(case when source = 'a' then ['built', 'loaded', 'changed'] else ['changed'] end) as step from (
+select quantity, case when quantity % 2 = 0 then 'a' else 'b' end as source from clean)) group by step"""))
+def load_or_build(spark, folder):
+    """A stage built, loaded again without building, and built anew once its input has changed."""
+    from pricetide.sources.readers import load_or_build as op
+    source, stage = shared_folder(spark, "input"), shared_folder(spark, "stage")
+    c, out, built = clean_of(spark, folder).select("quantity"), [], []
+
+    def step(name):
+        def build():
+            built.append(name)
+            return spark.read.parquet(source)
+        return op(spark, stage, build, (source,)).agg(F.count("*").alias("lines"), F.sum("quantity").alias("units")).select(
+            F.lit(name).alias("step"), "lines", "units")
+
+    c.filter("quantity % 2 = 0").write.parquet(source)
+    out += [step("built"), step("loaded")]
+    c.filter("quantity % 2 <> 0").write.mode("append").parquet(source)
+    out.append(step("changed"))
+    assert built == ["built", "changed"]
+    return out[0].union(out[1]).union(out[2])
+
+
 @register("spike_baseline", with_ctes(CLEAN, """slots as (select stock_code, us // 300000000 as slot, sum(quantity) as q
 from clean group by all)""", "select stock_code, quantile_cont(q, 0.5) as baseline_rate from slots group by stock_code"))
 def spike_baseline(spark, folder):

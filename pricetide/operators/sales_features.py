@@ -14,7 +14,7 @@ from pricetide.functions.calendar import calendar_flags, calendar_parts, days_to
 from pricetide.functions.core import clip, exact_avg, exact_sum, flag, major, micros, minor, ratio
 from pricetide.functions.text import CATEGORY_WORDS, OTHER_CATEGORY, categorise, word_count
 from pricetide.operators.quantiles import group_quantile
-from pricetide.operators.windows import rolling_sums, shift_rows
+from pricetide.operators.windows import numbered, rolling_sums, shift_rows
 from pricetide.session import cut_lineage
 
 KEY, TS, US = "stock_code", "invoice_date", "us"
@@ -67,11 +67,11 @@ def popularity_rank(stats: DataFrame, count: str = "product_transaction_count",
 def label_encode(df: DataFrame, column: str, out: str) -> DataFrame:
     """Position of the value among the sorted distinct ones.
 
-    The distinct table is small by nature (labels); its join is left to the run-time size check.
+    The join of the distinct table is left to the run-time size check.
     """
     labels = df.select(column).distinct().filter(F.col(column).isNotNull())
-    ids = labels.select(column, (F.row_number().over(Window.orderBy(column)) - 1).cast("int").alias(out))
-    return df.join(ids, column, "left")
+    ids = numbered(labels, [column], out, "labels")
+    return df.join(ids.withColumn(out, F.col(out).cast("int")), column, "left")
 
 
 def category_ids(df: DataFrame, among: DataFrame | None = None) -> DataFrame:

@@ -143,13 +143,27 @@ def shift_rows(df: DataFrame, key: str, us: str, seq: list[str], shifts: dict[st
     return by_weight(df, key, heavy, plain, sliced)
 
 
-def position_cuts(df: DataFrame, us: str, seq: list[str], positions: Callable[[Column], list[Column]],
-                  heavy: int = SETTINGS.heavy_rows) -> DataFrame:
+def numbered(df: DataFrame, order: list[str], out: str, purpose: str, within: str | None = None) -> DataFrame:
+    """``df`` with the 0-based place of each row in ``order`` (within the groups of ``within``).
+
+    Rows are cut into range slices and written once, so that a lost executor cannot move a row to another slice; slices
+    are counted and numbered apart.  One row per slice is ordered in one task.
+    """
+    keys = [within] if within else []
+    sliced = cut_lineage(df.repartitionByRange(*keys, *order).withColumn(SLICE, F.spark_partition_id()), purpose)
+    below = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sliced.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("_size")).select(
+        *keys, SLICE, F.coalesce(F.sum("_size").over(below), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy(*keys, SLICE).orderBy(*order)) - 1
+    return sliced.withColumn("_i", place).join(starts, [*keys, SLICE]).select(
+        *df.columns, (F.col("_i") + F.col("_start")).alias(out))
+
+
+def position_cuts(df: DataFrame, us: str, seq: list[str], positions: Callable[[Column], list[Column]]) -> DataFrame:
     """One row ``cuts``: for each wanted 0-based position in time order, the order key found there.
 
-    Counts per day locate the days of the positions and only rows of those days are ranked, so nothing
-    sorts the table.  A day with more than ``heavy`` rows is ranked in range slices: written once, so that
-    a lost executor cannot move a row to another slice, then counted and ranked slice by slice.
+    Counts per day locate the days of the positions and only rows of those days are numbered, in range slices, so
+    nothing sorts the table.
     """
     keyed = df.select(day_number(us).alias("_day"), F.struct(us, *seq).alias("_row"))
     days = keyed.groupBy("_day").count()  # one row per calendar day
@@ -158,29 +172,18 @@ def position_cuts(df: DataFrame, us: str, seq: list[str], positions: Callable[[C
                        F.sum("count").over(Window.partitionBy()).alias("n"))
     wanted = days.select("*", F.explode(F.array(*[p.cast("long") for p in positions(F.col("n"))])).alias("_p"))
     wanted = wanted.filter((F.col("_p") >= F.col("_before")) & (F.col("_p") < F.col("_before") + F.col("count")))
-    spots = wanted.select("_day", (F.col("_p") - F.col("_before")).alias("rank"), "count").collect()  # one per position
+    spots = wanted.select("_day", (F.col("_p") - F.col("_before")).alias("rank")).collect()  # one per position
     near = keyed.filter(F.col("_day").isin(sorted({s["_day"] for s in spots})))
-    if max((s["count"] for s in spots), default=0) <= heavy:
-        rank = F.row_number().over(Window.partitionBy("_day").orderBy("_row")) - 1
-        ranked = near.withColumn("_r", rank)
-    else:
-        sliced = cut_lineage(near.repartitionByRange("_day", "_row").withColumn(SLICE, F.spark_partition_id()), "cuts")
-        below = Window.partitionBy("_day").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-        starts = sliced.groupBy("_day", SLICE).count().select(
-            "_day", SLICE, F.coalesce(F.sum("count").over(below), F.lit(0)).alias("_start"))
-        rank = F.row_number().over(Window.partitionBy("_day", SLICE).orderBy("_row")) - 1
-        # as many rows as there are slices
-        ranked = sliced.withColumn("_i", rank).join(starts, ["_day", SLICE]).withColumn("_r", F.col("_i") + F.col("_start"))
+    ranked = numbered(near, ["_row"], "_r", "cuts", "_day")
     hit = F.lit(False)
     for s in spots:
         hit = hit | ((F.col("_day") == s["_day"]) & (F.col("_r") == s["rank"]))
     return ranked.filter(hit).agg(F.array_sort(F.collect_list("_row")).alias("cuts"))
 
 
-def cut_index(df: DataFrame, us: str, seq: list[str], positions, out: str,
-              heavy: int = SETTINGS.heavy_rows) -> DataFrame:
+def cut_index(df: DataFrame, us: str, seq: list[str], positions, out: str) -> DataFrame:
     """Add how many of the wanted positions lie at or before each row; the table is not shuffled."""
-    cuts = position_cuts(df, us, seq, positions, heavy).scalar()
+    cuts = position_cuts(df, us, seq, positions).scalar()
     return (df.withColumn("_cuts", cuts)
             .withColumn(out, F.size(F.filter("_cuts", lambda c: c <= F.struct(us, *seq))))
             .drop("_cuts"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from functools import reduce
 
@@ -41,11 +42,26 @@ def load_star(spark: SparkSession, paths: dict[str, str], fmt: str = "csv") -> d
             for name, path in paths.items()}
 
 
-def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
+def input_version(spark: SparkSession, *paths: str) -> str:
+    """A digest of the names, sizes and times of all files of the inputs; it changes when one of them does."""
+    told = []
+    for path in paths:
+        root = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True)
+        while files.hasNext():
+            f = files.next()
+            told.append(f"{f.getPath()}|{f.getLen()}|{f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(told)).encode()).hexdigest()[:16]
+
+
+def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame], inputs: tuple[str, ...] = ()) -> DataFrame:
     """The stage at ``path``, built and written first where no finished one is there.
 
-    A stage is finished once its job has left the success marker; one half written is built anew.
+    A stage is finished once its job has left the success marker; one half written is built anew.  With ``inputs``
+    there is one stage for each state of their files, so that a changed input is built from anew.
     """
+    if inputs:
+        path = f"{path}/inputs={input_version(spark, *inputs)}"
     marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     if not marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker):
         build().write.mode("overwrite").parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pricetide.config import MICROS_PER_DAY as DAY
 from pricetide.operators.splits import chrono_split, time_series_folds
-from pricetide.operators.windows import drop_internal, heavy_keys, rolling_sums, shift_rows
+from pricetide.operators.windows import numbered, drop_internal, heavy_keys, rolling_sums, shift_rows
 
 SPANS = {"7d": 7 * DAY, "30d": 30 * DAY, "all": None}
 
@@ -94,7 +94,7 @@ def test_split_within_one_heavy_day(spark, rows):
     one = rows.assign(us=rows["us"] % DAY)
     df = spark.createDataFrame(one).repartition(4).withColumn("ts", F.timestamp_micros("us"))
     order = one.sort_values(["us", "seq"])["seq"].tolist()
-    split = {r["seq"]: r["split"] for r in chrono_split(df, "ts", ["seq"], heavy=50).collect()}
+    split = {r["seq"]: r["split"] for r in chrono_split(df, "ts", ["seq"]).collect()}
     assert [split[s] for s in order] == ["train"] * 320 + ["test"] * 80
 
 
@@ -106,3 +106,13 @@ def test_splits_by_position(spark, rows):
     fold = {r["seq"]: r["fold"] for r in time_series_folds(df, "ts", ["seq"]).collect()}
     size = 400 // 6
     assert [fold[s] for s in order] == [0] * (400 - 5 * size) + [f for f in range(1, 6) for _ in range(size)]
+
+
+def test_numbered_in_slices(spark, rows):
+    df = spark.createDataFrame(rows).repartition(5)
+    order = rows.sort_values(["us", "seq"])["seq"].tolist()
+    got = {r["seq"]: r["place"] for r in numbered(df, ["us", "seq"], "place", "t").collect()}
+    assert got == {s: i for i, s in enumerate(order)}
+    got = {r["seq"]: r["place"] for r in numbered(df, ["us", "seq"], "place", "t", "k").collect()}
+    assert got == {s: i for _, g in rows.groupby("k") for i, s in enumerate(g.sort_values(["us", "seq"])["seq"])}
+    assert numbered(df.limit(0), ["us"], "place", "t").count() == 0
