@@ -5,15 +5,17 @@ Words are lower-cased (A-Z and beyond) without outer punctuation; numbers, units
 tokens are hashed; those of the documents are joined to those of the benchmark on the hash.  Matched windows of a
 document and an item lie on diagonals (same shift between the two); a diagonal counts if its windows cover enough
 tokens and if its slots agree: each value of the item always stands for one value in the document.  So a copied
-question is found again when its numbers, names or units were changed consistently.  Windows with few literals are
-hashed with the values of their slots.  The first word of an item takes its type from what stands before it, so items
+question is found again when its numbers, names or units were changed consistently.  Changed slots count only on a
+diagonal with a window of ``min_literals`` literals, so that bare lists of quantities or names are not taken for one
+another; windows with under ``few_literals`` are hashed with the values of their slots.  The first word of an item takes its type from what stands before it, so items
 are hashed once for each type it may have.  Copies of a whole item are also looked for word by word, without types, so
 that neither case nor context hides them.
 
 A bitmap of fixed size over the benchmark's hashes keeps most windows of the documents from being shuffled.
 
 Defined results: null and blank texts, on either side, match nothing.  Items with fewer tokens than a window have one
-window of their length, however short they are.  Documents with a null id are neither matched nor removed; items with a null id are left out.
+window of their length; those of under ``min_item_tokens`` (an answer like "yes") are not looked for, as any text may
+hold them.  Documents with a null id are neither matched nor removed; items with a null id are left out.
 Rows that share an id count as one document, repeated items as one item.  Ties do not matter: every item that a
 document contains gives a row.  Empty tables give an empty result.  Other columns are not read, or pass through.
 """
@@ -47,7 +49,9 @@ _M = np.uint64(0x9E3779B97F4A7C15)
 class LeakRules:
     window: int = 8
     min_literals: int = 5
+    few_literals: int = 2
     min_tokens: int = 13
+    min_item_tokens: int = 4
 
 
 FLAG_BITS = 5
@@ -99,8 +103,7 @@ class Templates:
 
         ``slots`` is a function from the chosen windows to lists of slot values.
         """
-        own, place, h, counts, slots, _ = self.typed(self.parsed(texts), len(texts), (self.rules.window,))
-        return own, place, h, counts, slots
+        return self.typed(self.parsed(texts), len(texts), (self.rules.window,))[:5]
 
     def parsed(self, texts: list[str]):
         """(words, places of the words that count, their texts, flags and hashes, which start a sentence)."""
@@ -143,8 +146,9 @@ class Templates:
         seen = np.concatenate([[0], np.cumsum(literal)])
         hashed = zip(_rolled(np.where(literal, token, kind.astype(np.uint64)), own, lengths, 0),
                      _rolled(token, own, lengths, 1))
-        at, h, length = _joined([(i, np.where(seen[i + w] - seen[i] >= self.rules.min_literals, typed, exact), w)
+        at, h, length = _joined([(i, np.where(seen[i + w] - seen[i] >= self.rules.few_literals, typed, exact), w)
                                  for (i, typed, w), (_, exact, _) in hashed], able[own])
+        rich = seen[at + length] - seen[at] >= self.rules.min_literals
         counts = np.bincount(own, minlength=n_texts)
         starts = np.concatenate([[0], np.cumsum(counts)])
 
@@ -152,7 +156,7 @@ class Templates:
             return [[words[keep[j]].strip(_OUTER) for j in range(i, i + w) if kind[j] != WORD]
                     for i, w in zip(at[chosen].tolist(), length[chosen].tolist())]
 
-        return own[at], at - starts[own[at]], h, counts, slots, length
+        return own[at], at - starts[own[at]], h, counts, slots, length, rich
 
     def whole(self, parsed, n_texts: int, lengths):
         """Windows of words without types, in the same form; they have no slots."""
@@ -160,7 +164,8 @@ class Templates:
         at, h, length = _joined(list(_rolled(token, own, lengths, 2)), np.ones(len(own), bool))
         counts = np.bincount(own, minlength=n_texts)
         starts = np.concatenate([[0], np.cumsum(counts)])
-        return own[at], at - starts[own[at]], h, counts, lambda chosen: [[] for _ in chosen], length
+        return (own[at], at - starts[own[at]], h, counts, lambda chosen: [[] for _ in chosen], length,
+                np.ones(len(at), bool))
 
 
 def _firsts(own: np.ndarray) -> np.ndarray:
@@ -197,7 +202,7 @@ WHOLE = 4  # the form of windows without types; those below are the type of an i
 
 
 def _windows(table: DataFrame, id_col: str, text: str, rules: LeakRules, bitmap=None, lengths=None) -> DataFrame:
-    """(id, form, place, hash, n_tokens, slots) of the windows of items, each as long as ``window`` or the whole item;
+    """(id, form, place, hash, n_tokens, rich, slots) of the windows of items, each as long as ``window`` or the whole item;
     or, with a bitmap, of those windows of documents, of the given lengths, whose hash the bitmap has."""
     source = table.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     id_type = source.schema["id"].dataType.simpleString()
@@ -212,18 +217,20 @@ def _windows(table: DataFrame, id_col: str, text: str, rules: LeakRules, bitmap=
                 texts = [t or "" for t in batch.column(1).to_pylist()]
                 parsed = templates.parsed(texts)
                 for form in forms:
-                    own, place, h, counts, slots, length = templates.whole(parsed, len(texts), lengths) \
+                    own, place, h, counts, slots, length, rich = templates.whole(parsed, len(texts), lengths) \
                         if form == WHOLE else templates.typed(parsed, len(texts), lengths, form)
-                    hit = np.flatnonzero(length == np.minimum(rules.window, counts[own]) if bitmap is None
-                                         else in_bitmap(bitmap, h))
+                    hit = np.flatnonzero((length == np.minimum(rules.window, counts[own])) &
+                                         (counts[own] >= rules.min_item_tokens) if bitmap is None else in_bitmap(bitmap, h))
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(pa.array(own[hit])), pa.array(np.full(len(hit), form), pa.int32()),
                          pa.array(place[hit], pa.int64()), pa.array(h[hit], pa.int64()),
-                         pa.array(counts[own[hit]], pa.int64()), pa.array(slots(hit), pa.list_(pa.string()))],
-                        names=["id", "form", "place", "hash", "n_tokens", "slots"])
+                         pa.array(counts[own[hit]], pa.int64()), pa.array(rich[hit]),
+                         pa.array(slots(hit), pa.list_(pa.string()))],
+                        names=["id", "form", "place", "hash", "n_tokens", "rich", "slots"])
 
     return source.mapInArrow(
-        run, f"id {id_type}, form int, place bigint, hash bigint, n_tokens bigint, slots array<string>")
+        run, f"id {id_type}, form int, place bigint, hash bigint, n_tokens bigint, rich boolean, "
+             "slots array<string>")
 
 
 def _covered(places, window):
@@ -246,19 +253,20 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     lengths = [r[0] for r in items.select(F.least(full, "n_tokens")).distinct().collect()]
     found = _windows(docs, id_col, text, rules, bitmap, lengths)
     parts = items.select(F.col("id").alias(item_id), F.col("form").alias("of_form"), F.col("place").alias("at"), "hash",
-                         F.col("n_tokens").alias("n_item_tokens"), F.col("slots").alias("item_slots"))
+                         F.col("n_tokens").alias("n_item_tokens"), F.col("rich").alias("item_rich"), F.col("slots").alias(
+                             "item_slots"))
     # All types of a first word end at the same token, so a place is named by its end.
     matched = found.join(parts, "hash").where((F.col("form") == WHOLE) == (F.col("of_form") == WHOLE)).select(
         "id", item_id, "of_form", "n_item_tokens",
-        (F.col("place") - F.col("at") + F.col("n_item_tokens")).alias("end"), "at",
+        (F.col("place") - F.col("at") + F.col("n_item_tokens")).alias("end"), "at", "item_rich",
         F.arrays_zip(F.col("item_slots").alias("of_item"), F.col("slots").alias("of_doc")).alias("pairs"))
     # A diagonal has at most one window for each place of the item.
     diagonal = matched.groupBy("id", item_id, "of_form", "n_item_tokens", "end").agg(
-        F.sort_array(F.collect_set("at")).alias("places"),
+        F.sort_array(F.collect_set("at")).alias("places"), F.max("item_rich").alias("rich"),
         F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
     whole = F.col("of_form") == WHOLE
     judged = diagonal.select(
-        "id", item_id, "of_form", "n_item_tokens", "end",
+        "id", item_id, "of_form", "n_item_tokens", "end", "rich",
         _covered(F.col("places"), F.least(full, "n_item_tokens")).alias("covered"),
         (F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda x: x["of_item"])))).alias("agreed"),
         F.exists("pairs", lambda x: x["of_item"] != x["of_doc"]).alias("changed"))
@@ -266,7 +274,7 @@ def benchmark_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
         F.least(F.lit(rules.min_tokens).cast("long"), F.col("n_item_tokens")))
     # Words are only counted where no template covers enough.
     best = F.max(F.struct(~whole, "covered", "n_item_tokens"))
-    return judged.where(F.col("agreed") & (F.col("covered") >= enough)).groupBy(
+    return judged.where(F.col("agreed") & (F.col("covered") >= enough) & (F.col("rich") | ~F.col("changed"))).groupBy(
         F.col("id").alias(id_col), item_id).agg(
         best["covered"].alias("n_covered"), best["n_item_tokens"].alias("n_item_tokens"),
         F.greatest(F.size(F.collect_set(F.when(~whole, F.col("end")))),
