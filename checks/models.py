@@ -1,10 +1,11 @@
 """Queries that train, tune, score and explain models on the whole feature tables.
 
-Tree counts are small here so that the checks end soon; the presets hold the full sizes.
+Boosted models have few rounds here (each round is a job per level); depths, leaves and shares are those of the presets.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from checks import marketplace as MK
@@ -17,12 +18,13 @@ from pricetide.operators import sales_features as S
 from pricetide.operators import shapley as SH
 from pricetide.operators import splits
 from pricetide.operators import targets as T
+from pricetide.operators.boosting import Boosting, Task, fit_side_by_side, split_table
 from pricetide.operators.marketplace import SEQ, TS
 from pricetide.session import cut_lineage, shared_folder
 from pricetide.sources.schemas import MARKET_FEATURES, MARKET_TARGET
 from pricetide.sources.warehouse import Warehouse
 
-ROUNDS, TREES = 5, 5
+MARKET_ROUNDS, ROUNDS, TREES = 10, 5, 20
 def market_split(spark, folder):
     def build():
         df = MK.features_of(spark, folder)
@@ -42,7 +44,7 @@ def boosted(spark, folder):
         # the last fifth of the training rows in time order decides when to stop
         marked = splits.chrono_split(train_test(spark, folder)[0].drop("split"), TS, SEQ)
         return ML.train_boosted(marked.filter(F.col("split") == "train"), MARKET_FEATURES, MARKET_TARGET,
-                                ML.MARKET_BOOSTED, ROUNDS, marked.filter(F.col("split") == "test"))
+                                ML.MARKET_BOOSTED, MARKET_ROUNDS, marked.filter(F.col("split") == "test"))
     return once("boosted", spark, folder, build)
 
 
@@ -60,8 +62,7 @@ def train_linear(spark, folder):
 @register("train_forest")
 def train_forest(spark, folder):
     train, test = train_test(spark, folder)
-    preset = {**ML.MARKET_FOREST, "maxDepth": 8}
-    return _report("forest", ML.train_forest(train, MARKET_FEATURES, MARKET_TARGET, preset, TREES), test)
+    return _report("forest", ML.train_forest(train, MARKET_FEATURES, MARKET_TARGET, ML.MARKET_FOREST, TREES), test)
 
 
 @register("train_boosted")
@@ -81,13 +82,13 @@ def top_k_features(spark, folder):
 
 @register("learning_curve")
 def learning_curve(spark, folder):
-    return ML.learning_curve(boosted(spark, folder), train_test(spark, folder)[1])
+    return ML.learning_curve(boosted(spark, folder), train_test(spark, folder)[1], MARKET_TARGET)
 
 
 @register("tune_time_series")
 def tune_time_series(spark, folder):
-    trials = [{**t, "maxDepth": min(t["maxDepth"], 5)} for t in ML.draw_trials(2)]
-    return ML.tune_time_series(market_split(spark, folder), MARKET_FEATURES, MARKET_TARGET, trials, folds=2, rounds=3)
+    return ML.tune_time_series(market_split(spark, folder), MARKET_FEATURES, MARKET_TARGET, ML.draw_trials(8), folds=2,
+                               rounds=2)
 
 
 GRAM = ["mean", "low", "high"]
@@ -117,9 +118,8 @@ def retail(spark, folder):
                                               "2000-01-01", "2001-01-01"), "retail-table")
         names = ML.feature_names(features)
         train, held = (table.filter(F.col("split") == part) for part in ("train", "valid"))
-        models = {n: ML.train_boosted(train, names, "target_price", {**p, "maxDepth": 4}, ROUNDS, held, scale=True)
-                  for n, p in ML.BOOSTED.items()}
-        models["rf"] = ML.train_forest(train, names, "target_price", {**ML.FOREST, "maxDepth": 6}, TREES, scale=True)
+        models = ML.train_boosters(train, names, "target_price", ML.BOOSTED, ROUNDS, held)
+        models["rf"] = ML.train_forest(train, names, "target_price", trees=TREES, scale=True)
         valid = ML.base_predictions(models, held)
         stack = ML.stack_nonneg_ridge(valid, list(models), "target_price")
         profile = cut_lineage(S.popularity_rank(S.product_stats(clean)), "retail-profile")
@@ -151,7 +151,8 @@ def score_batch(spark, folder):
                            allowMissingColumns=True)
 
 
-@register("save_and_load_model")
+@register("save_and_load_model", with_ctes(MK.FEATURES, """select count(*) - cast(floor(count(*) * 0.8) as bigint)
+as row_count, 0.0::double as gap from features"""))
 def save_and_load_model(spark, folder):
     """A model written to the shared folder, read back and compared on the test rows."""
     model, (_, test) = boosted(spark, folder), train_test(spark, folder)
@@ -161,17 +162,17 @@ def save_and_load_model(spark, folder):
     return both.agg(F.count(F.lit(1)).alias("row_count"), F.max(F.abs(F.col("before") - F.col("after"))).alias("gap"))
 
 
-def explained(spark, folder):
-    def build():
-        train, test = train_test(spark, folder)
-        return SH.explain_model(boosted(spark, folder), train, test, MARKET_FEATURES, "row_id", background=30,
-                                permutations=1)
-    return staged("shapley", spark, folder, build)
-
-
 @register("permutation_shapley")
 def permutation_shapley(spark, folder):
-    return explained(spark, folder)
+    """The sample sizes are the operator's own: it explains a sample against a sample."""
+    train, test = train_test(spark, folder)
+    return SH.explain_model(boosted(spark, folder), train, test, MARKET_FEATURES, "row_id")
+
+
+def explained(spark, folder):
+    """Every test row, exactly."""
+    return staged("shapley", spark, folder, lambda: SH.tree_shapley(
+        boosted(spark, folder), train_test(spark, folder)[1], "row_id"))
 
 
 @register("global_importance")
@@ -194,3 +195,109 @@ def local_audit(spark, folder):
     return SH.local_audit(explained(spark, folder), "row_id")
 
 
+
+
+# ---- one tree and one line on the order lines, all of it in SQL
+
+LINE_FEATURES, LINE_TARGET = ["l_quantity", "l_discount"], "l_extendedprice"
+LINE_CUTS = [[10.5, 20.5, 30.5, 40.5], [0.015, 0.035, 0.055, 0.075]]
+LINE_TREE = Boosting(1, 1.0, "level", max_depth=2, least_rows=5, l1=100.0, l2=10.0)
+
+
+def _pull(g: str) -> str:
+    return f"(sign({g}) * greatest(abs({g}) - 100.0, 0))"
+
+
+def _score(g: str, n: str) -> str:
+    return f"(power(greatest(abs({g}) - 100.0, 0), 2) / ({n} + 10.0))"
+
+
+GAIN = (f"case when least(nl, n - nl) >= 5 then greatest({_score('gl', 'nl')} + {_score('(g - gl)', '(n - nl)')} - "
+        f"{_score('g', 'n')}, 0) else 0 end")
+CELLS = """select {keys} f, b, t, coalesce(sum(g) filter (where x <= t), 0) as gl, count(*) filter (where x <= t) as nl,
+  sum(g) as g, count(*) as n from (select *, case f when 0 then x0 else x1 end as x from {rows} cross join cuts)
+  group by {keys} f, b, t"""
+TREE = f"""
+lines as (select l_orderkey, l_linenumber, l_quantity::double as x0, l_discount::double as x1,
+  l_extendedprice::double as y from lineitem where l_extendedprice is not null),
+grads as (select *, (select avg(y) from lines) - y as g from lines),
+cuts(f, b, t) as (values {', '.join(f'({f}, {b}, {t}::double)' for f, ts in enumerate(LINE_CUTS) for b, t in enumerate(ts))}),
+root as (select f, t from (select *, {GAIN} as gain from ({CELLS.format(keys='', rows='grads')}))
+  order by gain::float desc, f, b limit 1),
+sides as (select grads.*, cast(case root.f when 0 then x0 else x1 end > root.t as int) as side from grads, root),
+second as (select side, f, t from (select *, {GAIN} as gain from ({CELLS.format(keys='side,', rows='sides')}))
+  where gain > 0 qualify row_number() over (partition by side order by gain::float desc, f, b) = 1),
+leaves as (select side, side2, f, t, count(*) as n, -{_pull('sum(g)')} / (count(*) + 10.0) as v from (
+  select sides.side, f, t, g, cast(case f when 0 then x0 else x1 end > t as int) as side2 from sides
+  join second using (side)) group by side, side2, f, t)"""
+NAME = "case {} when 0 then 'l_quantity' else 'l_discount' end"
+
+
+def line_tree(spark, folder):
+    """The first tree of a boosted model, with fixed cut points, on all order lines."""
+    rows = spark.read.parquet(f"{folder}/lineitem.parquet")
+    return once("line-tree", spark, folder, lambda: fit_side_by_side(
+        rows.withColumn("_part", F.lit(0)), LINE_FEATURES, LINE_TARGET, "_part", [Task(LINE_TREE)],
+        cuts=[np.array(c) for c in LINE_CUTS])[0])
+
+
+@register("boosted_split_table", with_ctes(TREE, f"""select t as threshold, nl as left_rows, round(gl, 2) as left_grad,
+round({GAIN} / 1e6, 3) as gain from ({CELLS.format(keys='', rows='grads')}) where f = 0"""))
+def boosted_split_table(spark, folder):
+    rows = spark.read.parquet(f"{folder}/lineitem.parquet")
+    return split_table(rows, LINE_FEATURES[0], LINE_TARGET, LINE_CUTS[0], LINE_TREE).withColumns(
+        {"left_grad": F.round("left_grad", 2), "gain": F.round(F.col("gain") / 1e6, 3)})
+
+
+@register("boosted_first_tree", with_ctes(TREE, f"""select {NAME.format('root.f')} as root_feature,
+root.t as root_threshold, {NAME.format('leaves.f')} as feature, leaves.t as threshold, n as rows, round(v, 4) as value
+from leaves, root"""))
+def boosted_first_tree(spark, folder):
+    """Leaves of the tree with the cuts above them."""
+    nodes = line_tree(spark, folder).tree_table(spark)
+    root = nodes.filter("node = 0").select(F.col("feature").alias("root_feature"), F.col("threshold").alias("root_threshold"))
+    inner = nodes.filter("node > 0 and feature is not null").select(
+        "feature", "threshold", F.explode(F.array("left", "right")).alias("node"))
+    leaves = nodes.filter("feature is null").select("node", "rows", F.round("value", 4).alias("value"))
+    return leaves.join(inner, "node").join(F.broadcast(root), how="cross").drop("node")
+
+
+EXPECTED = "(nl * {} + nr * {}) / (nl + nr)"
+
+
+def _subset(first: int, second: int) -> str:
+    """The tree's mean over the features that are left out."""
+    def known(f):
+        return f"(case {f} when 0 then {first} else {second} end = 1)"
+
+    low = f"(case when {known('fl')} then el else ml end)"
+    high = f"(case when {known('fr')} then er else mr end)"
+    return (f"(case when {known('f0')} then (case when (case f0 when 0 then x0 else x1 end) > t0 then {high} else {low} end) "
+            f"else {EXPECTED.format(low, high)} end)")
+
+
+@register("tree_shapley", with_ctes(TREE, """
+halves as (select side, max(f) as f, max(t) as t, sum(n) as n, sum(n * v) / sum(n) as m, max(case side2 when 0 then v end) as v0,
+  max(case side2 when 1 then v end) as v1 from leaves group by side)""", f"""
+ways as (select lines.*, root.f as f0, root.t as t0, l.f as fl, r.f as fr, l.n as nl, r.n as nr, l.m as ml, r.m as mr,
+  case when case l.f when 0 then x0 else x1 end > l.t then l.v1 else l.v0 end as el,
+  case when case r.f when 0 then x0 else x1 end > r.t then r.v1 else r.v0 end as er
+  from lines, root, halves l, halves r where l.side = 0 and r.side = 1)""", f"""
+sets as (select *, {_subset(0, 0)} as v00, {_subset(1, 0)} as v10, {_subset(0, 1)} as v01, {_subset(1, 1)} as v11,
+  (select avg(y) from lines) as base from ways)""", """
+select l_orderkey || '-' || l_linenumber as line, unnest(['l_quantity', 'l_discount']) as feature,
+round(unnest([x0, x1]), 4) as value, round(unnest([(v10 - v00 + v11 - v01) / 2, (v01 - v00 + v11 - v10) / 2]), 4) as contribution,
+round(base + v00, 4) as base_value, round(base + v11, 4) as prediction from sets"""))
+def tree_shapley(spark, folder):
+    rows = spark.read.parquet(f"{folder}/lineitem.parquet").withColumn("line", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    found = SH.tree_shapley(line_tree(spark, folder), rows.filter(F.col(LINE_TARGET).isNotNull()), "line")
+    return found.withColumns({c: F.round(c, 4) for c in ("value", "contribution", "base_value", "prediction")})
+
+
+@register("linear_coefficients", """select round(regr_slope(l_extendedprice::double, l_quantity::double), 4) as slope,
+round(regr_intercept(l_extendedprice::double, l_quantity::double), 3) as intercept from lineitem""")
+def linear_coefficients(spark, folder):
+    rows = spark.read.parquet(f"{folder}/lineitem.parquet").select(*[F.col(c).cast("double") for c in ("l_quantity", LINE_TARGET)])
+    line = ML.train_linear(rows, ["l_quantity"], LINE_TARGET).stages[-1]
+    return spark.createDataFrame([(float(line.coefficients[0]), float(line.intercept))], "slope double, intercept double").select(
+        F.round("slope", 4).alias("slope"), F.round("intercept", 3).alias("intercept"))

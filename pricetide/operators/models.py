@@ -3,35 +3,36 @@
 from __future__ import annotations
 
 import itertools
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricetide.functions.core import py_round
+from pricetide.operators.boosting import PATIENCE, BoostedModel, Boosting, Task, best_round, fit_side_by_side  # noqa: F401
+from pricetide.session import cut_lineage
 
 # Learner presets.
 BOOSTED = {
-    "xgb": {"rounds": 1000, "stepSize": 0.05, "maxDepth": 8, "minInstancesPerNode": 3, "subsamplingRate": 0.8,
-            "featureSubsetStrategy": "0.8", "seed": 42},
-    "lgbm": {"rounds": 1000, "stepSize": 0.05, "maxDepth": 7, "minInstancesPerNode": 20, "subsamplingRate": 0.8,
-             "featureSubsetStrategy": "0.8", "seed": 43},
-    "catboost": {"rounds": 1000, "stepSize": 0.05, "maxDepth": 8, "minInstancesPerNode": 1, "subsamplingRate": 1.0,
-                 "featureSubsetStrategy": "all", "seed": 44},
+    "xgb": Boosting(1000, 0.05, "level", max_depth=8, least_rows=3, l1=0.1, l2=1.0, row_share=0.8, column_share=0.8,
+                    seed=42),
+    "lgbm": Boosting(1000, 0.05, "leaf", max_depth=None, max_leaves=127, least_rows=20, l1=0.1, l2=1.0, row_share=0.8,
+                     column_share=0.8, seed=42),
+    "catboost": Boosting(1000, 0.05, "same", max_depth=8, least_rows=0, l2=3.0, seed=42),
 }
-MARKET_BOOSTED = {"rounds": 500, "stepSize": 0.05, "maxDepth": 7, "minInstancesPerNode": 1, "subsamplingRate": 0.8,
-                  "featureSubsetStrategy": "0.8", "seed": 42}
+MARKET_BOOSTED = Boosting(500, 0.05, "level", max_depth=7, row_share=0.8, column_share=0.8, seed=42)
 FOREST = {"trees": 500, "maxDepth": 12, "minInstancesPerNode": 2}
 MARKET_FOREST = {"trees": 200, "maxDepth": 12, "minInstancesPerNode": 5}
 RIDGE_ALPHA = 1.0
-PATIENCE = 50
 # Tuning ranges (trees, learning rate on a log scale, depth, row and column share).
-TUNE_RANGES = {"rounds": (200, 1000), "stepSize": (0.01, 0.3), "maxDepth": (4, 10), "subsamplingRate": (0.6, 1.0),
-               "featureSubsetStrategy": (0.6, 1.0)}
+TUNE_RANGES = {"rounds": (200, 1000), "learning_rate": (0.01, 0.3), "max_depth": (4, 10), "row_share": (0.6, 1.0),
+               "column_share": (0.6, 1.0)}
+# Fixed value: trials that are never pruned.
+STARTUP_TRIALS = 5
 # Columns that are keys, targets or look into the future, and so never features.
 NOT_FEATURES = {
     "invoice_no", "invoice_date", "customer_id", "description", "stock_code", "source", "dataset_year_range",
@@ -70,53 +71,33 @@ def train_forest(train: DataFrame, features: list[str], target: str, preset: dic
     return _fit(learner, train, features, scale)
 
 
-def train_boosted(train: DataFrame, features: list[str], target: str, preset: dict, rounds: int | None = None,
-                  validation: DataFrame | None = None, patience: int = PATIENCE, scale: bool = False) -> PipelineModel:
-    """Gradient-boosted trees.  With ``validation`` rows the model ends at the round after which their
-    error no longer falls for ``patience`` rounds.
+def train_boosters(train: DataFrame, features: list[str], target: str, presets: dict[str, Boosting],
+                   rounds: int | None = None, validation: DataFrame | None = None,
+                   patience: int = PATIENCE) -> dict[str, BoostedModel]:
+    """Boosted models of one table, grown side by side.  With ``validation`` rows each ends at its best round, once
+    their error has not fallen for ``patience`` rounds.  Trees cut by order alone, so no scaling is needed."""
+    columns = [*features, target]
+    rows = train.select(*columns, F.lit(0).alias("_part"))
+    if validation is not None:
+        rows = rows.unionByName(validation.select(*columns, F.lit(1).alias("_part")))
+    tasks = [Task(replace(p, rounds=rounds or p.rounds), 1, None if validation is None else 1) for p in presets.values()]
+    return dict(zip(presets, fit_side_by_side(rows, features, target, "_part", tasks, patience)))
 
-    (The learner's own validation stops at the first small gain, which a slow learning rate never beats.)
-    """
-    def fit(count: int) -> PipelineModel:
-        learner = GBTRegressor(
-            labelCol=target, maxIter=count, stepSize=preset["stepSize"], maxDepth=preset["maxDepth"],
-            minInstancesPerNode=preset["minInstancesPerNode"], subsamplingRate=preset["subsamplingRate"],
-            featureSubsetStrategy=preset["featureSubsetStrategy"], seed=preset["seed"], maxMemoryInMB=1024)
-        return _fit(learner, train, features, scale)
-
-    total = rounds or preset["rounds"]
-    model = fit(total)
-    if validation is None:
-        return model
-    best = best_round(round_errors(model, validation, "absolute"), patience)
-    return model if best == total else fit(best)
-
-
-def round_errors(model: PipelineModel, validation: DataFrame, loss: str) -> list[float]:
-    """Mean loss after each boosting round, all rounds in one pass over the rows."""
-    ready = PipelineModel(model.stages[:-1]).transform(validation)
-    return [float(e) for e in model.stages[-1].evaluateEachIteration(ready, loss)]
-
-
-def best_round(errors: list[float], patience: int = PATIENCE) -> int:
-    """The 1-based round with the lowest error before ``patience`` rounds pass without a lower one."""
-    best = 0
-    for i, e in enumerate(errors):
-        if e < errors[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
-def predict(model: PipelineModel, df: DataFrame, out: str = "predicted") -> DataFrame:
+
+def train_boosted(train: DataFrame, features: list[str], target: str, preset: Boosting, rounds: int | None = None,
+                  validation: DataFrame | None = None, patience: int = PATIENCE) -> BoostedModel:
+    return train_boosters(train, features, target, {"boosted": preset}, rounds, validation, patience)["boosted"]
+
+
+def predict(model: PipelineModel | BoostedModel, df: DataFrame, out: str = "predicted") -> DataFrame:
     extra = [c for c in ("_raw", "features") if c not in df.columns]
     return model.transform(df).withColumnRenamed("prediction", out).drop(*extra)
 
 
-def feature_importance(spark, model: PipelineModel, features: list[str]) -> DataFrame:
+def feature_importance(spark, model: PipelineModel | BoostedModel, features: list[str]) -> DataFrame:
     """One row per feature, most important first (ties by name)."""
-    weights = model.stages[-1].featureImportances.toArray()
+    boosted = isinstance(model, BoostedModel)
+    weights = model.importances() if boosted else model.stages[-1].featureImportances.toArray()
     table = spark.createDataFrame([(f, float(w)) for f, w in zip(features, weights)], "feature string, importance double")
     return table.orderBy(F.desc("importance"), "feature")
 
@@ -125,11 +106,9 @@ def top_k_features(importance: DataFrame, k: int = 20) -> DataFrame:
     return importance.orderBy(F.desc("importance"), "feature").limit(k)
 
 
-def learning_curve(model: PipelineModel, validation: DataFrame) -> DataFrame:
+def learning_curve(model: BoostedModel, validation: DataFrame, target: str) -> DataFrame:
     """Validation RMSE after each boosting round."""
-    errors = round_errors(model, validation, "squared")
-    return validation.sparkSession.createDataFrame(
-        [(i + 1, e ** 0.5) for i, e in enumerate(errors)], "round int, rmse double")
+    return model.round_errors(validation, target).select("round", "rmse")
 
 
 # ---- stacking
@@ -186,45 +165,60 @@ def stack_nonneg_ridge(df: DataFrame, predictions: list[str], target: str, alpha
 
 # ---- tuning
 
-def draw_trials(trials: int, seed: int = 42) -> list[dict]:
+def draw_trials(trials: int, seed: int = 42) -> list[Boosting]:
     rng = np.random.default_rng(seed)
-    lo, hi = TUNE_RANGES["stepSize"]
-    return [{
-        "rounds": int(rng.integers(TUNE_RANGES["rounds"][0], TUNE_RANGES["rounds"][1] + 1)),
-        "stepSize": float(np.exp(rng.uniform(np.log(lo), np.log(hi)))),
-        "maxDepth": int(rng.integers(TUNE_RANGES["maxDepth"][0], TUNE_RANGES["maxDepth"][1] + 1)),
-        "minInstancesPerNode": 1,
-        "subsamplingRate": float(rng.uniform(*TUNE_RANGES["subsamplingRate"])),
-        "featureSubsetStrategy": f"{rng.uniform(*TUNE_RANGES['featureSubsetStrategy']):.3f}", "seed": 42,
-    } for _ in range(trials)]
-
-
-def tune_time_series(folded: DataFrame, features: list[str], target: str, trials: list[dict],
+    lo, hi = TUNE_RANGES["learning_rate"]
+    return [Boosting(
+        rounds=int(rng.integers(TUNE_RANGES["rounds"][0], TUNE_RANGES["rounds"][1] + 1)),
+        learning_rate=float(np.exp(rng.uniform(np.log(lo), np.log(hi)))),
+        max_depth=int(rng.integers(TUNE_RANGES["max_depth"][0], TUNE_RANGES["max_depth"][1] + 1)),
+        row_share=float(rng.uniform(*TUNE_RANGES["row_share"])),
+        column_share=float(rng.uniform(*TUNE_RANGES["column_share"]))) for _ in range(trials)]
+
+
+def pruned_at(values: dict[int, float], startup: int = STARTUP_TRIALS) -> set[int]:
+    """Trials whose value at a step is above the median of those of the trials drawn before them; the first ``startup``
+    trials are kept."""
+    order = sorted(values)
+    return {t for i, t in enumerate(order) if t >= startup and i and values[t] > np.median([values[o] for o in order[:i]])}
+
+
+def tune_time_series(folded: DataFrame, features: list[str], target: str, trials: list[Boosting],
                      fold: str = "fold", folds: int = 5, rounds: int | None = None) -> DataFrame:
-    """Mean validation MAE of each trial over expanding folds, best first."""
-    out = []
-    for i, preset in enumerate(trials):
-        errors = []
-        for f in range(1, folds + 1):
-            model = train_boosted(folded.filter(F.col(fold) < f), features, target, preset, rounds)
-            held = predict(model, folded.filter(F.col(fold) == f))
-            errors.append(held.agg(F.avg(F.abs(F.col(target) - F.col("predicted")))).first()[0])
-        out.append((i, float(np.mean(errors)), preset["rounds"], preset["stepSize"], preset["maxDepth"],
-                    preset["subsamplingRate"], float(preset["featureSubsetStrategy"])))
-    schema = ("trial int, mae double, rounds int, learning_rate double, max_depth int, row_share double, "
-              "column_share double")
-    return folded.sparkSession.createDataFrame(out, schema).orderBy("mae", "trial")
+    """Each trial's mean validation MAE over expanding folds, best first, and where it was pruned.
+
+    All trials of a fold grow side by side on one stored table; before the next fold those are dropped whose mean so far
+    is above the median of the earlier trials.  A pruned trial has no ``mae``, and its mean so far as ``last_mae``.
+    """
+    table = cut_lineage(folded.select(*features, target, fold), "folds")
+    errors: dict[int, list[float]] = {i: [] for i in range(len(trials))}
+    left, pruned = list(errors), {}
+    for f in range(1, folds + 1):
+        tasks = [Task(replace(trials[i], rounds=rounds or trials[i].rounds), f, f) for i in left]
+        # no patience: a trial has as many rounds as were drawn
+        models = fit_side_by_side(table.filter(F.col(fold) <= f), features, target, fold, tasks, 1 << 30, cut=False)
+        for i, model in zip(left, models):
+            errors[i].append(model.errors[-1][0])
+        if f < folds:
+            gone = pruned_at({i: float(np.mean(errors[i])) for i in left})
+            pruned |= dict.fromkeys(gone, f)
+            left = [i for i in left if i not in gone]
+    out = [(i, None if i in pruned else float(np.mean(errors[i])), float(np.mean(errors[i])), pruned.get(i), p.rounds,
+            p.learning_rate, p.max_depth, p.row_share, p.column_share) for i, p in enumerate(trials)]
+    schema = ("trial int, mae double, last_mae double, pruned_after int, rounds int, learning_rate double, max_depth int, "
+              "row_share double, column_share double")
+    return folded.sparkSession.createDataFrame(out, schema).orderBy(F.col("mae").asc_nulls_last(), "trial")
 
 
 # ---- scoring and storage
 
-def base_predictions(models: dict[str, PipelineModel], df: DataFrame) -> DataFrame:
+def base_predictions(models: dict[str, PipelineModel | BoostedModel], df: DataFrame) -> DataFrame:
     for name, model in models.items():
         df = predict(model, df, name)
     return df
 
 
-def score_batch(requests: DataFrame, models: dict[str, PipelineModel], stack: Stack) -> DataFrame:
+def score_batch(requests: DataFrame, models: dict[str, PipelineModel | BoostedModel], stack: Stack) -> DataFrame:
     """Base predictions, their stack, business rules, bounds and interval for every request."""
     from pricetide.operators.pricing import recommend
 
@@ -235,11 +229,18 @@ def score_batch(requests: DataFrame, models: dict[str, PipelineModel], stack: St
         "ensemble_prediction": py_round("ensemble_prediction", 2)})
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: PipelineModel | BoostedModel, path: str) -> None:
+    if isinstance(model, BoostedModel):
+        model.save(SparkSession.getActiveSession(), path)
+    else:
+        model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
+def load_model(path: str) -> PipelineModel | BoostedModel:
+    spark = SparkSession.getActiveSession()
+    trees = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/trees")
+    if trees.getFileSystem(spark._jsc.hadoopConfiguration()).exists(trees):
+        return BoostedModel.load(spark, path)
     return PipelineModel.load(path)
 
 

@@ -68,10 +68,13 @@ def rolling_sums(df: DataFrame, key: str, us: str, seq: list[str], measures: dic
                                   F.lit(span).alias("_span")))
     payload = [c for c in df.columns if c not in (key, *seq)]
     keep = F.col(f"{ARRIVE}.{KIND}") == 0
-    moved = base.select("*", F.explode(F.array(*steps)).alias(ARRIVE)).select(
-        key, *seq,
-        *[F.when(keep, F.col(c)).alias(c) for c in payload],
-        *names.values(), f"{ARRIVE}.{AT}", f"{ARRIVE}.{KIND}", f"{ARRIVE}._span")
+
+    def moved(part: DataFrame) -> DataFrame:
+        return part.select("*", F.explode(F.array(*steps)).alias(ARRIVE)).select(
+            key, *seq,
+            *[F.when(keep, F.col(c)).alias(c) for c in payload],
+            *names.values(), f"{ARRIVE}.{AT}", f"{ARRIVE}.{KIND}", f"{ARRIVE}._span")
+
     delta = {}
     for span, width in spans.items():
         for m in measures:
@@ -84,11 +87,12 @@ def rolling_sums(df: DataFrame, key: str, us: str, seq: list[str], measures: dic
 
     def plain(part: DataFrame) -> DataFrame:
         w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return (part.withColumns({out: F.sum(d).over(w) for out, d in delta.items()})
+        # rows leave and arrive behind the exchange, which so carries each row once
+        return (moved(part.repartition(key)).withColumns({out: F.sum(d).over(w) for out, d in delta.items()})
                 .filter(F.col(KIND) == 0).select(*columns))
 
     def sliced(part: DataFrame) -> DataFrame:
-        part = part.withColumns(delta).withColumn(SLICE, hour_number(AT))
+        part = moved(part).withColumns(delta).withColumn(SLICE, hour_number(AT))
         w = Window.partitionBy(key, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         before = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
         offsets = (part.groupBy(key, SLICE).agg(*[F.sum(c).alias(f"_t_{c}") for c in delta])
@@ -98,7 +102,7 @@ def rolling_sums(df: DataFrame, key: str, us: str, seq: list[str], measures: dic
         return (inner.join(offsets, [key, SLICE])
                 .withColumns({c: F.col(c) + F.col(f"_o_{c}") for c in delta}).select(*columns))
 
-    return by_weight(moved, key, heavy, plain, sliced)
+    return by_weight(base, key, heavy, plain, sliced)
 
 
 def drop_internal(df: DataFrame) -> DataFrame:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricetide.config import SETTINGS, Settings
 from pricetide.functions.calendar import holidays_of
 from pricetide.operators import evaluation, models
+from pricetide.operators.boosting import BoostedModel
 from pricetide.operators.feature_store import latest_valid, merge_live_context, wide_features
 from pricetide.operators.marketplace import KEY, SEQ, TS, build_feature_base, build_market_features
 from pricetide.operators.pricing import price_decision, request_context, split_valid, validate_rule_requests
@@ -30,7 +30,7 @@ def features(spark: SparkSession, star: dict[str, DataFrame], folder: str,
 
 
 def train(table: DataFrame, trials: int = 50, folds: int = 5, rounds: int | None = None,
-          s: Settings = SETTINGS) -> tuple[PipelineModel, DataFrame, DataFrame]:
+          s: Settings = SETTINGS) -> tuple[BoostedModel, DataFrame, DataFrame]:
     """Chronological 80/20, tuning over expanding folds, final fit, metrics and the worst categories.
 
     Raises where the error is above the retrain limit."""
@@ -51,7 +51,7 @@ def train(table: DataFrame, trials: int = 50, folds: int = 5, rounds: int | None
     return model, metrics, evaluation.category_mae(scored)
 
 
-def price(requests: DataFrame, log: DataFrame, as_of: Column, model: PipelineModel,
+def price(requests: DataFrame, log: DataFrame, as_of: Column, model: BoostedModel,
           s: Settings = SETTINGS) -> tuple[DataFrame, DataFrame]:
     """Validated requests with live features over their own values, a model price and the price rules.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pricetide.config import SETTINGS, Settings
 from pricetide.operators import evaluation, models
+from pricetide.operators.boosting import BoostedModel
 from pricetide.operators.cleaning import clean_sales
 from pricetide.operators.pricing import request_features, split_valid, validate_model_requests
 from pricetide.operators.profiling import data_fingerprint
@@ -39,7 +40,7 @@ def stages(spark: SparkSession, sources: list[DataFrame], competitors: DataFrame
 
 @dataclass
 class Trained:
-    models: dict[str, PipelineModel]
+    models: dict[str, PipelineModel | BoostedModel]
     stack: models.Stack
     features: list[str]
     metrics: DataFrame
@@ -53,8 +54,7 @@ def train(table: DataFrame, valid_from: str, test_from: str, rounds: int | None
     split = time_split(table, "invoice_date", valid_from, test_from)
     part = {name: split.filter(F.col("split") == name) for name in ("train", "valid", "test")}
     names = models.feature_names(table)
-    fitted = {n: models.train_boosted(part["train"], names, target, p, rounds, part["valid"], scale=True)
-              for n, p in models.BOOSTED.items()}
+    fitted = models.train_boosters(part["train"], names, target, models.BOOSTED, rounds, part["valid"])
     fitted["rf"] = models.train_forest(part["train"], names, target, trees=trees, scale=True)
     fitted = {n: fitted[n] for n in MODEL_NAMES}
     stack = models.stack_nonneg_ridge(models.base_predictions(fitted, part["valid"]), list(fitted), target)

@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -39,9 +41,9 @@ def test_linear_and_shapley(spark, table):
 def test_boosting_stops_at_the_best_round(spark, table):
     assert ML.best_round([5, 4, 3, 3.5, 3.2, 2.9], patience=2) == 3
     assert ML.best_round([5, 4, 3, 3.5, 3.2, 2.9], patience=3) == 6
-    preset = {**ML.MARKET_BOOSTED, "maxDepth": 3}
+    preset = replace(ML.MARKET_BOOSTED, max_depth=3)
     model = ML.train_boosted(table, ["a", "b", "c"], "y", preset, 4, table)
-    curve = ML.learning_curve(model, table).collect()
+    curve = ML.learning_curve(model, table, "y").collect()
     assert [r["round"] for r in curve] == [1, 2, 3, 4] and curve[-1]["rmse"] < curve[0]["rmse"]
     best = ML.top_k_features(ML.feature_importance(spark, model, ["a", "b", "c"]), 2).collect()
     assert {r["feature"] for r in best} == {"a", "b"} and best[0]["importance"] >= best[1]["importance"]
@@ -93,4 +95,4 @@ def test_save_and_load(spark, table, tmp_path):
 
 def test_trials_are_seeded():
     assert ML.draw_trials(3) == ML.draw_trials(3)
-    assert all(200 <= t["rounds"] <= 1000 and 4 <= t["maxDepth"] <= 10 and 0.01 <= t["stepSize"] <= 0.3 for t in ML.draw_trials(20))
+    assert all(200 <= t.rounds <= 1000 and 4 <= t.max_depth <= 10 and 0.01 <= t.learning_rate <= 0.3 for t in ML.draw_trials(20))

@@ -82,6 +82,8 @@ def test_rolling_then_shift_adds_one_exchange(spark, rows):
     df = shift_rows(df, "k", "us", ["seq"], {"prev": ("q_7d", 1)})
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+    # rows are multiplied behind the exchange, which carries each once
+    assert 0 < plan.index("Generate") < plan.index("Exchange")
 
 
 def test_heavy_keys_are_found_and_bounded(spark, rows):
