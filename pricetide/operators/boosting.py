@@ -2,7 +2,7 @@
 
 Values become bins once, by cut points from one aggregate, and rows are stored in blocks of bytes.  One job grows one
 level of the current tree of every model: tasks drop their rows down the tree, add gradients and row counts per
-(open node, feature, bin), and emit one small array per model and feature.  These are summed where they meet, and only
+(open node, feature, bin), and emit the cells that have rows, as one array per model and feature.  These are summed where they meet, and only
 the best cut of each node and feature reaches the driver: nodes x features rows, whatever the size of the table.
 Margins are written with the blocks every few rounds, so a job applies few trees and a lost executor costs little.
 
@@ -34,7 +34,7 @@ KEPT_ROUNDS = 8
 # Models that share the jobs of one run; the arrays of a task grow with it.
 SIDE_BY_SIDE = 8
 PATIENCE = 50
-_HISTOGRAM = "model int, feature int, grad binary, rows binary"
+_HISTOGRAM = "model int, feature int, cells binary, grad binary, rows binary"
 _BEST = ("model int, feature int, slot int, bin int, gain double, left_grad double, left_rows bigint, grad double, "
          "rows bigint")
 _BLOCK = "codes binary, target binary, role binary, hash binary, margins binary"
@@ -406,24 +406,28 @@ def _level(blocks: DataFrame, n_features: int, tasks: list[Task], pending: list[
                             grads[m][k] += np.bincount(cell, gap[rows], size).reshape(len(opened), -1)
                             counts[m][k] += np.bincount(cell, minlength=size).reshape(len(opened), -1)
         for m, sums in missed.items():
-            yield _rows(m, [_ERRORS], [sums[:2].tobytes()], [np.array([sums[2]], np.int64).tobytes()])
+            yield _rows(m, [_ERRORS], [(np.arange(3), sums, np.zeros(3, np.int64))])
         for m, grad in grads.items():
-            yield _rows(m, shapes[m][2], [g.tobytes() for g in grad], [c.tobytes() for c in counts[m]])
+            used = [np.flatnonzero(c) for c in counts[m]]
+            yield _rows(m, shapes[m][2], [(u, g.ravel()[u], c.ravel()[u]) for u, g, c in zip(used, grad, counts[m])])
 
     presets = [t.preset for t in tasks]
+    opened_by = {m: len(g.open) for m, g in growing.items()}
 
     def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, feature = key[0].as_py(), key[1].as_py()
-        grad = rows = 0
+        size = 3 if feature == _ERRORS else opened_by[model] * (BINS + 1)
+        grad, rows = np.zeros(size), np.zeros(size, np.int64)
         for batch in batches:
-            for g, n in zip(batch.column("grad"), batch.column("rows")):
-                grad = grad + np.frombuffer(g.as_buffer(), np.float64)
-                rows = rows + np.frombuffer(n.as_buffer(), np.int64)
+            for u, g, n in zip(batch.column("cells"), batch.column("grad"), batch.column("rows")):
+                at = np.frombuffer(u.as_buffer(), np.int32)
+                grad[at] += np.frombuffer(g.as_buffer(), np.float64)
+                rows[at] += np.frombuffer(n.as_buffer(), np.int64)
         if feature == _ERRORS:
             yield pa.record_batch({
                 **{c: pa.array([v], pa.int32()) for c, v in (("model", model), ("feature", feature), ("slot", 0), ("bin", 0))},
                 "gain": [0.0], "left_grad": [float(grad[0])], "left_rows": pa.array([0], pa.int64()),
-                "grad": [float(grad[1])], "rows": pa.array([int(rows[0])], pa.int64())})
+                "grad": [float(grad[1])], "rows": pa.array([int(grad[2])], pa.int64())})
         else:
             yield _best_cuts(model, feature, grad.reshape(-1, BINS + 1), rows.reshape(-1, BINS + 1), presets[model])
 
@@ -431,10 +435,13 @@ def _level(blocks: DataFrame, n_features: int, tasks: list[Task], pending: list[
     return sums.groupBy("model", "feature").applyInArrow(merge, _BEST).collect()
 
 
-def _rows(model: int, features, grads: list[bytes], counts: list[bytes]) -> pa.RecordBatch:
+def _rows(model: int, features, arrays: list[tuple]) -> pa.RecordBatch:
+    """One row per feature: places, gradient sums and row counts of its cells."""
     return pa.record_batch({
-        "model": pa.array([model] * len(grads), pa.int32()), "feature": pa.array([int(f) for f in features], pa.int32()),
-        "grad": pa.array(grads, pa.binary()), "rows": pa.array(counts, pa.binary())})
+        "model": pa.array([model] * len(arrays), pa.int32()), "feature": pa.array([int(f) for f in features], pa.int32()),
+        "cells": pa.array([a.astype(np.int32).tobytes() for a, _, _ in arrays], pa.binary()),
+        "grad": pa.array([g.tobytes() for _, g, _ in arrays], pa.binary()),
+        "rows": pa.array([n.tobytes() for _, _, n in arrays], pa.binary())})
 
 
 def _advanced(blocks: DataFrame, n_features: int, pending: list[list[Tree]]) -> DataFrame:
