@@ -33,7 +33,9 @@ _TOKEN = re.compile(
     r".*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|</?[a-zA-Z][^>]*>",
     re.S | re.I)
 _MARK = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
+_MAY_HIDE = re.compile(r"hidden|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?")
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 _WORDS = re.compile(r"[A-Za-z][a-z]*")
 
 # Elements of HTML.  The text of dropped ones goes up to their own end tag, that of MathML stays.
@@ -80,6 +82,14 @@ class Weights:
 _NOTICE = re.compile(r"©|\(c\) *\d{4}|all rights reserved|cookie|subscribe|newsletter|privacy policy", re.I)
 
 
+def _hides(attributes: str) -> bool:
+    """The element has the attribute ``hidden``, or a style that does not display it."""
+    if not _MAY_HIDE.search(attributes):
+        return False
+    return any(m[1].lower() == "hidden" or (m[1].lower() == "style" and _NOT_SHOWN.search((m[2] or "").strip("\"'")))
+               for m in _ATTRIBUTE.finditer(attributes))
+
+
 class _Node:
     __slots__ = ("tag", "parent", "depth", "mark", "linked", "skip")
 
@@ -98,7 +108,7 @@ class _Node:
             elif not self.mark and words & CONTENT_WORDS:
                 self.mark = 1
         self.linked = tag == "a" or bool(parent and parent.linked and tag in INLINE)
-        self.skip = bool(parent and parent.skip) or bool(attributes and _HIDDEN.search(attributes))
+        self.skip = bool(parent and parent.skip) or bool(attributes and _hides(attributes))
 
 
 class _Block:

@@ -66,3 +66,17 @@ def test_drawings_and_formulas_leave_the_article():
     formula = ("<math><semantics><mrow><mi>a</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding='tex'>no</annotation>"
                "</semantics></math>")
     assert main_text(f"<article><p>{one} {formula} holds <svg/>here.</p></article>") == f"{one} a=2 holds here."
+
+
+SENTENCES = "Words enough to be the content of a page, with a full stop at the end. And one more sentence of them."
+
+
+def test_only_attributes_hide():
+    def text_of(start):
+        return main_text(f"<html><body><article>{start}{SENTENCES}</p></article></body></html>")
+
+    for start in ('<p title="The hidden cost">', '<p style="overflow: hidden ;">', '<p data-x=hidden>', '<p class="x" alt="a hidden b">',
+                  '<p title="display:none">'):
+        assert SENTENCES in text_of(start), start
+    for start in ("<p hidden>", '<p class="x" HIDDEN="">', '<p style="color:red; display : none">', "<p style=display:none>"):
+        assert SENTENCES not in text_of(start), start
