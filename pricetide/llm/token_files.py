@@ -132,7 +132,8 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # texts that hold a token added to the vocabulary are encoded whole, for no chunk may cut it
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         line_end = self._ids(["\n"])[0]
         self.line_end = line_end[0] if len(line_end) == 1 else None
@@ -161,13 +162,19 @@ class Encoder:
         plain = pc.invert(pc.match_substring_regex(texts, _ODD)).to_numpy(zero_copy_only=False)
         numbers = np.empty(len(texts), np.int64)
         parts: list = [None] * len(texts)
-        rest = np.flatnonzero(~plain).tolist()
+        whole = np.zeros(len(texts), bool)
+        for token in self.added:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(whole).tolist():
+            parts[i] = np.array(self._ids([texts[i].as_py()])[0], self.kind)
+            numbers[i] = len(parts[i])
+        rest = np.flatnonzero(~plain & ~whole).tolist()
         if rest:
             values, at = self.cache.look_up([chunks_of(t) for t in texts.take(pa.array(rest)).to_pylist()])
             for i, own in zip(rest, at):
                 parts[i] = np.frombuffer(b"".join(map(values.__getitem__, own)), self.kind)
                 numbers[i] = len(parts[i])
-        where = np.flatnonzero(plain)
+        where = np.flatnonzero(plain & ~whole)
         if len(where):
             ids, counts = self._encode_plain(texts.take(pa.array(where)))
             numbers[where] = counts

@@ -12,11 +12,13 @@ from tests.llm.test_bpe import texts
 def test_round_trip_against_the_library(spark, tmp_path):
     rows = [(i * 7 % 1000, t) for i, t in enumerate(texts())] + [(2000, "long words of text " * 3000), (2000, "again"),
                                                                  (None, "no id")]
+    rows += [(3000 + i, t) for i, t in enumerate(["a <|endoftext|>b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  \n y",
+                                                  "<|endoftext |> <|endoftext"])]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("file", F.lit(1))
     index = write_token_files(df, str(tmp_path), length=64, rows=4)
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     ids = {(d, t): tokenizer.encode(t or "", add_special_tokens=False).ids + [2] for d, t in rows}
+    assert 50256 in ids[3000, "a <|endoftext|>b"] and 50256 not in ids[3003, "<|endoftext |> <|endoftext"]
     got = sorted(read_token_files(index).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in got] == sorted([d for d, _ in rows], key=lambda d: -1 if d is None else d)
     start = 0
