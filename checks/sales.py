@@ -13,8 +13,8 @@ from pricetide.operators import profiling as P
 from pricetide.operators import sales_features as S
 from pricetide.operators import targets as T
 from pricetide.operators.splits import time_split
-from pricetide.operators.windows import drop_internal, rolling_sums
-from pricetide.session import shared_folder
+from pricetide.operators.windows import drop_internal, heavy_keys, rolling_sums
+from pricetide.session import cut_lineage, shared_folder
 from pricetide.sources import sinks
 from pricetide.sources.schemas import validate_schema
 from pricetide.sources.warehouse import Warehouse
@@ -519,14 +519,26 @@ def row_lags(spark, folder):
 days_since_last_sale from demand"""))
 def cumulative_units(spark, folder):
     """Running units, units of the day and days since the previous sale."""
-    df = S.units_today(S.add_rolling(clean_of(spark, folder), heavy=heavy_of(spark, folder)))
+    df = S.units_today(S.add_rolling(clean_of(spark, folder), heavy=heavy_of(spark, folder)), heavy_of(spark, folder))
     return df.withColumn("days_since_last_sale", S.days_since_last_sale()).select(
         *KEY, "cumulative_units_sold", "units_sold_today", "days_since_last_sale")
 
 
+@register("windows_in_hours", with_ctes(ROLLED, f"""select {LINE_KEY}, rolling_demand_7d, rolling_revenue_30d,
+price_lag_1, demand_lag_30, cumulative_units_sold, units_sold_today, days_since_last_sale from demand"""))
+def windows_in_hours(spark, folder):
+    """The sales windows where products of 30 lines or more are cut into hours and the others are not."""
+    c = clean_of(spark, folder)
+    heavy = heavy_keys(c, "stock_code", 30)
+    df = S.units_today(S.add_rolling(c, heavy=heavy), heavy)
+    return df.withColumn("days_since_last_sale", S.days_since_last_sale()).select(
+        *KEY, "rolling_demand_7d", "rolling_revenue_30d", "price_lag_1", "demand_lag_30", "cumulative_units_sold",
+        "units_sold_today", "days_since_last_sale")
+
+
 def _demand_frame(spark, folder):
     c = clean_of(spark, folder)
-    df = S.units_today(S.add_rolling(c, heavy=heavy_of(spark, folder)))
+    df = S.units_today(S.add_rolling(c, heavy=heavy_of(spark, folder)), heavy_of(spark, folder))
     df = df.withColumn("days_since_last_sale", S.days_since_last_sale()).drop("_prev_us")
     df = df.join(S.product_stats(c), "stock_code").withColumn("demand_trend_slope", F.lit(0.0))
     return S.add_demand_features(df).withColumn("product_category", text.categorise("description"))
@@ -542,7 +554,8 @@ def demand_acceleration(spark, folder):
 price_elasticity_30d, is_price_elastic, round(optimal_price_elasticity_estimate, 4) as
 optimal_price_elasticity_estimate from elastic"""))
 def price_elasticity(spark, folder):
-    df = S.fill_elasticity(S.raw_elasticity(_demand_frame(spark, folder)))
+    # medians read the rows several times, so the windows are written once, as in build_features
+    df = S.fill_elasticity(cut_lineage(S.raw_elasticity(_demand_frame(spark, folder)), "elasticity"))
     return df.select(*KEY, F.round("price_elasticity_30d", 6).alias("price_elasticity_30d"), "is_price_elastic",
                      F.round("optimal_price_elasticity_estimate", 4).alias("optimal_price_elasticity_estimate"))
 

@@ -61,9 +61,8 @@ class Settings:
     retrain_mae: float = 8.0
     psi_limit: float = 0.2
 
-    # rows of one key beyond which its windows are cut into day slices
+    # rows of one key from which on its windows are cut into hours
     heavy_rows: int = 5_000_000
-    # most keys that one query treats that way; the list is a plan literal
 
 
 SETTINGS = Settings()

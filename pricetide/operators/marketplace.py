@@ -158,7 +158,7 @@ def temporal_features(df: DataFrame, holidays: DataFrame) -> DataFrame:
     return add_holiday_flag(df, TS, holidays)
 
 
-def demand_scores(df: DataFrame, heavy: list | None = None) -> DataFrame:
+def demand_scores(df: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     """Items of the product in the last 7 and 30 days, the row included, and days since its previous item."""
     df = df.withColumn(US, micros(TS))
     df = rolling_sums(df, KEY, US, SEQ, {"n": F.lit(1)},
@@ -202,7 +202,7 @@ def price_table(df: DataFrame) -> DataFrame:
     return table.withColumn("competitor_delta", delta).drop("category_median")
 
 
-def build_market_features(base: DataFrame, holidays: DataFrame, heavy: list | None = None) -> DataFrame:
+def build_market_features(base: DataFrame, holidays: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     """Ids, the 17 features and the target from the feature base.  Pass the base as a stored stage: the
     median score, the category medians and the ranks each read it again, two columns at a time."""
     df = demand_scores(fill_review_score(base), heavy)

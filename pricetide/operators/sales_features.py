@@ -14,7 +14,7 @@ from pricetide.functions.calendar import calendar_flags, calendar_parts, days_to
 from pricetide.functions.core import clip, exact_avg, exact_sum, flag, major, micros, minor, ratio
 from pricetide.functions.text import CATEGORY_WORDS, OTHER_CATEGORY, categorise, word_count
 from pricetide.operators.quantiles import group_quantile
-from pricetide.operators.windows import numbered, rolling_sums, shift_rows
+from pricetide.operators.windows import SLICE, heavy_keys, numbered, rolling_sums, shift_rows
 from pricetide.session import cut_lineage
 
 KEY, TS, US = "stock_code", "invoice_date", "us"
@@ -113,9 +113,10 @@ def trend_slope(df: DataFrame, days: int = SETTINGS.trend_days) -> DataFrame:
     return last.groupBy(KEY).agg(slope.alias("demand_trend_slope"))
 
 
-def add_rolling(df: DataFrame, s: Settings = SETTINGS, heavy: list | None = None) -> DataFrame:
+def add_rolling(df: DataFrame, s: Settings = SETTINGS, heavy: DataFrame | None = None) -> DataFrame:
     """Rolling demand, revenue, transactions and mean price that end at the previous sale; row lags;
     running units.  One exchange on the product."""
+    heavy = heavy_keys(df, KEY, s.heavy_rows) if heavy is None else heavy
     with_us = df.withColumn(US, micros(TS))
     spans = {f"{d}d": d * MICROS_PER_DAY for d in s.demand_days}
     measures = {"r_demand": F.col("quantity"), "r_revenue": minor("revenue"), "r_transactions": F.lit(1),
@@ -136,13 +137,21 @@ def add_rolling(df: DataFrame, s: Settings = SETTINGS, heavy: list | None = None
             f"rolling_avg_price_{span}": major(F.col(f"p_r_price_{span}")) / n,
         }
     lags = [f"price_lag_{n}" for n in s.lag_rows] + [f"demand_lag_{n}" for n in s.lag_rows]
-    return rows.withColumns(out).select(*df.columns, US, "_prev_us", *out, *lags)
+    return rows.withColumns(out).select(*df.columns, US, "_prev_us", SLICE, *out, *lags)
 
 
-def units_today(df: DataFrame) -> DataFrame:
-    """Units of the product on the row's date; the group is one day, on the exchange already there."""
-    day = Window.partitionBy(KEY, F.to_date(TS))
-    return df.withColumn("units_sold_today", F.sum("quantity").over(day))
+def units_today(df: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
+    """Units of the product on the row's date, on the exchange of ``add_rolling`` (its slices are hours of UTC, the
+    zone of dates too).  The hours of a heavy product are added up to days in a table of one row per hour."""
+    day = F.to_date(TS)
+    inside = df.withColumn("units_sold_today", F.sum("quantity").over(Window.partitionBy(KEY, SLICE, day)))
+    cut = df.filter(F.col(SLICE).isNotNull())
+    if heavy is not None:  # without heavy keys this reads nothing
+        cut = cut.join(F.broadcast(heavy.toDF(KEY)), KEY, "left_semi")
+    hours = cut.groupBy(KEY, SLICE, day.alias("_day")).agg(F.sum("quantity").alias("_q"))
+    days = hours.select(KEY, SLICE, F.sum("_q").over(Window.partitionBy(KEY, "_day")).alias("_units"))
+    return inside.join(days, [KEY, SLICE], "left").select(
+        *[c for c in df.columns if c != SLICE], F.coalesce("_units", "units_sold_today").alias("units_sold_today"))
 
 
 def days_since_last_sale(previous_us: str = "_prev_us") -> Column:
@@ -294,13 +303,14 @@ def null_cleanup(df: DataFrame) -> DataFrame:
 
 
 def build_features(clean: DataFrame, competitors: DataFrame, s: Settings = SETTINGS,
-                   heavy: list | None = None, stage=cut_lineage) -> DataFrame:
+                   heavy: DataFrame | None = None, stage=cut_lineage) -> DataFrame:
     """Every feature group on the cleaned sales (a stored stage: several aggregates read it).
 
     The medians and the scaling each read the rows again, so the windowed rows are written once as a
     stage; those passes then scan two columns of it.
     """
-    df = units_today(add_rolling(clean, s, heavy))
+    heavy = heavy_keys(clean, KEY, s.heavy_rows) if heavy is None else heavy
+    df = units_today(add_rolling(clean, s, heavy), heavy)
     df = df.withColumn("days_since_last_sale", days_since_last_sale()).drop("_prev_us")
     df = add_product_features(df, product_profile(clean), clean)
     df = add_temporal_features(df)

@@ -4,8 +4,10 @@ A rolling sum over ``(t - w, t]`` is written as a running sum: each row arrives
 at ``t`` and leaves once with ``-v`` at ``t + w``.  A running sum costs O(1) per row (a sliding range
 frame recomputes its whole frame per row) and, being a prefix sum, can be cut anywhere.
 
-Ordinary keys run in one task each, on one exchange.  Heavy keys - all that a count finds - are cut into hour slices: sums inside each (key, hour) plus an offset from the (key, hour) totals, whose
-number the calendar bounds.  Both ways give the same numbers; the tests force the second.
+There is one plan.  Rows are exchanged once, on (key, slice): the slice is the hour for keys with many rows and empty
+for the others, so an ordinary key is one slice.  What the slices before an hour add up to, and the last rows before
+it, come from two lean tables of one row per (heavy key, hour), joined on the exchange's own columns; without heavy
+keys both are empty and their joins disappear at run time.
 """
 
 from __future__ import annotations
@@ -20,89 +22,93 @@ from pricetide.functions.core import day_number, hour_number
 from pricetide.session import cut_lineage
 
 AT, KIND, SLICE = "_at", "_kind", "_slice"
-ARRIVE = "_arrive"
 
 
-def heavy_keys(df: DataFrame, key: str, rows: int = SETTINGS.heavy_rows) -> list:
-    """All keys with at least ``rows`` rows.
+def heavy_keys(df: DataFrame, key: str, rows: int = SETTINGS.heavy_rows) -> DataFrame:
+    """All keys with at least ``rows`` rows, as a table that never visits the driver's code.
 
-    The table's rows over ``rows`` bound their number: 20,000 keys reach the driver from 10^11 rows.
+    The table's rows over ``rows`` bound their number, so the table may be broadcast: 20,000 keys from 10^11 rows.
+    A missing key is none of them.
     """
-    counts = df.groupBy(key).count().filter((F.col("count") >= rows) & F.col(key).isNotNull())
-    return sorted(r[0] for r in counts.select(key).collect())
+    counts = df.groupBy(key).count()
+    return counts.filter((F.col("count") >= rows) & F.col(key).isNotNull()).select(key)
 
 
-def by_weight(df: DataFrame, key: str, heavy: list | None,
-              plain: Callable[[DataFrame], DataFrame],
-              sliced: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``plain`` for ordinary keys, ``sliced`` for the heavy ones."""
-    if not heavy:
-        return plain(df)
-    is_heavy = F.coalesce(F.col(key).isin(heavy), F.lit(False))
-    return plain(df.filter(~is_heavy)).unionByName(sliced(df.filter(is_heavy)))
+def _known(df: DataFrame, key: str, heavy: DataFrame | None) -> DataFrame:
+    return heavy_keys(df, key) if heavy is None else heavy.toDF(key)
 
 
-def _ordering(order: list[str], reverse: bool) -> list[Column]:
-    return [F.col(c).desc() if reverse else F.col(c).asc() for c in order]
+def _sliced(df: DataFrame, key: str, at: Column, heavy: DataFrame) -> DataFrame:
+    """Add the slice of each row: its hour if the key is heavy, else NULL."""
+    marked = F.broadcast(heavy.withColumn("_heavy", F.lit(True)))
+    return (df.join(marked, key, "left").withColumn(SLICE, F.when(F.col("_heavy"), hour_number(at)))
+            .select(*df.columns, SLICE))
+
+
+def _names(*columns: str) -> str:
+    return ", ".join(f"`{c}`" for c in columns)
+
+
+def _window(key: str, order: list[str], reverse: bool = False, rows: str = "") -> str:
+    """A window over the slices of the key, in time order; SQL text, since one plan holds dozens of them."""
+    direction = " desc" if reverse else ""
+    # the internal time runs in the wanted direction already
+    order = ", ".join(f"`{c}`" if c in (AT, KIND) else f"`{c}`{direction}" for c in order)
+    return f"over (partition by {_names(key, SLICE)} order by {order}{rows})"
 
 
 def rolling_sums(df: DataFrame, key: str, us: str, seq: list[str], measures: dict[str, Column],
                  spans: dict[str, int], *, reverse: bool = False, closed: bool = False,
-                 heavy: list | None = None) -> DataFrame:
+                 heavy: DataFrame | None = None) -> DataFrame:
     """Add ``{measure}_{span}``: the sum over the span of time that ends at the row itself.
 
     ``us`` is the time in microseconds and ``seq`` breaks its ties: an earlier tie is inside the window,
     a later one is not.  The span is ``(t - w, t]``, with ``closed`` ``[t - w, t]``.  ``reverse`` looks
     forward in time from the row instead.  Measures must be whole numbers, so that leaving rows cancel
-    exactly.  Span None (whole past) gives the running sum.
+    exactly.  Span None (whole past) gives the running sum.  ``heavy`` names the keys to cut into hours (default:
+    those that a count finds); the result does not depend on it.
     """
+    heavy = _known(df, key, heavy)
+    df = drop_internal(df)
     names = {m: f"_m_{m}" for m in measures}
-    base = df.withColumns({names[m]: c.cast("long") for m, c in measures.items()})
     now = -F.col(us) if reverse else F.col(us)
+    base = df.withColumns({**{names[m]: c.cast("long") for m, c in measures.items()}, AT: now})
     extra = 1 if closed else 0
-    steps = [F.struct(F.lit(0).alias(KIND), now.alias(AT), F.lit("").alias("_span"))]
-    for span, width in spans.items():
-        if width is not None:
-            # KIND -1 sorts before the arrivals of the same instant
-            steps.append(F.struct(F.lit(-1).alias(KIND), (now + F.lit(width + extra)).alias(AT),
-                                  F.lit(span).alias("_span")))
-    payload = [c for c in df.columns if c not in (key, *seq)]
-    keep = F.col(f"{ARRIVE}.{KIND}") == 0
-
-    def moved(part: DataFrame) -> DataFrame:
-        return part.select("*", F.explode(F.array(*steps)).alias(ARRIVE)).select(
-            key, *seq,
-            *[F.when(keep, F.col(c)).alias(c) for c in payload],
-            *names.values(), f"{ARRIVE}.{AT}", f"{ARRIVE}.{KIND}", f"{ARRIVE}._span")
-
-    delta = {}
-    for span, width in spans.items():
-        for m in measures:
-            arrives = F.when(F.col(KIND) == 0, F.col(names[m]))
-            if width is not None:
-                arrives = arrives.when(F.col("_span") == span, -F.col(names[m]))
-            delta[f"{m}_{span}"] = F.coalesce(arrives, F.lit(0))
-    order = [F.col(AT), F.col(KIND), *_ordering(seq, reverse)]
-    columns = [*df.columns, *delta, AT, KIND]
-
-    def plain(part: DataFrame) -> DataFrame:
-        w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        # rows leave and arrive behind the exchange, which so carries each row once
-        return (moved(part.repartition(key)).withColumns({out: F.sum(d).over(w) for out, d in delta.items()})
-                .filter(F.col(KIND) == 0).select(*columns))
-
-    def sliced(part: DataFrame) -> DataFrame:
-        part = moved(part).withColumns(delta).withColumn(SLICE, hour_number(AT))
-        w = Window.partitionBy(key, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        before = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-        offsets = (part.groupBy(key, SLICE).agg(*[F.sum(c).alias(f"_t_{c}") for c in delta])
-                   .select(key, SLICE, *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}")
-                                         for c in delta]))
-        inner = part.withColumns({c: F.sum(c).over(w) for c in delta}).filter(F.col(KIND) == 0)
-        return (inner.join(offsets, [key, SLICE])
-                .withColumns({c: F.col(c) + F.col(f"_o_{c}") for c in delta}).select(*columns))
-
-    return by_weight(base, key, heavy, plain, sliced)
+    # kind -1 sorts before the arrivals of the same instant
+    leaves = [f"struct(-1 as {KIND}, {AT} + {width + extra}L as {AT}, '{span}' as _span)"
+              for span, width in spans.items() if width is not None]
+    arrives = f"struct(0 as {KIND}, {AT} as {AT}, '' as _span)"
+    event = [f"_e.{c} as {c}" for c in (KIND, AT, "_span")]
+    weights = [f"`{n}`" for n in names.values()]
+
+    def lean(steps: list[str]) -> DataFrame:
+        """The given steps of rows of heavy keys, with nothing but what sums need."""
+        part = base.join(F.broadcast(heavy), key, "left_semi").selectExpr(
+            f"`{key}`", *weights, f"explode(array({', '.join(steps)})) as _e")
+        return part.selectExpr(f"`{key}`", *weights, *event).withColumn(SLICE, hour_number(AT))
+
+    rows = _sliced(base, key, F.col(AT), heavy).selectExpr("*", f"0 as {KIND}", "'' as _span")
+    if leaves:
+        # leaving rows of a heavy key belong to another slice and travel there; all others are made behind the exchange
+        rows = rows.unionByName(lean(leaves), allowMissingColumns=True)
+    rows = rows.repartition(key, SLICE)
+    if leaves:
+        itself = f"struct({KIND}, {AT}, _span)"
+        steps = f"if({SLICE} is null and {KIND} = 0, array({', '.join([arrives, *leaves])}), array({itself}))"
+        rows = rows.selectExpr("*", f"explode({steps}) as _e")
+        payload = [f"`{c}`" if c in seq else f"if(_e.{KIND} = 0, `{c}`, null) as `{c}`" for c in df.columns if c != key]
+        rows = rows.selectExpr(f"`{key}`", SLICE, *payload, *weights, *event)
+    delta = {f"{m}_{span}": f"coalesce(case when {KIND} = 0 then `{names[m]}`"
+                            + (f" when _span = '{span}' then -`{names[m]}`" if width is not None else "") + " end, 0)"
+             for span, width in spans.items() for m in measures}
+    to_here = _window(key, [AT, KIND, *seq], reverse, " rows between unbounded preceding and current row")
+    rows = rows.selectExpr("*", *[f"sum({d}) {to_here} as `{c}`" for c, d in delta.items()]).filter(f"{KIND} = 0")
+
+    before = f"over (partition by `{key}` order by {SLICE} rows between unbounded preceding and 1 preceding)"
+    totals = lean([arrives, *leaves]).groupBy(key, SLICE).agg(*[F.expr(f"sum({d})").alias(c) for c, d in delta.items()])
+    offsets = totals.selectExpr(f"`{key}`", SLICE, *[f"sum(`{c}`) {before} as `_o_{c}`" for c in delta])
+    return rows.join(offsets, [key, SLICE], "left").selectExpr(
+        *[f"`{c}`" for c in df.columns], *[f"`{c}` + coalesce(`_o_{c}`, 0) as `{c}`" for c in delta], AT, KIND, SLICE)
 
 
 def drop_internal(df: DataFrame) -> DataFrame:
@@ -110,41 +116,36 @@ def drop_internal(df: DataFrame) -> DataFrame:
 
 
 def shift_rows(df: DataFrame, key: str, us: str, seq: list[str], shifts: dict[str, tuple[str, int]], *,
-               reverse: bool = False, heavy: list | None = None) -> DataFrame:
+               reverse: bool = False, heavy: DataFrame | None = None) -> DataFrame:
     """Add ``out: (column, n)``, the value ``n`` rows earlier (``reverse``: later) within the key.
 
-    After ``rolling_sums`` in the same direction the rows are already in this order, and neither an
-    exchange nor a sort is added.  For heavy keys the first rows of each slice take their value
-    from a table that holds only the outer rows of every slice.
+    After ``rolling_sums`` in the same direction and with the same ``heavy`` the rows are already in this order, and
+    neither an exchange nor a sort is added.  The first rows of a heavy key's hour take their values from the last
+    rows before it, which are carried over as one short array per slice.
     """
-    if AT in df.columns:
-        order = [F.col(AT), F.col(KIND), *_ordering(seq, reverse)]
+    heavy = _known(df, key, heavy)
+    if SLICE in df.columns:
+        order, rows = [AT, KIND, *seq], df
     else:
-        order = _ordering([us, *seq], reverse)
+        order, rows = [us, *seq], _sliced(df, key, -F.col(us) if reverse else F.col(us), heavy)
     reach = max(n for _, n in shifts.values())
-    columns = [*df.columns, *shifts]
-
-    def plain(part: DataFrame) -> DataFrame:
-        w = Window.partitionBy(key).orderBy(*order)
-        return part.withColumns({out: F.lag(c, n).over(w) for out, (c, n) in shifts.items()}).select(*columns)
-
-    def sliced(part: DataFrame) -> DataFrame:
-        part = part.withColumn(SLICE, hour_number(us))
-        whole = Window.partitionBy(key, SLICE)
-        inside = whole.orderBy(*order)
-        part = part.withColumns({
-            **{out: F.lag(c, n).over(inside) for out, (c, n) in shifts.items()},
-            "_rn": F.row_number().over(inside)})
-        part = part.withColumn("_rest", F.count(F.lit(1)).over(whole) - F.col("_rn"))
-        # at most 2 * reach rows per slice: all that a look-back across slices can touch
-        across = Window.partitionBy(key).orderBy(*order)
-        heads = (part.filter((F.col("_rn") <= reach) | (F.col("_rest") < reach))
-                 .withColumns({out: F.when(F.col("_rn") <= n, F.lag(c, n).over(across)).otherwise(F.col(out))
-                               for out, (c, n) in shifts.items()})
-                 .filter(F.col("_rn") <= reach))
-        return part.filter(F.col("_rn") > reach).select(*columns).unionByName(heads.select(*columns))
-
-    return by_weight(df, key, heavy, plain, sliced)
+    inside = _window(key, order, reverse)
+    place = f"row_number() {inside} as _rn"
+
+    # at most reach + 1 rows per slice: all that a look-back across slices can touch
+    ends = (rows.join(F.broadcast(heavy), key, "left_semi").filter(f"{SLICE} is not null")
+            .selectExpr("*", place, f"count(1) over (partition by {_names(key, SLICE)}) as _n")
+            .filter(f"_rn = 1 or _n - _rn < {reach}"))
+    values = f"struct({_names(*sorted({c for c, _ in shifts.values()}))})"
+    # slices follow each other in the direction of time that the rows have within them
+    back = f"over (partition by `{key}` order by {SLICE}, _rn rows between {reach} preceding and 1 preceding)"
+    carried = ends.selectExpr(f"`{key}`", SLICE, "_rn", f"collect_list({values}) {back} as _carry").filter("_rn = 1")
+
+    rows = rows.selectExpr("*", place, *[f"lag(`{c}`, {n}) {inside} as `{out}`" for out, (c, n) in shifts.items()])
+    rows = rows.join(carried.drop("_rn"), [key, SLICE], "left")
+    return rows.selectExpr(*[f"`{c}`" for c in df.columns], *[
+        f"if({SLICE} is not null and _rn <= {n}, get(_carry, size(_carry) + _rn - {n + 1}).`{c}`, `{out}`) as `{out}`"
+        for out, (c, n) in shifts.items()])
 
 
 def numbered(df: DataFrame, order: list[str], out: str, purpose: str, within: str | None = None) -> DataFrame:

@@ -87,9 +87,10 @@ class Warehouse:
             "dataset_year_range": F.when(first, "2010-2011").otherwise("2009-2011"),
         }).drop("l_linestatus")
 
-    def heavy_products(self) -> list[str]:
+    def heavy_products(self) -> DataFrame:
         """Stock codes with many lines, counted on the one column of the raw table."""
-        return [f"P{k}" for k in heavy_keys(self.table("lineitem").select("l_partkey"), "l_partkey")]
+        keys = heavy_keys(self.table("lineitem").select("l_partkey"), "l_partkey")
+        return keys.select(F.concat(F.lit("P"), "l_partkey").alias("stock_code"))
 
     def competitor_prices(self) -> DataFrame:
         """The two lowest supplier mean prices of each product."""
@@ -155,8 +156,9 @@ class Warehouse:
                 F.col("n_name").alias("geolocation_state"), F.col("r_name").alias("geolocation_region")),
         }
 
-    def heavy_market_products(self) -> list[str]:
-        return [str(k) for k in heavy_keys(self.table("lineitem").select("l_partkey"), "l_partkey")]
+    def heavy_market_products(self) -> DataFrame:
+        keys = heavy_keys(self.table("lineitem").select("l_partkey"), "l_partkey")
+        return keys.select(F.col("l_partkey").cast("string").alias("product_id"))
 
     # ---- event streams: a user stands for a SKU
 

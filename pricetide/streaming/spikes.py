@@ -120,7 +120,7 @@ def alert_columns(rate, baseline, s: Settings = SETTINGS) -> dict[str, Column]:
 
 
 def trailing_rates(events: DataFrame, seq: list[str], key: str = "stock_code", s: Settings = SETTINGS,
-                   heavy: list | None = None) -> DataFrame:
+                   heavy: DataFrame | None = None) -> DataFrame:
     """Units of the key in the closed 300 seconds that end at each event."""
     df = rolling_sums(events.withColumn("us", F.unix_micros("ts")), key, "us", seq, {"rate": F.col("quantity")},
                       {"w": s.spike_seconds * SECOND}, closed=True, heavy=heavy)
@@ -128,7 +128,7 @@ def trailing_rates(events: DataFrame, seq: list[str], key: str = "stock_code", s
 
 
 def event_spikes(events: DataFrame, baselines: DataFrame, seq: list[str], s: Settings = SETTINGS,
-                 heavy: list | None = None) -> DataFrame:
+                 heavy: DataFrame | None = None) -> DataFrame:
     """Every event with its rate, ratio, severity and whether it raises an alert (strictly above)."""
     df = trailing_rates(events, seq, "stock_code", s, heavy).join(baselines, "stock_code", "left")
     df = df.withColumns(alert_columns(F.col("trailing_rate"), F.col("baseline_rate"), s)).drop("trailing_rate")
@@ -234,7 +234,7 @@ def event_spike_stream(events: DataFrame, baselines: DataFrame, seq: str, s: Set
 
 # ---- order velocity
 
-def velocity_spikes(events: DataFrame, seq: list[str], s: Settings = SETTINGS, heavy: list | None = None) -> DataFrame:
+def velocity_spikes(events: DataFrame, seq: list[str], s: Settings = SETTINGS, heavy: DataFrame | None = None) -> DataFrame:
     """Orders per minute of the SKU in the last two minutes; above three times the baseline the SKU is
     flagged for ten minutes from that event on."""
     df = rolling_sums(events.withColumn("us", F.unix_micros("ts")), "sku_id", "us", seq, {"orders": F.lit(1)},

@@ -1,4 +1,4 @@
-"""Running windows against pandas and brute force, in the ordinary and in the sliced form."""
+"""Running windows against pandas and brute force, with no, some and all keys cut into hours."""
 
 import numpy as np
 import pandas as pd
@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricetide.config import MICROS_PER_DAY as DAY
+from pricetide.operators.sales_features import add_rolling, units_today
 from pricetide.operators.splits import chrono_split, time_series_folds
+from pricetide.operators.targets import forward_sums
 from pricetide.operators.windows import numbered, drop_internal, heavy_keys, rolling_sums, shift_rows
 
 SPANS = {"7d": 7 * DAY, "30d": 30 * DAY, "all": None}
@@ -26,6 +28,10 @@ def collected(df, *extra):
     return sorted(tuple(r) for r in df.select("k", "us", "seq", *extra).collect())
 
 
+def table(spark, keys):
+    return spark.createDataFrame([(k,) for k in keys], "k string")
+
+
 def brute(rows, width, reverse=False, closed=False):
     out = {}
     for _, g in rows.groupby("k"):
@@ -39,11 +45,12 @@ def brute(rows, width, reverse=False, closed=False):
     return out
 
 
-@pytest.mark.parametrize("heavy", [None, ["hot"], ["hot", "a"]])
+@pytest.mark.parametrize("heavy", [[], ["hot"], list("abcd") + ["hot"]])
 @pytest.mark.parametrize("reverse,closed", [(False, False), (True, False), (False, True)])
 def test_rolling_sums(spark, rows, heavy, reverse, closed):
     df = spark.createDataFrame(rows)
-    got = rolling_sums(df, "k", "us", ["seq"], {"q": F.col("q")}, SPANS, reverse=reverse, closed=closed, heavy=heavy)
+    got = rolling_sums(df, "k", "us", ["seq"], {"q": F.col("q")}, SPANS, reverse=reverse, closed=closed,
+                       heavy=table(spark, heavy))
     got = {r["seq"]: r for r in got.collect()}
     assert len(got) == len(rows)
     for span, width in SPANS.items():
@@ -59,11 +66,11 @@ def test_seven_day_known_values(spark):
     assert [r["q_7d"] for r in got] == [1, 3, 7, 12, 27]
 
 
-@pytest.mark.parametrize("heavy", [None, ["hot"]])
+@pytest.mark.parametrize("heavy", [[], ["hot"], list("abcd") + ["hot"]])
 @pytest.mark.parametrize("reverse", [False, True])
 @pytest.mark.parametrize("after_rolling", [False, True])
 def test_shift_rows(spark, rows, heavy, reverse, after_rolling):
-    df = spark.createDataFrame(rows)
+    df, heavy = spark.createDataFrame(rows), table(spark, heavy)
     if after_rolling:
         df = rolling_sums(df, "k", "us", ["seq"], {"q": F.col("q")}, {"7d": 7 * DAY}, reverse=reverse, heavy=heavy)
     got = shift_rows(df, "k", "us", ["seq"], {"one": ("q", 1), "thirty": ("q", 30)}, reverse=reverse, heavy=heavy)
@@ -77,18 +84,49 @@ def test_shift_rows(spark, rows, heavy, reverse, after_rolling):
     assert got == want
 
 
-def test_rolling_then_shift_adds_one_exchange(spark, rows):
+def test_rolling_then_shift_moves_each_row_once(spark, rows):
+    """No key is heavy: the plan that ran has one exchange and one sort of the rows, besides the count of keys."""
     df = rolling_sums(spark.createDataFrame(rows), "k", "us", ["seq"], {"q": F.col("q")}, SPANS)
     df = shift_rows(df, "k", "us", ["seq"], {"prev": ("q_7d", 1)})
+    assert len(df.collect()) == len(rows)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+    assert "isFinalPlan=true" in plan
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("REPARTITION_BY_COL") == 1 and final.count("Sort [") == 1 and "SortMergeJoin" not in final
     # rows are multiplied behind the exchange, which carries each once
-    assert 0 < plan.index("Generate") < plan.index("Exchange")
+    assert 0 < final.index("Generate") < final.index("REPARTITION_BY_COL")
 
 
-def test_heavy_keys_are_found_and_bounded(spark, rows):
-    df = spark.createDataFrame(rows)
-    assert heavy_keys(df, "k", rows=100) == ["hot"]
+def test_heavy_keys_are_found(spark, rows):
+    df = spark.createDataFrame(rows).unionByName(spark.createDataFrame(rows).withColumn("k", F.lit(None).cast("string")))
+    assert [r["k"] for r in heavy_keys(df, "k", rows=100).collect()] == ["hot"]
+
+
+def test_missing_keys_are_one_group(spark):
+    df = spark.createDataFrame([(None, 0, 0, 2), (None, 1, 1, 3), ("a", 1, 2, 5)], "k string, us long, seq long, q long")
+    for heavy in (table(spark, []), table(spark, ["a"])):
+        got = rolling_sums(df, "k", "us", ["seq"], {"q": F.col("q")}, {"all": None}, heavy=heavy)
+        got = shift_rows(got, "k", "us", ["seq"], {"prev": ("q_all", 1)}, heavy=heavy)
+        assert {r["seq"]: (r["q_all"], r["prev"]) for r in got.collect()} == {0: (2, None), 1: (5, 2), 2: (5, None)}
+        assert rolling_sums(df.limit(0), "k", "us", ["seq"], {"q": F.col("q")}, SPANS, heavy=heavy).count() == 0
+
+
+def test_sales_windows_do_not_depend_on_slices(spark, rows):
+    """All sales windows, with every product cut into hours and with none: the same rows."""
+    sales = spark.createDataFrame(rows).select(
+        F.col("k").alias("stock_code"), F.timestamp_micros("us").alias("invoice_date"),
+        F.col("seq").cast("string").alias("invoice_no"), F.col("q").alias("quantity"),
+        (F.col("q") / 4).alias("unit_price"), (F.col("q") * F.col("q") / 4).alias("revenue"))
+
+    def features(heavy):
+        heavy = table(spark, heavy).withColumnRenamed("k", "stock_code")
+        df = forward_sums(units_today(add_rolling(sales, heavy=heavy), heavy), heavy=heavy)
+        return sorted(str(r) for r in df.select(sorted(df.columns)).collect())
+
+    plain = features([])
+    assert plain == features(["hot", "b"]) == features(list("abcd") + ["hot"])
+    days = rows.assign(day=rows["us"] // DAY).groupby(["k", "day"])["q"].sum()
+    assert sum(f"units_sold_today={v}" in "".join(plain) for v in set(days)) == len(set(days))
 
 
 def test_split_within_one_heavy_day(spark, rows):
