@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.registry import register, staged, with_ctes
+from checks.registry import ORACLES, register, staged, with_ctes
 from pricetide.config import MICROS_PER_DAY, SETTINGS
 from pricetide.functions import calendar, text
 from pricetide.functions.core import exact_avg, flag, micros
@@ -593,22 +593,37 @@ def competitor_features(spark, folder):
         "competitor_price_gap", "is_price_competitive")
 
 
-FEATURE_SAMPLE = ["rolling_demand_30d", "rolling_revenue_14d", "demand_acceleration_30d", "price_lag_7",
-                  "demand_lag_14", "cumulative_units_sold", "is_price_elastic", "product_transaction_count"]
-
-
-@register("build_features", with_ctes(RISK, COMPETITORS, f"""select {LINE_KEY}, rolling_demand_30d, rolling_revenue_14d,
-demand_acceleration_30d, coalesce(price_lag_7, 0) as price_lag_7, coalesce(demand_lag_14, 0) as demand_lag_14,
-cumulative_units_sold, is_price_elastic, product_transaction_count,
-round(price_elasticity_30d, 6) as price_elasticity_30d, round((risk - lo) / (hi - lo), 6) as stockout_risk_score,
-coalesce(greatest(least(c1, 5000), 0.01), 0) as competitor_price_1
-from risky left join competitors using (stock_code), risk_ends"""))
+# The feature frame in SQL is the line, with the SQL of each group joined to it.
+LINE_GROUPS = ["calendar_parts", "calendar_flags", "days_to_christmas", "time_of_day", "label_encode", "word_count",
+               "price_relatives", "rolling_demand", "row_lags", "cumulative_units", "demand_acceleration",
+               "price_elasticity", "stockout_risk", "competitor_features", "wholesale_flags", "transaction_zscore"]
+KEYED_GROUPS = {"product_stats": "stock_code", "trend_slope": "stock_code", "country_stats": "country",
+                "customer_stats": "customer_id", "hourly_demand": "stock_code, hour"}
+TEXT_COLUMNS = ["stock_code", "customer_id", "country", "product_category", "invoice_no", "description", "invoice_date",
+                "source", "dataset_year_range"]
+ROUNDED = {"price_elasticity_30d": 6, "optimal_price_elasticity_estimate": 4, "units_sold_vs_30d_avg": 6,
+           "stockout_risk_score": 6, "hourly_demand_zscore": 6, "demand_trend_slope": 6, "product_price_std": 6,
+           "customer_price_sensitivity": 6, "h_std": 6, "pct_price_change": 6, "pct_demand_change": 6}
+WHOLE_FRAME = "with " + ",\n".join(
+    f"{name}_part as materialized (select * from ({ORACLES[name]}))"
+    for name in ["clean_sales", *LINE_GROUPS, *KEYED_GROUPS, "popularity_rank"]) + ",\npct_part as (" + with_ctes(
+    ELASTIC, f"select {LINE_KEY}, round(pct_price_change, 6) as pct_price_change, round(pct_demand_change, 6) "
+             "as pct_demand_change from elastic") + f""")
+select {", ".join(TEXT_COLUMNS)}, columns(lambda c: c not in ({", ".join(f"'{c}'" for c in TEXT_COLUMNS)}))
+from (select coalesce(columns(lambda c: c not in ({", ".join(f"'{c}'" for c in TEXT_COLUMNS)})), 0),
+    {", ".join(TEXT_COLUMNS)}
+  from (select *, epoch_us(invoice_date) as us from clean_sales_part
+    {" ".join(f"join {g}_part using ({LINE_KEY})" for g in [*LINE_GROUPS, "pct"])}
+    {" ".join(f"left join {g}_part using ({k})" for g, k in KEYED_GROUPS.items())}
+    left join (select stock_code, product_popularity_rank from popularity_rank_part) using (stock_code)))"""
+
+
+@register("build_features", WHOLE_FRAME)
 def build_features(spark, folder):
-    """All eight groups in one frame."""
+    """All eight groups in one frame, every column of it."""
     w = Warehouse(spark, folder)
     df = S.build_features(clean_of(spark, folder), w.competitor_prices(), heavy=w.heavy_products())
-    return df.select(*KEY, *FEATURE_SAMPLE, F.round("price_elasticity_30d", 6).alias("price_elasticity_30d"),
-                     F.round("stockout_risk_score", 6).alias("stockout_risk_score"), "competitor_price_1")
+    return df.withColumns({c: F.round(c, places) for c, places in ROUNDED.items()})
 
 
 @register("null_cleanup", with_ctes(ROLLED, f"""select {LINE_KEY}, """ + ", ".join(
