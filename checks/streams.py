@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from checks import sales as Q
 from checks.registry import register, with_ctes
 from pricetide.functions import rules as R
 from pricetide.functions.core import py_round
 from pricetide.session import ROCKSDB, shared_folder
-from pricetide.sources.readers import parse_json
+from pricetide.sources import sinks
+from pricetide.sources.readers import event_stream, parse_json
+from pricetide.sources.replay import RECORD_REPLAY
 from pricetide.sources.schemas import STREAM_EVENT
 from pricetide.sources.warehouse import Warehouse
 from pricetide.streaming import routing, spikes, windows
@@ -218,6 +221,26 @@ def checkpointed_query(spark, folder):
     return spark.read.parquet(out)
 
 
+@register("microbatch_flush", f"""select i // {sinks.FLUSH_EVENTS} as batch, count(*) as records,
+min(event_id) as first_event, max(event_id) as last_event
+from (select event_id, row_number() over (order by event_id) - 1 as i from events) group by 1""")
+def microbatch_flush(spark, folder):
+    """The events as JSON lines in the order of their ids, replayed: what each flushed micro-batch holds."""
+    lines, out, checkpoint = (shared_folder(spark, n) for n in ("lines", "stream", "checkpoint"))
+    events = events_of(spark, folder).repartitionByRange("event_id").sortWithinPartitions("event_id")
+    events.select(F.to_json(F.struct("event_id", "event_type", "value")).alias("value")).write.text(lines)
+    schema = StructType.fromDDL("event_id long, event_type string, value double")
+    stream = event_stream(spark, schema, RECORD_REPLAY, flush=sinks.FLUSH_EVENTS, path=lines)
+    query = stream.writeStream.foreachBatch(lambda batch, number: sinks.commit_batch(batch, out, number, "parquet")).option(
+        "checkpointLocation", checkpoint).start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return spark.read.parquet(out).groupBy(F.col("commit").cast("long").alias("batch")).agg(
+        F.count(F.lit(1)).alias("records"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event"))
+
+
 @register("order_counter", with_ctes(ORDERS, "select sku_id, count(*) as demand_orders from sku_orders group by 1"))
 def order_counter(spark, folder):
     return windows.order_counter(Warehouse.orders_of(events_of(spark, folder)))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from pricetide.sources.replay import RECORD_REPLAY, register_replay
 from pricetide.sources.schemas import SALES, SALES_RENAMES, STAR
 
 
@@ -72,16 +73,21 @@ def event_stream(spark: SparkSession, schema: StructType, fmt: str = "kafka", co
                  flush: int | None = None, **options) -> DataFrame:
     """A stream of JSON text records as columns; records that do not parse are left out.
 
-    ``flush`` is the most records of a micro-batch (of files, for file formats): with ``flushed`` a batch
-    ends at that number or at the trigger's time, whichever comes first.
+    ``flush`` is the most records of a micro-batch: with ``flushed`` a batch ends at that number or at the trigger's
+    time, whichever comes first.  Spark's own file formats admit whole files, so there it is a number of files.
 
-    Kafka starts at the latest offset, as a live consumer does.  File formats serve tests and replays.
+    Kafka starts at the latest offset, as a live consumer does.  ``record_replay`` reads the lines of a folder and
+    admits records; other file formats serve tests.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
         options = {"startingOffsets": "latest", **options}
         if flush:
             options["maxOffsetsPerTrigger"] = flush
+    elif fmt == RECORD_REPLAY:
+        register_replay(spark)
+        if flush:
+            options["records"] = flush
     else:
         reader = reader.schema(f"{column} string")
         if flush:

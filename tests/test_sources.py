@@ -3,10 +3,12 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pricetide.operators import marketplace as M
 from pricetide.operators import profiling as P
 from pricetide.sources import readers, sinks
+from pricetide.sources.replay import RECORD_REPLAY
 from pricetide.sources.schemas import MARKET_FEATURES, ORDER_EVENT, STREAM_EVENT, validate_schema
 from pricetide.streaming.windows import typed_events
 
@@ -67,6 +69,38 @@ def test_event_parsing(spark, tmp_path):
     assert typed_events(readers.parse_json(one, ORDER_EVENT)).first()["quantity"] == 1
 
 
+def test_replay_admits_records(spark, tmp_path):
+    """Batches of two over files of other lengths; a new query on the checkpoint goes on where the first stopped."""
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    record = lambda i: json.dumps({"n": i, "t": "\u00e9" * i})
+
+    def run(name):
+        stream = readers.event_stream(spark, StructType.fromDDL("n int, t string"), RECORD_REPLAY, flush=2, path=str(folder))
+        query = sinks.flushed(stream.writeStream.foreachBatch(
+            lambda batch, number: sinks.commit_batch(batch, str(tmp_path / "out"), number)).option(
+            "checkpointLocation", str(tmp_path / "checkpoint")), "10 milliseconds").start()
+        query.processAllAvailable()
+        query.stop()
+        rows = spark.read.schema("n int, t string, commit int").json(str(tmp_path / "out")).collect()
+        assert all(r["t"] == "\u00e9" * r["n"] for r in rows)
+        found = {}
+        for r in rows:
+            found.setdefault(r["commit"], []).append(r["n"])
+        return {k: sorted(v) for k, v in found.items()}
+
+    (folder / "a").write_text("\n".join(map(record, range(3))), encoding="utf-8")  # no end of the last line
+    (folder / "b").write_text("")
+    (folder / "_SUCCESS").write_text("no record")
+    (folder / "c").write_text("\n" + record(3) + "\r\n\n{broken\n" + record(4) + "\n", encoding="utf-8")
+    assert run("first") == {0: [0, 1], 1: [2, 3], 2: [4]}
+    (folder / "d").write_text("\n".join(map(record, range(5, 8))), encoding="utf-8")
+    assert run("second") == {0: [0, 1], 1: [2, 3], 2: [4], 3: [5, 6], 4: [7]}
+    with pytest.raises(Exception, match="at least one record"):
+        spark.readStream.format(RECORD_REPLAY).option("path", str(folder)).option("records", 0).load().writeStream.format(
+            "noop").start().processAllAvailable()
+
+
 def test_sinks(spark, tmp_path):
     t = datetime(2024, 1, 2, 3, 4, 5)
     d = spark.createDataFrame([("a", 9.5, "why", t)], "sku_id string, final_price double, reasoning string, timestamp timestamp")
