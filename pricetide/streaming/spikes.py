@@ -31,36 +31,30 @@ def ema_baseline(windows: DataFrame, s: Settings = SETTINGS) -> DataFrame:
 
     The first window sets the baseline; later ones are a spike above three times it and then move it by
     a fifth.  Windows are already one row per SKU and minute, so the calendar bounds a SKU's rows (1440 a
-    day) whatever its traffic.  They are gathered by day: one light scan per SKU hands each day its
-    starting baseline, and the days then run apart.
+    day) whatever its traffic.  They are sorted behind one exchange and walked through in batches, with one number
+    carried from row to row: no SKU's history is held, and the sums round as in a walk row by row.
     """
-    def move(before, count):
-        return F.coalesce(before * s.ema_keep + count * (1.0 - s.ema_keep), count.cast("double"))
-
-    item = F.struct(F.unix_micros("window_end").alias("end"), F.col("order_count").alias("n"))
-    days = windows.groupBy("sku_id", F.to_date("window_end").alias("_day")).agg(
-        F.array_sort(F.collect_list(item)).alias("_w"))
-    none = F.lit(None).cast("double")
-    state = F.aggregate(
-        F.array_sort(F.collect_list(F.struct("_day", "_w"))),
-        F.struct(none.alias("b"), F.array().cast("array<struct<d:struct<_day:date,_w:array<struct<end:bigint,n:bigint>>>,b:double>>").alias("out")),
-        lambda acc, d: F.struct(
-            F.aggregate(d["_w"], acc["b"], lambda b, w: move(b, w["n"])).alias("b"),
-            F.concat(acc["out"], F.array(F.struct(d.alias("d"), acc["b"].alias("b")))).alias("out")))
-    starts = days.groupBy("sku_id").agg(state.alias("_s")).select("sku_id", F.explode("_s.out").alias("_o")).select(
-        "sku_id", F.col("_o.d._w").alias("_w"), F.col("_o.b").alias("_b"))
-    empty = F.array().cast("array<struct<end:bigint,n:bigint,before:double,after:double>>")
-    run = F.aggregate(
-        "_w", F.struct(F.col("_b").alias("b"), empty.alias("out")),
-        lambda acc, w: F.struct(
-            move(acc["b"], w["n"]).alias("b"),
-            F.concat(acc["out"], F.array(F.struct(
-                w["end"].alias("end"), w["n"].alias("n"), acc["b"].alias("before"),
-                move(acc["b"], w["n"]).alias("after")))).alias("out")))
-    return starts.select("sku_id", F.inline(run["out"])).select(
-        "sku_id", F.timestamp_micros("end").alias("window_end"), F.col("n").alias("order_count"),
-        F.coalesce(F.col("n") > F.col("before") * s.ema_spike, F.lit(False)).alias("spike_detected"),
-        py_round("after", 2).alias("baseline"))
+    keep, limit = s.ema_keep, s.ema_spike
+
+    def walk(frames):
+        known, baseline = object(), 0.0
+        for frame in frames:
+            spikes, after = [], []
+            for sku, n in zip(frame["sku_id"].tolist(), frame["order_count"].tolist()):
+                if sku != known:
+                    known, baseline = sku, float(n)
+                    spikes.append(False)
+                else:
+                    spikes.append(n > baseline * limit)
+                    baseline = baseline * keep + n * (1.0 - keep)
+                after.append(baseline)
+            yield frame.assign(spike_detected=spikes, after=after)
+
+    rows = windows.select("sku_id", F.unix_micros("window_end").alias("end"), F.col("order_count").cast("long"))
+    walked = rows.repartition("sku_id").sortWithinPartitions("sku_id", "end").mapInPandas(
+        walk, "sku_id string, end long, order_count long, spike_detected boolean, after double")
+    return walked.select("sku_id", F.timestamp_micros("end").alias("window_end"), "order_count", "spike_detected",
+                         py_round("after", 2).alias("baseline"))
 
 
 EMA_OUT = "sku_id string, window_end timestamp, order_count long, spike_detected boolean, baseline double"
