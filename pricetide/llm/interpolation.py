@@ -125,14 +125,14 @@ class _Batch:
         pairs, twice = np.unique(_pair_hashes(hashes, previous, present, bits), return_counts=True)
         yield {"kind": 0, "batch": key, "part": None, "role": self.role, "ids": self.ids, "n1": len(hashes),
                "n2": len(words), "a": _pack_sorted(hashes), "b": _pack(words), "c": lengths.tobytes(), "d": None}
-        cut1 = np.searchsorted(_part_of(hashes, 64, parts), np.arange(parts + 1))
-        cut2 = np.searchsorted(_part_of(pairs, bits, parts), np.arange(parts + 1))
-        for p in range(parts):
-            x, y = slice(cut1[p], cut1[p + 1]), slice(cut2[p], cut2[p + 1])
-            if x.stop > x.start or y.stop > y.start:
-                yield {"kind": 1, "batch": key, "part": p, "role": self.role, "ids": None, "n1": int(x.stop - x.start),
-                       "n2": int(y.stop - y.start), "a": _pack_sorted(hashes[x]), "b": _pack_sorted(pairs[y]),
-                       "c": _pack(once[x].astype(np.uint32)), "d": _pack(twice[y].astype(np.uint32))}
+        of1, of2 = _part_of(hashes, 64, parts), _part_of(pairs, bits, parts)
+        touched = np.union1d(of1, of2)  # never more than the batch has words and pairs, however many parts there are
+        edges = [np.searchsorted(of, touched, side) for of in (of1, of2) for side in ("left", "right")]
+        for p, x0, x1, y0, y1 in zip(touched.tolist(), *(e.tolist() for e in edges)):
+            x, y = slice(x0, x1), slice(y0, y1)
+            yield {"kind": 1, "batch": key, "part": p, "role": self.role, "ids": None, "n1": x1 - x0, "n2": y1 - y0,
+                   "a": _pack_sorted(hashes[x]), "b": _pack_sorted(pairs[y]),
+                   "c": _pack(once[x].astype(np.uint32)), "d": _pack(twice[y].astype(np.uint32))}
 
 
 def _batches(docs: DataFrame, bits: int, parts: int, rules: ScoringRules) -> DataFrame:
