@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -145,15 +146,19 @@ def active_alerts(spikes: DataFrame, seq: list[str]) -> DataFrame:
 
 
 SPIKE_OUT = ("stock_code string, event_us long, event_seq string, current_rate double, baseline_rate double")
+# Events of one entry of the state's map.
+HELD_EVENTS = 1000
 
 
 class RateProcessor(StatefulProcessor):
     """Holds events back until the watermark passes their second, then adds them up in event-time order.
 
-    State per product: a map from second to its events, and the units of all whole seconds in the window.  A second has
-    two timers: at its end its rates are told, reading it and the second that the window's edge cuts; when it is
-    itself the edge it leaves the sum, and the map, for good.  So a hot product reads what is due only, and a product
-    without events for the length of the window has no state.
+    State per product: its events as they came, in entries of ``HELD_EVENTS`` that are never written again; one record,
+    the timer's time with first, last and next untold time of each entry; and, once some are told, how far and the units
+    of the window that ends there.  The timer goes off once the watermark has passed the next second, and then tells all seconds passed:
+    it reads the entries of untold events and those that leave the window meanwhile.  So calls to the state grow with
+    batches and entries, not with events or seconds, a hot product reads what is due only, and a product without events for
+    the length of the window has no state.
     """
 
     def __init__(self, seconds: int):
@@ -161,54 +166,88 @@ class RateProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.events = handle.getMapState("events", "second long",
+        self.events = handle.getMapState("events", "entry long",
                                          "us array<bigint>, seq array<string>, quantity array<bigint>, baseline double")
-        self.whole = handle.getValueState("whole", "units long, seconds long")
+        self.record = handle.getValueState("record", "due long, entries array<array<bigint>>")
+        self.whole = handle.getValueState("whole", "told long, units long")
 
     def handleInputRows(self, key, rows, timerValues):
-        new: dict = {}
-        for frame in rows:
-            for us, seq, quantity, base in zip(frame["us"], frame["seq"], frame["quantity"], frame["baseline_rate"]):
-                held = new.setdefault(int(us) // SECOND, ([], [], [], float(base)))
-                held[0].append(int(us))
-                held[1].append(seq)
-                held[2].append(int(quantity))
-        for second, (us, seq, quantity, base) in new.items():
-            if self.events.containsKey((second,)):
-                old = self.events.getValue((second,))
-                us, seq, quantity = list(old[0]) + us, list(old[1]) + seq, list(old[2]) + quantity
-            else:
-                self.handle.registerTimer((second + 1) * 1000)
-                self.handle.registerTimer((second + self.seconds + 1) * 1000)
-            self.events.updateValue((second,), (us, seq, quantity, base))
+        new = pd.concat(list(rows), ignore_index=True).sort_values("us", kind="stable")
+        due, entries = self.record.get() or (None, [])
+        entries = [list(e) for e in entries]
+        name = max((e[0] for e in entries), default=-1) + 1
+        for at in range(0, len(new), HELD_EVENTS):
+            part = new.iloc[at:at + HELD_EVENTS]
+            us = part["us"].tolist()
+            self.events.updateValue((name,), (us, part["seq"].tolist(), part["quantity"].tolist(),
+                                              float(part["baseline_rate"].iloc[0])))
+            entries.append([name, us[0], us[-1], us[0]])
+            name += 1
+        self._keep(due, entries)
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        second = expiredTimerInfo.getExpiryTimeInMs() // 1000 - 1
-        units, live = self.whole.get() if self.whole.exists() else (0, 0)
-        edge = second - self.seconds
-        leaving: list = []
-        if self.events.containsKey((edge,)):
-            us, _, quantity, _ = self.events.getValue((edge,))
-            leaving = sorted(zip(us, quantity), reverse=True)
-            units, live = units - sum(quantity), live - 1
-            self.events.removeKey((edge,))
-        out = []
-        if self.events.containsKey((second,)):
-            us, seq, quantity, base = self.events.getValue((second,))
-            left, inside = sum(q for _, q in leaving), 0
-            for at, name, n in sorted(zip(us, seq, quantity)):
-                while leaving and leaving[-1][0] < at - self.span:
-                    left -= leaving.pop()[1]
-                inside += n
-                out.append((key[0], at, name, float(units + left + inside), base))
-            units, live = units + inside, live + 1
-        if live:
-            self.whole.update((units, live))
+    def _keep(self, due, entries) -> None:
+        """Write the record, and set the timer to the end of the next untold second or, without one, of the window."""
+        untold = [e[3] for e in entries if e[3] is not None]
+        if untold:
+            at = (min(untold) // SECOND + 1) * 1000
+        elif entries:
+            at = (max(e[2] for e in entries) // SECOND + self.seconds + 1) * 1000
+        else:
+            at = None
+        if at != due:
+            if due is not None:
+                self.handle.deleteTimer(due)
+            if at is not None:
+                self.handle.registerTimer(at)
+        if at is None:
+            self.record.clear()
         else:
+            self.record.update((at, entries))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        fired = expiredTimerInfo.getExpiryTimeInMs()
+        _, entries = self.record.get()
+        before = self.whole.get()
+        told, units = before or (None, 0)
+        # whole seconds that the watermark has passed
+        upto = max(fired, timerValues.getCurrentWatermarkInMs() - 1) // 1000 * SECOND
+        edge = upto - self.span
+        due, leaving, kept = [], [], []
+        for name, first, last, untold in map(list, entries):
+            enters = untold is not None and untold < upto
+            if enters or first < edge:
+                held = self.events.getValue((name,))
+                us = np.array(held[0], np.int64)
+                quantity = np.array(held[2], np.int64)
+                if enters:
+                    fresh = us < upto if told is None else (us < upto) & (us >= told)
+                    due += [(us[i].item(), held[1][i], quantity[i].item(), held[3]) for i in np.flatnonzero(fresh)]
+                    untold = us[us >= upto].min().item() if last >= upto else None
+                out = us < edge if told is None else (us < edge) & (us >= told - self.span)
+                leaving += zip(us[out].tolist(), quantity[out].tolist())
+            if last < edge:
+                self.events.removeKey((name,))
+            else:
+                kept.append([name, first, last, untold])
+        gone, lost = (np.array(x, np.int64) for x in zip(*sorted(leaving))) if leaving else (np.zeros(0, np.int64),) * 2
+        lost = np.concatenate([[0], lost.cumsum()])
+        if due:
+            due.sort(key=lambda e: e[:3])
+            us, names, quantity, base = zip(*due)
+            inside = units + np.array(quantity, np.int64).cumsum()
+            # closed at both ends: an event as old as the window is in
+            left = lost[np.searchsorted(gone, np.array(us, np.int64) - self.span, side="left")]
+            units = int(inside[-1])
+            out = pd.DataFrame({"stock_code": key[0], "event_us": us, "event_seq": names,
+                                "current_rate": (inside - left).astype(float), "baseline_rate": base})
+        if any(first < upto for _, first, _, _ in kept):
+            self.whole.update((upto, units - int(lost[-1])))
+        elif before:
             self.whole.clear()
-        if out:
-            yield pd.DataFrame(out, columns=["stock_code", "event_us", "event_seq", "current_rate", "baseline_rate"])
+        self._keep(None, kept)
+        if due:
+            yield out
 
     def close(self) -> None:
         pass
@@ -218,7 +257,8 @@ def event_spike_stream(events: DataFrame, baselines: DataFrame, seq: str, s: Set
     """``event_spikes`` over a stream: a static join brings the baseline, state holds the window."""
     df = late_after(events, s).join(baselines, "stock_code", "left").select(
         "stock_code", "ts", F.unix_micros("ts").alias("us"), F.col(seq).cast("string").alias("seq"),
-        F.col("quantity").cast("long").alias("quantity"), F.coalesce("baseline_rate", F.lit(1.0)).alias("baseline_rate"))
+        F.coalesce(F.col("quantity").cast("long"), F.lit(0)).alias("quantity"),
+        F.coalesce("baseline_rate", F.lit(1.0)).alias("baseline_rate")).filter(F.col("ts").isNotNull())
     rates = df.groupBy("stock_code").transformWithStateInPandas(
         RateProcessor(s.spike_seconds), SPIKE_OUT, "Append", "EventTime", eventTimeColumnName="")
     spikes = rates.withColumns(alert_columns(F.col("current_rate"), F.col("baseline_rate"), s))

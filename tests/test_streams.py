@@ -1,5 +1,7 @@
+import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,6 +132,85 @@ def test_idle_products_have_no_state(spark, tmp_path):
     assert state_of(spark, tmp_path, "whole").count() == 0
 
 
+def test_state_calls_grow_with_batches_not_with_events():
+    """The processor alone, on a state that counts its calls; batches and watermarks as the engine hands them over."""
+    calls, timers = [], set()
+
+    class Kept(dict):
+        def clear(self):
+            calls.append("clear")
+            dict.clear(self)
+
+        def get(self):
+            calls.append("get")
+            return dict.get(self, "v")
+
+        def update(self, value):
+            calls.append("update")
+            self["v"] = value
+
+        def exists(self):
+            calls.append("exists")
+            return "v" in self
+
+        def containsKey(self, key):
+            calls.append("containsKey")
+            return key in self
+
+        def updateValue(self, key, value):
+            calls.append("updateValue")
+            self[key] = value
+
+        def getValue(self, key):
+            calls.append("getValue")
+            return self[key]
+
+        def removeKey(self, key):
+            calls.append("removeKey")
+            del self[key]
+
+    class Handle:
+        kept = {}
+
+        def getValueState(self, name, schema):
+            return self.kept.setdefault(name, Kept())
+
+        def getMapState(self, name, key, value):
+            return self.getValueState(name, value)
+
+        def registerTimer(self, at):
+            timers.add(at)
+
+        def deleteTimer(self, at):
+            timers.discard(at)
+
+    class At:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = self.getExpiryTimeInMs = lambda: ms
+
+    p = spikes.RateProcessor(300)
+    p.init(Handle())
+    rng = random.Random(4)
+    events = sorted((rng.randrange(3000) * 500_000, f"{i:05d}", rng.randrange(-1, 9)) for i in range(4000))
+    got = []
+    for step in range(0, 1501, 250):
+        batch = [e for e in events if step <= e[0] // 1_000_000 < step + 250]
+        rng.shuffle(batch)
+        if batch:
+            p.handleInputRows(("K",), iter([pd.DataFrame([(*e, 2.0) for e in batch], columns=[
+                "us", "seq", "quantity", "baseline_rate"])]), At(0))
+        now = step + 100 if step < 1500 else 9000  # the last watermark leaves nothing
+        for at in sorted(timers):
+            if at < now * 1000 and at in timers:
+                timers.remove(at)
+                for frame in p.handleExpiredTimer(("K",), At(now * 1000), At(at)):
+                    got += frame[["event_us", "event_seq", "current_rate"]].itertuples(index=False, name=None)
+    want = [(us, seq, float(sum(q for u, s, q in events if us - 300_000_000 <= u and (u, s) <= (us, seq)))) for us, seq, _ in events]
+    assert sorted(got) == want
+    assert not timers and not any(Handle.kept.values())
+    assert len(calls) < 100
+
+
 def test_baseline_of_an_idle_sku_ends(spark, tmp_path):
     path, out, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
     for rows in ([("a", 30, 1.0), ("b", 30, 1.0)], [("end", 10 * 86400, 0.0), *[("b", 86400 * 0.9, 1.0)]],
