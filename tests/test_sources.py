@@ -135,3 +135,26 @@ def test_samples_repeat(spark):
     pick = lambda d: sorted(r[0] for r in P.sample_n(d, "id", 50).collect())
     assert pick(df) == pick(df.repartition(7)) and len(pick(df)) == 50
     assert 150 < P.sample_fraction(df, "id", 0.2).count() < 250
+
+
+def test_replay_takes_many_flushes_in_one_batch(spark, tmp_path):
+    folder, out, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    lines = spark.range(0, 1037, 1, 3).select(F.to_json(F.struct(F.col("id").alias("n"))).alias("value"))
+
+    def run():
+        stream = readers.event_stream(spark, StructType.fromDDL("n int"), RECORD_REPLAY, flush=10, keep=("flush",),
+                                      path=folder, flushes=20)
+        query = stream.writeStream.foreachBatch(
+            lambda batch, number: sinks.commit_batch(batch, out, number, "parquet")).option("checkpointLocation", ckpt).start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+        rows = spark.read.parquet(out).groupBy("commit", "flush").agg(F.min("n"), F.max("n"), F.count("n")).collect()
+        return sorted(map(tuple, rows))
+
+    lines.write.text(folder)
+    want = [(k // 20, k, 10 * k, min(10 * k + 9, 1036), 10 if k < 103 else 7) for k in range(104)]
+    assert run() == want
+    (tmp_path / "in" / "z").write_text('{"n": 2000}\n', encoding="utf-8")  # behind the checkpoint: a flush of its own
+    assert run() == [*want, (6, 104, 2000, 2000, 1)]
