@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pricetide.operators import models as ML
 from pricetide.operators import shapley as SH
+from pricetide.operators import boosting as B
 from pricetide.operators.boosting import BoostedModel, Boosting, Task, fit_side_by_side
 
 NAMES = ["a", "b", "c"]
@@ -185,3 +186,34 @@ def test_tuning_prunes_and_ranks(table):
     assert by[5]["pruned_after"] == 1 and by[5]["mae"] is None and got[-1]["trial"] == 5
     kept = [r["mae"] for r in got if r["mae"] is not None]
     assert kept == sorted(kept) and by[6]["pruned_after"] is None
+
+
+def test_leaf_patterns_are_looked_up(monkeypatch):
+    """Contributions from tables equal those worked out row by row, which leaves of many features still take."""
+    rng = np.random.default_rng(3)
+    depth, n = 5, 2 ** 6 - 1
+    inner = np.arange(n) < 2 ** depth - 1
+    rows = np.zeros(n, np.int64)
+    for k in range(n - 1, -1, -1):
+        rows[k] = rows[2 * k + 1] + rows[2 * k + 2] if inner[k] else rng.integers(1, 50)
+    tree = B.Tree(np.where(inner, rng.integers(0, 9, n), -1).astype(np.int16), rng.integers(0, 255, n).astype(np.int16),
+                  np.where(inner, 2 * np.arange(n) + 1, -1), np.where(inner, 2 * np.arange(n) + 2, -1),
+                  np.where(inner, 0.0, rng.normal(size=n)), rows, np.zeros(n))
+    codes = rng.integers(0, 256, (9, 20_000)).astype(np.uint8)
+    paths = SH._paths(tree)
+    want, _ = SH._tree_contributions(paths, codes)
+    tables, others = SH._lookups(paths)
+    got = np.zeros(codes.shape)
+    SH._add_lookups(got, tables, codes)
+    assert not others and len(tables) == 2 ** depth and np.abs(got - want).max() < 1e-12
+    monkeypatch.setattr(SH, "TABLE_FEATURES", 3)
+    tables, others = SH._lookups(paths)
+    SH._add_lookups(got := np.zeros(codes.shape), tables, codes)
+    assert tables and others and np.abs(got + SH._tree_contributions(others, codes)[0] - want).max() < 1e-12
+
+
+def test_blocks_hold_many_rows(spark):
+    rows = spark.range(0, 150_000, 1, 1).select((F.col("id") % 100).cast("double").alias("a"),
+                                                F.col("id").cast("double").alias("y"), F.lit(0).alias("part"))
+    sizes = [len(r["role"]) // 2 for r in B._packed(rows, ["a"], "y", "part", [np.arange(99.0)], [0.0], [[]]).collect()]
+    assert sum(sizes) == 150_000 and min(sizes[:-1]) >= B.BLOCK_ROWS
