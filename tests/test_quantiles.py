@@ -3,7 +3,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from pricetide.operators.quantiles import group_quantile, quantile, rank_shares
+from pricetide.operators.marketplace import price_table
+from pricetide.operators.quantiles import group_quantile, quantile, rank_shares, value_counts
 
 
 @pytest.mark.parametrize("p", [0.05, 0.5, 0.75, 0.95])
@@ -54,3 +55,25 @@ def test_no_group_is_ordered_whole(spark):
     assert "percentile" not in text and "raise_error" not in text
     want = {r.hot: r.q for r in df.groupBy("hot").agg(F.expr("percentile(v, 0.5)").alias("q")).collect()}
     assert {r.hot: r.q for r in plan.collect()} == want
+
+
+def test_weights_stand_for_rows(spark):
+    rng = np.random.default_rng(7)
+    rows = spark.createDataFrame(pd.DataFrame({"g": rng.choice(["a", "b"], 3000), "v": np.round(rng.lognormal(1, 1, 3000), 1)}))
+    counts = value_counts(rows, "g", "v", "n")
+    assert counts.count() < 1000
+    for p in (0.05, 0.5):
+        want = {r["g"]: r["q"] for r in group_quantile(rows, ["g"], "v", p, "q").collect()}
+        assert {r["g"]: r["q"] for r in group_quantile(counts, ["g"], "v", p, "q", weight="n").collect()} == want
+    want = {(r["g"], r["v"]): r["s"] for r in rank_shares(rows, "g", "v", "s").collect()}
+    assert {(r["g"], r["v"]): r["s"] for r in rank_shares(counts, "g", "v", "s", "n").collect()} == want
+
+
+def test_price_table_reads_the_rows_once(spark, tmp_path):
+    spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", 3.0), ("b", 5.0), ("b", None)], "category string, price double").write.parquet(
+        str(tmp_path / "base"))
+    table = price_table(spark.read.parquet(str(tmp_path / "base")))
+    assert str(tmp_path) not in " ".join(table.inputFiles())  # what follows reads the stored counts
+    got = {(r["category"], r["price"]): (r["price_percentile_in_category"], r["competitor_delta"]) for r in table.collect()}
+    assert got == {("a", 1.0): (pytest.approx(1 / 3), pytest.approx(-2 / 3)), ("a", 3.0): (pytest.approx(2.5 / 3), 0.0),
+                   ("b", 5.0): (1.0, 0.0)}

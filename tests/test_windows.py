@@ -156,3 +156,12 @@ def test_numbered_in_slices(spark, rows):
     got = {r["seq"]: r["place"] for r in numbered(df, ["us", "seq"], "place", "t", "k").collect()}
     assert got == {s: i for _, g in rows.groupby("k") for i, s in enumerate(g.sort_values(["us", "seq"])["seq"])}
     assert numbered(df.limit(0), ["us"], "place", "t").count() == 0
+
+
+def test_positions_are_looked_for_in_the_stored_table(spark):
+    base = spark.createDataFrame([(pd.Timestamp("2024-01-01") + pd.Timedelta(hours=h), h % 7) for h in range(100)], "t timestamp, n int")
+    dear = base.filter(F.coalesce(F.raise_error(F.lit("the rows were built")).cast("int"), F.lit(1)) == 1)
+    for split in (chrono_split, time_series_folds):
+        split(dear, "t", ["n"], among=base)  # reads nothing of the table it is for
+        rows = base.withColumn("more", F.lit(1))
+        assert sorted(split(rows, "t", ["n"], among=base).collect()) == sorted(split(rows, "t", ["n"]).collect())
