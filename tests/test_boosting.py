@@ -217,3 +217,14 @@ def test_blocks_hold_many_rows(spark):
                                                 F.col("id").cast("double").alias("y"), F.lit(0).alias("part"))
     sizes = [len(r["role"]) // 2 for r in B._packed(rows, ["a"], "y", "part", [np.arange(99.0)], [0.0], [[]]).collect()]
     assert sum(sizes) == 150_000 and min(sizes[:-1]) >= B.BLOCK_ROWS
+
+
+def test_marked_rows_train_the_same_model(spark):
+    """One table with a mark for its validation rows, in place of two parts of it."""
+    rows = spark.range(400).select((F.col("id") % 37).cast("double").alias("a"), (F.col("id") % 11).cast("double").alias("b"),
+                                   F.sin(F.col("id") % 37).alias("y"), (F.col("id") % 5 == 0).alias("held"))
+    preset = {"m": Boosting(6, 0.3, "level", max_depth=3, row_share=0.8)}
+    one = ML.train_boosters_marked(rows, F.col("held"), ["a", "b"], "y", preset)["m"]
+    two = ML.train_boosters(rows.filter("not held"), ["a", "b"], "y", preset, None, rows.filter("held"))["m"]
+    assert len(one.errors) == 6 and np.allclose(one.errors, two.errors)
+    assert [t.feature.tolist() for t in one.trees] == [t.feature.tolist() for t in two.trees]
