@@ -7,9 +7,11 @@ from pyspark.sql.types import StructType
 
 from pricetide.operators import marketplace as M
 from pricetide.operators import profiling as P
+from pricetide.operators.cleaning import clean_sales
 from pricetide.sources import readers, sinks
 from pricetide.sources.replay import RECORD_REPLAY
 from pricetide.sources.schemas import MARKET_FEATURES, ORDER_EVENT, STREAM_EVENT, validate_schema
+from pricetide.sources.warehouse import Warehouse
 from pricetide.streaming.windows import typed_events
 
 
@@ -158,3 +160,19 @@ def test_replay_takes_many_flushes_in_one_batch(spark, tmp_path):
     assert run() == want
     (tmp_path / "in" / "z").write_text('{"n": 2000}\n', encoding="utf-8")  # behind the checkpoint: a flush of its own
     assert run() == [*want, (6, 104, 2000, 2000, 1)]
+
+
+def test_filters_on_the_invoice_reach_the_lines(spark, tmp_path):
+    """Cancelled lines are dropped before lines travel to their orders."""
+    tables = {"lineitem": "bigint(1) l_orderkey, bigint(5) l_partkey, 2.0D l_quantity, 8.0D l_extendedprice, 'N' l_returnflag, 'O' l_linestatus",
+              "orders": "bigint(1) o_orderkey, bigint(1) o_custkey, 'F' o_orderstatus, timestamp'1995-01-02' o_orderdate",
+              "customer": "bigint(1) c_custkey, 0 c_nationkey", "nation": "0 n_nationkey, 'X' n_name",
+              "part": "bigint(5) p_partkey, 'ivory' p_name, 'SMALL' p_type, 3 p_size"}
+    for name, columns in tables.items():
+        spark.sql(f"select {columns}").write.parquet(str(tmp_path / f"{name}.parquet"))
+    clean = clean_sales(Warehouse(spark, str(tmp_path)).sales())
+    plan = clean._jdf.queryExecution().optimizedPlan().toString()
+    assert "StartsWith" in plan.split("Join Inner, (l_orderkey")[1]
+    row = clean.first().asDict()
+    assert (row["invoice_no"], row["revenue"], row["is_bulk"], row["country"]) == ("1", 8.0, 0, "United Kingdom")
+    assert clean.columns[-2:] == ["revenue", "is_bulk"]
