@@ -58,50 +58,83 @@ def ema_baseline(windows: DataFrame, s: Settings = SETTINGS) -> DataFrame:
                          py_round("after", 2).alias("baseline"))
 
 
-EMA_OUT = "sku_id string, window_end timestamp, order_count long, spike_detected boolean, baseline double"
+EMA_OUT = "sku_id string, end long, order_count long, spike_detected boolean, baseline double"
+# Fixed value: groups of SKUs that share one record of state.  A stream that goes on from a checkpoint needs the same number.
+EMA_GROUPS = 4_096
 
 
 class EmaProcessor(StatefulProcessor):
-    """Keeps one number per SKU, the running baseline, until the SKU has been idle for its life time."""
+    """Keeps one number per SKU, the running baseline, until the SKU has been idle for its life time.
+
+    SKUs come in groups by hash.  A group's state is one record, the name, baseline and end of life of each of its SKUs, and one
+    timer for the first of these ends.  So calls to the state and frames grow with groups, not with SKUs, and a
+    batch holds the windows of one group's SKUs at a time, which the calendar bounds.
+    """
 
     def __init__(self, keep: float, limit: float, life_days: int):
         self.keep, self.limit, self.life = keep, limit, life_days * 86_400_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.baseline = handle.getValueState("baseline", "b double, ends long")
+        self.record = handle.getValueState("record", "due long, skus array<string>, baselines array<double>, ends array<long>")
 
     def handleInputRows(self, key, rows, timerValues):
+        due, known = self._read()
         # the windows of a batch arrive in any order
-        frame = pd.concat(list(rows), ignore_index=True).sort_values("window_end")
-        before, ends = self.baseline.get() if self.baseline.exists() else (None, None)
+        frame = pd.concat(list(rows), ignore_index=True)
+        codes, skus = pd.factorize(frame["sku_id"], use_na_sentinel=False)
+        frame = frame.iloc[np.lexsort((frame["end"], codes))]
         spikes, after = [], []
-        for n in frame["order_count"]:
-            spikes.append(before is not None and bool(n > self.limit * before))
-            before = float(n) if before is None else self.keep * before + (1.0 - self.keep) * float(n)
-            after.append(round(before, 2))
-        if ends is not None:
-            self.handle.deleteTimer(ends)
-        ends = int(frame["window_end"].max().timestamp() * 1000) + self.life
-        self.handle.registerTimer(ends)
-        self.baseline.update((before, ends))
-        yield pd.DataFrame({"sku_id": key[0], "window_end": frame["window_end"], "order_count": frame["order_count"],
-                            "spike_detected": spikes, "baseline": after})
+        ends, counts = frame["end"].tolist(), frame["order_count"].tolist()
+        first = 0
+        for sku, size in zip(skus, np.bincount(codes).tolist()):
+            sku = None if pd.isna(sku) else sku
+            before = known[sku][0] if sku in known else None
+            for n in counts[first:first + size]:
+                spikes.append(before is not None and n > self.limit * before)
+                before = float(n) if before is None else self.keep * before + (1.0 - self.keep) * float(n)
+                after.append(round(before, 2))
+            first += size
+            known[sku] = before, ends[first - 1] // 1000 + self.life
+        self._write(due, known)
+        yield frame[["sku_id", "end", "order_count"]].assign(spike_detected=spikes, baseline=after)
+
+    def _read(self):
+        """The time of the timer, and baseline and end of life by SKU."""
+        due, skus, baselines, ends = self.record.get() or (None, (), (), ())
+        return due, dict(zip(skus, zip(baselines, ends)))
+
+    def _write(self, due, known) -> None:
+        """Write the record and set the timer to the first end of life; one that goes off earlier than that may stay."""
+        first = min(end for _, end in known.values())
+        if due is None or first < due:
+            if due is not None:
+                self.handle.deleteTimer(due)
+            self.handle.registerTimer(first)
+            due = first
+        self.record.update((due, list(known), *map(list, zip(*known.values()))))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.baseline.clear()
+        passed = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1)
+        known = {sku: state for sku, state in self._read()[1].items() if state[1] > passed}
+        if known:
+            self._write(None, known)
+        else:
+            self.record.clear()
         return iter(())
 
     def close(self) -> None:
         pass
 
 
-def ema_spike_stream(events: DataFrame, s: Settings = SETTINGS) -> DataFrame:
+def ema_spike_stream(events: DataFrame, s: Settings = SETTINGS, groups: int = EMA_GROUPS) -> DataFrame:
     """Closed sliding windows of a stream through ``EmaProcessor``.  Needs the RocksDB state store and
     append mode, so that only final windows move the baseline."""
-    windows = sliding_demand(events).select("sku_id", F.window_time("window").alias("at"), "window_end", "order_count")
-    return windows.groupBy("sku_id").transformWithStateInPandas(
+    windows = sliding_demand(events).select(F.pmod(F.xxhash64("sku_id"), F.lit(groups)).cast("int").alias("skus"), "sku_id",
+                                            F.unix_micros("window_end").alias("end"), "order_count")
+    walked = windows.groupBy("skus").transformWithStateInPandas(
         EmaProcessor(s.ema_keep, s.ema_spike, s.ema_life_days), EMA_OUT, "Append", "EventTime", eventTimeColumnName="")
+    return walked.select("sku_id", F.timestamp_micros("end").alias("window_end"), "order_count", "spike_detected", "baseline")
 
 
 # ---- per-event rate against the historical baseline

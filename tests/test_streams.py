@@ -224,6 +224,78 @@ def test_baseline_of_an_idle_sku_ends(spark, tmp_path):
     assert [r.baseline for r in got] == [1.0] * 5 + [9.0] * 5
 
 
+def test_skus_of_a_group_keep_their_own_baselines(spark, tmp_path):
+    path, out, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    rng, days = random.Random(3), []
+    for day in range(3):
+        skus = [None, *"abcdefghij"][day:8 + day]
+        rows = [(rng.choice(skus), day * 86400 + rng.randrange(3000), 1.0) for _ in range(120)]
+        days.append(orders(spark, *rows, ("end", day * 86400 + 9000, 0.0)))
+        days[-1].coalesce(1).write.mode("append").parquet(path)
+        stream = spikes.ema_spike_stream(spark.readStream.schema(days[-1].schema).parquet(path), groups=3)
+        routing.run_to_files(stream, out, ckpt)
+    got = spark.read.parquet(out)
+    every = spikes.ema_baseline(windows.sliding_demand(days[0].union(days[1]).union(days[2])))
+    last = F.col("window_end") > F.lit(T0 + timedelta(seconds=2 * 86400 + 9000)).cast("timestamp")
+    want = every.filter(~last).select(*got.columns)
+    assert {(r.sku_id, r.window_end): r for r in got.collect()} == {(r.sku_id, r.window_end): r for r in want.collect()}
+    assert got.count() == want.count() and got.filter("spike_detected").count() and got.filter("sku_id is null").count()
+    records = state_of(spark, tmp_path, "record").select("value.skus").collect()
+    assert len(records) <= 3 and sum(len(r.skus) for r in records) == 11
+
+
+def test_one_sku_of_a_group_ends(spark, tmp_path):
+    path, out, ckpt = (str(tmp_path / n) for n in ("in", "out", "ckpt"))
+    day = 86400
+    for rows in ([("a", 30, 1.0), ("b", 30, 1.0)], [("b", int(0.9 * day), 1.0), ("end", int(1.5 * day), 0.0)],
+                 [(k, int(1.6 * day) + i, 1.0) for i in range(9) for k in "ab"], [("end", 30 * day, 0.0)]):
+        df = orders(spark, *rows)
+        df.coalesce(1).write.mode("append").parquet(path)
+        stream = spikes.ema_spike_stream(spark.readStream.schema(df.schema).parquet(path), Settings(ema_life_days=1), groups=1)
+        routing.run_to_files(stream, out, ckpt)
+    got = {k: spark.read.parquet(out).filter(F.col("sku_id") == k).orderBy("window_end").collect() for k in "ab"}
+    assert [(r.baseline, r.spike_detected) for r in got["a"]] == [(1.0, False)] * 5 + [(9.0, False)] * 5
+    assert [r.baseline for r in got["b"]][:12] == [1.0] * 10 + [2.6, 3.88] and [r.spike_detected for r in got["b"]][10:12] == [True] * 2
+    assert state_of(spark, tmp_path, "record").count() == 0
+
+
+def test_baseline_calls_grow_with_groups_not_with_skus():
+    """The processor alone: 500 SKUs of one group, two batches."""
+    calls, kept = [], {}
+
+    class Record:
+        def exists(self):
+            calls.append("exists")
+            return "v" in kept
+
+        def get(self):
+            calls.append("get")
+            return kept.get("v")
+
+        def update(self, value):
+            calls.append("update")
+            kept["v"] = value
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Record()
+
+        def registerTimer(self, at):
+            calls.append("registerTimer")
+
+        def deleteTimer(self, at):
+            calls.append("deleteTimer")
+
+    p = spikes.EmaProcessor(0.8, 3.0, 90)
+    p.init(Handle())
+    out = []
+    for n, end in ((1, 60), (4, 120)):
+        rows = pd.DataFrame({"skus": 7, "sku_id": [f"s{i}" for i in range(500)], "end": end * 1_000_000, "order_count": n})
+        out += p.handleInputRows((7,), iter([rows[:300], rows[300:]]), None)
+    assert [set(f["baseline"]) for f in out] == [{1.0}, {1.6}] and all(out[1]["spike_detected"]) and len(out[1]) == 500
+    assert len(calls) < 10
+
+
 def test_route_to_pricing(spark, tmp_path):
     df = orders(spark, *[("a", i, 1.0) for i in range(5)], ("end", 9000, 0.0))
     catalogue = spark.createDataFrame([("a", 100.0, 50.0, 150.0, 2, False)], "sku_id string, base_price double, "
