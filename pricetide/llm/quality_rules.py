@@ -57,25 +57,28 @@ def _sum(x: Column) -> Column:
 
 
 def _histograms(docs: DataFrame, text: str, lang: str, p: str) -> DataFrame:
-    """Add, as columns with the prefix: lang, rare (the text without a-z and white space), words, n (their number), and the
-    histograms ``classes`` and ``common`` as arrays of long."""
+    """Add, as columns with the prefix: lang, size (characters), rare (the text without a-z and white space), words, n (their
+    number), chars (characters in them), and the histograms ``classes`` and ``common`` as arrays of long."""
     whole = F.coalesce(F.col(text), F.lit(""))
     df = docs.withColumn(p + "lang", F.when(F.col(lang).isin(*COMMON), F.col(lang)).otherwise(F.lit(ANY))) \
         .withColumn(p + "rare", F.regexp_replace(whole, r"[a-z\x20\x09-\x0D]+", "")) \
-        .withColumn(p + "blank", _long(F.length(whole) - F.length(F.translate(whole, " \t\n\x0b\x0c\r", "")))) \
-        .withColumn(p + "words", words_of(F.col(text))).withColumn(p + "n", F.size(p + "words"))
+        .withColumn(p + "size", _long(F.length(whole))).withColumn(p + "words", words_of(F.col(text))) \
+        .withColumn(p + "n", F.size(p + "words")).withColumn(p + "chars", _long(F.length(F.array_join(p + "words", ""))))
     rare = F.col(p + "rare")
     marked = [_long(F.length(F.regexp_replace(rare, f"[^{c}]+", ""))) for c in CLASSES.values()]
     # In UTF-8 a character beyond ASCII has more bytes than one.
     wide = _long(F.length(F.regexp_replace(rare, r"[\x00-\x7F]+", "")))
     df = df.withColumn(p + "marked", F.array(*marked, wide))
+    # What is in no word is white space.
     df = df.withColumn(p + "classes", F.concat(p + "marked", F.array(
-        F.length(rare) - _sum(F.col(p + "marked")), F.col(p + "blank"),
-        F.length(whole) - F.length(rare) - F.col(p + "blank"))))
+        F.length(rare) - _sum(F.col(p + "marked")), F.col(p + "size") - F.col(p + "chars"),
+        F.col(p + "chars") - F.length(rare))))
     found, counts = F.lit(None).cast("string"), F.lit(None).cast("array<bigint>")
     for code, words in COMMON.items():
         here = F.col(p + "lang") == code
-        pattern = r"(?<!\p{L})(" + "|".join(words) + r")(?!\p{L})"
+        # The first two only pass over most places sooner.
+        pattern = f"(?=[{''.join(sorted({w[0] for w in words}))}])(?<![a-z])" \
+            + r"(?<!\p{L})(" + "|".join(words) + r")(?!\p{L})"
         found = F.when(here, F.array_join(F.regexp_extract_all(F.lower(whole), F.lit(pattern), F.lit(1)), "  ")).otherwise(found)
         size = F.length(p + "found")
         counts = F.when(here, F.array(*[_long((size - F.length(F.replace(
@@ -90,11 +93,13 @@ def language_references(docs: DataFrame, text: str = "text", lang: str = "lang",
                         rules: QualityRules = QualityRules()) -> DataFrame:
     """(lang, classes, common): histograms added up over all texts with ``min_words`` words; five rows at most."""
     p = free_prefix(docs)
-    df = _histograms(docs.select(text, lang), text, lang, p).where(F.col(p + "n") >= rules.min_words)
+    # Short texts add nulls; a filter would be moved below and split every text once more.
+    df = _histograms(docs.select(text, lang), text, lang, p).withColumns({p + h: F.when(
+        F.col(p + "n") >= rules.min_words, F.col(p + h)) for h in ("classes", "common")})
     n, k = len(CLASSES) + 4, len(COMMON["en"]) + 1
     sums = [F.sum(F.get(p + "classes", F.lit(i))).alias(f"c{i}") for i in range(n)]
     sums += [F.sum(F.get(p + "common", F.lit(i))).alias(f"w{i}") for i in range(k)]
-    per = df.groupBy(F.col(p + "lang").alias("lang")).agg(*sums)
+    per = df.groupBy(F.col(p + "lang").alias("lang")).agg(*sums).where(F.col("c0").isNotNull())
     classes, common = F.array(*[f"c{i}" for i in range(n)]), F.array(*[f"w{i}" for i in range(k)])
     # Five rows: each language, and the sum of all; read once.
     both = per.select(F.explode(F.array("lang", F.lit(ANY))).alias("lang"), F.struct(classes.alias("c"), common.alias(
@@ -136,10 +141,9 @@ def quality_rules(docs: DataFrame, references: DataFrame | None = None, text: st
     df = _histograms(docs, text, lang, p)
     words = F.col(p + "words")
     # Windows as hashes of three words; most texts repeat none, which their distinct number shows.
-    zipped = F.arrays_zip(words.alias("a"), F.slice(words, 2, 2 ** 30).alias("b"),
-                          F.slice(words, 3, 2 ** 30).alias("c"))
     df = df.withColumn(p + "windows", F.slice(
-        F.transform(zipped, lambda x: F.xxhash64(x)), F.lit(1), F.greatest(F.size(words) - 2, F.lit(0))))
+        F.transform(words, lambda x, i: F.xxhash64(x, F.get(words, i + 1), F.get(words, i + 2))),
+        F.lit(1), F.greatest(F.size(words) - 2, F.lit(0))))
     windows = F.col(p + "windows")
     df = df.withColumn(p + "sorted", F.when(
         F.size(F.array_distinct(windows)) < F.size(windows),
@@ -156,7 +160,7 @@ def quality_rules(docs: DataFrame, references: DataFrame | None = None, text: st
         F.get(again, i + 1) - x, F.lit(3))))))
     df = df.withColumn(p + "lines", F.filter(F.split(whole, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     result = {
-        "n_words": F.col(p + "n"), "word_chars": F.length(F.array_join(words, "")),
+        "n_words": F.col(p + "n"), "word_chars": F.col(p + "chars"),
         "n_symbols": F.length(F.regexp_replace(p + "rare", r"[^#*$%&|<>]+", "")),
         "n_dup_lines": F.size(p + "lines") - F.size(F.array_distinct(p + "lines")),
         "n_repeat_words": F.coalesce(covered, F.lit(0))}
@@ -169,7 +173,7 @@ def quality_rules(docs: DataFrame, references: DataFrame | None = None, text: st
     # Five reference rows at most: the list of languages is fixed.
     df = df.join(F.broadcast(refs), F.col(p + "lang") == F.col(p + "ref"), "left")
     df = df.withColumn(p + "class_distance", F.when(
-        F.length(whole) >= rules.min_chars_judged, js_distance(F.col(p + "classes"), F.col(p + "ref_classes"))))
+        F.col(p + "size") >= rules.min_chars_judged, js_distance(F.col(p + "classes"), F.col(p + "ref_classes"))))
     df = df.withColumn(p + "word_distance", F.when(
         F.col(names["n_words"]) >= rules.min_words_judged, js_distance(F.col(p + "common"), F.col(p + "ref_common"))))
     fine = (F.coalesce(F.col(p + "class_distance"), F.lit(0.0)) <= rules.max_class_distance) & (

@@ -88,3 +88,42 @@ def test_words_count_whatever_separates_them(spark):
         other = docs.withColumn("text", F.translate("text", " ", gap))
         assert {(r.doc_id, r.kept, r.word_distance, r.class_distance)
                 for r in quality_rules(other, references).collect()} == want
+
+
+def test_each_text_is_split_once_a_pass(spark, tmp_path):
+    """One split for the references; one into words and one into lines for the rules; white space takes no pass."""
+    spark.createDataFrame(documents(random.Random(6)), SCHEMA).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+
+    def uses(df, kind):
+        return df._jdf.queryExecution().optimizedPlan().toJSON().count(f".expressions.{kind}\"")
+
+    references = language_references(docs)
+    assert uses(references, "StringSplit") == 1
+    assert uses(quality_rules(docs), "StringSplit") == 3
+    assert uses(quality_rules(docs), "StringTranslate") == 0
+
+
+def test_references_against_brute_force(spark):
+    rows = documents(random.Random(7)) + [(200, "\t\x0bA the\r\n\x0c of\x1c\U0001F600  zu, THE-of l'un \n" * 25, "en"),
+                                          (201, " \t la casa", "es")]
+    rows = [r for r in rows if r[2] in COMMON and (r[2] != "es" or r[0] == 201)]
+    got = {r.lang: r for r in language_references(spark.createDataFrame(rows, SCHEMA)).collect()}
+    want = {}
+    for _, text, lang in rows:
+        n = len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+        if n < QualityRules().min_words:
+            continue
+        marks = [len(re.findall(f"[{c}]", text)) for c in CLASSES.values()] + [sum(ord(c) > 127 for c in text)]
+        blank, small = len(re.findall(r"[\x20\x09-\x0D]", text)), len(re.findall("[a-z]", text))
+        classes = marks + [len(text) - sum(marks) - blank - small, blank, small]
+        tokens = Counter(re.findall(r"[^\W\d_]+", text.lower()))
+        hits = [tokens[w] for w in COMMON[lang]]
+        for code in (lang, "*"):
+            want.setdefault(code, [Counter(), Counter()])[0].update(dict(enumerate(classes)))
+        want[lang][1].update(dict(enumerate(hits + [max(0, n - sum(hits))])))
+    assert set(got) == set(want) == {"en", "de", "fr", "*"}, "no Spanish text is long enough"
+    for code, (classes, common) in want.items():
+        assert got[code].classes == [classes[i] for i in range(len(CLASSES) + 4)]
+        assert got[code].common == (None if code == "*" else [common[i] for i in range(len(COMMON[code]) + 1)])
+    assert language_references(spark.createDataFrame([(1, "a b c", "en")], SCHEMA)).count() == 0
