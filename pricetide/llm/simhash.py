@@ -90,7 +90,8 @@ def linked_fingerprints(fps: DataFrame, max_bits: int = 3, segments: int = 2) ->
     for t, q in zip(tables[1:], probes[1:]):
         table, probe = table.union(t), probe.union(q)
     near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
-    return probe.join(table, ["segment", "value"]).where(near).select("a", "b")
+    # Spark sizes the exploded balls like one row a fingerprint and would broadcast them: both sides are exchanged.
+    return probe.hint("merge").join(table.hint("merge"), ["segment", "value"]).where(near).select("a", "b")
 
 
 def _labelled(docs: DataFrame, id_col: str, text: str, shingle: int, max_bits: int, segments: int) -> DataFrame:

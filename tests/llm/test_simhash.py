@@ -98,3 +98,11 @@ def test_a_row_is_judged_by_its_own_text(spark):
     assert {r._digest for r in got} == set("acdeghj") and len(got) == 7
     again = spark.createDataFrame([(1, "x y z", "b"), (1, "x y z", "a"), (1, "x y z", "b")], SCHEMA + ", source string")
     assert stage(spark, again, "").count() == 1
+
+
+def test_the_exploded_balls_are_not_broadcast(spark):
+    """Spark sizes them like the few fingerprints they come from; at 0.6 GB they did not fit the driver."""
+    df = spark.createDataFrame([(i,) for i in range(100)], "fingerprint long")
+    found = linked_fingerprints(df, 3, 2)
+    found.collect()
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
