@@ -228,3 +228,36 @@ def test_marked_rows_train_the_same_model(spark):
     two = ML.train_boosters(rows.filter("not held"), ["a", "b"], "y", preset, None, rows.filter("held"))["m"]
     assert len(one.errors) == 6 and np.allclose(one.errors, two.errors)
     assert [t.feature.tolist() for t in one.trees] == [t.feature.tolist() for t in two.trees]
+
+
+def test_one_task_grows_what_jobs_per_level_grow(table, monkeypatch):
+    presets = [Boosting(12, 0.2, "level", max_depth=4, row_share=0.7, column_share=0.7),
+               Boosting(6, 0.2, "leaf", max_depth=None, max_leaves=9, l1=0.1, l2=1.0),
+               Boosting(5, 0.2, "same", max_depth=3, least_rows=0, l2=3.0)]
+
+    def both(**more):
+        for most in (B.TASK_ROWS, -1):
+            monkeypatch.setattr(B, "TASK_ROWS", most)
+            yield fit_side_by_side(table, NAMES, "y", "part", [Task(p, 1, 1) for p in presets], cuts=CUTS, **more)
+        monkeypatch.undo()
+
+    for one, two in zip(*both(patience=3)):
+        assert np.allclose(one.errors, two.errors, atol=1e-9) and len(one.trees) == len(two.trees)
+        for s, t in zip(one.trees, two.trees):
+            assert (s.feature == t.feature).all() and (s.bin == t.bin).all() and (s.rows == t.rows).all()
+            assert np.allclose(s.value, t.value, atol=1e-9) and np.allclose(s.gain, t.gain, atol=1e-6)
+    for one, two in zip(*both(cut=False, keep_trees=False)):
+        assert one.trees == two.trees == [] and len(one.errors) and np.allclose(one.errors, two.errors, atol=1e-9)
+
+
+def test_tables_of_a_tree_are_built_in_the_tasks(table, monkeypatch):
+    """Of 500 trees of 128 leaves they would be some 450 MB, too much for the driver and for a job to carry."""
+    [model] = fit_side_by_side(table, NAMES, "y", "part", [Task(Boosting(3, 0.3, max_depth=4), 2)], cuts=CUTS)
+
+    def refused(paths):
+        raise AssertionError("on the driver")
+
+    monkeypatch.setattr(SH, "_lookups", refused)
+    SH.tree_contributions(model, table, "id")  # only plans
+    monkeypatch.undo()
+    assert SH.tree_contributions(model, table, "id").filter("size(contributions) = 3").count() == 600

@@ -96,3 +96,20 @@ def test_save_and_load(spark, table, tmp_path):
 def test_trials_are_seeded():
     assert ML.draw_trials(3) == ML.draw_trials(3)
     assert all(200 <= t.rounds <= 1000 and 4 <= t.max_depth <= 10 and 0.01 <= t.learning_rate <= 0.3 for t in ML.draw_trials(20))
+
+
+def test_the_market_model_has_the_rounds_of_its_preset(spark, monkeypatch):
+    from checks import models as M
+    seen = []
+
+    def marked(rows, valid, features, target, presets, rounds=None, patience=ML.PATIENCE):
+        seen.extend(rounds or p.rounds for p in presets.values())
+        return {name: None for name in presets}
+
+    few = spark.range(5).withColumn("split", F.lit("train"))
+    monkeypatch.setattr(M, "once", lambda name, spark, folder, build: build())
+    monkeypatch.setattr(M, "market_split", lambda spark, folder: few)
+    monkeypatch.setattr(M.splits, "chrono_split", lambda df, *_: df.withColumn("split", F.lit("train")))
+    monkeypatch.setattr(ML, "train_boosters_marked", marked)
+    M.boosted(spark, "none")
+    assert seen == [500]
