@@ -113,3 +113,14 @@ def test_the_market_model_has_the_rounds_of_its_preset(spark, monkeypatch):
     monkeypatch.setattr(ML, "train_boosters_marked", marked)
     M.boosted(spark, "none")
     assert seen == [500]
+
+
+def test_the_market_forest_has_the_trees_of_its_preset(spark, monkeypatch):
+    from checks import models as M
+    few = spark.range(40).select(F.when(F.col("id") % 4 > 0, "train").otherwise("test").alias("split"),
+                                 *[(F.col("id") % 7).cast("double").alias(c) for c in [*M.MARKET_FEATURES, M.MARKET_TARGET]])
+    grown = []
+    monkeypatch.setattr(M, "market_split", lambda spark, folder: few)
+    monkeypatch.setattr(M, "_report", lambda name, model, test: grown.append(model.stages[-1].getNumTrees))
+    M.train_forest(spark, "none")
+    assert grown == [200]
