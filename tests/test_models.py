@@ -124,3 +124,16 @@ def test_the_market_forest_has_the_trees_of_its_preset(spark, monkeypatch):
     monkeypatch.setattr(M, "_report", lambda name, model, test: grown.append(model.stages[-1].getNumTrees))
     M.train_forest(spark, "none")
     assert grown == [200]
+
+
+def test_tuning_has_all_trials_folds_and_rounds(monkeypatch):
+    from checks import models as M
+    seen = {}
+
+    def tuned(folded, features, target, trials, fold="fold", folds=5, rounds=None):
+        seen.update(trials=len(trials), folds=folds, rounds=[rounds or t.rounds for t in trials])
+
+    monkeypatch.setattr(M, "market_split", lambda spark, folder: None)
+    monkeypatch.setattr(ML, "tune_time_series", tuned)
+    M.tune_time_series(None, "none")
+    assert seen["trials"] == 50 and seen["folds"] == 5 and seen["rounds"] == [t.rounds for t in ML.draw_trials(50)]
